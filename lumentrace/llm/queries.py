@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.llm import line_dedup
+from lumentrace.llm import line_dedup, simhash
 from lumentrace.llm.common import table
 
 
@@ -33,8 +33,16 @@ FROM j GROUP BY doc_id
 """
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_line_dedup": op5_line_dedup}
+    return {
+        "op5_line_dedup": op5_line_dedup,
+        "op6_simhash": op6_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
