@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.llm import line_dedup, packing, simhash, suffix_dedup
+from lumentrace.llm import bpe_codec, line_dedup, packing, simhash, suffix_dedup
 from lumentrace.llm.common import table
 
 
@@ -48,6 +48,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_codec.digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -58,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_packing": op3_packing,
         "op5_line_dedup": op5_line_dedup,
         "op6_simhash": op6_simhash,
+        "op7_bpe_codec": op7_bpe_codec,
         "op9_suffix_dedup": op9_suffix_dedup,
     }
 
