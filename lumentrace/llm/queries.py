@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.llm import bpe_codec, line_dedup, packing, simhash, suffix_dedup
+from lumentrace.llm import bpe_codec, line_dedup, packing, quality_rules, simhash, suffix_dedup
 from lumentrace.llm.common import table
 
 
@@ -44,6 +44,46 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+# 8-word windows as lists; a line above its host's limit stays with the smallest id
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, text, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	
+]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	
+]')) AS l
+  FROM documents),
+win AS (SELECT doc_id, i, w[i:i + 7] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+cov AS (
+  SELECT doc_id, sum(least(8, coalesce(nxt - i, 8))) AS n_repeat_words
+  FROM (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM rep) GROUP BY doc_id),
+ln AS (
+  SELECT DISTINCT doc_id, coalesce(source, '') AS host, text, lower(trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS x
+  FROM (SELECT doc_id, source, text, unnest(l) AS x FROM d)),
+held AS (SELECT host, x, count(DISTINCT text) AS n, min(doc_id) AS first FROM ln GROUP BY host, x),
+size AS (SELECT coalesce(source, '') AS host, count(DISTINCT text) AS docs FROM documents GROUP BY 1),
+bad AS (SELECT host, x, first FROM held JOIN size USING (host) WHERE n > 50 AND n > docs * 0.02),
+gone AS (
+  SELECT ln.doc_id, sum(length(x)) AS total, coalesce(sum(length(x)) FILTER (bad.first IS NOT NULL AND bad.first <> ln.doc_id), 0) AS gone
+  FROM ln LEFT JOIN bad USING (host, x) GROUP BY ln.doc_id),
+m AS (
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[ 	
+]', '', 'g')) AS word_chars,
+    length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(l) - len(list_distinct(l)) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    coalesce(gone / nullif(total, 0), 0) AS share
+  FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN gone USING (doc_id)),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND share <= 0.7 AS kept FROM f
+"""
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("word_bpe_49k.json"))
 
@@ -61,6 +101,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_quality_rules": op2_quality_rules,
         "op3_packing": op3_packing,
         "op5_line_dedup": op5_line_dedup,
         "op6_simhash": op6_simhash,
@@ -70,4 +111,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5_SQL}
+    return {"op2_quality_rules": OP2_SQL, "op5_line_dedup": OP5_SQL}
