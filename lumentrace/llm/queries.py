@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.llm import bpe_codec, line_dedup, packing, quality_rules, simhash, suffix_dedup
+from lumentrace.llm import bpe_codec, line_dedup, packing, quality_rules, simhash, suffix_dedup, toxicity
 from lumentrace.llm.common import table
 
 
@@ -54,9 +54,11 @@ OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, text, coalesce(text, '') AS t,
     list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	
-]+'), lambda w: w <> '') AS w,
+
+]+'), lambda w: w <> '') AS w,
     list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	
-]')) AS l
+
+]')) AS l
   FROM documents),
 win AS (SELECT doc_id, i, w[i:i + 7] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
@@ -74,7 +76,8 @@ gone AS (
   FROM ln LEFT JOIN bad USING (host, x) GROUP BY ln.doc_id),
 m AS (
   SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[ 	
-]', '', 'g')) AS word_chars,
+
+]', '', 'g')) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     len(l) - len(list_distinct(l)) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
     coalesce(gone / nullif(total, 0), 0) AS share
@@ -99,6 +102,17 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def held_out(doc_id):
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~held_out(F.col("doc_id"))))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_rules": op2_quality_rules,
@@ -107,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_simhash": op6_simhash,
         "op7_bpe_codec": op7_bpe_codec,
         "op9_suffix_dedup": op9_suffix_dedup,
+        "op10_toxicity": op10_toxicity,
     }
 
 
