@@ -2,8 +2,8 @@
 
 The features are densities of two lexicons, their nearness to second-person words, capitals, punctuation and obfuscation.
 The lexicons are learned from labelled rows: words and word beginnings that toxic texts hold far more often than others. Labels,
-language and source are never inputs. A short list of common insults is always part of the first. A bounded sample of the labelled rows, chosen by a hash of the id, trains the model in the
-driver: three quarters give lexicons and trees, one quarter the calibration. Scoring reads each text once.
+language and source are never inputs. A short list of common insults is always part of the first. A bounded sample of the
+labelled rows, chosen by a hash of the id, trains the model in the driver, cross-fitted in folds. Scoring reads each text once.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ STAND_INS = str.maketrans("013457@$!", "oieastasi")
 EDGE = " \t\n.,;:!?\"'()[]{}<>|&%$#*~`-_/\\=+^"
 NEAR = 5
 PREFIXES = (4, 5, 6, 7)
+FOLDS = 4
 FEATURES = ("strong", "weak", "strong_hits", "weak_hits", "near_second_person", "second_person", "densest", "obfuscated", "obfuscated_hits", "capitals", "shouted", "exclaimed", "punctuation", "stretched", "log_words")
 MOST_KNOWN = 300_000
 
@@ -132,18 +133,24 @@ class Model:
 
 
 def fit(texts: list[str], toxic: np.ndarray, fold: np.ndarray) -> Model:
-    """fold: numbers whose residue 0 modulo 4 marks the rows that calibrate."""
-    toxic = toxic.astype(np.int64)
-    hold = fold % 4 == 0
+    """fold: numbers that deal the rows out to FOLDS parts.
+
+    The features of a part come from the lexicon of the other parts, as those of new texts will, and its calibration scores
+    from trees that have not seen it. The final lexicon and trees use all rows."""
+    toxic, fold = toxic.astype(np.int64), fold % FOLDS
     prior = float(toxic.mean()) if len(toxic) else 0.0
-    if min(np.bincount(toxic[~hold], minlength=2)) < 2:
+    if min(np.bincount(toxic, minlength=2)) < 2 * FOLDS:
         return Model(Lexicon(*[frozenset()] * 4), None, (np.zeros(1), np.zeros(1)), prior)
-    train = [t for t, h in zip(texts, hold, strict=True) if not h]
-    lexicon = Lexicon.learn(train, toxic[~hold])
-    x = np.array([features(t, lexicon) for t in texts], float)
-    trees = Trees().fit(x[~hold], toxic[~hold].astype(float))
-    at = hold if min(np.bincount(toxic[hold], minlength=2)) >= 5 else np.ones(len(toxic), bool)
-    return Model(lexicon, trees, isotonic(trees.raw(x[at]), toxic[at].astype(float)), prior)
+    x = np.zeros((len(texts), len(FEATURES)))
+    for k in range(FOLDS):
+        lexicon = Lexicon.learn([t for t, f in zip(texts, fold, strict=True) if f != k], toxic[fold != k])
+        for i in np.nonzero(fold == k)[0]:
+            x[i] = features(texts[i], lexicon)
+    y = toxic.astype(float)
+    unseen = np.zeros(len(y))
+    for k in range(FOLDS):
+        unseen[fold == k] = Trees().fit(x[fold != k], y[fold != k]).raw(x[fold == k])
+    return Model(Lexicon.learn(texts, toxic), Trees().fit(x, y), isotonic(unseen, y), prior)
 
 
 def _score(model):
