@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.llm import bpe_codec, line_dedup, packing, quality_rules, simhash, suffix_dedup, toxicity
+from lumentrace.llm import bpe_codec, line_dedup, packing, quality_rules, simhash, site_quality, suffix_dedup, toxicity
 from lumentrace.llm.common import table
 
 
@@ -97,6 +97,11 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return site_quality.judge(docs, site_quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.dedup_substrings(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -120,6 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_line_dedup": op5_line_dedup,
         "op6_simhash": op6_simhash,
         "op7_bpe_codec": op7_bpe_codec,
+        "op8_site_quality": op8_site_quality,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_toxicity": op10_toxicity,
     }
