@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.llm import bpe_codec, line_dedup, packing, quality_rules, simhash, site_quality, suffix_dedup, toxicity
+from lumentrace.llm import bpe_codec, html_crf, line_dedup, packing, quality_rules, simhash, site_quality, suffix_dedup, toxicity
 from lumentrace.llm.common import table
 
 
@@ -44,6 +44,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex16("fp").alias("fingerprint"), "component_id")
 
 
+def op1_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_crf.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -120,6 +125,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_crf": op1_html_crf,
         "op2_quality_rules": op2_quality_rules,
         "op3_packing": op3_packing,
         "op5_line_dedup": op5_line_dedup,
