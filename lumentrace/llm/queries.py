@@ -7,10 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.llm import bpe_codec, html_crf, line_dedup, packing, quality_rules, simhash, site_quality, suffix_dedup, toxicity
+from lumentrace.llm import bpe_codec, html_crf, line_dedup, packing, quality_rules, simhash, site_quality, suffix_dedup, topk, toxicity
 from lumentrace.llm.common import table
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+OP4_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
+"""
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -128,6 +144,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_html_crf": op1_html_crf,
         "op2_quality_rules": op2_quality_rules,
         "op3_packing": op3_packing,
+        "op4_topk": op4_topk,
         "op5_line_dedup": op5_line_dedup,
         "op6_simhash": op6_simhash,
         "op7_bpe_codec": op7_bpe_codec,
@@ -138,4 +155,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": OP2_SQL, "op5_line_dedup": OP5_SQL}
+    return {"op2_quality_rules": OP2_SQL, "op4_topk": OP4_SQL, "op5_line_dedup": OP5_SQL}
