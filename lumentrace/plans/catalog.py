@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lumentrace.plans import events
+
+BOOKS = (events.book,)
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {k: v for b in BOOKS for k, v in b.queries.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {k: v for b in BOOKS for k, v in b.sql.items()}
