@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MOST_CACHED = 400_000
-#: The unknown piece, in a character that no byte has.
-UNKNOWN = "\ue000"
+#: The unknown piece, in a character that stands for no byte.
+UNKNOWN = "\uf8ff"
 
 
 def byte_characters() -> list[str]:
@@ -49,22 +49,27 @@ def _block(field: int, data: bytes) -> bytes:
     return _varint(field << 3 | 2) + _varint(len(data)) + data
 
 
+def model_proto(pieces: list[tuple[str, float]]) -> bytes:
+    """A sentencepiece BPE ModelProto of these pieces and scores, with one unknown piece behind them and the identity as normaliser."""
+    out = bytearray()
+    for kind, some in ((1, pieces), (2, [(UNKNOWN, -1e7)])):
+        for piece, score in some:
+            out += _block(1, _block(1, piece.encode()) + _varint(2 << 3 | 5) + struct.pack("<f", score) + _number(3, kind))
+    n = len(pieces)
+    # trainer: BPE, size, ids of unknown and of the absent begin, end and padding pieces
+    out += _block(2, _number(3, 2) + _number(4, n + 1) + _number(40, n) + _number(41, -1) + _number(42, -1) + _number(43, -1) + _block(45, UNKNOWN.encode()))
+    # normaliser: no prefix, white space left as it is
+    out += _block(3, _block(1, b"identity") + _number(3, 0) + _number(4, 0) + _number(5, 0))
+    return bytes(out)
+
+
 def serialise(ranks: dict[bytes, int]) -> bytes:
-    """A sentencepiece ModelProto whose piece ids are the ranks, which must be 0, 1, 2 and so on; one unknown piece follows."""
+    """The ModelProto whose piece ids are the ranks, which must be 0, 1, 2 and so on."""
     chars = byte_characters()
     ordered = sorted(ranks, key=ranks.__getitem__)
     if [ranks[t] for t in ordered] != list(range(len(ordered))):
         raise ValueError("ranks must be gapless")
-    out = bytearray()
-    for rank, token in enumerate(ordered):
-        piece = "".join(chars[b] for b in token).encode()
-        out += _block(1, _block(1, piece) + _varint(2 << 3 | 5) + struct.pack("<f", -float(rank)) + _number(3, 1))
-    out += _block(1, _block(1, UNKNOWN.encode()) + _varint(2 << 3 | 5) + struct.pack("<f", -float(len(ordered))) + _number(3, 2))
-    # trainer: BPE, size, ids of unknown and of the absent begin, end and padding pieces
-    out += _block(2, _number(3, 2) + _number(4, len(ordered) + 1) + _number(40, len(ordered)) + _number(41, -1) + _number(42, -1) + _number(43, -1) + _block(45, UNKNOWN.encode()))
-    # normaliser: identity; no prefix, white space left as it is
-    out += _block(3, _block(1, b"identity") + _number(3, 0) + _number(4, 0) + _number(5, 0))
-    return bytes(out)
+    return model_proto([("".join(chars[b] for b in token), -float(rank)) for rank, token in enumerate(ordered)])
 
 
 class Codec:

@@ -8,6 +8,7 @@ document and emitted. The windows that a task still has open at its end are stag
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import zlib
@@ -15,18 +16,63 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumentrace.llm.bpe_codec import byte_characters, model_proto
 from lumentrace.llm.common import staged
 
-MOST_CACHED = 500_000
+#: Chunks a worker keeps the ids of, at some 200 bytes each.
+MOST_CACHED = 1_400_000
 #: Marks that may follow a word; each is a run of its own for the tokenizer.
 MARKS = ".,;:!?&%$#*|"
 
 
+class WordPieces:
+    """BPE with word ends over words of letters, by sentencepiece; None where the tokenizer is of another make.
+
+    The last byte of a word, which carries the word's end, has a character of its own. Merges in the order of the tokenizer's
+    list are merges by the rank of their result, as training merged each result in one way only."""
+
+    END = "</w>"
+
+    def __init__(self, tok):
+        spec = json.loads(tok.to_str())["model"]
+        chars = byte_characters()
+        last = {c: chr(0xE000 + b) for b, c in enumerate(chars)}
+        order: dict[str, int] = {}
+        for i, pair in enumerate(spec["merges"]):
+            order["".join(pair if isinstance(pair, list) else pair.split(" "))] = i
+        pieces, self.ids = [], []
+        for token, i in spec["vocab"].items():
+            stem = token.removesuffix(self.END)
+            if token in order or len(stem) == 1:
+                pieces.append((stem[:-1] + last[stem[-1]] if stem != token else token, -float(order.get(token, 1_000_000))))
+                self.ids.append(i)
+        self.ids = np.array(self.ids, "<u4")
+        self.model = sentencepiece.SentencePieceProcessor(model_proto=model_proto(pieces))
+        self.chars, self.last = chars, [last[c] for c in chars]
+
+    @classmethod
+    def of(cls, tok) -> WordPieces | None:
+        spec = json.loads(tok.to_str())
+        model, steps = spec["model"], (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        fit = model.get("type") == "BPE" and model.get("end_of_word_suffix") == cls.END and not model.get("dropout") and any(s["type"] == "ByteLevel" for s in steps)
+        return cls(tok) if fit else None
+
+    def encode(self, words: list[str]) -> list[bytes]:
+        chars, last = self.chars, self.last
+        mapped = []
+        for w in words:
+            b = w.encode()
+            mapped.append("".join([chars[x] for x in b[:-1]]) + last[b[-1]])
+        ids = self.ids
+        return [ids[p].tobytes() for p in self.model.encode(mapped, out_type=int, num_threads=1)]
+
+
 class WordTokenizer:
     """Encodes whole texts by a tokenizers file whose pre-tokens never cross a space, with the ids of chunks kept for reuse.
 
@@ -39,36 +85,32 @@ class WordTokenizer:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        vocab = self.tok.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, bool)
-        self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
+        self.pieces = WordPieces.of(self.tok)
         self.known: dict[str, bytes] = {"": b""}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
 
     def _words(self, words: list[str]) -> None:
-        """Letters only: encoded together, parted at the pieces that end a word."""
-        for at in range(0, len(words), 400):
-            some = words[at : at + 400]
-            ids = np.array(self.tok.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
-            last = np.nonzero(self.ends[ids])[0] + 1
-            parts = [p.tobytes() for p in np.split(ids, last[:-1])] if len(last) == len(some) else self._plain(some)
-            self.known.update(zip(some, parts, strict=True))
+        """Lower-case letters only, each word one pre-token."""
+        self.known.update(zip(words, self.pieces.encode(words) if self.pieces else self._plain(words), strict=True))
 
     def _learn(self, chunks: set[str]) -> None:
         known = self.known
         if len(known) > MOST_CACHED:
             known.clear()
             known[""] = b""
-        missing = [c for c in chunks if c not in known]
-        split = {c: c.rstrip(MARKS) for c in missing}
-        self._words(sorted({b for b in split.values() if b not in known and b.isalpha()}))
-        tails = {c[len(b) :] for c, b in split.items() if b in known}
-        odd = sorted({c for c, b in split.items() if b not in known} | {t for t in tails if t not in known})
+        split = {}
+        for c in chunks.difference(known):
+            b = c.rstrip(MARKS)
+            split[c] = b if b.isalpha() else c  # marks behind anything but letters may belong to one run
+        if not split:
+            return
+        self._words([b for b in set(split.values()).difference(known) if b.isalpha()])
+        odd = list({c if b == c else c[len(b) :] for c, b in split.items()}.difference(known))
         known.update(zip(odd, self._plain(odd), strict=True))
         for c, b in split.items():
-            if c not in known:
+            if b != c:
                 known[c] = known[b] + known[c[len(b) :]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
