@@ -136,8 +136,10 @@ def truncated(text: Column, limit: int, marker: str) -> Column:
 def weighted_total(faithfulness: Column, coverage: Column, timestamp: Column, rule: Column, fatal: Column) -> Column:
     """The total of a candidate, one decimal; a fatal issue caps faithfulness at 3."""
     f = F.when(fatal, F.least(faithfulness, F.lit(3.0))).otherwise(faithfulness)
-    w = TOTAL_WEIGHTS
-    return F.bround(w["faithfulness"] * f + w["coverage"] * coverage + w["timestamp"] * timestamp + w["rule"] * rule, 1)
+    parts = {"faithfulness": f, "coverage": coverage, "timestamp": timestamp, "rule": rule}
+    # in decimals, so that halves are halves
+    terms = [v.cast("decimal(8,3)") * F.lit(TOTAL_WEIGHTS[k]).cast("decimal(3,2)") for k, v in parts.items()]
+    return F.bround(terms[0] + terms[1] + terms[2] + terms[3], 1).cast("double")
 
 
 def json_object(text: Column) -> Column:
@@ -150,7 +152,7 @@ def base64_size(n: Column) -> Column:
     return 4 * F.floor((n + 2) / 3)
 
 
-def classed(value: Column, cases: list[tuple[Column, str]], default: str) -> Column:
+def classed(cases: list[tuple[Column, str]], default: str) -> Column:
     """The name of the first case that holds."""
     out = None
     for when, name in cases:

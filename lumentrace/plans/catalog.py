@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumentrace.plans import events
+from lumentrace.plans import events, records
 
-BOOKS = (events.book,)
+BOOKS = (events.book, records.book)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
