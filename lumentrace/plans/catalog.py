@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumentrace.plans import events, records
+from lumentrace.plans import events, records, texts
 
-BOOKS = (events.book, records.book)
+BOOKS = (events.book, records.book, texts.book)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
