@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumentrace.plans import events, folds, records, texts
+from lumentrace.plans import events, folds, records, reports, texts
 
-BOOKS = (events.book, records.book, texts.book, folds.book)
+BOOKS = (events.book, records.book, reports.book, texts.book, folds.book)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
