@@ -158,7 +158,7 @@ def _decode(path: str, pattern: str, at: int):
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """docs and ids (array of int; a column of that name is replaced): the tokens of each whole text, none for null and empty ones."""
     docs = (docs.drop("ids") if text_col != "ids" else docs).withColumn(text_col, F.col(text_col).cast("string"))
-    return docs.mapInArrow(_encode(ranks_path, pattern, docs.columns.index(text_col)), T.StructType(list(docs.schema.fields)).add("ids", "array<int>"))
+    return docs.mapInArrow(_encode(ranks_path, pattern, docs.columns.index(text_col)), T.StructType(list(docs.schema.fields)).add("ids", T.ArrayType(T.IntegerType())))
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
