@@ -183,6 +183,8 @@ def dedup_lines(
     suspects = suspected_repeats(docs, id_col, text_col, min_chars, segments, once_bits, twice_bits, scope)
     # ids that repeat count once
     repeated = suspects.select("key", "doc").distinct().groupBy("key").agg(F.count("*").alias("n"), F.max("doc").alias("keeper")).where(F.col("n") >= min_docs)
+    # staged, so that the join deals suspects by itself and hot keys can be split
+    repeated = staged(repeated.select("key", "keeper"), scope)
     k, drop = fresh(docs, "__line_doc"), fresh(docs, "__line_drop")
     gone = suspects.join(repeated, "key").where(F.col("doc") != F.col("keeper")).groupBy(F.col("doc").alias(k)).agg(F.collect_set("hash").alias(drop))
     joined = docs.withColumn(text_col, F.col(text_col).cast("string")).withColumn(k, id_key(id_col)).join(gone, k, "left").select(*docs.columns, drop)
