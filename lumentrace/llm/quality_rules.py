@@ -95,6 +95,8 @@ def judge(
     gone = hits.groupBy("id", "content").agg(F.collect_set(F.struct("line", "chars")).alias("gone")).withColumn("gone", F.aggregate("gone", F.lit(0), lambda s, x: s + x["chars"]))
     total = F.aggregate(F.array_distinct(F.transform(lines(F.col("text")), lambda x: normalised(x))), F.lit(0), lambda s, x: s + F.length(x))
     metrics = base_metrics(plain.withColumn("total", F.coalesce(total, F.lit(0))).withColumn("content", F.xxhash64("text")), "text").drop("text", "host")
+    # staged, as a condition on the result would otherwise move down and compute the nested arrays many times over
+    metrics = staged(metrics, scope)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > most_repeat_percent * F.col("n_words"))
     share = F.coalesce(F.col("gone") / F.nullif(F.col("total"), F.lit(0)), F.lit(0.0))
     return (
