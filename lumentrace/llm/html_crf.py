@@ -269,7 +269,9 @@ def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[str, str]]:
         return f'<label>{short()}</label><input type="text"><button>{short()}</button>' + (f"<p>{sentence()}</p>" if rng.random() < 0.5 else "")
 
     def comment() -> str:
-        return "".join(wrap((rng.choice(("div", "li", "article")), "comment"), f"<b>{short()}</b><p>{prose()}</p>") for _ in range(rng.randint(1, 5)))
+        tag = rng.choice(("h2", "h3", "h4", "p"))
+        head = f"<{tag}>{short()}</{tag}>" if rng.random() < 0.5 else ""
+        return head + "".join(wrap((rng.choice(("div", "li", "article")), "comment"), f"<b>{short()}</b><p>{prose()}</p>") for _ in range(rng.randint(1, 5)))
 
     def article() -> tuple[str, list[str]]:
         texts, made = [], []
@@ -278,30 +280,32 @@ def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[str, str]]:
             made.append(f"<h1>{texts[-1]}</h1>")
         for _ in range(rng.randint(1, 12)):
             x = rng.random()
-            if x < 0.62:
+            if x < 0.57:
                 t = prose() if rng.random() < 0.8 else sentence(1, 5)
                 texts.append(t)
                 body = t if rng.random() < 0.6 else re.sub(r"^(\S+)", r"<b>\1</b>", t) if rng.random() < 0.6 else f"<b>{t}<br>"
                 made.append(rng.choice((f"<p>{body}</p>", f"<p>{body}</p>", f"<p>{body}", f"<div>{body}</div>" if "<br>" not in body else f"<p>{body}")))
-            elif x < 0.72:
+            elif x < 0.67:
                 texts.append(short())
                 made.append(rng.choice((f"<h2>{texts[-1]}</h2>", f"<h3>{texts[-1]}</h3>")))
-            elif x < 0.82:
+            elif x < 0.76:
                 items = [sentence(2, 10) for _ in range(rng.randint(2, 5))]
                 texts += items
                 made.append(f"<ul>{''.join(f'<li>{i}</li>' for i in items)}</ul>")
-            elif x < 0.88:
+            elif x < 0.82:
                 texts.append(prose())
                 made.append(f"<blockquote><p>{texts[-1]}</p></blockquote>")
-            elif x < 0.92:
+            elif x < 0.86:
                 a = sentence()
                 texts.append(f"{a} {short()}")
                 made.append(f'<p>{a} <a href="/x">{texts[-1][len(a) + 1 :]}</a></p>')
-            elif x < 0.95:
+            elif x < 0.89:
                 texts.append(sentence())
                 made.append(f"<pre>{texts[-1]}</pre>")
             else:
                 made.append(wrap(rng.choice(ADVERTS + SIDES + NOTICES), aside()))
+        if rng.random() < 0.1:
+            made.append(wrap(rng.choice(FOOTERS), rng.choice((short, sentence))()))
         return "".join(made), texts
 
     pages = []
@@ -316,8 +320,16 @@ def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[str, str]]:
         rng.shuffle(after[:-1])
         outer = rng.choice((("", ""), ("", ""), ('<div id="page">', "</div>"), ('<div class="wrapper"><div class="container">', "</div></div>")))
         if rng.random() < 0.15:  # comments and the like within the article element
-            inner = wrap(rng.choice(ARTICLES[:1] + ARTICLES[7:8]), body + after[1] + after[0])
+            inner = wrap(rng.choice(ARTICLES[:1] + ARTICLES[7:8]), body + (after[1] or wrap(rng.choice(COMMENTS), comment())) + after[0])
             after[0] = after[1] = ""
+        elif rng.random() < 0.1:  # no element of its own, and little or nothing around it
+            inner = body
+            if rng.random() < 0.6:
+                before, after = [], []
+            if rng.random() < 0.15:
+                texts = [prose()]
+                pages.append((texts[0], texts[0]))
+                continue
         else:
             inner = wrap(rng.choice(ARTICLES), body)
         page = f"<!DOCTYPE html><html><head><title>{short()}</title><style>p{{}}</style></head><body>{outer[0]}{''.join(before)}{inner}{''.join(after)}{outer[1]}</body></html>"
@@ -340,7 +352,7 @@ def labelled_blocks(page: str, main: str) -> tuple[list[list[str]], list[int]]:
 _trained: dict[int, Chain] = {}
 
 
-def default_chain(pages: int = 1200) -> Chain:
+def default_chain(pages: int = 1600) -> Chain:
     if pages not in _trained:
         _trained[pages] = train([labelled_blocks(*p) for p in labelled_pages(pages)])
     return _trained[pages]
