@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from lumentrace.llm.bpe_codec import byte_characters, model_proto
 from lumentrace.llm.common import staged
 
-#: Chunks a worker keeps the ids of, at some 200 bytes each.
-MOST_CACHED = 1_400_000
+#: Chunks of a generation of a worker's cache, at some 200 bytes each; it keeps two generations.
+MOST_CACHED = 300_000
 #: Marks that may follow a word; each is a run of its own for the tokenizer.
 MARKS = ".,;:!?&%$#*|"
 
@@ -87,6 +87,7 @@ class WordTokenizer:
         self.tok.encode_special_tokens = True
         self.pieces = WordPieces.of(self.tok)
         self.known: dict[str, bytes] = {"": b""}
+        self.older: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(texts, add_special_tokens=False)]
@@ -96,10 +97,10 @@ class WordTokenizer:
         self.known.update(zip(words, self.pieces.encode(words) if self.pieces else self._plain(words), strict=True))
 
     def _learn(self, chunks: set[str]) -> None:
-        known = self.known
-        if len(known) > MOST_CACHED:
-            known.clear()
-            known[""] = b""
+        if len(self.known) > MOST_CACHED:
+            self.older, self.known = self.known, {"": b""}
+        known, older = self.known, self.older
+        known.update({c: older[c] for c in chunks.difference(known).intersection(older)})
         split = {}
         for c in chunks.difference(known):
             b = c.rstrip(MARKS)
@@ -267,7 +268,7 @@ def _merge(length: int, merge_tasks: int, with_ids: bool):
 
 def pack(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", *, length: int = 2048, end_id: int = 1,
-    open_windows: int = 64, merge_tasks: int = 256, with_ids: bool = False, scope: str = "packing",
+    open_windows: int = 64, merge_tasks: int = 16, with_ids: bool = False, scope: str = "packing",
 ) -> DataFrame:
     """A row for each piece of a document in a sequence: the id, start, length, ids_crc32, doc_tokens, sequence_id, offset (long), and with with_ids the ids themselves (little-endian unsigned 32-bit).
 
