@@ -10,12 +10,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumentrace.functions.salvage import strict_object
+from lumentrace.operators.contracts import ANNOTATION
 
 #: A provider takes (stage, request text) and gives the response text and its input and output tokens; errors are raised.
 Provider = Callable[[str, str], tuple[str, int, int]]
 RESULT = "clip_id string, stage string, call_index int, code string, response string, input_tokens long, output_tokens long, attempts int"
 
 
+# The fields of each stage's response, as DDL.
+RESPONSES = {
+    "audio": "summary STRING, utterances ARRAY<STRUCT<start_sec DOUBLE, end_sec DOUBLE, speaker_id STRING, source STRING, text STRING, intelligibility STRING>>, sound_events ARRAY<STRUCT<start_sec DOUBLE, end_sec DOUBLE, description STRING, source STRING>>, uncertainties ARRAY<STRING>",
+    "annotation": ANNOTATION,
+    "review": "findings ARRAY<STRUCT<source_id STRING, time_sec DOUBLE, observation STRING, readable_text ARRAY<STRING>, limitations ARRAY<STRING>>>, scene_summary_replacement STRING, resegmentation_requests ARRAY<STRUCT<segment_ids ARRAY<STRING>, source_id STRING, reason STRING>>",
+}
+
+
+def response_schema(stage: str) -> str:
+    if stage not in RESPONSES:
+        raise ValueError(f"no stage {stage}")
+    return RESPONSES[stage]
+
+
+def parsed(results: DataFrame, stage: str) -> DataFrame:
+    """results with doc, the response in the stage's schema; null where it has none."""
+    return results.withColumn("doc", F.from_json("response", response_schema(stage)))
+
+
+def first_success(attempts: DataFrame) -> DataFrame:
+    """Of the attempts (clip_id, attempt, code, ...) of each clip the first sound one, or its first where none was, as with audio left out after failures."""
+    from lumentrace.operators.windows import keep_best
+
+    return keep_best(attempts.withColumn("_ok", F.col("code").isNull()), ["clip_id"], "_ok", "attempt").drop("_ok")
+
+
+def absolute_cuts(scenes: DataFrame) -> DataFrame:
+    """scenes (start_frame, cut_after_frame in the block) with cut_frame in the recording; null without a cut."""
+    return scenes.withColumn("cut_frame", F.col("start_frame") + F.col("cut_after_frame"))
+
+
 def offline(stage: str, request: str) -> tuple[str, int, int]:
     """A provider for tests: echoes the request's fields under "echo"."""
     return json.dumps({"stage": stage, "echo": json.loads(request)}), len(request), 7

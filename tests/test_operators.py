@@ -197,3 +197,37 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 6
     events = spark.createDataFrame([("a", "start", None, None), ("a", "failed", 10, 2), ("a", "start", None, None), ("a", "success", 20, 5)], "stage string, event string, input_tokens long, output_tokens long")
     assert tuple(folds.counters(events).first()) == ("a", 2, 1, 1, 30, 7, 0)
+
+
+def test_attempts_responses_and_cuts(spark):
+    a = spark.createDataFrame([("c1", 1, "ROW_ERROR", "x"), ("c1", 2, None, "y"), ("c1", 3, None, "z"), ("c2", 1, "ROW_ERROR", "x"), ("c2", 2, "ROW_ERROR", "y")], "clip_id string, attempt int, code string, response string")
+    assert {(r.clip_id, r.attempt) for r in flows.first_success(a).collect()} == {("c1", 2), ("c2", 1)}
+    d = spark.createDataFrame([('{"summary": "s", "utterances": []}',), (None,)], "response string")
+    assert [r.doc and r.doc.summary for r in flows.parsed(d, "audio").collect()] == ["s", None]
+    with pytest.raises(ValueError):
+        flows.response_schema("none")
+    cuts = flows.absolute_cuts(spark.createDataFrame([(40, 3), (50, None)], "start_frame long, cut_after_frame long"))
+    assert [r.cut_frame for r in cuts.collect()] == [43, None]
+
+
+def test_heartbeat_survives_a_failing_sink(spark):
+    from lumentrace.streaming.heartbeat import Heartbeat
+
+    seen = []
+
+    def sink(event, fields):
+        seen.append(event)
+        raise OSError
+
+    beat = Heartbeat(sink)
+    spark.streams.addListener(beat)
+    try:
+        q = spark.readStream.format("rate").load().writeStream.format("noop").trigger(availableNow=True).start()
+        q.awaitTermination(60)
+        for _ in range(100):
+            if "ended" in seen:
+                break
+            __import__("time").sleep(0.1)
+    finally:
+        spark.streams.removeListener(beat)
+    assert seen[0] == "started" and "ended" in seen and q.exception() is None
