@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumentrace.llm.common import id_key, staged
+from lumentrace.llm.common import fresh, id_key, staged
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -80,19 +80,15 @@ def boilerplate(docs: DataFrame, min_docs: int, share: float) -> DataFrame:
     return held.join(size, "host").where(F.col("n") > F.col("docs") * share).select("host", "line", "first")
 
 
-def judge(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_words: int = 20,
-    most_repeat_percent: int = 30, min_line_docs: int = 50, line_share: float = 0.02, most_boilerplate: float = 0.7, scope: str = "quality_rules",
-) -> DataFrame:
-    """A row for each row of docs: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, boilerplate_share (of the characters of its distinct lines) and kept.
+def _plain(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("doc"), id_key(id_col).alias("id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(text_col).cast("string").alias("text"))
 
-    Null and empty texts fail the base rules. A null host is a host. Rows with a null id count as one id below all others; rows
-    that share an id and a text count once. An empty table gives an empty one. Extra columns are ignored.
-    """
-    plain = docs.select(F.col(id_col).alias("doc"), id_key(id_col).alias("id"), F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(text_col).cast("string").alias("text"))
+
+def _judged(plain: DataFrame, min_words: int, most_repeat_percent: int, min_line_docs: int, line_share: float, most_boilerplate: float, scope: str) -> DataFrame:
+    """The columns of judge with doc, id, content and over: the hashes of the lines above the limit that the document does not hold first, null for none."""
     bad = staged(boilerplate(plain, min_line_docs, line_share), scope)
     hits = line_table(plain).join(bad, ["host", "line"]).where(F.col("id") != F.col("first"))
-    gone = hits.groupBy("id", "content").agg(F.collect_set(F.struct("line", "chars")).alias("gone")).withColumn("gone", F.aggregate("gone", F.lit(0), lambda s, x: s + x["chars"]))
+    gone = hits.groupBy("id", "content").agg(F.collect_set(F.struct("line", "chars")).alias("gone")).withColumn("over", F.col("gone.line")).withColumn("gone", F.aggregate("gone", F.lit(0), lambda s, x: s + x["chars"]))
     total = F.aggregate(F.array_distinct(F.transform(lines(F.col("text")), lambda x: normalised(x))), F.lit(0), lambda s, x: s + F.length(x))
     metrics = base_metrics(plain.withColumn("total", F.coalesce(total, F.lit(0))).withColumn("content", F.xxhash64("text")), "text").drop("text", "host")
     # staged, as a condition on the result would otherwise move down and compute the nested arrays many times over
@@ -104,5 +100,31 @@ def judge(
         .withColumn("base_failed", failed)
         .withColumn("boilerplate_share", share)
         .withColumn("kept", ~failed & (F.col("boilerplate_share") <= most_boilerplate))
-        .select(F.col("doc").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "boilerplate_share", "kept")
     )
+
+
+def judge(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_words: int = 20,
+    most_repeat_percent: int = 30, min_line_docs: int = 50, line_share: float = 0.02, most_boilerplate: float = 0.7, scope: str = "quality_rules",
+) -> DataFrame:
+    """A row for each row of docs: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, boilerplate_share (of the characters of its distinct lines) and kept.
+
+    Null and empty texts fail the base rules. A null host is a host. Rows with a null id count as one id below all others; rows
+    that share an id and a text count once. An empty table gives an empty one. Extra columns are ignored.
+    """
+    found = _judged(_plain(docs, id_col, text_col, host_col), min_words, most_repeat_percent, min_line_docs, line_share, most_boilerplate, scope)
+    return found.select(F.col("doc").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "boilerplate_share", "kept")
+
+
+def clean(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_words: int = 20,
+    most_repeat_percent: int = 30, min_line_docs: int = 50, line_share: float = 0.02, most_boilerplate: float = 0.7, scope: str = "quality_rules",
+) -> DataFrame:
+    """The rows of docs that judge keeps, with all their columns and clean_text: the text without lines above the limit, which stay with their first holder."""
+    found = _judged(_plain(docs, id_col, text_col, host_col), min_words, most_repeat_percent, min_line_docs, line_share, most_boilerplate, scope)
+    i, c, o = (fresh(docs, n) for n in ("__id", "__content", "__over"))
+    kept = found.where("kept").select(F.col("id").alias(i), F.col("content").alias(c), F.col("over").alias(o)).dropDuplicates([i, c])
+    text = F.col(text_col).cast("string")
+    left = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col(o), F.xxhash64(normalised(x))))
+    rows = docs.withColumn(i, id_key(id_col)).withColumn(c, F.xxhash64(text)).join(kept, [i, c])
+    return rows.withColumn("clean_text", F.when(F.col(o).isNull(), text).otherwise(F.array_join(left, "\n"))).drop(i, c, o)
