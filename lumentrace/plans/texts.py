@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lumentrace.functions import scalars as S
 from lumentrace.operators import aggregates as A
 from lumentrace.operators import contracts as C
+from lumentrace.operators import joins as J
 from lumentrace.plans.tables import Book, table
 
 book = Book()
@@ -92,6 +93,17 @@ def doc_substring_match(spark, sf):
     return docs.join(items, "line").groupBy("item_id").agg(F.count("*").alias("lines"), F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("first_doc"))
 
 
+@book.add(
+    "doc_passage_containment",
+    r"""
+SELECT item_id, count(*) AS docs, min(doc_id) AS first_doc FROM documents d JOIN benchmark b ON d.text <> '' AND b.text <> '' AND (contains(d.text, b.text) OR contains(b.text, d.text)) GROUP BY item_id""",
+)
+def doc_passage_containment(spark, sf):
+    """Documents that hold a passage, are held by it or equal it, wherever in a line it begins or ends."""
+    pairs = J.contained(table(spark, sf, "documents"), "doc_id", table(spark, sf, "benchmark"), "item_id", "text")
+    return pairs.groupBy("item_id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_doc"))
+
+
 @book.add(
     "label_containment",
     r"""
