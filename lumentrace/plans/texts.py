@@ -119,6 +119,23 @@ def label_containment(spark, sf):
     return C.longest_label(o, "o", labels).where("label IS NOT NULL").select("o_orderkey", "label")
 
 
+@book.add(
+    "label_containment_all",
+    r"""
+WITH l AS (SELECT l, min(pos) AS pos FROM (SELECT p_partkey AS pos, p_type AS l FROM part UNION ALL SELECT 1000000000000000000, '1-URGENT' UNION ALL SELECT 1000000000000000001, 'URGENT' UNION ALL SELECT 1000000000000000002, '2-HIGH LEVEL' UNION ALL SELECT 1000000000000000003, '') WHERE l <> '' GROUP BY l),
+m AS (SELECT o, l, row_number() OVER (PARTITION BY o ORDER BY length(l) DESC, pos) AS k FROM (SELECT DISTINCT o_orderpriority AS o FROM orders) JOIN l ON contains(o, l) OR contains(l, o))
+SELECT o_orderkey, l AS label FROM orders JOIN m ON o_orderpriority = o AND k = 1""",
+)
+def label_containment_all(spark, sf):
+    """label_containment for every order and the labels of all parts: each distinct text meets each distinct label once."""
+    own = spark.createDataFrame([(10**18 + i, x) for i, x in enumerate(("1-URGENT", "URGENT", "2-HIGH LEVEL", ""))], "pos long, l string")
+    labels = table(spark, sf, "part").select(F.col("p_partkey").cast("long").alias("pos"), F.col("p_type").alias("l")).unionAll(own).where("l <> ''").groupBy("l").agg(F.min("pos").alias("pos"))
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("o"))
+    held = orders.select("o").distinct().join(labels, F.col("o").contains(F.col("l")) | F.col("l").contains(F.col("o")))
+    best = held.groupBy("o").agg(F.max_by("l", F.struct(F.length("l"), -F.col("pos"))).alias("label"))
+    return orders.join(best, "o").select("o_orderkey", "label")
+
+
 @book.add(
     "doc_truncate_context",
     "SELECT doc_id, length(CASE WHEN length(text) > 3000 THEN substr(text, 1, 3000) || ' [cut]' ELSE text END) AS n, text IS NOT NULL AND length(text) > 3000 AS cut FROM documents",

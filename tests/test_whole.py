@@ -16,3 +16,11 @@ def test_passages_inside_longer_lines(spark):
     want = {(d, i) for d, t in docs for i, x in items if t and x and (t in x or x in t)}
     rows = [tuple(r) for r in got.collect()]
     assert set(rows) == want and len(rows) == len(want) and (1, 1) in want and (3, 1) in want
+
+
+def test_labels_of_all_orders(spark, tmp_path):
+    types = [(i, f"TYPE {i}") for i in range(1, 60)] + [(60, "RARE 1-URGENT KIND")]
+    spark.createDataFrame(types, "p_partkey long, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(1, "1-URGENT"), (2, "TYPE 55"), (3, "none"), (50, "2-HIGH"), (51, None)], "o_orderkey long, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    got = {r.o_orderkey: r.label for r in catalog.queries()["label_containment_all"](spark, str(tmp_path)).collect()}
+    assert got == {1: "RARE 1-URGENT KIND", 2: "TYPE 55", 50: "2-HIGH LEVEL"}
