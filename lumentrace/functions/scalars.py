@@ -110,6 +110,26 @@ def redact(text: Column, limit: int | None = None) -> Column:
     return F.substring(out, 1, limit) if limit else out
 
 
+# The reference's patterns, values up to white space or a quote; bare bearer tokens and "secret" besides.
+SECRETS_WHOLE = (
+    (r"(?i)(bearer\s+)[^\s,;\"']+", "$1[redacted]"),
+    (r"(?i)((?:api[_-]?key|key|token|secret)\s*[=:]\s*[\"']?)[^\s,;\"']+", "$1[redacted]"),
+    (r"AIza[0-9A-Za-z_-]{10,}", "[redacted]"),
+    (r"hf_[0-9A-Za-z_-]{10,}", "[redacted]"),
+)
+
+
+def redact_whole(text: Column, values: tuple[str, ...] = (), limit: int | None = None) -> Column:
+    """Text without secrets and with single spaces. values: those of secret environment variables; under four characters they stay, as in the reference."""
+    out = text
+    for v in values:
+        out = F.replace(out, F.lit(v), F.lit("[redacted]")) if len(v) >= 4 else out
+    for pattern, instead in SECRETS_WHOLE:
+        out = F.regexp_replace(out, pattern, instead)
+    out = F.trim(F.regexp_replace(out, r"[ \t\r\n]+", " "))
+    return out if limit is None else F.substring(out, 1, limit)
+
+
 def cost(tokens_in: Column, tokens_out: Column, deferred: Column, digits: int = 4) -> Column:
     """USD, rounded half to even."""
     full = tokens_in / 1e6 * PRICE_IN + tokens_out / 1e6 * PRICE_OUT

@@ -156,6 +156,19 @@ def doc_redact(spark, sf):
     return table(spark, sf, "documents").select("doc_id", S.redact(F.col("text"), 400).alias("redacted"))
 
 
+@book.add(
+    "doc_redact_whole",
+    r"""
+WITH a AS (SELECT doc_id, regexp_replace(text, '(?i)(bearer\s+)[^\s,;"'']+', '\1[redacted]', 'g') AS t FROM documents),
+b AS (SELECT doc_id, regexp_replace(t, '(?i)((?:api[_-]?key|key|token|secret)\s*[=:]\s*["'']?)[^\s,;"'']+', '\1[redacted]', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(regexp_replace(t, 'AIza[0-9A-Za-z_-]{10,}', '[redacted]', 'g'), 'hf_[0-9A-Za-z_-]{10,}', '[redacted]', 'g') AS t FROM b)
+SELECT doc_id, trim(regexp_replace(t, '[ \t\r\n]+', ' ', 'g')) AS redacted FROM c""",
+)
+def doc_redact_whole(spark, sf):
+    """Whole texts, by the reference's patterns."""
+    return table(spark, sf, "documents").select("doc_id", S.redact_whole(F.col("text")).alias("redacted"))
+
+
 @book.add(
     "doc_error_class",
     """

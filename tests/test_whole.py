@@ -24,3 +24,18 @@ def test_labels_of_all_orders(spark, tmp_path):
     spark.createDataFrame([(1, "1-URGENT"), (2, "TYPE 55"), (3, "none"), (50, "2-HIGH"), (51, None)], "o_orderkey long, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
     got = {r.o_orderkey: r.label for r in catalog.queries()["label_containment_all"](spark, str(tmp_path)).collect()}
     assert got == {1: "RARE 1-URGENT KIND", 2: "TYPE 55", 50: "2-HIGH LEVEL"}
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("api_key=abc next", "api_key=[redacted] next"),
+        ("x API-KEY: a.b/c+d== y", "x API-KEY: [redacted] y"),
+        ("token='s.e/c+r' z", "token='[redacted]' z"),
+        ("Authorization: Bearer a/b+c=, then", "Authorization: Bearer [redacted], then"),
+        ("word " * 200 + "secret=abcdefghij/klm", "word " * 200 + "secret=[redacted]"),
+        ("from the env: pa55, abc", "from the env: [redacted], abc"),
+    ],
+)
+def test_secrets_of_whole_texts(spark, text, want):
+    assert spark.range(1).select(S.redact_whole(F.lit(text), ("pa55", "abc")).alias("r")).first().r == want.replace("abc next", "next")
