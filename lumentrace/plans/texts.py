@@ -144,6 +144,15 @@ def doc_truncate_context(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.length(S.truncated(F.col("text"), 3000, " [cut]")).cast("long").alias("n"), (F.length("text") > 3000).alias("cut"))
 
 
+@book.add(
+    "doc_truncate_context_30k",
+    "SELECT doc_id, length(CASE WHEN length(text) > 30000 THEN substr(text, 1, 30000) || ' [cut]' ELSE text END) AS n, text IS NOT NULL AND length(text) > 30000 AS cut FROM documents",
+)
+def doc_truncate_context_30k(spark, sf):
+    """The limit of the reference."""
+    return table(spark, sf, "documents").select("doc_id", F.length(S.truncated(F.col("text"), 30_000, " [cut]")).cast("long").alias("n"), F.coalesce(F.length("text") > 30_000, F.lit(False)).alias("cut"))
+
+
 @book.add(
     "doc_redact",
     r"""

@@ -39,3 +39,9 @@ def test_labels_of_all_orders(spark, tmp_path):
 )
 def test_secrets_of_whole_texts(spark, text, want):
     assert spark.range(1).select(S.redact_whole(F.lit(text), ("pa55", "abc")).alias("r")).first().r == want.replace("abc next", "next")
+
+
+def test_cut_at_the_limit_of_the_reference(spark, tmp_path):
+    spark.createDataFrame([(1, "x" * 5000), (2, "x" * 30_001), (3, None)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: (r.n, r.cut) for r in catalog.queries()["doc_truncate_context_30k"](spark, str(tmp_path)).collect()}
+    assert got == {1: (5000, False), 2: (30_006, True), 3: (None, False)}
