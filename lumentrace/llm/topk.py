@@ -9,6 +9,9 @@ distance of the query's own distance to the pivot can hold better ones. They are
 stopping as its bounds tighten. All scores are exact integers.
 
 Pivots come from a bounded sample (`most_sample` rows); every row is indexed, and results never depend on the sample.
+
+Vectors with a component of 2^43 or more in size are left out as those with null or non-finite ones are, both as queries and as
+candidates: 1,024 times as much would not be exact in a double.
 """
 
 from __future__ import annotations
