@@ -77,14 +77,16 @@ class WordTokenizer:
     """Encodes whole texts by a tokenizers file whose pre-tokens never cross a space, with the ids of chunks kept for reuse.
 
     Texts in Latin letters are lower-cased and cut at spaces here; a chunk of letters and marks takes the ids of its letters
-    and of its marks. Everything else is encoded as it is. Ids come as little-endian unsigned 32-bit numbers."""
+    and of its marks. Everything else, and any text that holds an added token, is encoded as it is, so the ids are those of
+    encode(text, add_special_tokens=False). Ids come as little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        #: Texts that may hold one of these are left to the tokenizer, which gives such strings their own ids.
+        self.added = sorted({t.content.lower() for t in self.tok.get_added_tokens_decoder().values() if t.content})
         self.pieces = WordPieces.of(self.tok)
         self.known: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
@@ -118,7 +120,8 @@ class WordTokenizer:
         chunked: list[list[str] | None] = []
         for t in texts:
             plain = t.isascii() or (max(t) < "Ͱ" and unicodedata.is_normalized("NFC", t))
-            chunked.append(t.lower().replace("\n", " ").split(" ") if plain else None)
+            low = t.lower() if plain else ""
+            chunked.append(low.replace("\n", " ").split(" ") if plain and not any(a in low for a in self.added) else None)
         self._learn(set().union(*(c for c in chunked if c)))
         get = self.known.__getitem__
         other = iter(self._plain([t for t, c in zip(texts, chunked, strict=True) if c is None]))
@@ -274,7 +277,9 @@ def pack(
 
     A document's ids are those of its text and end_id; null texts are empty, so each row of docs gives one id at least. Pieces
     of a sequence lie end to end from offset 0. Rows that share an id, or have none, are documents of their own that carry that
-    id. An empty table gives an empty one. Extra columns are ignored. tokenizer is a file path that the workers can read.
+    id. An empty table gives an empty one. Extra columns are ignored. A text of any length is one document: it is cut into as many
+    windows as it needs, and only its rest looks for a place. Where several windows leave equally little room the oldest takes
+    the piece. tokenizer is a file path that the workers can read; strings of its added tokens take these tokens' ids.
     """
     if length < 2 or length & (length - 1):
         raise ValueError("length must be a power of two")

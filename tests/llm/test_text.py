@@ -99,13 +99,15 @@ def _check_packing(out, ids, length):
 
 
 @pytest.mark.parametrize("length", [64, 2048])
-def test_packing(docs, rows, empty, length):
+def test_packing(spark, docs, rows, empty, length):
     from tokenizers import Tokenizer
 
     path = P.path("word_bpe_49k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     ids = {i: t.encode(x or "", add_special_tokens=False).ids + [1] for i, x in rows}
+    docs = docs.unionByName(spark.createDataFrame([(900, "a <|endoftext|> b <|startoftext|>")], "doc_id long, text string"), allowMissingColumns=True)
+    ids[900] = t.encode("a <|endoftext|> b <|startoftext|>", add_special_tokens=False).ids + [1]
+    assert 49407 in ids[900]
     out = packing.pack(docs, path, length=length, open_windows=4, merge_tasks=2, with_ids=True).collect()
     _check_packing(out, ids, length)
     assert all(len(r.ids) == 4 * r.length for r in out)
@@ -113,12 +115,14 @@ def test_packing(docs, rows, empty, length):
 
 
 def test_words_are_encoded_as_the_tokenizer_does():
-    t = packing.WordTokenizer(P.path("word_bpe_49k.json"))
+    from tokenizers import Tokenizer
+
+    t, other = packing.WordTokenizer(P.path("word_bpe_49k.json")), Tokenizer.from_file(P.path("word_bpe_49k.json"))
     rng = random.Random(1)
-    some = ["a", "B", " ", "\n", "é", "É", "İ", "Σ", "ß", "́", "日", "!", "1", "23", "'s", "n't", "😀", "\xa0", "\x1c", ".,", "...", "%%%", "<|endoftext|>", "word", "ǅ", "\x00", "idiot."]
+    some = ["a", "B", " ", "\n", "é", "É", "İ", "Σ", "ß", "́", "日", "!", "1", "23", "'s", "n't", "😀", "\xa0", "\x1c", ".,", "...", "%%%", "<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endof", "text|>", "word", "ǅ", "\x00", "idiot."]
     for _ in range(3000):
         s = "".join(rng.choice(some) for _ in range(rng.randint(0, 12)))
-        assert t.encode([s])[0] == t._plain([s])[0], repr(s)
+        assert np.frombuffer(t.encode([s])[0], "<u4").tolist() == other.encode(s, add_special_tokens=False).ids, repr(s)
     words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyzéèßñü") for _ in range(rng.randint(1, 25))) for _ in range(5000)]
     assert t.pieces.encode(words) == t._plain(words)
 
