@@ -19,11 +19,14 @@ _staged: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or where that is unset (tests on one machine) a temporary one."""
+    """The folder that all executors share: spark.checkpoint.dir. Where that is unset, a temporary folder on a local master; on a cluster an error."""
     ready(spark)
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _local_root:
         keep = tempfile.TemporaryDirectory(prefix="lumentrace-")
         atexit.register(keep.cleanup)
@@ -31,23 +34,37 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root[0]
 
 
+def work_folder(spark: SparkSession) -> str:
+    """A new folder for intermediate tables, among those of this application."""
+    return f"{shared_root(spark)}/lumentrace/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, scope: str = "") -> DataFrame:
     """df, computed once, written to the shared folder and read from there: a lost executor costs nothing, and no later plan computes it again.
 
-    scope names a group of tables that release() deletes together."""
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/lumentrace/{uuid.uuid4().hex}"
+    scope names a group of tables that release() deletes together; what is left of an application is in one folder of its id."""
+    path = work_folder(df.sparkSession)
     df.write.option("compression", "zstd").parquet(path)
     _staged.setdefault(scope, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(conf).delete(p, True)
 
 
 def release(spark: SparkSession, scope: str) -> None:
     """Deletes the staged tables of a scope, whose results must have been written by now."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in _staged.pop(scope, []):
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
+        delete_folder(spark, path)
+
+
+def release_all(spark: SparkSession) -> None:
+    """Deletes all staged tables of this application; results that were not written or collected cannot be read any more."""
+    for scope in list(_staged):
+        release(spark, scope)
 
 
 def fresh(df: DataFrame, name: str) -> str:

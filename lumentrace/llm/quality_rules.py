@@ -105,12 +105,16 @@ def _judged(plain: DataFrame, min_words: int, most_repeat_percent: int, min_line
 
 def judge(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_words: int = 20,
-    most_repeat_percent: int = 30, min_line_docs: int = 50, line_share: float = 0.02, most_boilerplate: float = 0.7, scope: str = "quality_rules",
+    most_repeat_percent: int = 30, min_line_docs: int = 5, line_share: float = 0.02, most_boilerplate: float = 0.7, scope: str = "quality_rules",
 ) -> DataFrame:
     """A row for each row of docs: the id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, boilerplate_share (of the characters of its distinct lines) and kept.
 
+    A line is boilerplate on a host where more than min_line_docs and more than line_share of its distinct documents hold it; that
+    is the same rule for small and large hosts, the number only keeps what a few documents of a tiny host share.
+
     Null and empty texts fail the base rules. A null host is a host. Rows with a null id count as one id below all others; rows
-    that share an id and a text count once. An empty table gives an empty one. Extra columns are ignored.
+    that share an id and a text count once. Texts of any length are judged whole. Of holders with the smallest id all keep the
+    line. An empty table gives an empty one. Extra columns are ignored.
     """
     found = _judged(_plain(docs, id_col, text_col, host_col), min_words, most_repeat_percent, min_line_docs, line_share, most_boilerplate, scope)
     return found.select(F.col("doc").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "boilerplate_share", "kept")
@@ -118,7 +122,7 @@ def judge(
 
 def clean(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", *, min_words: int = 20,
-    most_repeat_percent: int = 30, min_line_docs: int = 50, line_share: float = 0.02, most_boilerplate: float = 0.7, scope: str = "quality_rules",
+    most_repeat_percent: int = 30, min_line_docs: int = 5, line_share: float = 0.02, most_boilerplate: float = 0.7, scope: str = "quality_rules",
 ) -> DataFrame:
     """The rows of docs that judge keeps, with all their columns and clean_text: the text without lines above the limit, which stay with their first holder."""
     found = _judged(_plain(docs, id_col, text_col, host_col), min_words, most_repeat_percent, min_line_docs, line_share, most_boilerplate, scope)

@@ -70,16 +70,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-# 8-word windows as lists; a line above its host's limit stays with the smallest id
+# 8-word windows as lists; a line that more than 5 documents and 2 % of its host hold stays with the smallest id
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source, text, coalesce(text, '') AS t,
-    list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	
-
-]+'), lambda w: w <> '') AS w,
-    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ 	
-
-]')) AS l
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
   FROM documents),
 win AS (SELECT doc_id, i, w[i:i + 7] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
 rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
@@ -91,14 +87,12 @@ ln AS (
   FROM (SELECT doc_id, source, text, unnest(l) AS x FROM d)),
 held AS (SELECT host, x, count(DISTINCT text) AS n, min(doc_id) AS first FROM ln GROUP BY host, x),
 size AS (SELECT coalesce(source, '') AS host, count(DISTINCT text) AS docs FROM documents GROUP BY 1),
-bad AS (SELECT host, x, first FROM held JOIN size USING (host) WHERE n > 50 AND n > docs * 0.02),
+bad AS (SELECT host, x, first FROM held JOIN size USING (host) WHERE n > 5 AND n > docs * 0.02),
 gone AS (
   SELECT ln.doc_id, sum(length(x)) AS total, coalesce(sum(length(x)) FILTER (bad.first IS NOT NULL AND bad.first <> ln.doc_id), 0) AS gone
   FROM ln LEFT JOIN bad USING (host, x) GROUP BY ln.doc_id),
 m AS (
-  SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[ 	
-
-]', '', 'g')) AS word_chars,
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
     length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
     len(l) - len(list_distinct(l)) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
     coalesce(gone / nullif(total, 0), 0) AS share

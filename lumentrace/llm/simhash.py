@@ -1,10 +1,12 @@
 """SimHash near-duplicates through an inverted index of byte positions with count filtering.
 
 Two fingerprints of 64 bits that differ in at most d bits differ in at most d of the 8 bytes, so they share at least 8 - d
-bytes at the same positions. The index has one posting list for each combination of three byte positions and their values. The
-positions are taken from two halves of four bytes; as one half holds at least three of any five shared positions, eight lists a
-fingerprint lose no pair of up to three differing bits. Within a list, the shared bytes of a pair are tallied, pairs with
-fewer than the guaranteed 8 - d are discarded, and the rest is verified bit by bit. Each list gives stars of its own connected
+bytes at the same positions, five of eight for three bits. A posting list for each position and byte alone would hold a 256th of all
+fingerprints. The lists are therefore those of three positions at once: the places where three of the guaranteed five matches
+fall, taken from two halves of four bytes, one of which holds at least three of any five. Eight lists a fingerprint lose no pair.
+The tally of a pair starts there: its shared positional bytes are counted over all eight positions, pairs with fewer than the
+guaranteed 8 - d are discarded, and the rest is verified bit by bit. Lists of more than MOST_IN_LIST fingerprints are cut
+by two more of the five other positions, as the guaranteed five include them; that loses no pair either. Each list gives stars of its own connected
 groups rather than all pairs.
 """
 
@@ -26,6 +28,8 @@ from lumentrace.llm.components import components
 #: Byte positions of the posting lists.
 BLOCKS = [c for half in ((0, 1, 2, 3), (4, 5, 6, 7)) for c in combinations(half, 3)]
 MOST_BITS = 3
+#: Longer lists are cut by two further positions.
+MOST_IN_LIST = 1 << 14
 
 
 def shingle_hashes(text: bytes | None, width: int) -> np.ndarray:
@@ -136,13 +140,22 @@ def _links(most_bits: int):
     return run
 
 
-def links(fps: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
+def links(fps: DataFrame, most_bits: int = MOST_BITS, scope: str = "simhash") -> DataFrame:
     """(a, b): links that connect the distinct fingerprints (fp long) just as all pairs of at most most_bits differing bits do."""
     if not 0 <= most_bits <= MOST_BITS:
         raise ValueError(f"the posting lists are complete up to {MOST_BITS} bits")
     byte = lambda i: F.shiftrightunsigned("fp", 8 * i).bitwiseAND(F.lit(255))
     key = [F.lit(n << 24) + byte(p) * 65536 + byte(q) * 256 + byte(r) for n, (p, q, r) in enumerate(BLOCKS)]
     postings = fps.select(F.explode(F.array(*key)).alias("list"), "fp")
+    # at most 8 / MOST_IN_LIST of all fingerprints, in numbers
+    long = staged(postings.groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > MOST_IN_LIST).select(F.col("list"), F.lit(True).alias("long")), scope)
+    parts = None
+    for n, block in enumerate(BLOCKS):
+        cut = F.array(*(F.xxhash64("list", F.lit(256 * p + q), byte(p), byte(q)) for p, q in combinations([i for i in range(8) if i not in block], 2)))
+        of = F.shiftright("list", 24) == n
+        parts = F.when(of, cut) if parts is None else parts.when(of, cut)
+    at = F.explode(F.when(F.col("long"), parts).otherwise(F.array("list")))
+    postings = postings.join(long, "list", "left").select(at.alias("list"), "fp")
     parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return postings.repartition(parts, "list").sortWithinPartitions("list").mapInArrow(_links(most_bits), "a long, b long")
 
@@ -151,14 +164,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """A row for each row of docs: its id, fp (long, the 64 bits) and component_id, the smallest id of the group it is linked to.
 
     Null and empty texts have the fingerprint zero and link like any other. Rows that share an id are rows of their own with
-    that id. Rows with a null id take part; a group of nothing else has a null component_id. An empty table gives an empty one.
-    Extra columns are ignored.
+    that id. Rows with a null id take part; a group of nothing else has a null component_id. Texts of any length are read whole. A
+    bit that exactly half of the shingles have is 0. An empty table gives an empty one. Extra columns are ignored.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([docs.schema["id"], T.StructField("fp", T.LongType())])
     fps = staged(docs.mapInArrow(_fingerprints(1, width), schema), scope)
     distinct = fps.groupBy("fp").agg(F.min("id").alias("rep"))
-    roots = components(links(distinct.select("fp"), most_bits), scope)
+    roots = components(links(distinct.select("fp"), most_bits, scope), scope)
     tied = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = tied.groupBy("root").agg(F.min("rep").alias("component_id"))
     of = tied.select("fp", "root").join(least, "root").select("fp", "component_id")

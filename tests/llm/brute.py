@@ -56,6 +56,30 @@ def simhash_groups(docs, most=3):
     return [(f, min(g) if g else None) for f, g in zip(fps, ids)]
 
 
+def near_groups(docs, width=5, share=0.8):
+    """{id: smallest id of the group} of links of exact Jaccard similarity, for [(id, text)]."""
+    sets = []
+    for _, t in docs:
+        w = lower((t or "").encode()).split()
+        sets.append(frozenset(b" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset())
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if sets[i] == sets[j] or both >= share * (len(sets[i]) + len(sets[j]) - both):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        least[find(i)] = min(d, least.get(find(i), d))
+    return {d: least[find(i)] for i, (d, _) in enumerate(docs)}
+
+
 def dedup_substrings(docs, length=100, whole_chars=False):
     """{id: (n_bytes, n_removed, n_spans, kept bytes)}; ids must differ."""
     seen, out = set(), {}
@@ -91,6 +115,29 @@ def base_metrics(text):
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered)
 
 
+def without_boilerplate(docs, min_docs=5, share=0.02):
+    """{id: (share of its characters that is boilerplate, text without it)} for [(id, text, host)]; ids must differ."""
+    norm = lambda x: x.strip(" \t\n\x0b\x0c\r").lower()
+    held, size = {}, {}
+    for i, t, h in docs:
+        size.setdefault(h, set()).add(t)
+        for x in (t or "").split("\n"):
+            if norm(x):
+                held.setdefault((h, norm(x)), []).append((i, t))
+    bad = {}
+    for (h, x), at in held.items():
+        n = len({t for _, t in at})
+        if n > min_docs and n > share * len(size[h]):
+            bad[h, x] = min(i for i, _ in at)
+    out = {}
+    for i, t, h in docs:
+        own = {norm(x) for x in (t or "").split("\n")} - {""}
+        gone = {x for x in own if bad.get((h, x), i) != i}
+        kept = [x for x in (t or "").split("\n") if norm(x) not in gone]
+        out[i] = (sum(map(len, gone)) / max(1, sum(map(len, own))), "\n".join(kept))
+    return out
+
+
 def top_k(vectors, queries, k=10):
     ok = {i: [int(np.floor(1024 * float(x))) for x in v] for i, v in vectors if v is not None and all(x is not None and np.isfinite(x) for x in v)}
     out = {}

@@ -11,13 +11,21 @@ from lumentrace.llm import line_dedup, simhash, suffix_dedup
 from lumentrace.llm.components import components
 
 
-@pytest.mark.parametrize("bits", [{}, {"once_bits": 6, "twice_bits": 6, "segments": 2}])
+@pytest.mark.parametrize("bits", [{}, {"once_bits": 6, "twice_bits": 6, "segments": 2}, {"most_filter_bytes": 0}, {"most_filter_bytes": 0, "once_bits": 6, "twice_bits": 6, "segments": 2}])
 def test_lines(docs, rows, bits):
     got = {r.doc_id: (r.n_lines, r.n_dropped, r.text.encode()) for r in line_dedup.dedup_lines(docs, **bits).collect()}
     want = {i: x for (i, _), x in zip(rows, brute.dedup_lines(rows))}
     assert got == want and any(x[1] for x in want.values())
 
 
+def test_segments_grow_with_the_texts(spark):
+    d = spark.createDataFrame([("x" * 2100,)], "text string")
+    assert line_dedup.segments_for(d, F.col("text"), 20) == 64
+    # 21 bytes a key at least: a thousand million bytes need 91 segments
+    many = spark.range(1000, numPartitions=4).select(F.lit("x").alias("text"))
+    assert line_dedup.segments_for(many, F.repeat("text", F.lit(1_000_000)), 20) == 128
+
+
 def test_lines_keep_columns_and_stand_empty_tables(docs, empty):
     out = line_dedup.dedup_lines(docs)
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars", "kept", "KEY", "id", "doc", "n_lines", "n_dropped"]
@@ -54,9 +62,11 @@ def test_near_copies_edges(spark, empty):
     assert sorted(str(r.doc_id) for r in simhash.keep_one(d).collect()) == ["3", "7", "7"]
 
 
-@pytest.mark.parametrize("spread", [1, 40])
-def test_links_reach_all_pairs(spark, spread):
-    """Fingerprints in clusters: the index must find every group that all pairs give."""
+@pytest.mark.parametrize(("spread", "most"), [(1, None), (40, None), (40, 20)])
+def test_links_reach_all_pairs(spark, spread, most, monkeypatch):
+    """Fingerprints in clusters: the index must find every group that all pairs give, also where long lists are cut."""
+    if most:
+        monkeypatch.setattr(simhash, "MOST_IN_LIST", most)
     rng = random.Random(spread)
     fps = set()
     for _ in range(60):
@@ -82,7 +92,7 @@ def test_links_reach_all_pairs(spark, spread):
 
 
 def test_components_of_chains_and_hubs(spark):
-    edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(2000, 2300)] + [(5, 5), (None, 3)]
+    edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(2000, 2300)] + [(5, 5), (None, 3)]  # the hub is one
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long"), "test").collect()}
     assert len(got) == 602 and all(r == (0 if n <= 300 else 1000) for n, r in got.items())
     assert components(spark.createDataFrame([], "a long, b long"), "test").count() == 0

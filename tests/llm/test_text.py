@@ -237,3 +237,39 @@ def test_top_k_edges(spark):
     assert topk.top_k(few.where("vec_id < 0")).count() == 0
     huge = spark.createDataFrame([(0, [2.0e6, 1.0]), (1, [1.5e6, 3.0])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in topk.top_k(huge).collect()] == [(0, 1, 1, int(2.0e6 * 1024) * int(1.5e6 * 1024) + 3 * m)]
+
+
+def test_top_k_takes_every_finite_component(spark):
+    """Components of 2^43 and more, whose products go beyond doubles and longs."""
+    rng = random.Random(8)
+    size = lambda: rng.choice([0.0, 0.001, -2.0, 3.7, 1e5, -1e5])
+    v = [(i, [size() for _ in range(3)]) for i in range(400)]
+    v[0] = (0, [0.001, 2.0, 0.0])
+    v[5], v[7], v[9] = (5, [1e13, 1.0, 0.0]), (7, [-1e13, 5.0, 1.0]), (9, [0.0, 0.0, 1.7e308])
+    v[100], v[200], v[300] = (100, [0.0, 0.001, 0.0]), (200, [0.002, 0.0, 0.0]), (300, [0.0, 3.7, 0.0])
+    d = spark.createDataFrame(v, "vec_id long, embedding array<double>").repartition(5)
+    got = {}
+    for r in topk.top_k(d, annulus_rows=16, group_annuli=2, query_rows=2, pivots=5).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    want = brute.top_k(v, [0, 100, 200, 300])
+    assert got == want and want[0][0][0] == 5
+
+
+def test_top_k_says_when_a_score_fits_no_long(spark):
+    d = spark.createDataFrame([(0, [1e13]), (1, [1e13]), (2, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(d).collect()
+    # below all longs, and among the best for want of others
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(spark.createDataFrame([(0, [1e13]), (1, [-1e13])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_top_k_of_busy_groups_and_rounds(spark, monkeypatch):
+    monkeypatch.setattr(topk, "MOST_QUERIES", 3)
+    rng = np.random.default_rng(5)
+    v = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(600)]
+    d = spark.createDataFrame(v, "vec_id long, embedding array<double>").repartition(4)
+    got = {}
+    for r in topk.top_k(d, queries="vec_id % 10 = 0", annulus_rows=8, group_annuli=1, query_rows=4, pivots=6).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == brute.top_k(v, range(0, 600, 10))
