@@ -1,6 +1,8 @@
 """Plain versions of the corpus operators, for small inputs."""
 
 import hashlib
+import math
+from fractions import Fraction
 
 import numpy as np
 import xxhash
@@ -139,7 +141,7 @@ def without_boilerplate(docs, min_docs=5, share=0.02):
 
 
 def top_k(vectors, queries, k=10):
-    ok = {i: [int(np.floor(1024 * float(x))) for x in v] for i, v in vectors if v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    ok = {i: [math.floor(1024 * Fraction(float(x))) for x in v] for i, v in vectors if v is not None and all(x is not None and np.isfinite(x) for x in v)}
     out = {}
     for q in queries:
         if q in ok:
