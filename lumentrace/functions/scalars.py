@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,16 +70,20 @@ def output_class(text: Column, tokens: Column, few: int = 25) -> Column:
     return F.when(t == "", "empty").when((tokens <= few) & ~t.rlike(r"^(\{|```)"), "safety_rejection").otherwise("ok")
 
 
-# Error classes in the order in which they are tried.
+# Error classes in the order in which they are tried, each with the words that show it.
 ERROR_CLASSES = (
-    ("payload", ("payload", "request entity too large", "413")),
-    ("quota", ("429", "resource_exhausted", "quota", "rate limit")),
-    ("auth", ("401", "403", "permission", "unauthenticated")),
-    ("timeout", ("timeout", "timed out", "deadline")),
-    ("server", ("500", "502", "503", "504", "unavailable", "internal")),
-    ("network", ("connection", "reset", "broken pipe", "dns")),
+    ("quota", ("429", "resource_exhausted", "quota", "rate limit", "rate_limit", "billing account", "billing is disabled", "insufficient credits")),
+    ("payload", ("413", "payload too large", "request too large", "request entity too large", "content size", "exceeds the maximum size", "exceeded the maximum size")),
+    ("model", ("404", "not_found", "model not found", "model is not found", "unsupported model", "unknown model")),
+    (
+        "auth",
+        ("default credentials were not found", "could not automatically determine credentials", "unauthenticated", "permission_denied", "permission denied", "api key not valid", "invalid api key", "api key expired", "401", "403"),
+    ),
+    ("server", ("500", "502", "503", "504", "internal server error", "unavailable", "service unavailable", "empty stream")),
+    ("network", ("timeout", "timed out", "connection error", "connection reset", "connection aborted", "temporary failure", "name resolution")),
 )
-RETRYABLE = ("quota", "timeout", "server", "network")
+# Classes that are tried again, and those that end a clip.
+RETRYABLE, FINAL = ("quota", "server", "network"), ("auth", "model")
 
 
 def error_class(message: Column) -> Column:
@@ -92,42 +98,115 @@ def error_class(message: Column) -> Column:
     return out.otherwise("other")
 
 
-# What is redacted, in this order.
+def failure_class(code: Column, kind: Column, message: Column) -> Column:
+    """The class of a provider's failure by its HTTP code, the name of its exception and, for bills alone, its message; config for anything unknown."""
+    m, k = F.lower(F.coalesce(message, F.lit(""))), F.lower(F.coalesce(kind, F.lit("")))
+    names = lambda *words: F.greatest(F.lit(False), *(k.contains(w) for w in words))
+    c = F.coalesce(code, F.lit(-1))
+    return classed(
+        [
+            (m.contains("billing") | m.contains("payment required") | m.contains("payment_required"), "billing"),
+            (c.isin(401, 403) | names("auth", "credential", "refresherror"), "auth"),
+            (c == 404, "model"),
+            (c == 429, "quota"),
+            (c.between(500, 599), "server"),
+            ((c == 408) | names("timeout", "connecterror", "connectionerror", "network", "transport", "protocolerror"), "network"),
+        ],
+        "config",
+    )
+
+
+# What is redacted, in this order; values end at white space, a comma, a semicolon or a quote.
+WHITE = r"\s\x0B\x1C-\x1F\x85\p{Z}"
 SECRETS = (
-    (r"(?i)bearer\s+[A-Za-z0-9._-]+", "Bearer [redacted]"),
-    (r"(?i)\b(key|token|secret)\s*[=:]\s*[\"']?[A-Za-z0-9_-]{8,}[\"']?", "$1=[redacted]"),
-    (r"AIza[A-Za-z0-9_-]{10,}", "[redacted]"),
-    (r"hf_[A-Za-z0-9]{10,}", "[redacted]"),
+    (rf"(?iu)(authorization[{WHITE}]*[:=][{WHITE}]*bearer[{WHITE}]+)[^{WHITE},;\"']+", "$1[REDACTED]"),
+    (rf"(?iu)((?:api[_-]?key|key|token)[{WHITE}]*[=:][{WHITE}]*)[^{WHITE},;\"']+", "$1[REDACTED]"),
+    (r"AIza[0-9A-Za-z_-]{10,}", "[REDACTED]"),
+    (r"hf_[0-9A-Za-z_-]{10,}", "[REDACTED]"),
 )
+# Variables whose values are secrets, in the order in which they are replaced.
+SECRET_VARIABLES = ("GOOGLE_API_KEY", "GEMINI_API_KEY", "HF_TOKEN", "HUGGING_FACE_HUB_TOKEN")
+
 
+def secret_values(environ: dict[str, str]) -> tuple[str, ...]:
+    """The values to redact, of four characters or more."""
+    return tuple(v for v in (environ.get(n, "") for n in SECRET_VARIABLES) if len(v) >= 4)
 
-def redact(text: Column, limit: int | None = None) -> Column:
-    """Text without secrets and with single spaces, cut to limit characters."""
-    out = text
+
+def redact(text: Column, values: tuple[str, ...] = (), limit: int | None = None) -> Column:
+    """Text without secrets and with single spaces; cut to limit characters where one is given. values: other secrets, as of secret_values(os.environ). A null text is empty."""
+    out = F.coalesce(text, F.lit(""))
+    for v in values:
+        out = F.replace(out, F.lit(v), F.lit("[REDACTED]")) if len(v) >= 4 else out
     for pattern, instead in SECRETS:
         out = F.regexp_replace(out, pattern, instead)
-    out = F.trim(F.regexp_replace(out, r"[ \t\r\n]+", " "))
-    return F.substring(out, 1, limit) if limit else out
+    out = F.trim(F.regexp_replace(out, rf"[{WHITE}]+", " "))
+    return out if limit is None else F.substring(out, 1, limit)
 
 
-# The reference's patterns, values up to white space or a quote; bare bearer tokens and "secret" besides.
-SECRETS_WHOLE = (
-    (r"(?i)(bearer\s+)[^\s,;\"']+", "$1[redacted]"),
-    (r"(?i)((?:api[_-]?key|key|token|secret)\s*[=:]\s*[\"']?)[^\s,;\"']+", "$1[redacted]"),
-    (r"AIza[0-9A-Za-z_-]{10,}", "[redacted]"),
-    (r"hf_[0-9A-Za-z_-]{10,}", "[redacted]"),
-)
+# Patterns of the privacy audit, and placeholders that anonymised texts hold. Names of schools are the caller's.
+PII = {
+    "school_generic": r"(?i)\b[A-Z][a-z]+ (?:University|College)\b",
+    "email_plain": r"[A-Za-z0-9._%+-]+@(?!example\.com)[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
+    "phone_plain": r"\b(?:\+?86)?1[3-9]\d{9}\b|\b\d{4}[- ]\d{4}\b",
+}
+PLACEHOLDERS = r"University X|School X|User [A-Z]\b|email_x@|XXX-XXXX-XXXX|Address X"
 
 
-def redact_whole(text: Column, values: tuple[str, ...] = (), limit: int | None = None) -> Column:
-    """Text without secrets and with single spaces. values: those of secret environment variables; under four characters they stay, as in the reference."""
-    out = text
-    for v in values:
-        out = F.replace(out, F.lit(v), F.lit("[redacted]")) if len(v) >= 4 else out
-    for pattern, instead in SECRETS_WHOLE:
-        out = F.regexp_replace(out, pattern, instead)
-    out = F.trim(F.regexp_replace(out, r"[ \t\r\n]+", " "))
-    return out if limit is None else F.substring(out, 1, limit)
+def pii_counts(text: Column, schools: tuple[str, ...] = ()) -> dict[str, Column]:
+    """Matches of each pattern in a text, total_hits of all of them, and placeholders, which the total leaves out."""
+    named = "|".join(f"\\b{re.escape(s)}\\b" for s in schools)
+    patterns = ({"school_plain": f"(?i){named}"} if named else {}) | PII
+    count = lambda p: F.coalesce(F.regexp_count(text, F.lit(p)), F.lit(0)).cast("long")
+    out = {k: count(p) for k, p in patterns.items()}
+    total = F.lit(0).cast("long")
+    for c in out.values():
+        total = total + c
+    return out | {"anonymized_placeholders": count(PLACEHOLDERS), "total_hits": total}
+
+
+# Beginnings of screen-text lines that say when and where they were read.
+OCR_MARKS = ("capture_time", "capture_epoch", "frame_index")
+
+
+def clean_ocr(text: Column) -> Column:
+    """Screen text without the lines that only say when it was read, and without white space at its ends."""
+    keep = F.filter(F.split(text, "\n"), lambda x: ~F.greatest(F.lit(False), *(x.startswith(m) for m in OCR_MARKS)))
+    return F.regexp_replace(F.array_join(keep, "\n"), rf"^[{WHITE}]+|[{WHITE}]+\z", "")
+
+
+CLIP_ID = r"^DAY(\d+)_(.+)_(\d{8})(?:_p(\d+))?$"
+
+
+def clip_parts(clip_id: Column) -> Column:
+    """day, participant, hh, mm, ss, cs and piece (0 for whole clips) of an id as DAY1_A1_JAKE_11094208_p2; null for anything else."""
+    part = lambda i: F.regexp_extract(clip_id, CLIP_ID, i)
+    at = lambda i: F.substring(part(3), i, 2).cast("int")
+    piece = F.when(part(4) == "", 0).otherwise(part(4).try_cast("int"))
+    fields = F.struct(part(1).try_cast("int").alias("day"), part(2).alias("participant"), at(1).alias("hh"), at(3).alias("mm"), at(5).alias("ss"), at(7).alias("cs"), piece.alias("piece"))
+    return F.when(clip_id.rlike(CLIP_ID), fields)
+
+
+def safe_path(path: Column) -> Column:
+    """Whether a result's path is one that the mirror may write."""
+    return F.coalesce(path.rlike(r"^(audio|annotation|review)/[A-Za-z0-9_-]+\.json\z"), F.lit(False))
+
+
+def utc_text(ts: Column) -> Column:
+    """A time as 2024-01-31T00:00:00Z, from a text with Z, an offset of zero, or none; null for other texts."""
+    shape = r"^(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(\.\d+)?(Z|\+00:00)?$"
+    day, clock = F.regexp_extract(ts, shape, 1), F.regexp_extract(ts, shape, 2)
+    ok = ts.rlike(shape) & F.try_to_timestamp(F.concat_ws(" ", day, clock), F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()
+    return F.when(ok, F.concat(day, F.lit("T"), clock, F.lit("Z")))
+
+
+FRAME = r"(?i)(\d{4}-\d{2}-\d{2})_(\d{2})-(\d{2})-(\d{2})_[A-Z]{2,4}__frame_(\d+)\.(?:jpg|jpeg|png|txt)$"
+
+
+def frame_parts(name: Column) -> Column:
+    """day, clock and index of a frame's file name; null for other names."""
+    part = lambda i: F.regexp_extract(name, FRAME, i)
+    return F.when(name.rlike(FRAME), F.struct(part(1).alias("day"), F.concat_ws(":", part(2), part(3), part(4)).alias("clock"), part(5).try_cast("long").alias("index")))
 
 
 def cost(tokens_in: Column, tokens_out: Column, deferred: Column, digits: int = 4) -> Column:

@@ -58,3 +58,10 @@ def regrouped(df: DataFrame, key: str, sub: str, value: str, order: str) -> Data
     """(key, values): a map from sub to its last value."""
     last = df.groupBy(key, sub).agg(F.max_by(value, order).alias("_v"))
     return last.groupBy(key).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(sub, "_v")))).alias("values"))
+
+
+def smallest(df: DataFrame, by: list[str], value: str, k: int) -> DataFrame:
+    """The rows of the k smallest values of each group; each task passes on k a group at most."""
+    from pyspark.sql import Window
+
+    return df.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(value))).where(F.col("_k") <= k).drop("_k")

@@ -36,6 +36,149 @@ def parsed(results: DataFrame, stage: str) -> DataFrame:
     return results.withColumn("doc", F.from_json("response", response_schema(stage)))
 
 
+#: A response row as a provider's batch returns it.
+RESPONSE_ROW = """status STRING, response STRUCT<candidates ARRAY<STRUCT<finishReason STRING, content STRUCT<parts ARRAY<STRUCT<text STRING, thought BOOLEAN>>>>>,
+  usageMetadata STRUCT<promptTokenCount LONG, candidatesTokenCount LONG, thoughtsTokenCount LONG, cachedContentTokenCount LONG, totalTokenCount LONG>>"""
+# The names of the usage figures, and those of the provider.
+USAGE = {"input_tokens": "promptTokenCount", "output_tokens": "candidatesTokenCount", "thought_tokens": "thoughtsTokenCount", "cached_tokens": "cachedContentTokenCount", "total_tokens": "totalTokenCount"}
+
+
+def read_responses(rows: DataFrame, row: str) -> DataFrame:
+    """rows with code (null, ROW_ERROR or INVALID_OUTPUT), data (the JSON object's text) and usage of a JSON response row.
+
+    A status other than none, empty or code 0 is an error of the row; the first candidate must have stopped by itself, and its parts,
+    thoughts left out, must make up one JSON object."""
+    r = F.from_json(row, RESPONSE_ROW)
+    x = rows.withColumn("_r", r)
+    status = F.col("_r.status")
+    fine = status.isNull() | status.isin("", "{}") | (F.get_json_object(status, "$.code") == "0")
+    first = F.get(F.col("_r.response.candidates"), F.lit(0))
+    spoken = F.filter(first["content"]["parts"], lambda p: p["text"].isNotNull() & ~F.coalesce(p["thought"], F.lit(False)))
+    x = x.withColumn("_t", F.array_join(F.transform(spoken, lambda p: p["text"]), "")).withColumn("_d", F.when(first["finishReason"] == "STOP", plain_object(F.col("_t"))))
+    code = F.when(~F.coalesce(fine, F.lit(False)), "ROW_ERROR").when(F.col("_d").isNull(), "INVALID_OUTPUT")
+    usage = F.struct(*(F.col(f"_r.response.usageMetadata.{of}").alias(name) for name, of in USAGE.items()))
+    return x.withColumn("code", code).withColumn("data", F.when(F.col("code").isNull(), F.col("_d"))).withColumn("usage", F.when(F.col("code").isNull(), usage)).drop("_r", "_t", "_d")
+
+
+def plain_object(text):
+    """text where it is one JSON object and nothing else, null otherwise."""
+    bare = F.trim(text)
+    return F.when(bare.startswith("{") & bare.endswith("}") & F.try_parse_json(bare).isNotNull(), bare)
+
+
+def matches_mode(best_of_n: int, thinking: str, run_infer: bool = True):
+    """Whether an earlier final record (best_of_n, thinking, critic, inference_status) stands for a clip in this mode: one candidate takes any record, several need the same mode, a critic, and the inference that the mode asks for."""
+    if best_of_n <= 1:
+        return F.lit(True)
+    same = (F.col("best_of_n") == best_of_n) & (F.col("thinking") == thinking) & F.col("critic").isNotNull()
+    return F.coalesce(same & (F.col("inference_status") == ("ok" if run_infer else "skipped")), F.lit(False))
+
+
+def to_do(clips: DataFrame, records: DataFrame, seq: str, best_of_n: int, thinking: str, run_infer: bool = True) -> DataFrame:
+    """Clips whose last record (by seq) is none, or does not match the mode."""
+    rest = [c for c in records.columns if c not in ("clip_id", seq)]
+    last = records.groupBy("clip_id").agg(F.max_by(F.struct(*rest), seq).alias("r")).select("clip_id", "r.*")
+    return clips.join(last.where(matches_mode(best_of_n, thinking, run_infer)), "clip_id", "left_anti")
+
+
+def compatible(recording: str, model: str, pipeline: str, service_tier: str | None = None):
+    """Whether a saved clip (of_clip, clip_id, recording, model, pipeline, service_tier, ok, parsed) may stand for its clip: eight conditions, all of which hold."""
+    same = (F.col("clip_id") == F.col("of_clip")) & (F.col("recording") == recording) & (F.col("model") == model) & (F.col("pipeline") == pipeline)
+    tier = F.lit(True) if service_tier is None else F.col("service_tier") == service_tier
+    return F.coalesce(same & tier & F.col("ok") & F.coalesce(F.schema_of_variant(F.try_parse_json("parsed")).startswith("OBJECT"), F.lit(False)), F.lit(False))
+
+
+def collected(eligible: DataFrame, scheduled: DataFrame, responses: DataFrame, stage: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sound, failures, unmatched) of a stage's batch: eligible (clip_id, ...), scheduled (clip_id), responses (clip_id, row).
+
+    Responses are matched by clip, in any order. Each eligible clip has one outcome: UNSCHEDULED_ROW, DUPLICATE_RESPONSE, MISSING_RESPONSE,
+    ROW_ERROR, INVALID_OUTPUT, or its data and usage. Responses nobody asked for are one failure with their count. Responses are
+    reduced to one row a clip before they are joined, so that no clip with very many of them gathers in a task."""
+    own = responses.groupBy("clip_id").agg(F.count("*").alias("_n"), F.min("row").alias("_row"))
+    x = eligible.join(scheduled.select("clip_id", F.lit(True).alias("_s")), "clip_id", "left").join(own, "clip_id", "left")
+    x = read_responses(x, "_row")
+    early = F.when(F.col("_s").isNull(), "UNSCHEDULED_ROW").when(F.col("_n") > 1, "DUPLICATE_RESPONSE").when(F.col("_n").isNull(), "MISSING_RESPONSE")
+    x = x.withColumn("code", F.coalesce(early, F.col("code"))).drop("_s", "_n", "_row")
+    failures = x.where("code IS NOT NULL").select("clip_id", F.lit(stage).alias("stage"), "code")
+    unknown = responses.join(scheduled.select("clip_id"), "clip_id", "left_anti").agg(F.count("*").alias("n")).where("n > 0").select(F.lit(stage).alias("stage"), F.lit("UNMATCHED_RESPONSE").alias("code"), "n")
+    return x.where("code IS NULL").drop("code"), failures, unknown
+
+
+def arbitration(votes: DataFrame) -> DataFrame:
+    """(clip_id, arbitrate): whether any object that is interacted with lacks the votes of all runs. votes: clip_id, kind, interacted, votes as n/k."""
+    short = F.split("votes", "/")
+    open_ = F.col("interacted") & (F.col("kind") == "object") & ~F.coalesce(F.get(short, F.lit(0)) == F.get(short, F.lit(1)), F.lit(False))
+    return votes.groupBy("clip_id").agg(F.bool_or(F.coalesce(open_, F.lit(False))).alias("arbitrate"))
+
+
+def critic_choice(candidates: DataFrame, verdicts: DataFrame, refined: DataFrame, second: DataFrame) -> DataFrame:
+    """(clip_id, source, call_index, critic) of a flow of several candidates.
+
+    candidates (clip_id, call_index): the sound ones. verdicts (clip_id, best_index, needs_regeneration): the critic's, best_index a
+    place among the candidates in the order of their index, brought into range. refined (clip_id, call_index): regenerated ones, used
+    where the verdict asks for them. second (clip_id, best_index): of the critic over the best and the refined ones; 0 is the best so far.
+    No candidate: no row. One: kept without a critic. No verdict: the first is kept."""
+    pool = candidates.groupBy("clip_id").agg(F.sort_array(F.collect_list("call_index")).alias("p"))
+    more = refined.groupBy("clip_id").agg(F.sort_array(F.collect_list("call_index")).alias("q"))
+    x = pool.join(verdicts, "clip_id", "left").join(more, "clip_id", "left").join(second.select("clip_id", F.col("best_index").alias("again")), "clip_id", "left")
+    n = F.size("p")
+    place = F.greatest(F.lit(0), F.least(F.col("best_index"), n - 1))
+    first = F.when((n == 1) | F.col("best_index").isNull(), F.get("p", F.lit(0))).otherwise(F.get("p", place))
+    to = F.when((n > 1) & F.col("needs_regeneration") & F.col("q").isNotNull(), F.greatest(F.lit(0), F.least(F.col("again"), F.size("q"))))
+    critic = F.when(n == 1, "single_valid").when(F.col("best_index").isNull(), "critic_failed").when(to.isNotNull(), "refined").otherwise("chosen")
+    return x.select("clip_id", F.when(to > 0, "refine").otherwise("generate").alias("source"), F.when(to > 0, F.get("q", to - 1)).otherwise(first).alias("call_index"), critic.alias("critic"))
+
+
+def two_pass(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(clip_id, segments, done) of two passes. first (clip_id, ok, n_crops, segments), second (clip_id, ok, revised): arrays of (time_range, text, detail).
+
+    A clip is done with a sound first pass and, where it has crops, a sound second one. Revised segments replace those of the same
+    time_range, white space aside, the last of several; without one the revised segment at the same place. Empty fields change nothing."""
+    x = first.alias("a").join(second.select("clip_id", F.col("ok").alias("_ok2"), "revised"), "clip_id", "left")
+    key = lambda s: F.regexp_replace(F.coalesce(s["time_range"], F.lit("")), r"\s", "")
+    put = lambda new, old: F.coalesce(F.nullif(new, F.lit("")), old)
+
+    def revise(s, i):
+        same = F.filter("revised", lambda r: (key(r) == key(s)) & (key(r) != ""))
+        r = F.coalesce(F.try_element_at(same, F.lit(-1)), F.get(F.col("revised"), i))
+        return F.struct(*(put(r[f], s[f]).alias(f) for f in ("time_range", "text", "detail")))
+
+    use = F.col("_ok2") & (F.size("revised") > 0)
+    segments = F.when(F.coalesce(use, F.lit(False)), F.transform("segments", revise)).otherwise(F.col("segments"))
+    done = F.col("ok") & ((F.col("n_crops") == 0) | F.coalesce("_ok2", F.lit(False)))
+    return x.select("clip_id", segments.alias("segments"), F.coalesce(done, F.lit(False)).alias("done"))
+
+
+# Fixed value: what ends screen texts that were cut, and where.
+OCR_LIMIT, OCR_CUT = 30_000, "\n... (OCR truncated)"
+
+
+def context_block(head, speech, transcript, screen_texts, use_transcript: bool, use_ocr: bool):
+    """Sections of a request's context, an empty line apart: head; speech where there is any, else the transcript if used; screen texts if used, cut at a limit; a note where neither is used. screen_texts: an array of texts."""
+    spoken = F.when(F.coalesce(speech, F.lit("")) != "", F.concat(F.lit("## Speech\n"), speech))
+    if use_transcript:
+        spoken = spoken.otherwise(F.concat(F.lit("## Audio transcript\n"), F.coalesce(transcript, F.lit(""))))
+    seen = F.array_join(screen_texts, "\n")
+    seen = F.when(F.coalesce(F.size(screen_texts), F.lit(0)) <= 0, "(no text detected)").when(F.length(seen) > OCR_LIMIT, F.concat(F.substring(seen, 1, OCR_LIMIT), F.lit(OCR_CUT))).otherwise(seen)
+    parts = [head, spoken]
+    if use_ocr:
+        parts.append(F.concat(F.lit("## Screen text\n"), seen))
+    if not use_transcript and not use_ocr:
+        parts.append(F.lit("## Frames only"))
+    return F.array_join(F.array_compact(F.array(*parts)), "\n\n")
+
+
+def request_text(marker: str, request_id, context):
+    """The first part of a request: the marker and id by which its response is known, and the context, a struct whose order of fields is kept."""
+    return F.concat(F.lit(marker), request_id, F.lit("\n"), F.to_json(context, {"ignoreNullFields": "false"}))
+
+
+def stage_prompt(base, note, regions, exocentric_note, max_regions, review, exocentric):
+    """The prompt of a stage: base and note, then where a review follows the regions' text with its number filled in, then the note for cameras on a stand."""
+    filled = F.concat(F.lit("\n"), F.replace(regions, F.lit("MAX_REVIEW_REGIONS"), max_regions.cast("string")))
+    return F.concat(base, note, F.when(review, filled).otherwise(""), F.when(exocentric, exocentric_note).otherwise(""))
+
+
 def first_success(attempts: DataFrame) -> DataFrame:
     """Of the attempts (clip_id, attempt, code, ...) of each clip the first sound one, or its first where none was, as with audio left out after failures."""
     from lumentrace.operators.windows import keep_best

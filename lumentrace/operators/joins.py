@@ -91,3 +91,24 @@ def contained(left: DataFrame, left_id: str, right: DataFrame, right_id: str, te
     a, b = side(left, left_id), side(right, right_id)
     both = held(a, b).select(F.col("i").alias(left_id), F.col("o").alias(right_id)).unionAll(held(b, a).select(F.col("o").alias(left_id), F.col("i").alias(right_id)))
     return both.distinct()
+
+
+def short_contained(left: DataFrame, a: str, right: DataFrame, b: str) -> DataFrame:
+    """(a, b): pairs of distinct short texts of which one holds the other or equals it; null and empty ones take no part.
+
+    Each text is entered under its substrings of those lengths that the texts of the other side have: equi-joins both ways. The
+    lengths, no more than the longest text has characters, are the only thing that is gathered."""
+
+    def held(inner: DataFrame, i: str, outer: DataFrame, o: str) -> DataFrame:
+        lengths = sorted(r[0] for r in inner.select(F.length(i)).distinct().collect())
+
+        def of_length(n: int) -> Column:
+            starts = F.sequence(F.lit(1), F.greatest(F.length(o) - n + 1, F.lit(1)))
+            return F.when(F.length(o) >= n, F.transform(starts, lambda at: F.substr(F.col(o), at, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+        cut = [of_length(n) for n in lengths]
+        parts = F.array_distinct(F.flatten(F.array(*cut))) if cut else F.array().cast("array<string>")
+        return outer.select(o, F.explode(parts).alias(i)).join(inner, i).select(a, b)
+
+    x, y = (d.select(c).where(F.col(c) != "").distinct() for d, c in ((left, a), (right, b)))
+    return held(x, a, y, b).unionAll(held(y, b, x, a)).distinct()

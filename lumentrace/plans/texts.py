@@ -11,8 +11,6 @@ from lumentrace.operators import joins as J
 from lumentrace.plans.tables import Book, table
 
 book = Book()
-# Patterns that the privacy audit counts.
-PII = {"emails": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "phones": r"\+?[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}", "long_numbers": r"\b[0-9]{13,16}\b"}
 
 
 @book.add(
@@ -63,11 +61,22 @@ def page_text_lines(spark, sf):
 
 @book.add(
     "doc_pii_audit",
-    "SELECT " + ", ".join(f"CAST(coalesce(sum(len(regexp_extract_all(text, '{p}'))), 0) AS BIGINT) AS {n}" for n, p in PII.items()) + ", count(*) AS docs FROM documents",
+    r"""
+WITH c AS (SELECT
+    len(regexp_extract_all(text, '(?i)\blorem school\b|\bIP\b')) AS school_plain,
+    len(regexp_extract_all(text, '(?i)\b[A-Z][a-z]+ (?:University|College)\b')) AS school_generic,
+    len(list_filter(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}'), lambda m: NOT contains(m, '@example.com'))) AS email_plain,
+    len(regexp_extract_all(text, '\b(?:\+?86)?1[3-9]\d{9}\b|\b\d{4}[- ]\d{4}\b')) AS phone_plain,
+    len(regexp_extract_all(text, 'University X|School X|User [A-Z]\b|email_x@|XXX-XXXX-XXXX|Address X')) AS placeholders FROM documents)
+SELECT CAST(coalesce(sum(school_plain), 0) AS BIGINT) AS school_plain, CAST(coalesce(sum(school_generic), 0) AS BIGINT) AS school_generic, CAST(coalesce(sum(email_plain), 0) AS BIGINT) AS email_plain,
+  CAST(coalesce(sum(phone_plain), 0) AS BIGINT) AS phone_plain, CAST(coalesce(sum(placeholders), 0) AS BIGINT) AS anonymized_placeholders,
+  CAST(coalesce(sum(school_plain + school_generic + email_plain + phone_plain), 0) AS BIGINT) AS total_hits, count(*) AS docs FROM c""",
 )
 def doc_pii_audit(spark, sf):
-    d = table(spark, sf, "documents")
-    return d.agg(*(F.coalesce(F.sum(F.regexp_count("text", F.lit(p))), F.lit(0)).cast("long").alias(n) for n, p in PII.items()), F.count("*").alias("docs"))
+    """Matches of each privacy pattern in all texts; placeholders do not count as hits. The named schools are a stand-in."""
+    counts = S.pii_counts(F.col("text"), ("lorem school", "IP"))
+    per_text = table(spark, sf, "documents").select(*(c.alias(n) for n, c in counts.items()))
+    return per_text.agg(*(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in counts), F.count("*").alias("docs"))
 
 
 @book.add(
@@ -82,12 +91,23 @@ def doc_exact_dups(spark, sf):
 @book.add(
     "doc_substring_match",
     r"""
+SELECT item_id, count(*) AS docs, min(doc_id) AS first_doc, max(doc_id) AS last_doc FROM documents d JOIN benchmark b ON d.text <> '' AND b.text <> '' AND (d.text = b.text OR contains(d.text, b.text) OR contains(b.text, d.text)) GROUP BY item_id""",
+)
+def doc_substring_match(spark, sf):
+    """Passages that equal a document, are held by one or hold one, wherever in a line they begin or end."""
+    pairs = J.contained(table(spark, sf, "documents"), "doc_id", table(spark, sf, "benchmark"), "item_id", "text")
+    return pairs.groupBy("item_id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
+
+
+@book.add(
+    "doc_shared_lines",
+    r"""
 WITH l AS (SELECT doc_id, trim(x) AS label FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents) WHERE length(trim(x)) >= 20),
 o AS (SELECT item_id, trim(x) AS object FROM (SELECT item_id, unnest(string_split(text, chr(10))) AS x FROM benchmark) WHERE length(trim(x)) >= 20)
 SELECT item_id, count(*) AS lines, count(DISTINCT doc_id) AS docs, min(doc_id) AS first_doc FROM l JOIN o ON l.label = o.object GROUP BY item_id""",
 )
-def doc_substring_match(spark, sf):
-    """Lines of passages found as lines of documents: an equi-join that scales with both sides."""
+def doc_shared_lines(spark, sf):
+    """Lines of passages found as whole lines of documents: an equi-join that scales with both sides."""
     cut = lambda d, i, n: d.select(i, F.explode(F.split("text", "\n")).alias(n)).withColumn(n, F.trim(n)).where(F.length(n) >= 20)
     docs, items = cut(table(spark, sf, "documents"), "doc_id", "line"), cut(table(spark, sf, "benchmark"), "item_id", "line")
     return docs.join(items, "line").groupBy("item_id").agg(F.count("*").alias("lines"), F.count_distinct("doc_id").alias("docs"), F.min("doc_id").alias("first_doc"))
@@ -104,44 +124,43 @@ def doc_passage_containment(spark, sf):
     return pairs.groupBy("item_id").agg(F.count("*").alias("docs"), F.min("doc_id").alias("first_doc"))
 
 
-@book.add(
-    "label_containment",
-    r"""
-WITH o AS (SELECT o_orderkey, o_orderpriority AS o FROM orders WHERE o_orderkey % 50 = 0), l AS (SELECT p_partkey AS pos, p_type AS l FROM part WHERE p_partkey < 40 UNION ALL SELECT 100, '1-URGENT' UNION ALL SELECT 101, 'URGENT' UNION ALL SELECT 102, '2-HIGH LEVEL' UNION ALL SELECT 103, ''),
-m AS (SELECT o_orderkey, l, row_number() OVER (PARTITION BY o_orderkey ORDER BY length(l) DESC, pos) AS k FROM o JOIN l ON l <> '' AND (o = l OR contains(o, l) OR contains(l, o)))
-SELECT o_orderkey, l AS label FROM m WHERE k = 1""",
-)
-def label_containment(spark, sf):
-    """The longest label that holds a text or is held by it, the first on ties. The labels are a bounded vocabulary kept as an array literal."""
-    o = table(spark, sf, "orders").where("o_orderkey % 50 = 0").select("o_orderkey", F.col("o_orderpriority").alias("o"))
-    rows = table(spark, sf, "part").where("p_partkey < 40").select("p_partkey", "p_type").orderBy("p_partkey").collect()  # forty labels at most
-    labels = [(r[0], r[1]) for r in rows] + [(100, "1-URGENT"), (101, "URGENT"), (102, "2-HIGH LEVEL"), (103, "")]
-    return C.longest_label(o, "o", labels).where("label IS NOT NULL").select("o_orderkey", "label")
+_LABELS = """
+WITH l AS (SELECT l, min(pos) AS pos FROM (SELECT p_partkey AS pos, p_type AS l FROM part UNION ALL SELECT 1000000000000000000, '1-URGENT' UNION ALL SELECT 1000000000000000001, 'URGENT' UNION ALL SELECT 1000000000000000002, '2-HIGH LEVEL' UNION ALL SELECT 1000000000000000003, '') WHERE l <> '' GROUP BY l),
+m AS (SELECT o, l, pos, row_number() OVER (PARTITION BY o ORDER BY length(l) DESC, pos) AS k FROM (SELECT DISTINCT o_orderpriority AS o FROM orders) JOIN l ON contains(o, l) OR contains(l, o))
+"""
 
 
-@book.add(
-    "label_containment_all",
-    r"""
-WITH l AS (SELECT l, min(pos) AS pos FROM (SELECT p_partkey AS pos, p_type AS l FROM part UNION ALL SELECT 1000000000000000000, '1-URGENT' UNION ALL SELECT 1000000000000000001, 'URGENT' UNION ALL SELECT 1000000000000000002, '2-HIGH LEVEL' UNION ALL SELECT 1000000000000000003, '') WHERE l <> '' GROUP BY l),
-m AS (SELECT o, l, row_number() OVER (PARTITION BY o ORDER BY length(l) DESC, pos) AS k FROM (SELECT DISTINCT o_orderpriority AS o FROM orders) JOIN l ON contains(o, l) OR contains(l, o))
-SELECT o_orderkey, l AS label FROM orders JOIN m ON o_orderpriority = o AND k = 1""",
-)
-def label_containment_all(spark, sf):
-    """label_containment for every order and the labels of all parts: each distinct text meets each distinct label once."""
+def _matched(spark, sf):
+    """(orders, their texts with the best label): each distinct text meets the labels that hold it or that it holds."""
     own = spark.createDataFrame([(10**18 + i, x) for i, x in enumerate(("1-URGENT", "URGENT", "2-HIGH LEVEL", ""))], "pos long, l string")
     labels = table(spark, sf, "part").select(F.col("p_partkey").cast("long").alias("pos"), F.col("p_type").alias("l")).unionAll(own).where("l <> ''").groupBy("l").agg(F.min("pos").alias("pos"))
     orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("o"))
-    held = orders.select("o").distinct().join(labels, F.col("o").contains(F.col("l")) | F.col("l").contains(F.col("o")))
-    best = held.groupBy("o").agg(F.max_by("l", F.struct(F.length("l"), -F.col("pos"))).alias("label"))
-    return orders.join(best, "o").select("o_orderkey", "label")
+    pairs = J.short_contained(orders.select("o").distinct(), "o", labels.select("l"), "l").join(labels, "l")
+    return orders, pairs.groupBy("o").agg(F.max_by(F.struct("l", "pos"), F.struct(F.length("l"), -F.col("pos"))).alias("best"))
+
+
+@book.add("label_containment", _LABELS + "SELECT l AS label, pos AS position, count(*) AS orders, min(o_orderkey) AS first_order FROM orders JOIN m ON o_orderpriority = o AND k = 1 GROUP BY l, pos")
+def label_containment(spark, sf):
+    """How many orders each label is the longest match of, over all orders and the labels of all parts."""
+    orders, best = _matched(spark, sf)
+    return orders.join(best, "o").groupBy(F.col("best.l").alias("label"), F.col("best.pos").alias("position")).agg(F.count("*").alias("orders"), F.min("o_orderkey").alias("first_order"))
+
+
+@book.add("label_containment_all", _LABELS + "SELECT o_orderkey, l AS label FROM orders JOIN m ON o_orderpriority = o AND k = 1")
+def label_containment_all(spark, sf):
+    """The longest label that holds an order's text or is held by it, the first on ties."""
+    orders, best = _matched(spark, sf)
+    return orders.join(best, "o").select("o_orderkey", F.col("best.l").alias("label"))
 
 
 @book.add(
     "doc_truncate_context",
-    "SELECT doc_id, length(CASE WHEN length(text) > 3000 THEN substr(text, 1, 3000) || ' [cut]' ELSE text END) AS n, text IS NOT NULL AND length(text) > 3000 AS cut FROM documents",
+    "SELECT doc_id, length(CASE WHEN length(text) > 30000 THEN substr(text, 1, 30000) || chr(10) || '... (OCR truncated)' ELSE text END) AS n, coalesce(length(text) > 30000, false) AS cut FROM documents",
 )
 def doc_truncate_context(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.length(S.truncated(F.col("text"), 3000, " [cut]")).cast("long").alias("n"), (F.length("text") > 3000).alias("cut"))
+    """Texts cut at the limit of a context block, with its marker."""
+    cut = S.truncated(F.col("text"), 30_000, "\n... (OCR truncated)")
+    return table(spark, sf, "documents").select("doc_id", F.length(cut).cast("long").alias("n"), F.coalesce(F.length("text") > 30_000, F.lit(False)).alias("cut"))
 
 
 @book.add(
@@ -156,39 +175,68 @@ def doc_truncate_context_30k(spark, sf):
 @book.add(
     "doc_redact",
     r"""
-WITH a AS (SELECT doc_id, regexp_replace(text, '(?i)bearer\s+[A-Za-z0-9._-]+', 'Bearer [redacted]', 'g') AS t FROM documents),
-b AS (SELECT doc_id, regexp_replace(t, '(?i)\b(key|token|secret)\s*[=:]\s*["'']?[A-Za-z0-9_-]{8,}["'']?', '\1=[redacted]', 'g') AS t FROM a),
-c AS (SELECT doc_id, regexp_replace(regexp_replace(t, 'AIza[A-Za-z0-9_-]{10,}', '[redacted]', 'g'), 'hf_[A-Za-z0-9]{10,}', '[redacted]', 'g') AS t FROM b)
-SELECT doc_id, substr(trim(regexp_replace(t, '[ \t\r\n]+', ' ', 'g')), 1, 400) AS redacted FROM c""",
+WITH z AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+a AS (SELECT doc_id, regexp_replace(t, '(?i)(authorization[' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']*[:=][' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']*bearer[' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']+)[^' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ',;"'']+', '\1[REDACTED]', 'g') AS t FROM z),
+b AS (SELECT doc_id, regexp_replace(t, '(?i)((?:api[_-]?key|key|token)[' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']*[=:][' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']*)[^' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ',;"'']+', '\1[REDACTED]', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(regexp_replace(t, 'AIza[0-9A-Za-z_-]{10,}', '[REDACTED]', 'g'), 'hf_[0-9A-Za-z_-]{10,}', '[REDACTED]', 'g') AS t FROM b)
+SELECT doc_id, trim(regexp_replace(t, '[' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']+', ' ', 'g')) AS redacted FROM c""",
 )
 def doc_redact(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", S.redact(F.col("text"), 400).alias("redacted"))
+    """Whole texts without what looks like a secret."""
+    return table(spark, sf, "documents").select("doc_id", S.redact(F.col("text")).alias("redacted"))
 
 
 @book.add(
     "doc_redact_whole",
     r"""
-WITH a AS (SELECT doc_id, regexp_replace(text, '(?i)(bearer\s+)[^\s,;"'']+', '\1[redacted]', 'g') AS t FROM documents),
-b AS (SELECT doc_id, regexp_replace(t, '(?i)((?:api[_-]?key|key|token|secret)\s*[=:]\s*["'']?)[^\s,;"'']+', '\1[redacted]', 'g') AS t FROM a),
-c AS (SELECT doc_id, regexp_replace(regexp_replace(t, 'AIza[0-9A-Za-z_-]{10,}', '[redacted]', 'g'), 'hf_[0-9A-Za-z_-]{10,}', '[redacted]', 'g') AS t FROM b)
-SELECT doc_id, trim(regexp_replace(t, '[ \t\r\n]+', ' ', 'g')) AS redacted FROM c""",
+WITH z AS (SELECT doc_id, replace(replace(coalesce(text, ''), 'license', '[REDACTED]'), 'AKIA', '[REDACTED]') AS t FROM documents),
+a AS (SELECT doc_id, regexp_replace(t, '(?i)(authorization[' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']*[:=][' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']*bearer[' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']+)[^' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ',;"'']+', '\1[REDACTED]', 'g') AS t FROM z),
+b AS (SELECT doc_id, regexp_replace(t, '(?i)((?:api[_-]?key|key|token)[' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']*[=:][' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']*)[^' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ',;"'']+', '\1[REDACTED]', 'g') AS t FROM a),
+c AS (SELECT doc_id, regexp_replace(regexp_replace(t, 'AIza[0-9A-Za-z_-]{10,}', '[REDACTED]', 'g'), 'hf_[0-9A-Za-z_-]{10,}', '[REDACTED]', 'g') AS t FROM b)
+SELECT doc_id, trim(regexp_replace(t, '[' || '\s\x0B\x1C-\x1F\x85\p{Z}' || ']+', ' ', 'g')) AS redacted FROM c""",
 )
 def doc_redact_whole(spark, sf):
-    """Whole texts, by the reference's patterns."""
-    return table(spark, sf, "documents").select("doc_id", S.redact_whole(F.col("text")).alias("redacted"))
+    """The same with values of secret variables, here a stand-in; one of under four characters stays."""
+    return table(spark, sf, "documents").select("doc_id", S.redact(F.col("text"), ("license", "AKIA", "the")).alias("redacted"))
 
 
 @book.add(
     "doc_error_class",
     """
-SELECT class, count(*) AS n, count(*) FILTER (class IN ('quota', 'timeout', 'server', 'network')) AS retryable FROM (
-  SELECT CASE """
-    + " ".join(f"WHEN {' OR '.join(f'''contains(lower(text), '{w}')''' for w in words)} THEN '{n}'" for n, words in S.ERROR_CLASSES)
-    + " ELSE 'other' END AS class FROM documents) GROUP BY class",
+WITH m AS (SELECT lower(coalesce(text, '')) AS m FROM documents),
+c AS (SELECT CASE
+  WHEN contains(m, '429') OR contains(m, 'resource_exhausted') OR contains(m, 'quota') OR contains(m, 'rate limit') OR contains(m, 'rate_limit') OR contains(m, 'billing account') OR contains(m, 'billing is disabled')
+    OR contains(m, 'insufficient credits') THEN 'quota'
+  WHEN contains(m, '413') OR contains(m, 'payload too large') OR contains(m, 'request too large') OR contains(m, 'request entity too large') OR contains(m, 'content size') OR contains(m, 'exceeds the maximum size')
+    OR contains(m, 'exceeded the maximum size') THEN 'payload'
+  WHEN contains(m, '404') OR contains(m, 'not_found') OR contains(m, 'model not found') OR contains(m, 'model is not found') OR contains(m, 'unsupported model') OR contains(m, 'unknown model') THEN 'model'
+  WHEN contains(m, 'default credentials were not found') OR contains(m, 'could not automatically determine credentials') OR contains(m, 'unauthenticated') OR contains(m, 'permission_denied') OR contains(m, 'permission denied')
+    OR contains(m, 'api key not valid') OR contains(m, 'invalid api key') OR contains(m, 'api key expired') OR contains(m, '401') OR contains(m, '403') THEN 'auth'
+  WHEN contains(m, '500') OR contains(m, '502') OR contains(m, '503') OR contains(m, '504') OR contains(m, 'internal server error') OR contains(m, 'unavailable') OR contains(m, 'empty stream') THEN 'server'
+  WHEN contains(m, 'timeout') OR contains(m, 'timed out') OR contains(m, 'connection error') OR contains(m, 'connection reset') OR contains(m, 'connection aborted') OR contains(m, 'temporary failure')
+    OR contains(m, 'name resolution') THEN 'network'
+  ELSE 'other' END AS class FROM m)
+SELECT class, count(*) AS n, count(*) FILTER (class IN ('quota', 'server', 'network')) AS retryable, count(*) FILTER (class IN ('auth', 'model')) AS final FROM c GROUP BY class""",
 )
 def doc_error_class(spark, sf):
     d = table(spark, sf, "documents").select(S.error_class(F.col("text")).alias("class"))
-    return d.groupBy("class").agg(F.count("*").alias("n"), F.count_if(F.col("class").isin(*S.RETRYABLE)).alias("retryable"))
+    kind = F.col("class")
+    return d.groupBy("class").agg(F.count("*").alias("n"), F.count_if(kind.isin(*S.RETRYABLE)).alias("retryable"), F.count_if(kind.isin(*S.FINAL)).alias("final"))
+
+
+@book.add(
+    "failure_class",
+    """
+WITH e AS (SELECT l_quantity, CASE l_linenumber WHEN 1 THEN 401 WHEN 2 THEN 404 WHEN 3 THEN 429 WHEN 4 THEN 503 WHEN 5 THEN 408 END AS code, l_linestatus AS kind, CASE WHEN l_quantity > 45 THEN 'Payment Required' ELSE l_returnflag END AS message FROM lineitem)
+SELECT CASE WHEN l_quantity > 45 THEN 'billing' WHEN code = 401 THEN 'auth' WHEN code = 404 THEN 'model' WHEN code = 429 THEN 'quota' WHEN code = 503 THEN 'server' WHEN code = 408 THEN 'network' ELSE 'config' END AS class, count(*) AS n
+FROM e GROUP BY 1""",
+)
+def failure_class(spark, sf):
+    """Failures of a provider by code; the message shows bills alone."""
+    n = F.col("l_linenumber")
+    code = F.when(n == 1, 401).when(n == 2, 404).when(n == 3, 429).when(n == 4, 503).when(n == 5, 408)
+    message = F.when(F.col("l_quantity") > 45, "Payment Required").otherwise(F.col("l_returnflag"))
+    return table(spark, sf, "lineitem").groupBy(S.failure_class(code, F.col("l_linestatus"), message).alias("class")).agg(F.count("*").alias("n"))
 
 
 @book.add(
@@ -372,9 +420,12 @@ SELECT source, count(*) AS rows, count(*) FILTER (text IS NOT NULL AND n_chars >
 def stage_preflight(spark, sf):
     """Counts of what a stage would accept, with up to three examples of what it would not."""
     d = table(spark, sf, "documents")
-    short = F.when(F.col("n_chars") < 100, F.col("doc_id"))
-    ids = F.slice(F.sort_array(F.collect_list(short)), 1, 3).cast("array<string>")
-    return d.groupBy("source").agg(
+    # three minima in turn: no group is collected
+    short = d.where("n_chars < 100").select("source", "doc_id")
+    first = A.smallest(short, ["source"], "doc_id", 3).groupBy("source").agg(F.array_join(F.sort_array(F.collect_list("doc_id")).cast("array<string>"), ",").alias("examples"))
+    counts = d.groupBy("source").agg(
         F.count("*").alias("rows"), F.count_if(F.col("text").isNotNull() & (F.col("n_chars") > 0)).alias("parseable"), F.count_if(F.col("n_chars").between(100, 20000)).alias("schema_ok"),
-        F.count_if(F.col("n_chars") != F.length("text")).alias("differences"), F.when(F.count(short) > 0, F.array_join(ids, ",")).alias("examples"),
+        F.count_if(F.col("n_chars") != F.length("text")).alias("differences"),
     )
+    first = first.withColumnRenamed("source", "_source")
+    return counts.join(first, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")

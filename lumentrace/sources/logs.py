@@ -71,18 +71,26 @@ def subtitles(spark: SparkSession, path: str) -> DataFrame:
     return x.select("path", "n", sec(1).alias("start_sec"), sec(5).alias("end_sec"), F.trim(F.regexp_replace(g(9), r"\s+", " ")).alias("text"))
 
 
+# Lines of transcripts, with absolute times and a zone, or with hours and minutes, seconds optional, from the recording's start.
+ABSOLUTE_LINE = r"^\[(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})(?: [A-Z]{2,4})? -> (\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})(?: [A-Z]{2,4})?\]\s*(.*)$"
+RELATIVE_LINE = r"^\[(\d{1,2}):(\d{2})(?::(\d{2}))?\s*[-\u2013\u2014]\s*(\d{1,2}):(\d{2})(?::(\d{2}))?\]\s*(.*)$"
+#: Where the times of lines without a date count from.
+RELATIVE_BASE = "2000-01-01 00:00:00"
+
+
 def transcript(lines: DataFrame, text: str = "value") -> DataFrame:
-    """lines with start_sec, end_sec and body of either dialect: [HH:MM:SS - HH:MM:SS] text, or [12.5s - 14s] text; others are dropped."""
-    clock = r"^\[(\d{2}):(\d{2}):(\d{2}) ?- ?(\d{2}):(\d{2}):(\d{2})\]\s*(.*)$"
-    plain = r"^\[(\d+(?:\.\d+)?)s? ?- ?(\d+(?:\.\d+)?)s?\]\s*(.*)$"
-    c = lambda i: F.regexp_extract(text, clock, i)
-    p = lambda i: F.regexp_extract(text, plain, i)
-    is_clock, is_plain = F.col(text).rlike(clock), F.col(text).rlike(plain)
-    of = lambda i: c(i).try_cast("double") * 3600 + c(i + 1).try_cast("double") * 60 + c(i + 2).try_cast("double")
-    start = F.when(is_clock, of(1)).when(is_plain, p(1).try_cast("double"))
-    end = F.when(is_clock, of(4)).when(is_plain, p(2).try_cast("double"))
-    body = F.when(is_clock, c(7)).otherwise(p(3))
-    return lines.where(is_clock | is_plain).withColumns({"start_sec": start, "end_sec": end, "body": body})
+    """lines of either dialect with start_time and end_time (timestamps without zone) and body; others, and impossible dates, are dropped.
+
+    [2024-12-01 10:00:00 HKT -> 2024-12-01 10:00:05 HKT] text, or [1:02:03 - 1:02:05] text with a hyphen or dash and seconds as one likes."""
+    c = F.col(text)
+    a = lambda i: F.regexp_extract(c, ABSOLUTE_LINE, i)
+    r = lambda i: F.coalesce(F.regexp_extract(c, RELATIVE_LINE, i).try_cast("long"), F.lit(0))
+    at = lambda i: F.to_timestamp_ntz(F.lit(RELATIVE_BASE)) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), r(i) * 3600 + r(i + 1) * 60 + r(i + 2))
+    whole = lambda i: F.try_to_timestamp(a(i), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    is_absolute, is_relative = c.rlike(ABSOLUTE_LINE), c.rlike(RELATIVE_LINE)
+    start, end = (F.when(is_absolute, whole(i)).when(is_relative, at(j)) for i, j in ((1, 1), (2, 4)))
+    body = F.when(is_absolute, a(3)).otherwise(F.regexp_extract(c, RELATIVE_LINE, 7))
+    return lines.withColumns({"start_time": start, "end_time": end, "body": body}).where(F.col("start_time").isNotNull() & F.col("end_time").isNotNull())
 
 
 def gaze(spark: SparkSession, path: str) -> DataFrame:

@@ -38,12 +38,75 @@ def test_boxes_votes_totals(spark):
     assert one(spark, S.backoff(F.lit(20), F.lit(None).cast("int"))) == 256 and one(spark, S.backoff(F.lit(1), F.lit(99999))) == 1800
 
 
-def test_redaction_and_classes(spark):
-    assert one(spark, S.redact(F.lit("Bearer abc.def  token=ABCDEFGH12 hf_abcdefghijkl"))) == "Bearer [redacted] token=[redacted] [redacted]"
-    assert [one(spark, S.error_class(F.lit(m))) for m in ("HTTP 429", "Deadline exceeded", "weird", None)] == ["quota", "timeout", "other", "other"]
+def _redacted(text, values=(), limit=None):
+    """The rules in plain Python."""
+    import re
+
+    for v in values:
+        text = text.replace(v, "[REDACTED]") if len(v) >= 4 else text
+    text = re.sub(r"(?i)(authorization\s*[:=]\s*bearer\s+)[^\s,;\"']+", r"\1[REDACTED]", text)
+    text = re.sub(r"(?i)((?:api[_-]?key|key|token)\s*[=:]\s*)[^\s,;\"']+", r"\1[REDACTED]", text)
+    text = re.sub(r"hf_[0-9A-Za-z_-]{10,}", "[REDACTED]", re.sub(r"AIza[0-9A-Za-z_-]{10,}", "[REDACTED]", text))
+    return " ".join(text.split())[:limit]
+
+
+@pytest.mark.parametrize("text", [
+    "api_key=abcd1234efgh", "key=abc1234", "see hf_abc-defghijklmnop.", "token=abcdefgh.secretpart, on", "API-KEY :  a/b+c== x", "key='quoted'", "Authorization:\tBearer a.b-c; d", "Bearer abc stays",
+    "AIzaSy_0123456789 and AIzashort", "monkey: banana", "the value pa55word! and abc", " a\xa0b\u2003c\n\nd ", "", "tokens = many words " * 50,
+])
+def test_redaction(spark, text):
+    values = ("pa55word", "abc")
+    assert one(spark, S.redact(F.lit(text), values)) == _redacted(text, values)
+    assert one(spark, S.redact(F.lit(text), values, 20)) == _redacted(text, values, 20)
+
+
+def test_secret_values_and_null_texts(spark):
+    assert S.secret_values({"HF_TOKEN": "abcdef", "GOOGLE_API_KEY": "abc", "HOME": "/root"}) == ("abcdef",)
+    assert one(spark, S.redact(F.lit(None).cast("string"))) == ""
+
+
+@pytest.mark.parametrize(
+    ("message", "name"),
+    [
+        ("HTTP 429", "quota"), ("Request Entity Too Large: quota", "quota"), ("413 content size", "payload"), ("404 page", "model"), ("Unknown model x", "model"), ("error 401", "auth"), ("PERMISSION_DENIED", "auth"),
+        ("503 Unavailable", "server"), ("Empty stream", "server"), ("read timed out", "network"), ("Connection reset by peer", "network"), ("Deadline exceeded", "other"), ("weird", "other"), (None, "other"),
+    ],
+)
+def test_error_classes(spark, message, name):
+    assert one(spark, S.error_class(F.lit(message).cast("string"))) == name
+
+
+@pytest.mark.parametrize(
+    ("code", "kind", "message", "name"),
+    [
+        (429, "ClientError", "billing is off", "billing"), (403, "", "", "auth"), (None, "RefreshError", "", "auth"), (404, "", "", "model"), (429, "", "", "quota"), (599, "", "", "server"), (408, "", "", "network"),
+        (None, "ReadTimeout", "", "network"), (None, "ValueError", "x", "config"), (None, None, None, "config"),
+    ],
+)
+def test_failure_classes(spark, code, kind, message, name):
+    assert one(spark, S.failure_class(F.lit(code).cast("int"), F.lit(kind).cast("string"), F.lit(message).cast("string"))) == name
+
+
+def test_output_classes(spark):
     assert [one(spark, S.output_class(F.lit(t), F.lit(n))) for t, n in ((" ", 1), ("no", 3), ("{}", 3), ("no", 30))] == ["empty", "safety_rejection", "ok", "ok"]
 
 
+def test_names_and_paths(spark):
+    got = one(spark, S.clip_parts(F.lit("DAY4_A1_JAKE_10483000_p2")))
+    assert tuple(got) == (4, "A1_JAKE", 10, 48, 30, 0, 2) and one(spark, S.clip_parts(F.lit("DAY1_A1_JAKE_11094208"))).piece == 0
+    assert one(spark, S.clip_parts(F.lit("DAY1_A1_JAKE_1109420"))) is None and one(spark, S.clip_parts(F.lit("x"))) is None
+    assert [one(spark, S.safe_path(F.lit(p))) for p in ("audio/a-b_1.json", "audio/../x.json", "other/a.json", "review/a.json\n", None)] == [True, False, False, False, False]
+    assert [one(spark, S.utc_text(F.lit(t))) for t in ("2024-12-01T10:00:00Z", "2024-12-01 10:00:00.5+00:00", "2024-12-01T10:00:00", "2024-13-01T10:00:00Z", "2024-12-01T10:00:00+08:00")] == ["2024-12-01T10:00:00Z"] * 3 + [None, None]
+    assert tuple(one(spark, S.frame_parts(F.lit("dir/2024-12-01_10-11-12_HKT__frame_0042.jpg")))) == ("2024-12-01", "10:11:12", 42)
+    assert one(spark, S.clean_ocr(F.lit("capture_time: 1\n Menu \nframe_index 3\nExit\n\n"))) == "Menu \nExit"
+
+
+def test_privacy_counts(spark):
+    t = "a.b@x.org c@example.com 13812345678 1234-5678 Foo College University X; Old School and OLD SCHOOL"
+    got = spark.range(1).select(*(c.alias(n) for n, c in S.pii_counts(F.lit(t), ("old school",)).items())).first().asDict()
+    assert got == {"school_plain": 2, "school_generic": 1, "email_plain": 1, "phone_plain": 2, "anonymized_placeholders": 1, "total_hits": 6}
+
+
 def test_gap_is_strict_and_last_end_counts(spark):
     d = spark.createDataFrame([("a", 0, 100), ("a", 10, 20), ("a", 25, 30), ("a", 36, 40)], "k string, s long, e long")
     got = {(r.s, r.e, r.members) for r in W.merge_gaps(d, ["k"], "s", "e", 5).collect()}
@@ -100,8 +163,8 @@ def _document(**change):
         "environment": {"world_changes": [], "newly_observed": []}, "text_visible": [], "speech": None, "details": None,
         "evidence": [{"source_id": "video_0", "modality": "visual", "start_sec": a, "end_sec": b, "support": "x", "note": ""}], "boundary": {"start": "seen", "end": "seen", "precision": "x"}, "uncertainties": [],
     } | more
-    speech = {"speaker_id": "wearer", "source": "audio", "text": "hi", "verification": "heard"}
-    third = seg(3, 6.0, 8.0, event_type="speech", speech=speech, evidence=[{"source_id": "audio_0", "modality": "speech", "start_sec": 6.0, "end_sec": 7.0, "support": "x", "note": ""}])
+    speech = {"speaker_id": "wearer", "source": "audio", "text": "hi", "verification": "audio_checked"}
+    third = seg(3, 6.0, 8.0, event_type="speech", speech=speech, evidence=[{"source_id": "audio_0", "modality": "audio", "start_sec": 6.0, "end_sec": 7.0, "support": "x", "note": ""}])
     doc = {
         "schema_version": "1", "scene_summary": "x", "actors": [{"actor_id": "wearer", "description": "x"}], "initial_environment": {"time_sec": 0.0, "description": "x"}, "visual_unavailable_intervals": [],
         "segments": [seg(1, 2.0, 4.0), seg(2, 4.0, 6.0), third, seg(4, 8.0, 9.0, actor_ids=["unknown"]), seg(5, 9.0, 20.0)], "activity_chain": ["s001", "s002", "s005"],
@@ -109,9 +172,9 @@ def _document(**change):
     return doc | change
 
 
-def _judge(spark, doc):
+def _judge(spark, doc, sources=("video_0", "audio_0")):
     d = spark.createDataFrame([(doc,)], f"d STRUCT<{C.ANNOTATION}>").select("d.*").withColumn("duration_sec", F.lit(20.0))
-    return d, C.judged(d, C.annotation_rules(F.col("duration_sec"), F.array(F.lit("video_0"), F.lit("audio_0")))).first().error
+    return d, C.annotation_errors(d, F.col("duration_sec"), F.array(*map(F.lit, sources))).first().error
 
 
 def _mutated(change):
@@ -129,10 +192,23 @@ def _mutated(change):
         (lambda d: d["segments"][0]["evidence"][0].update(source_id="audio_0"), "MODALITY"),
         (lambda d: d["segments"][0]["evidence"][0].update(modality="transcript"), "MODALITY"),
         (lambda d: d["segments"][0]["evidence"][0].update(source_id="tv_0"), "UNKNOWN_SOURCE"),
-        (lambda d: d["segments"][2]["speech"].update(verification="transcript_only"), "TRANSCRIPT_ONLY"),
-        (lambda d: d["segments"][2].update(evidence=d["segments"][0]["evidence"]), "SPEECH_UNHEARD"),
+        (lambda d: d["segments"][0]["evidence"][0].update(source_id=None), "UNKNOWN_SOURCE"),
+        (lambda d: d["segments"][2]["speech"].update(verification="transcript_only"), "NO_TRANSCRIPT"),
+        (lambda d: d["segments"][2].update(evidence=d["segments"][0]["evidence"]), "AUDIO_UNCITED"),
+        (lambda d: d["segments"][2]["speech"].update(speaker_id="person_7"), "SPEAKER"),
+        (lambda d: d["segments"][2].update(speech=None), "SPEAKER"),
+        (lambda d: d["segments"][0].update(speech=d["segments"][2]["speech"]), "SPEECH_OUTSIDE"),
+        (lambda d: d["segments"][0]["boundary"].update(start="ongoing"), "ONGOING_START"),
+        (lambda d: d["segments"][0]["boundary"].update(end="ongoing"), "ONGOING_END"),
+        (lambda d: d["segments"][1].update(segment_id="s001"), "DUPLICATE_SEGMENT"),
+        (lambda d: d["initial_environment"].update(time_sec=21.0), "ENVIRONMENT_TIME"),
+        (lambda d: d.update(visual_unavailable_intervals=[{"start_sec": 3.0, "end_sec": 3.0, "reason": "x"}]), "UNAVAILABLE_INTERVAL"),
+        # segments are judged one after the other, each by its own rules in order
+        (lambda d: (d["segments"][1].update(end_sec=21.0), d["segments"][0].update(actor_ids=["person_99"])), "UNKNOWN_ACTOR"),
+        # a point is enough for evidence, and none is allowed
+        (lambda d: d["segments"][0]["evidence"][0].update(end_sec=2.0), None),
+        (lambda d: d["segments"][0].update(evidence=[]), None),
         (lambda d: d["segments"][0].update(end_sec=21.0), "SEGMENT_INTERVAL"),
-        (lambda d: d["segments"][0].update(evidence=[]), "NO_EVIDENCE"),
         (lambda d: d.update(activity_chain=["s001", "s999"]), "ACTIVITY_CHAIN"),
         (lambda d: d["segments"].reverse(), "UNSORTED_SEGMENTS"),
         (lambda d: d["actors"].append(d["actors"][0]), "DUPLICATE_ACTOR"),
@@ -142,6 +218,19 @@ def test_annotation_contract(spark, change, code):
     assert _judge(spark, _mutated(change))[1] == code
 
 
+@pytest.mark.parametrize(
+    ("source", "modality", "code"),
+    [("crop_3", "visual", None), ("crop_3", "ocr", "MODALITY"), ("ocr_1", "ocr", None), ("transcript_0", "transcript", None), ("audio_0", "audio", None), ("video_0", "ocr", "MODALITY"), ("other", "visual", "MODALITY")],
+)
+def test_what_sources_show(spark, source, modality, code):
+    doc = _mutated(lambda d: d["segments"][0]["evidence"][0].update(source_id=source, modality=modality))
+    assert _judge(spark, doc, ("video_0", "audio_0", "crop_3", "ocr_1", "transcript_0", "other"))[1] == code
+
+
+def test_audio_checked_speech_needs_audio(spark):
+    assert _judge(spark, _mutated(lambda d: d["segments"][2].update(evidence=[])), ("video_0",))[1] == "AUDIO_MISSING"
+
+
 def test_normal_form_logs_its_changes(spark):
     def change(d):
         d["segments"].reverse()
@@ -152,10 +241,16 @@ def test_normal_form_logs_its_changes(spark):
     assert error == "UNSORTED_SEGMENTS"
     out = C.normalised(d)
     row = out.first()
-    assert row.changes == ["SORT_SEGMENTS", "SORT_ACTIVITY_CHAIN", "NONEDGE_ONGOING_TO_UNCERTAIN"] and row.activity_chain == ["s001", "s002", "s005"]
+    assert [c.code for c in row.changes] == ["SORT_SEGMENTS", "SORT_ACTIVITY_CHAIN", "NONEDGE_ONGOING_TO_UNCERTAIN"] and row.activity_chain == ["s001", "s002", "s005"]
+    assert row.changes[0].before == ["s005", "s004", "s003", "s002", "s001"] and row.changes[1].before == ["s002", "s001", "s005"]
+    assert (row.changes[2].segment_id, row.changes[2].edge, row.changes[2].time_sec) == ("s004", "end", 9.0)
     fixed = [s for s in row.segments if s.boundary.end == "uncertain"]
-    assert len(fixed) == 1 and fixed[0].uncertainties == ["boundary not seen"] and (fixed[0].start_sec, fixed[0].end_sec) == (8.0, 9.0)
-    assert C.judged(out.drop("changes"), C.annotation_rules(F.col("duration_sec"), F.array(F.lit("video_0"), F.lit("audio_0")))).first().error is None
+    note = "Model marked end as ongoing at 9.0s, away from the clip edge; the boundary is uncertain and its timestamp was not changed."
+    assert len(fixed) == 1 and fixed[0].uncertainties == [note] and (fixed[0].start_sec, fixed[0].end_sec) == (8.0, 9.0)
+    sources = F.array(F.lit("video_0"), F.lit("audio_0"))
+    assert C.annotation_errors(out.drop("changes"), F.col("duration_sec"), sources).first().error is None
+    again = C.normalised(out.drop("changes")).first()
+    assert again.changes == [] and again.segments == row.segments
 
 
 def test_calls_resume_and_attrition(spark):

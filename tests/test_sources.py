@@ -32,8 +32,15 @@ def test_subtitles(spark, tmp_path):
 
 
 def test_transcript_dialects(spark):
-    d = spark.createDataFrame([("[00:01:00 - 00:01:05] hi",), ("[2.5s - 4s] there",), ("noise",)], "value string")
-    assert sorted((r.start_sec, r.end_sec, r.body) for r in logs.transcript(d).collect()) == [(2.5, 4.0, "there"), (60.0, 65.0, "hi")]
+    lines = [
+        "[2024-12-01 10:00:00 HKT -> 2024-12-01 10:00:05 HKT] hi there", "[2024-12-01 10:00:07 -> 2024-12-01 10:00:09]bare", "[1:02:03 - 1:02:05] hyphen", "[0:59\u20131:00] en dash, no seconds", "[12:00:01 \u2014 12:00:02]",
+        "[2024-13-01 10:00:00 -> 2024-12-01 10:00:05] no such month", "[10 - 12] no", "noise", "", None,
+    ]
+    got = [(str(r.start_time), str(r.end_time), r.body) for r in logs.transcript(spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)).collect()]
+    assert got == [
+        ("2024-12-01 10:00:00", "2024-12-01 10:00:05", "hi there"), ("2024-12-01 10:00:07", "2024-12-01 10:00:09", "bare"), ("2000-01-01 01:02:03", "2000-01-01 01:02:05", "hyphen"),
+        ("2000-01-01 00:59:00", "2000-01-01 01:00:00", "en dash, no seconds"), ("2000-01-01 12:00:01", "2000-01-01 12:00:02", ""),
+    ]
 
 
 def test_gaze_last_row_wins(spark, tmp_path):
