@@ -11,27 +11,41 @@ from pyspark.sql import functions as F
 from lumentrace.llm.common import staged
 
 
+#: Nodes of fewer edges are no hubs: a task joins so many rows in no time.
+LEAST_HUB = 10_000
+
+
 def _mark(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).first()
     return row["n"], int(row["h"] or 0)
 
 
-def _with_least(edges: DataFrame, least: DataFrame, total: int) -> DataFrame:
+def _both(edges: DataFrame) -> DataFrame:
+    return edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def _has_hubs(edges: DataFrame, total: int) -> bool:
+    return total > LEAST_HUB and bool(_both(edges).groupBy("a").count().where(F.col("count") > max(LEAST_HUB, total // 1000)).limit(1).count())
+
+
+def _with_least(edges: DataFrame, least: DataFrame, total: int, hubs: bool) -> DataFrame:
     """edges (a, b) with m of their a. The edges of hubs meet their row where they are; at most some 2,000 nodes can hold over a thousandth of all ends."""
-    hubs = F.broadcast(least.where(F.col("n") > max(100, total // 1000)).select("a", "m"))
-    others = edges.join(hubs, "a", "left_anti").join(least.select("a", "m"), "a")
-    return edges.join(hubs, "a").unionAll(others)
+    if not hubs:
+        return edges.join(least.select("a", "m"), "a")
+    few = F.broadcast(least.where(F.col("n") > max(LEAST_HUB, total // 1000)).select("a", "m"))
+    others = edges.join(few, "a", "left_anti").join(least.select("a", "m"), "a")
+    return edges.join(few, "a").unionAll(others)
 
 
-def _large_star(edges: DataFrame, total: int) -> DataFrame:
-    both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+def _large_star(edges: DataFrame, total: int, hubs: bool) -> DataFrame:
+    both = _both(edges)
     least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"), F.count("*").alias("n"))
-    return _with_least(both, least, total).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return _with_least(both, least, total, hubs).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame, total: int) -> DataFrame:
+def _small_star(edges: DataFrame, total: int, hubs: bool) -> DataFrame:
     least = edges.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n"))
-    moved = _with_least(edges, least, total).where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+    moved = _with_least(edges, least, total, hubs).where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
 
 
@@ -46,7 +60,8 @@ def components(edges: DataFrame, scope: str, most_rounds: int = 60) -> DataFrame
     for _ in range(most_rounds):
         if not mark[0]:
             break
-        edges = staged(_small_star(_large_star(edges, mark[0]), mark[0]), scope)
+        hubs = _has_hubs(edges, mark[0])
+        edges = staged(_small_star(_large_star(edges, mark[0], hubs), mark[0], hubs), scope)
         now = _mark(edges)
         if now == mark:
             break
