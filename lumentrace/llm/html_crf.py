@@ -36,18 +36,52 @@ _space = re.compile(r"\s+")
 _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
+#: Elements that hold others of a list or table: what ends an open item of its own kind is not sought beyond them.
+CONTAINERS = frozenset("ul ol dl table menu tbody thead".split())
+_ITEMS = frozenset(k for kinds in OWN_KIND.values() for k in kinds) - {"p", "option"}
+#: Silent elements without an end swallow the rest of the page.
+SWALLOWS = frozenset("script style template svg textarea title noscript".split())
+
+
 class Block:
-    __slots__ = ("text", "tags", "names", "linked")
+    """A leaf block: its text, the elements around it, the last two block-level ones, class, id and role words, and how much of it is linked."""
+
+    __slots__ = ("text", "tags", "leaf", "above", "names", "roles", "linked")
+
+    def __init__(self, text: str, tags: frozenset[str], leaf: str, above: str, names: frozenset[str], roles: frozenset[str], linked: int):
+        self.text, self.tags, self.leaf, self.above, self.names, self.roles, self.linked = text, tags, leaf, above, names, roles, linked
+
+
+class _Open:
+    """An open element with what it adds up with those around it, so that no block looks at all of them."""
+
+    __slots__ = ("tag", "tags", "leaf", "above", "names", "roles", "items")
+
+    def __init__(self, tag: str, names: set[str], roles: set[str], around: "_Open | None", place: int):
+        self.tag = tag
+        old = around.tags if around else frozenset()
+        self.tags = old if tag in old else old | {tag}
+        inner = tag in BLOCK
+        self.leaf = tag if inner else around.leaf if around else "none"
+        self.above = (around.leaf if around else "none") if inner else around.above if around else "none"
+        self.names = _joined(around.names if around else frozenset(), names)
+        self.roles = _joined(around.roles if around else frozenset(), roles)
+        #: Where the first open item of each kind is, within the nearest container.
+        items = {} if tag in CONTAINERS or not around else around.items
+        self.items = items | {tag: place} if tag in _ITEMS and tag not in items else items
+
 
-    def __init__(self, text: str, tags: tuple[str, ...], names: frozenset[str], linked: int):
-        self.text, self.tags, self.names, self.linked = text, tags, names, linked
+def _joined(old: frozenset[str], new: set[str]) -> frozenset[str]:
+    return old if new <= old else old | new
 
 
 def blocks(page: str | None) -> list[Block]:
-    """Leaf blocks in page order: non-empty texts with white space made single, character references decoded."""
+    """Leaf blocks in page order: non-empty texts with white space made single, character references decoded. The work grows with the page's length, however deep or broken its markup is."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    stack: list[_Open] = []
+    count: dict[str, int] = {}
     parts: list[tuple[str, bool]] = []
+    endless: set[str] = set()
     page = page or ""
 
     def close() -> None:
@@ -55,23 +89,28 @@ def blocks(page: str | None) -> list[Block]:
             text = _space.sub(" ", "".join(t for t, _ in parts)).strip()
             if text:
                 linked = sum(len(t) for t, a in parts if a)
-                tags = tuple(t for t, _ in stack)
-                names = frozenset().union(*(n for _, n in stack)) if stack else frozenset()
-                out.append(Block(text, tags, names, linked))
+                top = stack[-1] if stack else None
+                out.append(Block(text, top.tags, top.leaf, top.above, top.names, top.roles, linked) if top else Block(text, frozenset(), "none", "none", frozenset(), frozenset(), linked))
             parts.clear()
 
     def pop(depth: int) -> None:
-        if any(t in BLOCK for t, _ in stack[depth:]):
+        if any(x.tag in BLOCK for x in stack[depth:]):
             close()
+        for x in stack[depth:]:
+            count[x.tag] -= 1
         del stack[depth:]
 
+    def last(tag: str) -> int:
+        # all above it is popped next
+        return next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag)
+
     at, n = 0, len(page)
     while at < n:
         m = _tag.search(page, at)
         # references are decoded in text between tags, so that no decoded character becomes a tag
         piece = page[at : m.start() if m else n]
         if piece:
-            parts.append((html.unescape(piece), any(t == "a" for t, _ in stack)))
+            parts.append((html.unescape(piece), count.get("a", 0) > 0))
         if not m:
             break
         at = m.end()
@@ -81,15 +120,18 @@ def blocks(page: str | None) -> list[Block]:
             continue
         name = m[1].lower()
         if m[0].startswith("</"):
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if depth is not None:
-                pop(depth)
+            if count.get(name):
+                pop(last(name))
             elif name in BLOCK:
                 close()
             continue
         if name in SILENT and name != "head" and not m[0].endswith("/>"):
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else n if name in ("script", "style", "template", "svg", "textarea", "title", "noscript") else at
+            end = None if name in endless else re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            else:
+                endless.add(name)
+                at = n if name in SWALLOWS else at
             continue
         if name == "head":
             continue
@@ -97,49 +139,75 @@ def blocks(page: str | None) -> list[Block]:
             parts.append((" ", False))
             continue
         if name in BLOCK:
-            if name in ENDS_P and stack and any(t == "p" for t, _ in stack):
-                pop(max(i for i, (t, _) in enumerate(stack) if t == "p"))
-            if name in OWN_KIND:
-                limit = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("ul", "ol", "dl", "table", "menu", "tbody", "thead")), -1)
-                depth = next((i for i in range(limit + 1, len(stack)) if stack[i][0] in OWN_KIND[name]), None)
-                if depth is not None:
-                    pop(depth)
+            if name in ENDS_P and count.get("p"):
+                pop(last("p"))
+            if name in OWN_KIND and name != "p" and stack:
+                places = [stack[-1].items[k] for k in OWN_KIND[name] if k in stack[-1].items]
+                if places:
+                    pop(min(places))
             close()
         if name not in VOID and not m[0].endswith("/>"):
-            names = set()
+            names, roles = set(), set()
             for a in _attribute.finditer(m[2]):
                 kind, value = a[1].lower(), a[2] or a[3] or a[4] or ""
                 if kind == "hidden":
                     names.add("hidden")
+                elif kind == "role":
+                    roles.add(value.strip().lower())
                 else:
                     names.update(_word.findall(_camel.sub(" ", value).lower()))
-            stack.append((name, frozenset(names)))
+            stack.append(_Open(name, names, roles, stack[-1] if stack else None, len(stack)))
+            count[name] = count.get(name, 0) + 1
     close()
     return out
 
 
-def block_features(b: Block, position: float) -> list[str]:
-    """Names of the features of a block: its ancestors, their class and id words, and its text."""
-    text = b.text
-    n_words = text.count(" ") + 1
-    out = ["bias"]
-    inner = [t for t in b.tags if t in BLOCK]
-    out += [f"in:{t}" for t in set(b.tags)]
-    out.append(f"leaf:{inner[-1] if inner else 'none'}")
-    if len(inner) > 1:
-        out.append(f"leaf2:{inner[-2]}>{inner[-1]}")
-    out += [f"name:{w}" for w in b.names]
-    out.append(f"words:{min(n_words.bit_length(), 8)}")
-    share = b.linked / max(len(text), 1)
-    out.append(f"linked:{0 if share < 0.05 else 1 if share < 0.3 else 2 if share < 0.7 else 3}")
-    out.append("stop" if text[-1] in ".!?…\"”»)" else "nostop")
-    if "©" in text or "(c)" in text[:20].lower():
-        out.append("copyright")
-    if position < 0.1:
-        out.append("early")
-    if position > 0.9:
-        out.append("late")
-    return out
+# Parts of class and id words that tell what an element is for, and words of its text that do.
+STEMS = "nav menu bread crumb head foot side aside widget relat recommend share social promo teaser advert sponsor banner cookie consent gdpr notice alert popup modal subscri newsletter login signup search form comment reply replies discuss disqus respond author bio tag meta legal copyright pagin article content post entry story body main text".split()
+SAYS = {
+    "menu": r"^(home|about|about us|contact|contact us|news|blog|services|products|login|log in|sign in|sign up|register|menu|search|next|previous|skip to (main )?content)\W*$",
+    "consent": r"\b(cookies?|gdpr|privacy policy|we use|accept all|consent)\b",
+    "news": r"\b(newsletter|subscribe|sign up|follow us|free trial|e-?mail address)\b",
+    "advert": r"\b(advertisement|advert|sponsored|promoted|buy now|% off|special offer|deal of)\b",
+    "rights": r"(©|\(c\)|copyright|all rights reserved|terms of (use|service)|imprint|powered by)",
+    "comment": r"\b(leave a (reply|comment)|post a comment|comments?\b.{0,12}$|replies|reply|says:|wrote:|join the discussion|log in to comment)",
+    "related": r"\b(related (posts|articles|stories)|you (may|might) also like|read (more|next|also)|recommended|share (this|on)|most (read|popular)|popular posts|trending|tags?:|posted (in|by)|filed under)\b",
+}
+_says = {k: re.compile(v, re.I) for k, v in SAYS.items()}
+_stem = re.compile("|".join(sorted(STEMS, key=len, reverse=True)))
+
+
+def _linked(b: Block) -> int:
+    share = b.linked / max(len(b.text), 1)
+    return 0 if share < 0.05 else 1 if share < 0.3 else 2 if share < 0.7 else 3
+
+
+def page_features(found: list[Block]) -> list[list[str]]:
+    """Names of the features of each block of a page: the elements around it, their class, id and role words and parts of these, its text, and the shape of its neighbours."""
+    own = []
+    many = max(len(found) - 1, 1)
+    shapes = [(_linked(b), min((b.text.count(" ") + 1).bit_length(), 8)) for b in found]
+    for i, b in enumerate(found):
+        text, (linked, words) = b.text, shapes[i]
+        out = ["bias", f"leaf:{b.leaf}", f"leaf2:{b.above}>{b.leaf}", f"words:{words}", f"linked:{linked}", f"shape:{words}:{linked}:{b.leaf}"]
+        out += [f"in:{t}" for t in b.tags]
+        out += [f"name:{w}" for w in b.names]
+        out += [f"role:{r}" for r in b.roles]
+        out += {f"stem:{x}" for w in b.names for x in _stem.findall(w)}
+        # phrases tell in short blocks only: articles may speak of anything
+        if len(text) < 200:
+            out += [f"says:{k}" for k, p in _says.items() if p.search(text)]
+        if not b.names and not b.roles:
+            out.append("plain")
+        out.append("stop" if text[-1] in ".!?…\"”»)" else "nostop")
+        for side, j in (("before", i - 1), ("after", i + 1)):
+            out.append(f"{side}:{shapes[j][1]}:{shapes[j][0]}" if 0 <= j < len(found) else f"{side}:none")
+        if i / many < 0.1:
+            out.append("early")
+        if i / many > 0.9:
+            out.append("late")
+        own.append(out)
+    return own
 
 
 class Chain:
@@ -173,7 +241,7 @@ class Chain:
 
     def main_text(self, page: str | None) -> str:
         found = blocks(page)
-        rows = [block_features(b, i / max(len(found) - 1, 1)) for i, b in enumerate(found)]
+        rows = page_features(found)
         return " ".join(b.text for b, y in zip(found, self.viterbi(rows), strict=True) if y)
 
 
@@ -234,8 +302,19 @@ COMMENTS = (("section", "comments"), ("div", "comment-list"), ("ol", "commentlis
 ARTICLES = (("article", ""), ("main", ""), ("div", "content"), ("div", "post entry-content"), ("div", "article-body"), ("section", "story"), ("div", "main-content"), ("article", "post"), ("div", "text"), ("div", ""), ("main", "page"))
 
 
-def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[str, str]]:
-    """(page, its main text), written from the layouts above with invented words, in a fixed order for a seed."""
+# Wording that pages have around their texts.
+PHRASES = {
+    "menu": ("Home", "About", "About us", "Contact", "News", "Blog", "Products", "Log in", "Sign up", "Search", "Archive", "Help"),
+    "consent": ("We use cookies to improve your visit.", "This site uses cookies. Accept all?", "By staying here you accept our privacy policy.", "We value your consent to cookies and similar things."),
+    "comment": ("Leave a reply", "Leave a comment", "Comments", "3 comments", "12 replies", "Join the discussion", "Post a comment", "What readers say"),
+    "related": ("Related posts", "Related articles", "You may also like", "Read more", "Recommended for you", "Share this", "Most read", "Popular posts", "Trending now"),
+    "advert": ("Advertisement", "Sponsored", "Ad", "Sponsored content", "Buy now and save", "Special offer: 20% off"),
+    "rights": ("&copy; 2024 All rights reserved.", "Copyright 2021 Example. Terms of use", "All rights reserved | Imprint", "Powered by Example"),
+}
+
+
+def labelled_pages(count: int = 500, seed: int = 11, odd: float = 0.0) -> list[tuple[str, str]]:
+    """(page, its main text), written from the layouts above with invented words, in a fixed order for a seed. odd: the share of elements whose class or id names are altered, some of them beyond knowing."""
     rng = random.Random(seed)
     syllables = "an be co der en fi gan ho in ka lo men ne or pa qui re st ti un ver wo".split()
 
@@ -253,16 +332,32 @@ def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[str, str]]:
     def short() -> str:
         return " ".join(word() for _ in range(rng.randint(1, 5))).capitalize()
 
-    def wrap(kind: tuple[str, str], inner: str) -> str:
+    def wrap(kind: tuple[str, str], inner: str, role: str = "") -> str:
         tag, names = kind
+        x = rng.random()
+        if names and x < odd / 10:  # names that say nothing, or a part of them
+            names = f"{word()[:2]}{rng.choice('bcdfgx')}-{rng.randint(1, 99)}"
+        elif names and x < odd:
+            names = rng.choice((f"g{names.split()[0]}", f"{word()}-{names.split()[-1]}-{rng.randint(1, 9)}", f"{names.split()[0]}s {word()}"))
+        if role and rng.random() < 0.3:
+            tag, names = "div" if rng.random() < 0.7 else tag, "" if rng.random() < 0.6 else names
+            return f'<{tag} role="{role}"{f" class={chr(34)}{names}{chr(34)}" if names else ""}>{inner}</{tag}>'
         attribute = f' {rng.choice(["class", "class", "id"])}="{names}"' if names else ""
         return f"<{tag}{attribute}>{inner}</{tag}>"
 
+    def phrase(kind: str) -> str:
+        return rng.choice(PHRASES[kind])
+
     def menu() -> str:
-        items = "".join(f'<li><a href="/{word()}">{short()}</a></li>' for _ in range(rng.randint(3, 9)))
+        label = short if rng.random() < 0.6 else lambda: phrase("menu")
+        items = "".join(f'<li><a href="/{word()}">{label()}</a></li>' for _ in range(rng.randint(3, 9)))
+        if rng.random() < 0.2:
+            return "".join(f'<{rng.choice(("p", "span", "div"))}><a href="/{word()}">{label()}</a></div>'.replace("</div>", "") for _ in range(rng.randint(3, 7)))
         return f"<ul>{items}</ul>" if rng.random() < 0.8 else " ".join(f'<a href="/{word()}">{short()}</a>' for _ in range(5))
 
     def aside() -> str:
+        if rng.random() < 0.25:
+            return f"<h3>{phrase('related')}</h3>{menu()}"
         return rng.choice((lambda: f"<h3>{short()}</h3>{menu()}", lambda: f"<p>{prose()}</p>", lambda: f"<h4>{short()}</h4><p>{sentence()}</p>", lambda: sentence()))()
 
     def form() -> str:
@@ -270,7 +365,9 @@ def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[str, str]]:
 
     def comment() -> str:
         tag = rng.choice(("h2", "h3", "h4", "p"))
-        head = f"<{tag}>{short()}</{tag}>" if rng.random() < 0.5 else ""
+        head = f"<{tag}>{short() if rng.random() < 0.4 else phrase('comment')}</{tag}>" if rng.random() < 0.6 else ""
+        if rng.random() < 0.2:
+            return head + form()
         return head + "".join(wrap((rng.choice(("div", "li", "article")), "comment"), f"<b>{short()}</b><p>{prose()}</p>") for _ in range(rng.randint(1, 5)))
 
     def article() -> tuple[str, list[str]]:
@@ -295,6 +392,9 @@ def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[str, str]]:
             elif x < 0.82:
                 texts.append(prose())
                 made.append(f"<blockquote><p>{texts[-1]}</p></blockquote>")
+            elif x < 0.835:
+                texts.append(sentence())
+                made.append(f'<p><a href="/{word()}">{texts[-1]}</a></p>')
             elif x < 0.86:
                 a = sentence()
                 texts.append(f"{a} {short()}")
@@ -303,7 +403,7 @@ def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[str, str]]:
                 texts.append(sentence())
                 made.append(f"<pre>{texts[-1]}</pre>")
             else:
-                made.append(wrap(rng.choice(ADVERTS + SIDES + NOTICES), aside()))
+                made.append(wrap(rng.choice(ADVERTS), phrase("advert")) if rng.random() < 0.3 else wrap(rng.choice(ADVERTS + SIDES + NOTICES), aside()))
         if rng.random() < 0.1:
             made.append(wrap(rng.choice(FOOTERS), rng.choice((short, sentence))()))
         return "".join(made), texts
@@ -311,11 +411,11 @@ def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[str, str]]:
     pages = []
     for _ in range(count):
         body, texts = article()
-        before = [wrap(rng.choice(HEADERS), rng.choice((short, lambda: f"<a href='/'>{short()}</a>", sentence))()) if rng.random() < 0.5 else "", wrap(rng.choice(MENUS), menu()) if rng.random() < 0.85 else ""]
-        before += [wrap(rng.choice(NOTICES), rng.choice((sentence, lambda: f"<p>{prose()}</p>"))()) if rng.random() < 0.4 else "", wrap(rng.choice(ADVERTS), rng.choice((sentence, prose, aside))()) if rng.random() < 0.5 else ""]
-        before += [wrap(rng.choice(FORMS), form()) if rng.random() < 0.3 else "", wrap(rng.choice(SIDES), aside()) if rng.random() < 0.3 else ""]
-        after = [wrap(rng.choice(SIDES), aside()) if rng.random() < 0.5 else "", wrap(rng.choice(COMMENTS), comment()) if rng.random() < 0.5 else "", wrap(rng.choice(FORMS), form()) if rng.random() < 0.3 else ""]
-        after += [wrap(rng.choice(ADVERTS), sentence()) if rng.random() < 0.3 else "", wrap(rng.choice(FOOTERS), rng.choice((lambda: f"&copy; {word()}.example &middot; {sentence()}", menu, lambda: f"<p>{sentence()}</p>"))()) if rng.random() < 0.85 else ""]
+        before = [wrap(rng.choice(HEADERS), role="banner", inner=rng.choice((short, lambda: f"<a href='/'>{short()}</a>", sentence))()) if rng.random() < 0.5 else "", wrap(rng.choice(MENUS), menu(), "navigation") if rng.random() < 0.85 else ""]
+        before += [wrap(rng.choice(NOTICES), rng.choice((sentence, lambda: phrase("consent"), lambda: f"<p>{phrase('consent')} {sentence()}</p>", lambda: f"<p>{prose()}</p>"))()) if rng.random() < 0.4 else "", wrap(rng.choice(ADVERTS), rng.choice((sentence, prose, aside, lambda: phrase("advert")))()) if rng.random() < 0.5 else ""]
+        before += [wrap(rng.choice(FORMS), form(), "search") if rng.random() < 0.3 else "", wrap(rng.choice(SIDES), aside(), "complementary") if rng.random() < 0.3 else ""]
+        after = [wrap(rng.choice(SIDES), aside(), "complementary") if rng.random() < 0.5 else "", wrap(rng.choice(COMMENTS), comment()) if rng.random() < 0.5 else "", wrap(rng.choice(FORMS), form()) if rng.random() < 0.3 else ""]
+        after += [wrap(rng.choice(ADVERTS), rng.choice((sentence, lambda: phrase("advert")))()) if rng.random() < 0.3 else "", wrap(rng.choice(FOOTERS), role="contentinfo", inner=rng.choice((lambda: phrase("rights"), lambda: f"&copy; {word()}.example &middot; {sentence()}", menu, lambda: f"<p>{sentence()}</p>"))()) if rng.random() < 0.85 else ""]
         rng.shuffle(before)
         rng.shuffle(after[:-1])
         outer = rng.choice((("", ""), ("", ""), ('<div id="page">', "</div>"), ('<div class="wrapper"><div class="container">', "</div></div>")))
@@ -331,7 +431,7 @@ def labelled_pages(count: int = 500, seed: int = 11) -> list[tuple[str, str]]:
                 pages.append((texts[0], texts[0]))
                 continue
         else:
-            inner = wrap(rng.choice(ARTICLES), body)
+            inner = wrap(rng.choice(ARTICLES), body, "main")
         page = f"<!DOCTYPE html><html><head><title>{short()}</title><style>p{{}}</style></head><body>{outer[0]}{''.join(before)}{inner}{''.join(after)}{outer[1]}</body></html>"
         pages.append((page, " ".join(texts)))
     return pages
@@ -346,15 +446,17 @@ def labelled_blocks(page: str, main: str) -> tuple[list[list[str]], list[int]]:
         ys.append(int(good))
         if good:
             at = hit + len(b.text)
-    return [block_features(b, i / max(len(found) - 1, 1)) for i, b in enumerate(found)], ys
+    return page_features(found), ys
 
 
 _trained: dict[int, Chain] = {}
 
 
-def default_chain(pages: int = 1600) -> Chain:
+def default_chain(pages: int = 2800) -> Chain:
     if pages not in _trained:
-        _trained[pages] = train([labelled_blocks(*p) for p in labelled_pages(pages)])
+        data = [labelled_blocks(*p) for p in [*labelled_pages(pages // 2), *labelled_pages(pages // 2, seed=12, odd=0.2)]]
+        # every third page without whole names, so that their parts, roles, elements and texts must do
+        _trained[pages] = train([([[f for f in r if not f.startswith("name:")] for r in rows] if i % 3 == 0 else rows, ys) for i, (rows, ys) in enumerate(data)])
     return _trained[pages]
 
 

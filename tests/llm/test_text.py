@@ -20,6 +20,66 @@ def test_crf_on_unseen_layouts():
     assert sum(chain.main_text(p) == m for p, m in pages) >= 0.88 * len(pages)
 
 
+def test_crf_on_altered_names():
+    """Blocks of pages whose class names are altered, some of them beyond knowing."""
+    chain, good, n = html_crf.default_chain(), 0, 0
+    for page, main in html_crf.labelled_pages(120, seed=78, odd=0.3):
+        rows, ys = html_crf.labelled_blocks(page, main)
+        good += sum(a == b for a, b in zip(ys, chain.viterbi(rows), strict=True))
+        n += len(ys)
+    assert good >= 0.95 * n
+
+
+HAND = [
+    (
+        """<html><body><div class="gnav"><a href=/>Home</a> <a href=/n>News</a> <a href=/c>Contact</a></div><div role="main"><h1>Title of it</h1><p>This is a long enough paragraph about something that happened in the town yesterday evening.</p>
+        <p><a href="/x">Read the full report of the commission here, in the archive of the town.</a></p><p>The second paragraph ends the story as it began.</p></div><div id="respond"><h3>Leave a reply</h3><form><textarea></textarea><button>Send</button></form></div></body></html>""",
+        "Title of it This is a long enough paragraph about something that happened in the town yesterday evening. Read the full report of the commission here, in the archive of the town. The second paragraph ends the story as it began.",
+    ),
+    (
+        """<body><div role=navigation><ul><li><a href=/a>Start</a><li><a href=/b>Shop</a></ul></div><div role=main><p>Rain fell on the hills for the third day in a row, and the river rose.</p><p>People moved their things upstairs.</p></div>
+        <div role=complementary><p>Weather box with a few words.</p></div><div role=contentinfo>Example Media Group, all rights reserved</div></body>""",
+        "Rain fell on the hills for the third day in a row, and the river rose. People moved their things upstairs.",
+    ),
+    ("<header>Masthead of the paper</header><nav><a href=/>Home</a></nav><article><h1>Short one</h1><p>It rained &amp; poured.</p></article><footer>&copy; 2024 The paper</footer>", "Short one It rained & poured."),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), HAND)
+def test_crf_on_pages_by_hand(page, want):
+    assert html_crf.default_chain().main_text(page) == want
+
+
+def test_scanner_stays_linear():
+    import time
+
+    def took(page):
+        began = time.perf_counter()
+        html_crf.blocks(page)
+        return time.perf_counter() - began
+
+    for make in (lambda n: "<button>x" * n, lambda n: "<div><span>" * n + "x", lambda n: "<div>" * n + "<li>x" * n, lambda n: "<b>" * n + "<p>x</p>" * n):
+        took(make(500))
+        assert took(make(16_000)) < 40 * max(took(make(1000)), 0.002)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables")
+def test_articles_of_the_tables(spark):
+    """The article of every page, as a plain reading of these pages' markup gives it."""
+    import html as h
+    import re
+
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    chain, seen = html_crf.default_chain(), 0
+    for r in rows:
+        m = re.search(r"<article>(.*?)</article>", r.html or "", re.S)
+        if m and not re.search(r"<(div|aside|nav|form|section|footer|header|script|style)\b", m[1]):
+            seen += 1
+            text = h.unescape(re.sub(r"<[^>]*>", " ", m[1]))
+            assert "".join(chain.main_text(r.html).split()) == "".join(text.split())
+    assert seen > 20
+
+
 def test_viterbi_is_the_best_path():
     rng = random.Random(2)
     for _ in range(50):
