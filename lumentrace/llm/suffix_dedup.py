@@ -5,16 +5,17 @@ Comparing every shard of documents with every other grows with the square of the
 1. Each window of `length` bytes is owned by its anchor, the k-gram with the smallest hash in it. Neighbouring windows with the
    same anchor form a fragment. Equal windows have equal anchors, so they meet in the shard of that anchor's hash. Fragments
    whose anchor hash occurs once in the corpus hold no repeated window and go no further.
-2. Equal fragments (by hash of their bytes) are pre-aggregated, in the batch first, then in the segment of the anchor: all but
-   the first are repeats from end to end. What is left of anchors with several distinct fragments, that is where passages begin
-   and end in different surroundings, is fetched from the texts.
+2. Of equal fragments (by hash of their bytes) the first two go on, in the batch first, then in the segment of the anchor; further
+   copies are pre-aggregated and lose what the second loses. The bytes of those that go on are fetched from the texts.
 3. A task reads these fragments in the order of their anchors and positions and cuts them into shards of bounded size. Each
    shard's suffix array comes from Larsson-Sadakane refinement, its common prefixes from Kasai's pass, and suffixes that share
-   `length` bytes form a class, of which all but the first are repeats. Where an anchor's fragments go on in the next shard,
-   the sorted windows of the earlier shards are searched by bisection.
-4. The repeated starts are gathered per document, and the bytes that they cover are removed.
+   `length` bytes form a class, of which all but the first are repeats.
+4. An anchor in very many surroundings is cut into pieces by document, each in a shard of its own and with any task. What these
+   shards have found new, their sorted windows, is dealt out by ranges of windows; there each piece's windows are searched by
+   bisection among those of the pieces before it.
+5. The repeated starts are gathered per document, and the bytes that they cover are removed.
 
-Memory of a task: one batch of texts, about 30 bytes for each fragment of a segment, one shard.
+Memory of a task: one batch of texts, about 30 bytes for each fragment of a segment, one shard, one range of windows.
 """
 
 from __future__ import annotations
@@ -34,6 +35,10 @@ GRAM = 24
 #: Starts handled at once; positions fit the low 24 bits of an anchor.
 CHUNK = 1 << 20
 SHARD_BYTES = 1 << 20
+#: Fragments of an anchor that stay in one shard.
+PIECE = 1024
+#: Bytes of text for which a segment of fragments is planned.
+SEGMENT_TEXT = 64 << 20
 _R = 0x9E3779B97F4A7C15
 _LOW = np.uint64(0xFFFFFF)
 _powers: dict[str, np.ndarray] = {}
@@ -87,6 +92,20 @@ def _order(docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.lexsort((starts, docs))
 
 
+def _ranked(doc: np.ndarray, start: np.ndarray, key: np.ndarray, frag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order by key, fragment and place, and which of these are copies beyond the second. A place that comes twice (rows that share an id) is one place."""
+    order = np.lexsort((start, doc, frag, key))
+    same = np.zeros(len(order), bool)
+    same[1:] = (key[order][1:] == key[order][:-1]) & (frag[order][1:] == frag[order][:-1])
+    twice = same.copy()
+    twice[1:] &= (doc[order][1:] == doc[order][:-1]) & (start[order][1:] == start[order][:-1])
+    order, same = order[~twice], same[~twice]
+    third = same.copy()
+    third[1:] &= same[:-1]
+    third[:1] = False
+    return order, third
+
+
 def _anchors(length: int, segments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,14 +121,8 @@ def _anchors(length: int, segments: int):
             if not cols[0]:
                 continue
             doc, start, size, key, frag = (np.concatenate(c).astype(t) for c, (_, t) in zip(cols, _FIELDS, strict=True))
-            # equal fragments of the batch: only the first goes to the segment
-            order = np.lexsort((start, doc, frag, key))
-            k, f, d, s = key[order], frag[order], doc[order], start[order]
-            same = (k[1:] == k[:-1]) & (f[1:] == f[:-1])
-            again = np.concatenate([[False], same])
-            # the same place twice is one place (rows that share an id)
-            place = np.concatenate([[False], same & (d[1:] == d[:-1]) & (s[1:] == s[:-1])])
-            order, again = order[~place], again[~place]
+            # of equal fragments of the batch the first two go to the segment
+            order, again = _ranked(doc, start, key, frag)
             segment = np.where(again, doc[order].view(np.uint64) % np.uint64(segments), key[order] % np.uint64(segments)).astype(np.int64)
             group = segment * 2 + again
             by = np.argsort(group, kind="stable")
@@ -124,16 +137,20 @@ def _anchors(length: int, segments: int):
     return run
 
 
-def _rows(doc: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+_FOUND = "doc long, start long, size int, key long, piece int"
+
+
+def _rows(doc: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray | None, piece: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     order = _order(doc, start)
     for at in range(0, len(order), 100_000):
         o = order[at : at + 100_000]
         keys = pa.nulls(len(o), pa.int64()) if key is None else pa.array(key[o].view(np.int64))
-        yield pa.RecordBatch.from_arrays([pa.array(doc[o]), pa.array(start[o].astype(np.int64)), pa.array(size[o].astype(np.int32)), keys], ["doc", "start", "size", "key"])
+        pieces = pa.nulls(len(o), pa.int32()) if piece is None else pa.array(piece[o].astype(np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array(doc[o]), pa.array(start[o].astype(np.int64)), pa.array(size[o].astype(np.int32)), keys, pieces], [c.split()[0] for c in _FOUND.split(", ")])
 
 
-def _decide():
-    """Rows (doc, start, size, key): repeats with a null key, and fragments whose bytes are needed with their key."""
+def _decide(most: int):
+    """Rows of _FOUND: repeats with a null key, and fragments whose bytes are needed with their key and their piece of an anchor of more than `most` fragments, -1 for others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list[np.ndarray]] = [[] for _ in _FIELDS]
@@ -149,6 +166,7 @@ def _decide():
             return
         doc, start, size, key, frag = (np.concatenate(c) for c in cols)
         del cols
+        # anchors that occur once are most; they go before anything else is sorted
         order = np.argsort(key)
         k = key[order]
         alone = np.ones(len(k), bool)
@@ -156,34 +174,42 @@ def _decide():
         alone[:-1] &= k[:-1] != k[1:]
         order = order[~alone]
         doc, start, size, key, frag = (x[order] for x in (doc, start, size, key, frag))
-        order = np.lexsort((start, doc, frag, key))
-        doc, start, size, key, frag = (x[order] for x in (doc, start, size, key, frag))
-        new_key = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-        first = new_key | np.concatenate([[True], frag[1:] != frag[:-1]])[: len(key)]
-        place = np.concatenate([[False], (doc[1:] == doc[:-1]) & (start[1:] == start[:-1])])[: len(key)] & ~first
-        again = ~first & ~place
+        if not len(key):
+            return
+        order, again = _ranked(doc, start, key, frag)
+        doc, start, size, key = (x[order] for x in (doc, start, size, key))
         yield from _rows(doc[again], start[again], size[again], None)
-        of = np.cumsum(new_key) - 1
-        distinct = np.bincount(of, weights=first)
-        need = first & (distinct[of] > 1) if len(key) else first
-        yield from _rows(doc[need], start[need], size[need], key[need])
+        doc, start, size, key = (x[~again] for x in (doc, start, size, key))
+        order = np.lexsort((start, doc, key))
+        doc, start, size, key = (x[order] for x in (doc, start, size, key))
+        first = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1])
+        count = np.diff(np.append(first, len(key)))
+        place = np.arange(len(key)) - np.repeat(first, count)
+        count = np.repeat(count, count)
+        need = count > 1
+        piece = np.where(count > most, place // most, -1)
+        yield from _rows(doc[need], start[need], size[need], key[need], piece[need])
 
     return run
 
 
+_PART = "key long, piece int, doc long, start long, part binary"
+
+
 def _fetch(length: int):
-    """(key, doc, start, bytes) of the needed fragments of each document."""
+    """_PART of the needed fragments of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for doc, text, need in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 for x in need:
                     part = text[x["start"] : x["start"] + x["size"] + length - 1]
                     if len(part) >= length:
-                        for col, v in zip(out, (x["key"], doc, x["start"], part), strict=True):
+                        for col, v in zip(out, (x["key"], x["piece"], doc, x["start"], part), strict=True):
                             col.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())], ["key", "doc", "start", "part"])
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], [c.split()[0] for c in _PART.split(", ")])
 
     return run
 
@@ -262,28 +288,29 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int, lanes: int = 20
 
 
 class Shards:
-    """Fragments in the order (key, doc, start), cut into shards; says which window starts are repeats."""
+    """Fragments in the order (key, piece, doc, start), cut into shards; says which window starts are repeats, and which windows of a cut anchor are new to its piece."""
 
     def __init__(self, length: int, most_bytes: int = SHARD_BYTES):
         self.length, self.most = length, most_bytes
-        self.rows: list[tuple[int, int, int, bytes]] = []
+        self.rows: list[tuple[int, int, int, int, bytes]] = []
         self.bytes = 0
-        self.open_key: int | None = None  # the key that went on beyond the last shard, and its windows so far
-        self.seen = np.zeros(0, f"S{length + 1}")
-
-    def add(self, key: int, doc: int, start: int, part: bytes) -> Iterator[tuple[int, int, int]]:
-        if self.bytes >= self.most:
-            yield from self.close(key)
-        self.rows.append((key, doc, start, part))
+        #: Of the last shard: (key, piece, doc, start, window), the windows of a piece in order.
+        self.fresh: list[tuple[int, int, int, int, bytes]] = []
+
+    def add(self, key: int, piece: int, doc: int, start: int, part: bytes) -> Iterator[tuple[int, int, int]]:
+        # all of a key, or of its piece, is in one shard
+        if self.bytes >= self.most and self.rows[-1][:2] != (key, piece):
+            yield from self.close()
+        self.rows.append((key, piece, doc, start, part))
         self.bytes += len(part)
 
-    def close(self, next_key: int | None = None) -> Iterator[tuple[int, int, int]]:
-        rows, self.rows, self.bytes = self.rows, [], 0
+    def close(self) -> Iterator[tuple[int, int, int]]:
+        rows, self.rows, self.bytes, self.fresh = self.rows, [], 0, []
         if not rows:
             return
         length = self.length
-        sizes = np.array([len(r[3]) for r in rows])
-        text = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
+        sizes = np.array([len(r[4]) for r in rows])
+        text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
         begin = np.cumsum(sizes) - sizes
         frag = np.repeat(np.arange(len(rows)), sizes)
         offset = np.arange(len(text)) - begin[frag]
@@ -294,7 +321,7 @@ class Shards:
         label = np.cumsum(share < length)[window[sa]]
         at = sa[window[sa]]
         # places in the order (doc, start), also across keys
-        docs, starts = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
+        docs, starts = np.array([r[2] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64)
         turn = np.empty(len(rows), np.int64)
         turn[_order(docs, starts)] = np.arange(len(rows))
         place = turn[frag[at]] * (1 << 20) + offset[at]
@@ -303,8 +330,11 @@ class Shards:
         repeat = place != least[np.cumsum(heads) - 1]
         bad = np.zeros(len(text), bool)
         bad[at[repeat]] = True
-        first = at[~repeat]
-        yield from self._across(rows, text, frag, first, bad, next_key)
+        # in the order of the suffix array, which is that of the windows
+        cut = np.array([r[1] for r in rows])
+        for i in at[~repeat & (cut[frag[at]] >= 0)].tolist():
+            key, piece, doc, start, _ = rows[frag[i]]
+            self.fresh.append((key, piece, doc, start + int(offset[i]), text[i : i + length].tobytes()))
         hits = np.nonzero(bad)[0]
         if len(hits):
             cuts = np.concatenate([[0], np.nonzero((np.diff(hits) > 1) | (np.diff(frag[hits]) > 0))[0] + 1, [len(hits)]])
@@ -312,47 +342,67 @@ class Shards:
                 f = frag[hits[a]]
                 yield int(docs[f]), int(starts[f] + offset[hits[a]]), b - a
 
-    def _across(self, rows, text, frag, first, bad, next_key) -> Iterator[tuple[int, int, int]]:
-        """Windows of an anchor whose fragments span shards: bisection in the sorted windows of the earlier shards, which hold earlier places."""
-        keys = np.array([r[0] for r in rows])
-
-        def windows(at: np.ndarray) -> np.ndarray:
-            grid = np.full((len(at), self.length + 1), 1, np.uint8)  # ends with a byte that is no padding
-            grid[:, : self.length] = text[at[:, None] + np.arange(self.length)]
-            return grid.view(f"S{self.length + 1}").ravel()
-
-        if self.open_key is not None and keys[0] == self.open_key and len(self.seen):
-            own = first[keys[frag[first]] == self.open_key]
-            found = windows(own)
-            where = np.minimum(np.searchsorted(self.seen, found), len(self.seen) - 1)
-            hit = self.seen[where] == found
-            bad[own[hit]] = True
-        if next_key is None or keys[-1] != next_key:
-            self.open_key, self.seen = None, self.seen[:0]
-        else:
-            own = first[(keys[frag[first]] == next_key)]
-            held = self.seen if self.open_key == next_key else self.seen[:0]
-            fresh_windows = windows(own[~bad[own]])
-            fresh_windows.sort()
-            self.seen = np.insert(held, np.searchsorted(held, fresh_windows), fresh_windows) if len(held) else fresh_windows
-            self.open_key = next_key
-        return
-        yield
+
+_SPANS = "doc long, start long, size int, key long, piece int, window binary"
 
 
 def _repeats(length: int, most_bytes: int):
-    def pack(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
-        a = np.array(rows, np.int64).reshape(-1, 3)
-        return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1]), pa.array(a[:, 2].astype(np.int32))], ["doc", "start", "size"])
+    """_SPANS: runs of repeated starts, without a window; and new windows of cut anchors."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+
+    def pack(spans: list[tuple[int, int, int]], fresh: list) -> pa.RecordBatch:
+        rows = [(*s, None, None, None) for s in spans] + [(doc, start, None, key, piece, w) for key, piece, doc, start, w in fresh]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], [c.split()[0] for c in _SPANS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = Shards(length, most_bytes)
         for batch in batches:
-            rows: list[tuple[int, int, int]] = []
-            for key, doc, start, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows += shards.add(key, doc, start, part)
-            yield pack(rows)
-        yield pack(list(shards.close()))
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                spans = list(shards.add(*row))
+                if spans or shards.fresh:
+                    yield pack(spans, shards.fresh)
+                    shards.fresh = []
+        spans = list(shards.close())
+        yield pack(spans, shards.fresh)
+
+    return run
+
+
+def _across(length: int):
+    """(doc, start, size) of windows that a piece before their own holds too. Input: (key, piece, window, doc, start), a range of a key's windows, by piece and window."""
+    kind = f"S{length + 1}"
+
+    def packed(windows: list[bytes]) -> np.ndarray:
+        return np.array([w + b"\x01" for w in windows], kind)  # ends with a byte that is no padding
+
+    def search(seen: np.ndarray, own: list[tuple[bytes, int, int]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
+        windows = packed([w for w, _, _ in own])
+        if not len(seen):
+            return windows, []
+        where = np.searchsorted(seen, windows)
+        hit = seen[np.minimum(where, len(seen) - 1)] == windows
+        return np.insert(seen, where[~hit], windows[~hit]), [(own[i][1], own[i][2]) for i in np.nonzero(hit)[0]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, seen, own = None, packed([]), []
+
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.int64()), pa.array([s for _, s in found], pa.int64()), pa.array([1] * len(found), pa.int32())], ["doc", "start", "size"])
+
+        for batch in batches:
+            found: list[tuple[int, int]] = []
+            for key, piece, window, doc, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (key, piece) != of:
+                    if own:
+                        seen, hits = search(seen, own)
+                        found += hits
+                    if of is not None and key != of[0]:
+                        seen = packed([])
+                    of, own = (key, piece), []
+                own.append((window, doc, start))
+            yield out(found)
+        if own:
+            yield out(search(seen, own)[1])
 
     return run
 
@@ -403,21 +453,26 @@ def _cut(at_text: int, at_spans: int, length: int, whole_chars: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int, most_bytes: int, scope: str) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int, most_bytes: int, most_fragments: int, scope: str) -> DataFrame:
     """(doc, start, size): runs of starts of windows that start earlier too. docs: (doc long, text string)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.mapInArrow(_anchors(length, parts), _PACKED)
-    found = staged(packed.repartition(parts, "segment").mapInArrow(_decide(), "doc long, start long, size int, key long"), scope)
-    need = found.where("key IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("start", "size", "key")).alias("need"))
-    bytes_of = docs.join(need, "doc").select("doc", "text", "need").mapInArrow(_fetch(length), "key long, doc long, start long, part binary")
-    shards = bytes_of.repartition(parts, "key").sortWithinPartitions("key", "doc", "start")
-    late = shards.mapInArrow(_repeats(length, most_bytes), "doc long, start long, size int")
-    return found.where("key IS NULL").select("doc", "start", "size").unionAll(late)
+    segments = max(parts, (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SEGMENT_TEXT + 1)
+    packed = docs.mapInArrow(_anchors(length, segments), _PACKED)
+    found = staged(packed.repartition(segments, "segment").mapInArrow(_decide(most_fragments), _FOUND), scope)
+    need = found.where("key IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("start", "size", "key", "piece")).alias("need"))
+    bytes_of = docs.join(need, "doc").select("doc", "text", "need").mapInArrow(_fetch(length), _PART)
+    shards = bytes_of.repartition(parts, "key", "piece").sortWithinPartitions("key", "piece", "doc", "start")
+    late = staged(shards.mapInArrow(_repeats(length, most_bytes), _SPANS), scope)
+    # a key's windows are cut into ranges, equal ones in one range
+    cut = late.where("window IS NOT NULL").select("key", "piece", "window", "doc", "start")
+    ranges = cut.repartitionByRange(parts, "key", "window").sortWithinPartitions("key", "piece", "window")
+    across = ranges.mapInArrow(_across(length), "doc long, start long, size int")
+    return found.where("key IS NULL").select("doc", "start", "size").unionAll(late.where("window IS NULL").select("doc", "start", "size")).unionAll(across)
 
 
 def dedup_substrings(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length: int = 100, whole_chars: bool = False,
-    shard_bytes: int = SHARD_BYTES, scope: str = "suffix_dedup",
+    shard_bytes: int = SHARD_BYTES, most_fragments: int = PIECE, scope: str = "suffix_dedup",
 ) -> DataFrame:
     """docs without text_col, with kept, n_bytes, n_removed and n_spans (long; columns so named are replaced).
 
@@ -425,11 +480,12 @@ def dedup_substrings(
     same text before) are removed; strings are judged on the input and never cross documents. kept is binary; with whole_chars
     it is a string, and code points covered only in part stay. Null texts are empty. Rows with a null id come before all others
     as one document. Rows that share an id count as one document, and what is removed from one is removed from all of them; a
-    row repeated as it is loses nothing to its twin. An empty table gives an empty one. Other columns pass through.
+    row repeated as it is loses nothing to its twin. Texts of any length are read whole; one shorter than length loses nothing. An
+    empty table gives an empty one. Other columns pass through.
     """
     docs = docs.drop(*(c for c in ("kept", "n_bytes", "n_removed", "n_spans") if c not in (id_col, text_col)))
     plain = docs.select(id_key(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    spans = repeated_spans(plain, length, shard_bytes, scope)
+    spans = repeated_spans(plain, length, shard_bytes, most_fragments, scope)
     k, s = fresh(docs, "__suffix_doc"), fresh(docs, "__suffix_spans")
     each = spans.groupBy(F.col("doc").alias(k)).agg(F.collect_list(F.struct("start", "size")).alias(s))
     joined = docs.withColumn(text_col, F.col(text_col).cast("string")).withColumn(k, id_key(id_col)).join(each, k, "left").select(*docs.columns, s)

@@ -112,10 +112,9 @@ def test_suffix_arrays_and_common_prefixes():
             assert shared[i] == n
 
 
-@pytest.mark.parametrize("shard", [1 << 20, 2000])
-@pytest.mark.parametrize("whole", [False, True])
-def test_substrings(docs, rows, shard, whole):
-    out = suffix_dedup.dedup_substrings(docs, whole_chars=whole, shard_bytes=shard).collect()
+@pytest.mark.parametrize(("shard", "most", "whole"), [(1 << 20, 1024, False), (2000, 1024, True), (2000, 2, False), (1 << 20, 1, True)])
+def test_substrings(docs, rows, shard, most, whole):
+    out = suffix_dedup.dedup_substrings(docs, whole_chars=whole, shard_bytes=shard, most_fragments=most).collect()
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept.encode() if whole else bytes(r.kept)) for r in out}
     want = brute.dedup_substrings(rows, whole_chars=whole)
     assert got == want and sum(x[1] > 0 for x in want.values()) > 5
@@ -127,7 +126,7 @@ def test_substrings_across_shards(spark):
     core = "".join(rng.choice("abcdefgh") for _ in range(90))
     noise = lambda: "".join(rng.choice("ABCDEFGH") for _ in range(60))
     rows = [(i, noise() + "xy"[i % 2] * 8 + core + "pq"[i % 3 % 2] * 8 + noise()) for i in range(80)]
-    out = suffix_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), shard_bytes=500)
+    out = suffix_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), shard_bytes=500, most_fragments=7)
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out.collect()} == brute.dedup_substrings(rows)
 
 
