@@ -113,8 +113,10 @@ def op7_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return site_quality.judge(docs, site_quality.train(docs, table(spark, sf_dir, "labels")))
+    """Learned from the labels whose crc32 leaves another remainder than 1; held_out marks the others."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = site_quality.judge(docs, site_quality.train(docs, labels.where(~held_out(F.col("doc_id")))))
+    return found.withColumn("held_out", held_out(F.col("doc_id")))
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,7 +94,8 @@ def judge(
     """A row for each row of docs: the id, host, path, document_score, host_score, path_score, score (double, 0 to 1) and kept (score >= keep_above).
 
     Null and empty texts have the score of a text without words. A null host or path is a group of its own. Repeated rows count
-    as often as they occur. A path of one document has its host's odds. An empty table gives an empty one. Extra columns are ignored.
+    as often as they occur. A path of one document has its host's odds. Texts of any length are read whole; equal texts of one path
+    have one score. A score of keep_above is kept. An empty table gives an empty one. Extra columns are ignored.
     """
     plain = docs.select(F.col(id_col).alias("id"), F.col(host_col).cast("string").alias("host"), F.col(path_col).cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
     p = 1 / (1 + F.exp(-F.col("logit")))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumentrace.llm.boosting import Trees, isotonic
+from lumentrace.llm.common import staged
 
 # Second-person words of English, German, French and Spanish.
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine deinen deiner euch euer eure ihr tu te toi ton ta tes vous votre vos vosotros ti usted ustedes tus su vuestra vuestro".split())
@@ -162,19 +163,34 @@ def _score(model):
     return run
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, most_rows: int = 8000) -> Model:
-    """A model from at most about most_rows labelled rows; labels without an id, a label of 0 or 1, or a document are ignored."""
+def train(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *, most_rows: int = 8000, most_bytes: int = 64 << 20, scope: str = "toxicity",
+) -> Model:
+    """A model from about most_rows labelled rows and most_bytes of text at most; labels without an id, a label of 0 or 1, or a document are ignored.
+
+    Rows are chosen by a hash of their id. Texts of more than a 64th of most_bytes are no training rows; where the others exceed
+    most_bytes, fewer rows are chosen. Every text is scored whole, whatever its length."""
     named = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IN (0, 1)").dropDuplicates(["id"])
     n = named.count()
     place = F.pmod(F.xxhash64("id"), F.lit(1 << 20))
-    picked = named.where(place < int(min(1.0, most_rows / max(n, 1)) * (1 << 20))).withColumn("fold", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(1 << 20)))
-    text = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = text.join(picked, "id").select("id", F.coalesce("text", F.lit("")).alias("text"), "label", "fold").toPandas().sort_values("id")
+    share = min(1.0, most_rows / max(n, 1))
+    picked = named.withColumn("place", place).where(F.col("place") < int(share * (1 << 20))).withColumn("fold", F.pmod(F.xxhash64("id", F.lit("fold")), F.lit(1 << 20)))
+    text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    rows = staged(text.where(F.octet_length("text") <= most_bytes // 64).join(picked, "id"), scope)
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most_bytes:
+        rows = rows.where(F.col("place") < int(share * most_bytes / size * (1 << 20)))
+    rows = rows.select("id", "text", "label", "fold").toPandas().sort_values(["id", "text"])
     return fit(rows["text"].tolist(), rows["label"].to_numpy(), rows["fold"].to_numpy().astype(np.int64))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row for each row of docs: the id and its score (double, 0 to 1). Null texts are empty; an empty text has a score as well. Extra columns are ignored."""
+    """A row for each row of docs: the id and its score (double, 0 to 1; the higher, the likelier it is toxic).
+
+    Null texts are empty; an empty text has a score as well, that of no features. Texts of any length are scored whole, equal texts
+    alike. Rows that share an id, or have none, have a row each; an empty table gives an empty one. Extra columns are ignored.
+    What cuts scores into classes counts a score at the cut as toxic.
+    """
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the training sample
     return plain.mapInArrow(_score(shared), T.StructType([plain.schema["id"]]).add("score", "double")).withColumnRenamed("id", id_col)

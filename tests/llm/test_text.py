@@ -275,6 +275,85 @@ def test_sparse_sites_shrink(spark, docs, rows, empty):
         assert (g.host_score.between(lo - 1e-6, hi + 1e-6)).all()
 
 
+def test_posteriors_are_those_of_a_plain_version(spark, docs, rows):
+    """Hosts, paths and scores anew from the documents' own evidence."""
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = site_quality.train(docs, labels)
+    out = [r.asDict() for r in site_quality.judge(docs, model).collect()]
+    total, n = sum(r["document_score"] for r in out), len(out)
+    mean = min(max(total / n, 1e-3), 1 - 1e-3)
+    strength = lambda k, within, between: min(max(mean * (1 - mean) / max(between - within, 1e-6) - 1, 2.0), 1000.0) if k > 1 else 50.0
+    hosts, paths = {}, {}
+    for r in out:
+        hosts.setdefault(r["host"], []).append(r["document_score"])
+        paths.setdefault((r["host"], r["path"]), []).append(r["document_score"])
+    avg = lambda v: sum(v) / len(v)
+    prior = strength(len(hosts), avg([mean * (1 - mean) / len(v) for v in hosts.values()]), avg([(avg(v) - mean) ** 2 for v in hosts.values()]))
+    host = {h: (sum(v) + prior * mean) / (len(v) + prior) for h, v in hosts.items()}
+    below = strength(len(paths), avg([host[h] * (1 - host[h]) / len(v) for (h, _), v in paths.items()]), avg([(avg(v) - host[h]) ** 2 for (h, _), v in paths.items()]))
+    logit = lambda p: np.log(p / (1 - p))
+    for r in out:
+        own = paths[r["host"], r["path"]]
+        assert r["host_score"] == pytest.approx(host[r["host"]]) and r["path_score"] == pytest.approx((sum(own) + below * host[r["host"]]) / (len(own) + below))
+        others = (sum(own) - r["document_score"] + below * host[r["host"]]) / (len(own) - 1 + below)
+        assert logit(r["score"]) == pytest.approx(logit(r["document_score"]) - logit(model.prior) + logit(min(max(others, 1e-4), 1 - 1e-4)), abs=1e-6)
+        assert r["kept"] == (r["score"] >= 0.5)
+
+
+def _plain_features(text, lexicon):
+    words = text.lower().split()
+    if not words:
+        return [0.0] * len(toxicity.FEATURES)
+    kinds = [lexicon.kind(w) for w in words]
+    strong, weak = [i for i, k in enumerate(kinds) if k & 3 == 2], [i for i, k in enumerate(kinds) if k & 3 == 1]
+    you, odd, n = [i for i, k in enumerate(kinds) if k & 4], [k for k in kinds if k & 8], len(words)
+    near = sum(any(abs(i - j) <= toxicity.NEAR for j in you) for i in strong)
+    raw = text.split()
+    stretched, i = 0, 0
+    while i < len(text):
+        if len(text) - i >= 3 and text[i] == text[i + 1] == text[i + 2] and (text[i].isalnum() or text[i] == "_"):
+            stretched, i = stretched + 1, i + 3
+        else:
+            i += 1
+    marks = sum(not (c.isalnum() or c == "_" or c.isspace()) for c in text)
+    return [
+        1000 * len(strong) / n, 1000 * len(weak) / n, len(strong), len(weak), near / max(len(strong), 1), 1000 * len(you) / n, max((sum(i <= j < i + 50 for j in strong) for i in strong), default=0),
+        1000 * len(odd) / n, sum(k & 3 > 0 for k in odd), 100 * sum(c.isupper() for c in text) / len(text), 100 * sum(w.isupper() for w in raw) / n, 1000 * text.count("!") / len(text), 100 * marks / len(text), 1000 * stretched / len(text), np.log1p(n),
+    ]
+
+
+def test_toxicity_scores_are_those_of_a_plain_version(spark, docs, rows):
+    labels = spark.createDataFrame([(i, 0, i % 3 // 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels)
+    assert model.trees is not None
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    texts = [(i, t or "") for i, t in rows]
+    for t in ("You IDIOT!!! you are 5tup1d, sooo bad", "clown. " * 60 + "you", "plain words of a sentence"):
+        assert toxicity.features(t, model.lexicon) == pytest.approx(_plain_features(t, model.lexicon))
+    for i, t in texts:
+        x = _plain_features(t, model.lexicon)
+        bins = [int(sum(c <= v for c in cuts)) for cuts, v in zip(model.trees.cuts, x, strict=True)]
+        raw = model.trees.base
+        for feature, cut, value in model.trees.trees:
+            at = 0
+            while feature[at] >= 0:
+                at = 2 * at + (2 if bins[feature[at]] > cut[at] else 1)
+            raw += model.trees.rate * value[at]
+        xs, ys = model.knots
+        assert got[i] == pytest.approx(min(max(float(np.interp(raw, xs, ys)), 0.0), 1.0), abs=1e-9)
+
+
+def test_toxicity_sample_is_bounded_in_bytes(spark):
+    d = spark.createDataFrame([(i, ("you idiot " if i % 2 else "fine day ") * (5000 if i == 7 else 20)) for i in range(400)], "doc_id long, text string")
+    seen = {}
+    keep, toxicity.fit = toxicity.fit, lambda texts, toxic, fold: seen.update(n=len(texts), size=sum(map(len, texts)), longest=max(map(len, texts)))
+    try:
+        toxicity.train(d, d.selectExpr("doc_id", "cast(doc_id % 2 as int) AS toxic"), most_bytes=40_000)
+    finally:
+        toxicity.fit = keep
+    assert 50 < seen["n"] < 250 and seen["size"] < 60_000 and seen["longest"] <= 40_000 // 64
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(5, 8))
