@@ -14,14 +14,14 @@ def status_counts(df: DataFrame, by: list[str], status: str, names: list[str]) -
 def index_quantile(df: DataFrame, by: list[str], value: str, index: Column, name: str) -> DataFrame:
     """The value at a place (from 0, an expression of n) in the sorted values of each group, without collecting groups.
 
-    Values are counted first; places come from running sums over distinct values."""
-    from pyspark.sql import Window
-
-    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    total = counted.groupBy(*by).agg(F.sum("_c").alias("n"))
-    placed = counted.withColumn("_to", F.sum("_c").over(w)).join(total, by)
-    return placed.where((F.col("_to") > index) & (F.col("_to") - F.col("_c") <= index)).select(*by, "n", F.col(value).alias(name))
+    Values are counted first; places come from sums over ranges of distinct values, so that a group is spread over many tasks."""
+    from lumentrace.operators.windows import sums_before
+
+    some = df.where(F.col(value).isNotNull())
+    total = some.groupBy(*by).agg(F.count("*").alias("n"))
+    counted = some.groupBy(*by, value).agg(F.count("*").alias("_c"))
+    placed = sums_before(counted, by, [value], "_c", "_from").join(total, by)
+    return placed.where((F.col("_from") <= index) & (F.col("_from") + F.col("_c") > index)).select(*by, "n", F.col(value).alias(name))
 
 
 def two_levels(df: DataFrame, inner: list[str], outer: list[str], sums: dict[str, Column], digits: int) -> DataFrame:

@@ -52,10 +52,28 @@ def keep_best(df: DataFrame, key: list[str], ok: str, turn: str) -> DataFrame:
     return df.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(F.col(ok).cast("int"), -F.col(turn))).alias("_r")).select(*key, *(F.col(f"_r.{c}").alias(c) for c in rest))
 
 
-def index_blocks(df: DataFrame, by: list[str], order: list, n: str, name: str = "idx_base") -> DataFrame:
+def sums_before(df: DataFrame, by: list[str], order: list[str], n: str, name: str, parts: int | None = None) -> DataFrame:
+    """name: the sum of n over the rows of the group that come before, in two levels: within ranges of the order, and over the sums of ranges.
+
+    No task sees more than a range of a group, however large groups are. by and order together should be unique."""
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartitionByRange(parts, *by, *order).withColumn("_p", F.spark_partition_id())
+    inside = Window.partitionBy("_p", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    spread = spread.withColumn("_in", F.coalesce(F.sum(n).over(inside), F.lit(0)))
+    # a row for each range of a group
+    sums = spread.groupBy("_p", *by).agg(F.sum(n).alias("_n"))
+    ahead = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_p", *(F.col(c).alias(f"_by_{c}") for c in by), F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before")) if by else sums.select("_p", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_before"))
+    sums = sums.withColumnRenamed("_p", "_q")
+    same = F.col("_p") == F.col("_q")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_by_{c}"))
+    return spread.join(sums, same).withColumn(name, F.col("_before") + F.col("_in")).drop("_p", "_q", "_in", "_before", *(f"_by_{c}" for c in by))
+
+
+def index_blocks(df: DataFrame, by: list[str], order: list[str], n: str, name: str = "idx_base") -> DataFrame:
     """name: 1 and what the rows before take, so that blocks of n numbers lie end to end."""
-    w = _w(by, order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn(name, 1 + F.coalesce(F.sum(n).over(w), F.lit(0)))
+    return sums_before(df, by, order, n, name).withColumn(name, F.col(name) + 1)
 
 
 def trail(df: DataFrame, by: list[str], order: list, valid: Column, value: Column, points: int) -> DataFrame:

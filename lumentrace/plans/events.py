@@ -88,7 +88,7 @@ e AS (SELECT *, unnest(range(1, pieces + 1)) AS piece FROM b)
 SELECT user_id, piece, pieces, idx_base + piece - 1 AS global_idx, round((piece - 1) * (d / pieces), 6) AS "offset" FROM e""",
 )
 def event_piece_split(spark, sf):
-    """Even pieces of each span with numbers that run on across spans. One row a user is ordered globally."""
+    """Even pieces of each span with numbers that run on across spans, by sums over ranges of users."""
     spans = _events(spark, sf).groupBy("user_id").agg(((F.max("us") - F.min("us")) / 3_600_000_000.0).alias("d"))
     x = W.index_blocks(spans.withColumn("pieces", S.piece_count(F.col("d"), 24.0)), [], ["user_id"], "pieces")
     x = W.even_pieces(x, "d", 24.0)

@@ -275,8 +275,9 @@ def candidate_pool(spark, sf):
 SELECT p_brand AS code_hash, count(*) AS releases, max_by(p_partkey, (p_size, p_partkey)) AS newest, min_by(p_partkey, (p_size, p_partkey)) AS oldest FROM part GROUP BY 1""",
 )
 def release_lookup(spark, sf):
-    x = J.by_hash(table(spark, sf, "part"), "p_brand", ["p_partkey"], ["p_size", "p_partkey"])
-    return x.select(F.col("p_brand").alias("code_hash"), F.size("releases").cast("long").alias("releases"), F.element_at("releases", 1)["p_partkey"].alias("newest"), F.element_at("releases", -1)["p_partkey"].alias("oldest"))
+    """How many releases a hash has, the newest and the oldest; no list of them is gathered."""
+    newest = F.struct("p_size", "p_partkey")
+    return table(spark, sf, "part").groupBy(F.col("p_brand").alias("code_hash")).agg(F.count("*").alias("releases"), F.max_by("p_partkey", newest).alias("newest"), F.min_by("p_partkey", newest).alias("oldest"))
 
 
 @book.add(

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lumentrace.functions import scalars as S
+from lumentrace.operators import windows as W
 from lumentrace.operators import contracts as C
 from lumentrace.plans.tables import Book, table
 
@@ -108,11 +109,11 @@ SELECT name, place FROM (SELECT name, row_number() OVER (ORDER BY coalesce(try_s
   SELECT DISTINCT CASE WHEN o_orderkey % 9 = 0 THEN 'bad_' || CAST(o_orderkey % 5 AS VARCHAR) ELSE strftime(o_orderdate, '%Y-%m-%d_%H') END AS name FROM orders))""",
 )
 def recording_sort(spark, sf):
-    """Recordings by the time in their name; unreadable names come first. One row a recording is ordered globally."""
+    """Recordings by the time in their name; unreadable names come first. Places come from ranges, not from one task."""
     name = F.when(F.col("o_orderkey") % 9 == 0, F.concat(F.lit("bad_"), (F.col("o_orderkey") % 5).cast("string"))).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd_HH"))
     d = table(spark, sf, "orders").select(name.alias("name")).distinct()
-    when = F.try_to_timestamp("name", F.lit("yyyy-MM-dd_HH"))
-    return d.select("name", F.row_number().over(Window.orderBy(when.asc_nulls_first(), "name")).cast("long").alias("place"))
+    when = F.coalesce(F.try_to_timestamp("name", F.lit("yyyy-MM-dd_HH")), F.lit("0001-01-01").cast("timestamp"))
+    return W.ranked(d.withColumn("at", when), ["at", "name"], "place").select("name", F.col("place").cast("long"))
 
 
 @book.add(
