@@ -1,17 +1,80 @@
-"""Tar archives and WAV audio as tables: a Python data source with one partition for each run of members."""
+"""Files by ranges of bytes, tar archives as tables with one partition for each range, WAV audio, and what MP4 files say of their length."""
 
 from __future__ import annotations
 
-import io
+import math
+import re
 import struct
-from collections.abc import Iterator
+import time
+import urllib.request
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 BLOCK = 512
+#: The longest name that an entry of its own may hold, in blocks with its header.
+NAME_BLOCKS = 17
+
+
+class FileRange:
+    """Ranges of a file that pyarrow's file systems can open: a local path, or a URI as of hdfs, s3 or gs."""
+
+    def __init__(self, path: str):
+        from pyarrow import fs
+
+        system, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+        self._f = system.open_input_file(inner)
+        self.size = self._f.size()
+
+    def read(self, offset: int, n: int) -> bytes:
+        return self._f.read_at(max(0, min(n, self.size - offset)), offset) if offset < self.size else b""
+
+    def close(self) -> None:
+        self._f.close()
+
+
+class HttpRange:
+    """Ranges of a file behind an address. A read is tried `retries` times and must have the length asked for; where the address leads is asked anew after `fresh` seconds."""
+
+    def __init__(self, url: str, retries: int = 5, fresh: float = 600.0, token: str = "", pause: float = 1.0):
+        self.url, self.retries, self.fresh, self.pause = url, retries, fresh, pause
+        self.headers = {"Authorization": f"Bearer {token}"} if token else {}
+        self._to, self._at, self.size = url, 0.0, -1
+        self._resolve()
+
+    def _resolve(self) -> None:
+        with urllib.request.urlopen(urllib.request.Request(self.url, method="HEAD", headers=self.headers), timeout=60) as r:
+            self._to, self._at, self.size = r.url, time.monotonic(), int(r.headers["Content-Length"])
+
+    def read(self, offset: int, n: int) -> bytes:
+        n = max(0, min(n, self.size - offset))
+        if not n:
+            return b""
+        for attempt in range(self.retries):
+            try:
+                if time.monotonic() - self._at > self.fresh:
+                    self._resolve()
+                ask = urllib.request.Request(self._to, headers={"Range": f"bytes={offset}-{offset + n - 1}"} | (self.headers if self._to == self.url else {}))
+                with urllib.request.urlopen(ask, timeout=120) as r:
+                    data = r.read()
+                if len(data) == n:
+                    return data
+            except OSError:
+                self._at = -math.inf  # another address may work
+            time.sleep(self.pause * attempt)
+        raise OSError(f"{n} bytes at {offset} not read in {self.retries} attempts")
+
+    def close(self) -> None:
+        pass
+
+
+def open_range(path: str) -> FileRange | HttpRange:
+    return HttpRange(path) if path.startswith(("http://", "https://")) else FileRange(path)
 
 
 def _number(field: bytes) -> int:
@@ -20,19 +83,69 @@ def _number(field: bytes) -> int:
     return int(field.strip(b"\0 ") or b"0", 8)
 
 
-def headers(f: io.BufferedIOBase, start: int = 0, end: int | None = None) -> Iterator[tuple[str, int, int]]:
-    """(name, offset of the content, size) of the files of a tar archive; long names are read, contents are skipped."""
+def is_header(h: bytes) -> bool:
+    """Whether a block is a tar header, by its checksum."""
+    if len(h) < BLOCK or not h.strip(b"\0"):
+        return False
+    try:
+        return _number(h[148:156]) == sum(h) - sum(h[148:156]) + 8 * 32 and _number(h[124:136]) >= 0
+    except ValueError:
+        return False
+
+
+def _blocks(size: int) -> int:
+    return -(-size // BLOCK) * BLOCK
+
+
+def _windows(source, window: int):
+    """read(at, n) of a source in larger windows."""
+    base, buf = 0, b""
+
+    def read(at: int, n: int) -> bytes:
+        nonlocal base, buf
+        if not base <= at <= at + n <= base + len(buf):
+            base, buf = at, source.read(at, max(n, window))
+        return buf[at - base : at - base + n]
+
+    return read
+
+
+def first_header(source, start: int, window: int = 1 << 20) -> int | None:
+    """Where the first entry begins at or after start, a multiple of BLOCK. A file behind a long name belongs to the entry of that name."""
+    read = _windows(source, window)
+    at = -(-start // BLOCK) * BLOCK
+    while at < source.size:
+        if is_header(read(at, BLOCK)):
+            owned = False
+            for back in range(2, NAME_BLOCKS + 1):
+                before = at - back * BLOCK
+                if before < 0:
+                    break
+                h = source.read(before, BLOCK) if before < start else b""
+                if is_header(h) and h[156:157] == b"L" and before + BLOCK + _blocks(_number(h[124:136])) == at:
+                    owned = True
+                    break
+            if not owned:
+                return at
+            at += BLOCK + _blocks(_number(read(at, BLOCK)[124:136]))
+            continue
+        at += BLOCK
+    return None
+
+
+def headers(source, start: int = 0, end: int | None = None, window: int = 64 << 10) -> Iterator[tuple[str, int, int]]:
+    """(name, offset of the content, size) of the files whose entry begins before end; long names are read, contents are skipped. start must be the beginning of an entry."""
+    read = _windows(source, window)
     at, long_name = start, None
-    while end is None or at < end:
-        f.seek(at)
-        h = f.read(BLOCK)
+    while long_name is not None or end is None or at < end:
+        h = read(at, BLOCK)
         if len(h) < BLOCK or not h.strip(b"\0"):
             return
         size, kind = _number(h[124:136]), h[156:157]
         body = at + BLOCK
-        at = body + -(-size // BLOCK) * BLOCK
+        at = body + _blocks(size)
         if kind == b"L":
-            long_name = f.read(size).split(b"\0")[0].decode("utf-8", "replace")
+            long_name = read(body, size).split(b"\0")[0].decode("utf-8", "replace")
             continue
         name, prefix = (x.split(b"\0")[0].decode("utf-8", "replace") for x in (h[:100], h[345:500] if h[257:262] == b"ustar" else b""))
         if kind in (b"0", b"\0", b""):
@@ -40,47 +153,91 @@ def headers(f: io.BufferedIOBase, start: int = 0, end: int | None = None) -> Ite
         long_name = None
 
 
-class _Members(InputPartition):
-    def __init__(self, path: str, members: list[tuple[str, int, int]]):
-        self.path, self.members = path, members
+def entries_from(source, start: int, end: int | None = None) -> Iterator[tuple[str, int, int]]:
+    """headers() from the first entry at or after start."""
+    at = first_header(source, start)
+    return iter(()) if at is None or (end is not None and at >= end) else headers(source, at, end)
+
+
+def tail_entries(source, enough: Callable[[list[tuple[str, int, int]]], bool], first: int = 16 << 20, most: int = 512 << 20) -> list[tuple[str, int, int]]:
+    """Entries of the end of an archive: a tail that doubles until they are enough, all is read, or it has `most` bytes."""
+    n = first
+    while True:
+        found = list(entries_from(source, max(0, source.size - n)))
+        if enough(found) or n >= source.size or n >= most:
+            return found
+        n *= 2
+
+
+def boundary(source, is_left: Callable[[list[tuple[str, int, int]]], bool], probe: int = 4 << 20, steps: int = 20) -> tuple[int, int]:
+    """(lo, hi) around the place where entries cease to be left, by bisection with windows of probe bytes, at most `steps` of them."""
+    lo, hi = 0, source.size
+    for _ in range(steps):
+        if hi - lo < probe:
+            break
+        middle = (lo + hi) // 2 // BLOCK * BLOCK
+        if is_left(list(entries_from(source, middle, middle + probe))):
+            lo = middle
+        else:
+            hi = middle
+    return lo, hi
+
+
+def section(source, is_left: Callable, wanted: Callable[[str], bool], probe: int = 4 << 20, windows: int = 6) -> tuple[str, int, int] | None:
+    """The first wanted entry behind a boundary, sought in some windows there, else by all headers from the start."""
+    lo, _ = boundary(source, is_left, probe)
+    for e in entries_from(source, lo, lo + windows * probe):
+        if wanted(e[0]):
+            return e
+    return next((e for e in headers(source) if wanted(e[0])), None)
+
+
+class _Part(InputPartition):
+    def __init__(self, path: str, start: int, end: int | None):
+        self.path, self.start, self.end = path, start, end
 
 
 class _Reader(DataSourceReader):
     def __init__(self, schema, options):
         self.names = [f.name for f in schema.fields]
-        self.path, self.suffix = options["path"], options.get("suffix", "")
-        self.size = int(options.get("partition_bytes", 64 << 20))
+        self.paths = [p for p in options["path"].split(",") if p]
+        self.suffix, self.holds = options.get("suffix", ""), options.get("contains", "")
+        self.start, self.end = int(options.get("start", 0)), int(options["end"]) if "end" in options else None
+        self.size = max(BLOCK, int(options.get("partition_bytes", 64 << 20)) // BLOCK * BLOCK)
 
     def partitions(self):
-        out, members, size = [], [], 0
-        with open(self.path, "rb") as f:
-            for m in headers(f):
-                if not m[0].endswith(self.suffix):
-                    continue
-                members.append(m)
-                size += m[2]
-                if size >= self.size:
-                    out.append(_Members(self.path, members))
-                    members, size = [], 0
-        return [*out, _Members(self.path, members)]
+        """Ranges of bytes; no header is read here."""
+        out = []
+        for path in self.paths:
+            source = open_range(path)
+            end = min(source.size, self.end) if self.end is not None else source.size
+            source.close()
+            out += [_Part(path, at, min(at + self.size, end)) for at in range(self.start // BLOCK * BLOCK, end, self.size)]
+        return out or [_Part("", 0, 0)]
 
     def read(self, part):
-        with open(part.path, "rb") as f:
-            for name, at, size in part.members:
-                f.seek(at)
-                row = {"name": name, "offset": at, "size": size, "content": f.read(size) if "content" in self.names else None}
+        if not part.path:
+            return
+        source = open_range(part.path)
+        for name, at, size in entries_from(source, part.start, part.end):
+            if name.endswith(self.suffix) and self.holds in name:
+                row = {"path": part.path, "name": name, "offset": at, "size": size, "content": source.read(at, size) if "content" in self.names else None}
                 yield tuple(row[n] for n in self.names)
+        source.close()
 
 
 class TarSource(DataSource):
-    """Format "tar": option path, a file all machines can open; suffix keeps members of a name ending; a schema without content reads headers only."""
+    """Format "tar": files of archives. Tasks find and walk the headers of a range of bytes each; an archive in an archive, uncompressed, is not told apart from its outside where a range begins within it.
+
+    Options: path, one or several with commas between, local or with a scheme; suffix and contains keep members by name; start and end, a range
+    of bytes; partition_bytes. A schema without content reads headers only."""
 
     @classmethod
     def name(cls):
         return "tar"
 
     def schema(self):
-        return "name string, offset long, size long, content binary"
+        return "path string, name string, offset long, size long, content binary"
 
     def reader(self, schema):
         return _Reader(schema, self.options)
@@ -90,6 +247,73 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(TarSource)
 
 
+def inventory(spark: SparkSession, root: str, pattern: str = "", below: str = "") -> DataFrame:
+    """(path, size, modified) of the files under a folder of any file system that Spark reads, in order; contents are never read. below: a folder in it to which the listing is confined; pattern: a regular expression for the path behind root."""
+    place = f"{root.rstrip('/')}/{below.strip('/')}".rstrip("/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(place).select(F.col("path"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    bare = re.sub(r"^\w+:/*", "", root.rstrip("/")).lstrip("/")
+    inner = F.substring_index("path", f"{bare}/", -1)
+    return files.withColumn("path", inner).where(F.col("path").rlike(pattern) if pattern else F.lit(True)).orderBy("path")
+
+
+def mp4_durations(source) -> dict[str, float]:
+    """Seconds by kind of track (vide, soun, ...) of an MP4 file, from its moov box alone; the container's own duration is not looked at."""
+
+    def boxes(at: int, end: int, read) -> Iterator[tuple[bytes, int, int]]:
+        while at + 8 <= end:
+            size, kind = struct.unpack(">I4s", read(at, 8))
+            body = at + 8
+            if size == 1:
+                size, body = struct.unpack(">Q", read(body, 8))[0], at + 16
+            size = size or end - at
+            if size < 8:
+                return
+            yield kind, body, min(at + size, end)
+            at += size
+
+    for kind, a, b in boxes(0, source.size, source.read):
+        if kind != b"moov":
+            continue
+        data = source.read(a, b - a)
+        read = lambda at, n: data[at : at + n]
+        out: dict[str, float] = {}
+        for trak, ta, tb in boxes(0, len(data), read):
+            if trak != b"trak":
+                continue
+            for mdia, ma, mb in boxes(ta, tb, read):
+                if mdia != b"mdia":
+                    continue
+                what, seconds = None, None
+                for name, x, _ in boxes(ma, mb, read):
+                    if name == b"hdlr":
+                        what = data[x + 8 : x + 12].decode("latin-1")
+                    elif name == b"mdhd":
+                        scale, length = struct.unpack_from(">IQ", data, x + 20) if data[x] else struct.unpack_from(">II", data, x + 12)
+                        seconds = length / scale if scale else None
+                if what and seconds is not None:
+                    out[what] = max(seconds, out.get(what, 0.0))
+        return out
+    return {}
+
+
+def probed(files: DataFrame, path: str = "path") -> DataFrame:
+    """files with duration_sec of their video track; null where there is none, or the file is no MP4."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            seconds = []
+            for p in b[path]:
+                try:
+                    source = open_range(p)
+                    seconds.append(mp4_durations(source).get("vide"))
+                    source.close()
+                except (OSError, struct.error):
+                    seconds.append(None)
+            yield b.assign(duration_sec=pd.Series(seconds, dtype="float64", index=b.index))
+
+    return files.mapInPandas(run, T.StructType([*files.schema.fields, T.StructField("duration_sec", T.DoubleType())]))
+
+
 def wav_chunks(data: bytes) -> tuple[int, int, int, int, int]:
     """(rate, channels, bits, offset of the samples, their bytes); a WAV without format or data is an error."""
     if data[:4] != b"RIFF" or data[8:12] != b"WAVE":
@@ -126,3 +350,26 @@ def rms_frames(data: bytes, millis: int = 30) -> np.ndarray:
 def rms_batch(contents: pd.Series) -> pd.Series:
     """For a pandas UDF over binary WAV contents; null stays null."""
     return contents.map(lambda b: None if b is None else rms_frames(bytes(b)).tolist())
+
+
+def resampled(samples: np.ndarray, rate: int, to: int = 16_000) -> np.ndarray:
+    """16-bit samples at another rate by linear interpolation; of equal rate as they are."""
+    if rate == to or not len(samples):
+        return samples.astype("<i2")
+    n = len(samples) * to // rate
+    return np.rint(np.interp(np.arange(n) * (rate / to), np.arange(len(samples)), samples.astype(float))).astype("<i2")
+
+
+def wav_of(samples: np.ndarray, rate: int = 16_000) -> bytes:
+    """A WAV file of one channel of 16-bit samples."""
+    data = samples.astype("<i2").tobytes()
+    return b"RIFF" + struct.pack("<I", 36 + len(data)) + b"WAVEfmt " + struct.pack("<IHHIIHH", 16, 1, 1, rate, 2 * rate, 2, 16) + b"data" + struct.pack("<I", len(data)) + data
+
+
+def slice_16k(data: bytes, start: float, seconds: float) -> bytes:
+    """A stretch of a 16-bit WAV file as one of one channel at 16 kHz."""
+    rate, channels, bits, _, _ = wav_chunks(data)
+    if bits != 16:
+        raise ValueError("16 bits only")
+    x = np.frombuffer(pcm_slice(data, start, seconds), "<i2").reshape(-1, channels).mean(axis=1)
+    return wav_of(resampled(x, rate))

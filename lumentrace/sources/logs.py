@@ -71,6 +71,36 @@ def subtitles(spark: SparkSession, path: str) -> DataFrame:
     return x.select("path", "n", sec(1).alias("start_sec"), sec(5).alias("end_sec"), F.trim(F.regexp_replace(g(9), r"\s+", " ")).alias("text"))
 
 
+def dense_captions(spark: SparkSession, path: str, clips: DataFrame) -> DataFrame:
+    """(clip_id, t_start, t_end, text): captions of hour files that share time with clips (clip_id, participant, day, start_sec, end_sec), counted from the clip's start.
+
+    Files are named PARTICIPANT_DAYn_HHMMSSCC.srt; their times count from that hour. Captions without text, and those that only touch, are left out."""
+    shape = r"([^/]+)_DAY(\d+)_(\d{2})\d{6}\.srt$"
+    part = lambda i: F.regexp_extract("path", shape, i)
+    srt = subtitles(spark, path).where(F.col("path").rlike(shape) & (F.col("text") != ""))
+    base = part(3).cast("int") * 3600
+    srt = srt.select(part(1).alias("participant"), part(2).cast("int").alias("day"), (base + F.col("start_sec")).alias("a"), (base + F.col("end_sec")).alias("b"), "text", part(3).cast("int").alias("hour"))
+    # a clip meets the files of the hours that it reaches
+    c = clips.withColumn("hour", F.explode(F.sequence(F.floor(F.col("start_sec") / 3600).cast("int"), F.floor(F.col("end_sec") / 3600).cast("int"))))
+    x = c.join(srt, ["participant", "day", "hour"]).where((F.col("b") > F.col("start_sec")) & (F.col("a") < F.col("end_sec")))
+    return x.select("clip_id", F.greatest(F.lit(0.0), F.col("a") - F.col("start_sec")).alias("t_start"), F.least(F.col("end_sec") - F.col("start_sec"), F.col("b") - F.col("start_sec")).alias("t_end"), "text")
+
+
+def recordings(spark: SparkSession, root: str, participant: str, day: int, start: float | None = None, end: float | None = None, length: float = 30.0, gap: float = 35.0) -> DataFrame:
+    """(path, clip_id, start_sec, is_break): the clips of a participant's day by file name, those that reach into start to end seconds of the day, each taken to be `length` long; is_break where more than gap lies between two starts. No file is opened."""
+    from lumentrace.functions.scalars import clip_parts
+    from lumentrace.operators.windows import with_breaks
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"DAY{day}_{participant}_*.mp4").load(root).select("path")
+    x = files.withColumn("clip_id", F.regexp_extract("path", r"([^/]+)\.mp4$", 1)).withColumn("p", clip_parts(F.col("clip_id"))).where((F.col("p.participant") == participant) & (F.col("p.day") == day))
+    x = x.select("path", "clip_id", (F.col("p.hh") * 3600 + F.col("p.mm") * 60 + F.col("p.ss") + F.col("p.cs") / 100.0).alias("start_sec"))
+    if start is not None:
+        x = x.where(F.col("start_sec") + length > start)
+    if end is not None:
+        x = x.where(F.col("start_sec") < end)
+    return with_breaks(x.withColumn("_all", F.lit(1)), ["_all"], "start_sec", gap, ["start_sec", "clip_id"]).drop("_all")  # a day of one participant
+
+
 # Lines of transcripts, with absolute times and a zone, or with hours and minutes, seconds optional, from the recording's start.
 ABSOLUTE_LINE = r"^\[(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})(?: [A-Z]{2,4})? -> (\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2})(?: [A-Z]{2,4})?\]\s*(.*)$"
 RELATIVE_LINE = r"^\[(\d{1,2}):(\d{2})(?::(\d{2}))?\s*[-\u2013\u2014]\s*(\d{1,2}):(\d{2})(?::(\d{2}))?\]\s*(.*)$"

@@ -46,6 +46,45 @@ def write_bounded(df: DataFrame, path: str, most_rows: int = MOST_ROWS, most_byt
     lines.write.mode("errorifexists").text(path)
 
 
+def finite_json(df: DataFrame, json: str = "value") -> DataFrame:
+    """(json): each row as a JSON object; a number that is not finite fails the query, as JSON has none."""
+    from pyspark.sql import types as T
+
+    def checked(c, kind):
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            return F.when(c.isNull() | ~(F.isnan(c) | (F.abs(c) == float("inf"))), c).otherwise(F.raise_error(F.lit("a number that is not finite")).cast(kind))
+        if isinstance(kind, T.StructType):
+            return F.when(c.isNotNull(), F.struct(*(checked(c[f.name], f.dataType).alias(f.name) for f in kind.fields)))
+        if isinstance(kind, T.ArrayType):
+            return F.transform(c, lambda x: checked(x, kind.elementType))
+        return c
+
+    return df.select(F.to_json(F.struct(*(checked(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields))).alias(json))
+
+
+def write_documents(df: DataFrame, path: str) -> None:
+    """JSON lines that are there whole or not at all: the files of a job appear when all of it has succeeded, and nothing is replaced."""
+    finite_json(df).write.mode("errorifexists").text(path)
+
+
+def export_finals(finals: DataFrame, fingerprint: str, path: str) -> None:
+    """The valid final documents of a run (clip_index, fingerprint, ok, document) as JSON lines in the order of their clips."""
+    valid_finals(finals, fingerprint).select("document").write.mode("errorifexists").text(path)
+
+
+def valid_finals(finals: DataFrame, fingerprint: str) -> DataFrame:
+    """Finals that are sound and of the run's fingerprint, in the order of their clips."""
+    return finals.where(F.col("ok") & (F.col("fingerprint") == fingerprint) & F.try_parse_json("document").isNotNull()).orderBy("clip_index")
+
+
+def write_outputs(recordings: DataFrame, segments: DataFrame, root: str) -> None:
+    """The outputs of a day: recordings as JSON, their segments as JSON lines in order, and as text (recording, start, text)."""
+    write_documents(recordings, f"{root}/recordings")
+    finite_json(segments.orderBy("recording", "start")).write.mode("errorifexists").text(f"{root}/segments")
+    line = F.concat_ws(" ", F.concat(F.lit("["), F.col("start").cast("string"), F.lit("]")), "text")
+    segments.orderBy("recording", "start").select("recording", line.alias("value")).write.mode("errorifexists").partitionBy("recording").text(f"{root}/text")
+
+
 def write_ordered(frames: dict[str, DataFrame], root: str, order: str) -> None:
     """Each table as JSON lines in the order of one column, in files whose names sort the same way."""
     for name, df in frames.items():
