@@ -266,12 +266,82 @@ def merged_votes(items: DataFrame, runs: DataFrame) -> DataFrame:
     return g.join(k, "clip_id").select("clip_id", "label", "text", F.concat_ws("/", F.col("n").cast("string"), F.col("k").cast("string")).alias("votes"), conf.alias("confidence"))
 
 
-def recording_rollup(clips: DataFrame) -> DataFrame:
+def recording_rollup(clips: DataFrame, digits: int = 4) -> DataFrame:
     """(recording, clips, ok, first_clip, last_clip, tokens, usd) of clips (recording, clip_id, start, ok, input_tokens, output_tokens, deferred)."""
     from lumentrace.functions.scalars import cost
 
-    usd = cost(F.sum("input_tokens"), F.sum("output_tokens"), F.first("deferred"))
+    usd = cost(F.sum("input_tokens"), F.sum("output_tokens"), F.first("deferred"), digits)
     return clips.groupBy("recording").agg(
         F.count("*").alias("clips"), F.count_if("ok").alias("ok"), F.min_by("clip_id", "start").alias("first_clip"), F.max_by("clip_id", "start").alias("last_clip"),
         (F.sum("input_tokens") + F.sum("output_tokens")).alias("tokens"), usd.alias("usd"),
     )
+
+
+def grouped_objects(items: DataFrame, synonyms: DataFrame, runs: DataFrame) -> DataFrame:
+    """(clip_id, label, start, end, votes, confidence, attributes) of objects that several runs have seen.
+
+    items: clip_id, call_index, label, start, end, uncertain, attribute. synonyms: label, kind (labels of a kind are synonyms or hyponyms), specific (the larger, the more
+    specific). Items of a clip are one object if their labels are of a kind and their times overlap, also through others; an object has the most specific label and all
+    attributes. high: all runs, none uncertain, one label; low: one run of several, or all uncertain; else medium. runs: (clip_id, call_index)."""
+    from pyspark.sql import Window
+
+    k = runs.groupBy("clip_id").agg(F.count_distinct("call_index").alias("k"))
+    x = items.join(synonyms, "label", "left").withColumn("kind", F.coalesce("kind", "label")).withColumn("specific", F.coalesce("specific", F.lit(0)))
+    order = Window.partitionBy("clip_id", "kind").orderBy("start", "end", "call_index", "label")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    x = x.withColumn("_new", F.coalesce((F.col("start") >= reach).cast("long"), F.lit(1).cast("long"))).withColumn("_group", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    g = x.groupBy("clip_id", "kind", "_group").agg(
+        F.max_by("label", F.struct("specific", F.length("label"), "label")).alias("label"), F.min("start").alias("start"), F.max("end").alias("end"), F.count_distinct("call_index").alias("n"),
+        F.count_if("uncertain").alias("u"), F.count("*").alias("m"), F.count_distinct("label").alias("labels"), F.sort_array(F.collect_set("attribute")).alias("attributes"),
+    )
+    g = g.join(k, "clip_id")
+    low = ((F.col("n") <= 1) & (F.col("k") > 1)) | (F.col("u") == F.col("m"))
+    conf = F.when(low, "low").when((F.col("n") >= F.col("k")) & (F.col("u") == 0) & (F.col("labels") == 1), "high").otherwise("medium")
+    return g.select("clip_id", "label", "start", "end", F.concat_ws("/", F.col("n").cast("string"), F.col("k").cast("string")).alias("votes"), conf.alias("confidence"), "attributes")
+
+
+def audited_objects(objects: DataFrame, entries: DataFrame) -> DataFrame:
+    """(object, label, bucket): each object with the longest label that it holds or is held by, the first on ties, and the bucket of its votes; "left" without one.
+
+    objects: object. entries: label, pos, votes as n/k, or "new" for what no run has voted for. What is left goes to a model."""
+    from lumentrace.functions.scalars import vote_bucket
+    from lumentrace.operators.joins import short_contained
+
+    o = objects.select(F.trim("object").alias("object")).distinct()
+    first = entries.where("label <> ''").groupBy("label").agg(F.min_by(F.struct("pos", "votes"), "pos").alias("e"))
+    pairs = short_contained(o, "object", first.select("label"), "label").join(first, "label")
+    best = pairs.groupBy("object").agg(F.max_by(F.struct("label", "e"), F.struct(F.length("label"), -F.col("e.pos"))).alias("b"))
+    votes = F.col("b.e.votes")
+    bucket = F.when(F.col("b").isNull(), "left").when(votes == "new", "hit_new").otherwise(F.concat(F.lit("hit_"), vote_bucket(votes)))
+    return o.join(best, "object", "left").select("object", F.col("b.label").alias("label"), bucket.alias("bucket"))
+
+
+def caption_flow(requests: DataFrame, slices: DataFrame, provider: Provider, keep: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(captions, inferences, failures) of single calls with inference.
+
+    Each request is tried twice. Clips without a sound response are asked for in slices (clip_id, call_index, request), each tried once, and
+    stand if any slice does; others are failures with their code. The sound responses are then the requests of the inference.
+    keep writes a result and reads it back, as calls must not be made again."""
+    first = keep(call_stage(requests, "caption", provider))
+    bad = first.where("code IS NOT NULL")
+    second = keep(call_stage(slices.join(bad.select("clip_id").distinct(), "clip_id", "left_semi"), "caption", provider, tries=1))
+    names = ["clip_id", "call_index", "response"]
+    captions = first.where("code IS NULL").select(*names, F.lit(False).alias("sliced")).unionAll(second.where("code IS NULL").select(*names, F.lit(True)))
+    inferences = keep(call_stage(captions.select("clip_id", "call_index", F.col("response").alias("request")), "inference", provider))
+    failures = bad.join(second.where("code IS NULL").select("clip_id").distinct(), "clip_id", "left_anti").select("clip_id", "code")
+    return captions, inferences, failures
+
+
+def assembled(clips: DataFrame, lexicon: DataFrame, screens: DataFrame) -> DataFrame:
+    """(clip_id, inventory, screen, recovery) of final records: times of day instead of seconds from the clip's start, no screens and "skipped" where that turn was not taken.
+
+    clips: clip_id, start_sec. lexicon: clip_id, label, first_s, last_s (text; what is no number gives an empty time, negative ones the start). screens: clip_id, surfaces, recovery."""
+    from lumentrace.functions.scalars import hms
+
+    at = lambda s: F.coalesce(hms(F.col("start_sec") + F.greatest(F.col(s).try_cast("double"), F.lit(0.0))), F.lit(""))
+    at_text = lambda s: F.when(F.col(s).try_cast("double").isNull(), "").otherwise(at(s))
+    x = lexicon.join(clips, "clip_id").select("clip_id", F.struct("label", at_text("first_s").alias("first_seen"), at_text("last_s").alias("last_seen")).alias("e"))
+    inventory = x.groupBy("clip_id").agg(F.array_sort(F.collect_list("e")).alias("inventory"))
+    out = clips.join(inventory, "clip_id", "left").join(screens, "clip_id", "left")
+    empty = F.array().cast(screens.schema["surfaces"].dataType)
+    return out.select("clip_id", F.coalesce("inventory", F.array().cast(inventory.schema["inventory"].dataType)).alias("inventory"), F.coalesce("surfaces", empty).alias("screen"), F.coalesce("recovery", F.lit("skipped")).alias("recovery"))

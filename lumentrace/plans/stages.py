@@ -549,3 +549,139 @@ def first_failure(spark, sf):
     pad = lambda c: F.lpad(F.col(c).cast("string"), 9, "0")
     x = table(spark, sf, "lineitem").where("l_returnflag = 'R'").withColumn("name", F.concat(pad("l_orderkey"), F.col("l_linenumber").cast("string"), pad("l_partkey"), pad("l_suppkey")))
     return x.groupBy(F.col("l_linestatus").alias("run")).agg(F.min("name").alias("name"), F.min_by("l_quantity", "name").alias("error"))
+
+
+# ---------------------------------------------------------------- objects, rollups, logs
+
+
+@book.add(
+    "grouped_objects",
+    """
+WITH i AS (SELECT l_orderkey AS clip, l_linenumber % 3 AS run, CASE l_partkey % 5 WHEN 0 THEN 'cup' WHEN 1 THEN 'coffee cup' WHEN 2 THEN 'mug' WHEN 3 THEN 'plate' ELSE 'vase' END AS label, CASE WHEN l_partkey % 5 < 3 THEN 'cup' WHEN l_partkey % 5 = 3 THEN 'plate' ELSE 'vase' END AS kind,
+    CASE l_partkey % 5 WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE 0 END AS specific, l_suppkey % 30 AS a, l_suppkey % 30 + CAST(l_quantity AS BIGINT) % 10 + 1 AS b, l_returnflag = 'R' AS uncertain, l_linestatus AS attribute FROM lineitem),
+r AS (SELECT clip, count(DISTINCT run) AS k FROM i GROUP BY clip),
+n AS (SELECT *, CASE WHEN a >= max(b) OVER (PARTITION BY clip, kind ORDER BY a, b, run, label ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 1 ELSE 0 END AS fresh FROM i),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY clip, kind ORDER BY a, b, run, label ROWS UNBOUNDED PRECEDING) AS grp FROM n),
+o AS (SELECT clip, kind, grp, arg_max(label, specific) AS label, min(a) AS a, max(b) AS b, count(DISTINCT run) AS n, count(*) FILTER (uncertain) AS u, count(*) AS m, count(DISTINCT label) AS labels, array_to_string(list_sort(list(DISTINCT attribute)), '+') AS attributes FROM g GROUP BY 1, 2, 3)
+SELECT clip AS clip_id, label, a AS start, b AS "end", CAST(n AS VARCHAR) || '/' || CAST(k AS VARCHAR) AS votes, CASE WHEN n <= 1 AND k > 1 OR u = m THEN 'low' WHEN n >= k AND u = 0 AND labels = 1 THEN 'high' ELSE 'medium' END AS confidence, attributes FROM o JOIN r USING (clip)""",
+)
+def grouped_objects(spark, sf):
+    """Objects of several runs by synonym and overlapping time, with votes and confidence."""
+    p = F.col("l_partkey") % 5
+    label = F.when(p == 0, "cup").when(p == 1, "coffee cup").when(p == 2, "mug").when(p == 3, "plate").otherwise("vase")
+    start = F.col("l_suppkey") % 30
+    items = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("clip_id"), (F.col("l_linenumber") % 3).alias("call_index"), label.alias("label"), start.alias("start"), (start + F.col("l_quantity").cast("long") % 10 + 1).alias("end"), (F.col("l_returnflag") == "R").alias("uncertain"),
+        F.col("l_linestatus").alias("attribute"),
+    )
+    synonyms = spark.createDataFrame([("cup", "cup", 0), ("coffee cup", "cup", 2), ("mug", "cup", 1)], "label string, kind string, specific int")
+    return flows.grouped_objects(items, synonyms, items.select("clip_id", "call_index")).withColumn("attributes", F.array_join("attributes", "+"))
+
+
+@book.add(
+    "object_audit",
+    """
+WITH e AS (SELECT * FROM (VALUES ('URGENT', 1, '3/3'), ('LOW', 2, '1/3'), ('4-NOT SPECIFIED AT ALL', 3, '2/3'), ('MEDIUM', 4, 'new'), ('', 5, '3/3')) AS t(label, pos, votes)),
+o AS (SELECT DISTINCT o_orderpriority AS object FROM orders),
+m AS (SELECT object, label, votes, row_number() OVER (PARTITION BY object ORDER BY length(label) DESC, pos) AS k FROM o JOIN e ON label <> '' AND (contains(object, label) OR contains(label, object)))
+SELECT o.object, coalesce(label, '') AS label, CASE votes WHEN '3/3' THEN 'hit_high' WHEN '1/3' THEN 'hit_low' WHEN '2/3' THEN 'hit_mid' WHEN 'new' THEN 'hit_new' ELSE 'left' END AS bucket FROM o LEFT JOIN m ON o.object = m.object AND k = 1""",
+)
+def object_audit(spark, sf):
+    """Objects against a voted lexicon: what matches, by votes, and what is left for a model."""
+    entries = spark.createDataFrame([("URGENT", 1, "3/3"), ("LOW", 2, "1/3"), ("4-NOT SPECIFIED AT ALL", 3, "2/3"), ("MEDIUM", 4, "new"), ("", 5, "3/3")], "label string, pos int, votes string")
+    return flows.audited_objects(table(spark, sf, "orders").select(F.col("o_orderpriority").alias("object")), entries).withColumn("label", F.coalesce("label", F.lit("")))
+
+
+@book.add(
+    "final_assembly",
+    """
+WITH c AS (SELECT o_orderkey AS clip_id, o_custkey * 37 % 86400 AS s FROM orders),
+l AS (SELECT l_orderkey AS clip_id, 'p' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS label, CASE WHEN l_linenumber = 2 THEN NULL ELSE CAST(l_suppkey % 40 - 5 AS INTEGER) END AS f FROM lineitem),
+t AS (SELECT clip_id, label, CASE WHEN f IS NULL THEN '' ELSE strftime(TIMESTAMP '2000-01-01' + to_seconds(CAST((s + greatest(f, 0)) % 86400 AS BIGINT)), '%H:%M:%S') END AS seen FROM l JOIN c USING (clip_id))
+SELECT c.clip_id, coalesce(string_agg(label || '@' || seen, ',' ORDER BY label, seen), '') AS inventory, c.clip_id % 3 = 0 AS has_screen, CASE WHEN c.clip_id % 3 = 0 THEN 'ok' ELSE 'skipped' END AS recovery FROM c LEFT JOIN t ON t.clip_id = c.clip_id GROUP BY c.clip_id""",
+)
+def final_assembly(spark, sf):
+    """Final records: times of day, and what was not asked for."""
+    clips = table(spark, sf, "orders").select(F.col("o_orderkey").alias("clip_id"), (F.col("o_custkey") * 37 % 86_400).cast("double").alias("start_sec"))
+    at = F.when(F.col("l_linenumber") == 2, "?").otherwise((F.col("l_suppkey") % 40 - 5).cast("string"))
+    lexicon = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("clip_id"), F.concat(F.lit("p"), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias("label"), at.alias("first_s"), at.alias("last_s"))
+    screens = clips.where("clip_id % 3 = 0").select("clip_id", F.array(F.lit("screen")).alias("surfaces"), F.lit("ok").alias("recovery"))
+    x = flows.assembled(clips, lexicon, screens)
+    seen = F.transform("inventory", lambda e: F.concat(e["label"], F.lit("@"), e["first_seen"]))
+    return x.select("clip_id", F.array_join(seen, ",").alias("inventory"), (F.size("screen") > 0).alias("has_screen"), "recovery")
+
+
+@book.add(
+    "recording_rollup",
+    """
+SELECT l_orderkey AS recording, count(*) AS clips, count(*) FILTER (l_returnflag <> 'R') AS ok, min(l_linenumber) AS first_clip, max(l_linenumber) AS last_clip, CAST(sum(l_partkey) + sum(l_suppkey) AS BIGINT) AS tokens,
+  round_even((sum(l_partkey) / 1e6 * 0.75 + sum(l_suppkey) / 1e6 * 3.75) * CASE WHEN l_orderkey % 2 = 0 THEN 0.5 ELSE 1.0 END, 3) AS usd FROM lineitem GROUP BY l_orderkey""",
+)
+def recording_rollup(spark, sf):
+    """Recordings with counts, first and last clips, tokens and cost; the cost is shown to a tenth of a cent."""
+    c = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("recording"), F.col("l_linenumber").alias("clip_id"), F.col("l_linenumber").alias("start"), (F.col("l_returnflag") != "R").alias("ok"), F.col("l_partkey").alias("input_tokens"), F.col("l_suppkey").alias("output_tokens"),
+        (F.col("l_orderkey") % 2 == 0).alias("deferred"),
+    )
+    return flows.recording_rollup(c, digits=3)
+
+
+@book.add(
+    "log_counters",
+    """
+SELECT event_type AS stage, count(*) FILTER (event_id % 3 = 0) AS started, count(*) FILTER (event_id % 3 = 1) AS succeeded, count(*) FILTER (event_id % 3 = 2) AS failed, CAST(coalesce(sum(CASE WHEN event_id % 5 = 0 THEN NULL ELSE event_id % 100 END), 0) AS BIGINT) AS input_tokens,
+  CAST(coalesce(sum(event_id % 7), 0) AS BIGINT) AS output_tokens, count(*) FILTER (event_id % 3 <> 0 AND event_id % 5 = 0) AS responses_without_usage FROM events GROUP BY 1""",
+)
+def log_counters(spark, sf):
+    """Counters of an event log by stage; missing figures count as none."""
+    from lumentrace.streaming.folds import counters
+
+    k = F.col("event_id")
+    e = table(spark, sf, "events").select(F.col("event_type").alias("stage"), F.when(k % 3 == 0, "start").when(k % 3 == 1, "success").otherwise("failed").alias("event"), F.when(k % 5 != 0, k % 100).alias("input_tokens"), (k % 7).alias("output_tokens"))
+    return counters(e)
+
+
+@book.add("unmatched_responses", "SELECT 'UNMATCHED_RESPONSE' AS code, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")
+def unmatched_responses(spark, sf):
+    """One row for all responses that nobody asked for."""
+    from lumentrace.operators.joins import unmatched
+
+    asked = table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("rid"))
+    return unmatched(table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("rid")), asked, "rid")
+
+
+@book.add(
+    "valid_finals",
+    """
+SELECT o_orderkey AS clip_index, '{"clip":' || CAST(o_orderkey AS VARCHAR) || '}' AS document FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '2-HIGH' AND o_orderkey % 7 <> 0""",
+)
+def valid_finals(spark, sf):
+    """Final documents that are exported: sound, of the run's fingerprint, and JSON."""
+    from lumentrace.sources.sinks import valid_finals as valid
+
+    document = F.concat(F.lit('{"clip":'), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 7 == 0, "").otherwise("}"))
+    f = table(spark, sf, "orders").select(F.col("o_orderkey").alias("clip_index"), F.col("o_orderpriority").alias("fingerprint"), (F.col("o_orderstatus") == "O").alias("ok"), document.alias("document"))
+    return valid(f, "2-HIGH").select("clip_index", "document")
+
+
+@book.add(
+    "first_attempts",
+    """
+WITH a AS (SELECT l_orderkey AS clip_id, l_linenumber AS attempt, l_returnflag = 'N' AS ok, row_number() OVER (PARTITION BY l_orderkey ORDER BY CASE WHEN l_returnflag = 'N' THEN 0 ELSE 1 END, l_linenumber) AS k FROM (SELECT l_orderkey, l_linenumber, min(l_returnflag) AS l_returnflag FROM lineitem GROUP BY 1, 2))
+SELECT clip_id, attempt, ok FROM a WHERE k = 1""",
+)
+def first_attempts(spark, sf):
+    """Of the attempts at each clip, with audio and then without, the first sound one, or the first."""
+    a = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("clip_id"), F.col("l_linenumber").alias("attempt")).agg(F.min("l_returnflag").alias("f"))
+    x = flows.first_success(a.select("clip_id", "attempt", F.when(F.col("f") != "N", "ROW_ERROR").alias("code")))
+    return x.select("clip_id", "attempt", F.col("code").isNull().alias("ok"))
+
+
+@book.add(
+    "absolute_cuts",
+    "SELECT event_id, event_id * 5 AS start_frame, CASE WHEN event_type = 'error' THEN -1 ELSE event_id * 5 + event_id % 5 END AS cut_frame FROM events",
+)
+def absolute_cuts(spark, sf):
+    """Cuts counted from the recording's start; -1 stands for none."""
+    e = table(spark, sf, "events").select("event_id", (F.col("event_id") * 5).alias("start_frame"), F.when(F.col("event_type") != "error", F.col("event_id") % 5).alias("cut_after_frame"))
+    return flows.absolute_cuts(e).select("event_id", "start_frame", F.coalesce("cut_frame", F.lit(-1)).alias("cut_frame"))

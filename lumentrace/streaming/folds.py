@@ -12,15 +12,19 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 STAGES = ("audio", "annotation", "review")
 # Job states that end a job, and how.
 GOOD, BAD = ("SUCCEEDED",), ("FAILED", "EXPIRED", "CANCELLED")
+# Fixed value: seconds in which a submission may be unknown to the provider.
+GRACE = 3600.0
 
 
 class StageMachine:
     """ready, submitting, running, then the next stage or an end: complete, complete_with_errors, paused, needs_attention.
 
-    step() takes one event: submit, job:<STATE>, empty (nothing is eligible), pause, resume, or lost (a submission without a job)."""
+    step() takes one event and its time in seconds: submit, job:<STATE>, empty (nothing is eligible), pause, resume, lost (a submission
+    without a job), or reconcile:<n>, the number of jobs found under a submission's name. One job is the submission's; none is
+    nothing to worry about within GRACE of the submission; anything else needs attention."""
 
-    def __init__(self, stage: int = 0, status: str = "ready", failures: int = 0):
-        self.stage, self.status, self.failures = stage, status, failures
+    def __init__(self, stage: int = 0, status: str = "ready", failures: int = 0, submitted: float = 0.0):
+        self.stage, self.status, self.failures, self.submitted = stage, status, failures, submitted
 
     def _advance(self) -> None:
         self.stage += 1
@@ -30,7 +34,7 @@ class StageMachine:
     def ended(self) -> bool:
         return self.status.startswith("complete")
 
-    def step(self, event: str) -> None:
+    def step(self, event: str, at: float = 0.0) -> None:
         kind, _, state = event.partition(":")
         if self.ended:
             return
@@ -39,12 +43,17 @@ class StageMachine:
         elif kind == "resume" and self.status in ("paused", "needs_attention"):
             self.status = "ready"
         elif self.status == "ready" and kind == "submit":
-            self.status = "submitting"
+            self.status, self.submitted = "submitting", at
         elif self.status == "ready" and kind == "empty":
             self._advance()
         elif self.status == "submitting" and kind == "job":
             self.status = "running"
-            self.step(event)
+            self.step(event, at)
+        elif self.status in ("submitting", "needs_attention") and kind == "reconcile":
+            if state == "1":
+                self.status = "running"
+            elif state != "0" or self.status != "submitting" or not 0 <= at - self.submitted < GRACE:
+                self.status = "needs_attention"
         elif self.status == "submitting" and kind == "lost":
             self.status = "needs_attention"
         elif self.status == "running" and kind == "job":
@@ -55,17 +64,19 @@ class StageMachine:
                 self.status = "needs_attention"
 
 
-def stage_fold(events: DataFrame, key: str, order: list[str], event: str) -> DataFrame:
-    """(key, stage, status, failures, steps) after all events of each key, in order."""
+def stage_fold(events: DataFrame, key: str, order: list[str], event: str, seconds: str | None = None) -> DataFrame:
+    """(key, stage, status, failures, steps) after all events of each key, in order. seconds: the column of their times, for reconciliation."""
+    kept = [key, *order, event, *([seconds] if seconds and seconds not in order else [])]
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         m = StageMachine()
-        for e in pdf.sort_values(order)[event]:
-            m.step(e)
+        p = pdf.sort_values(order)
+        for e, at in zip(p[event], p[seconds] if seconds else [0.0] * len(p), strict=True):
+            m.step(e, float(at))
         return pd.DataFrame({key: [pdf[key].iloc[0]], "stage": [m.stage], "status": [m.status], "failures": [m.failures], "steps": [len(pdf)]})
 
     kind = events.schema[key].dataType.simpleString()
-    return events.select(key, *order, event).groupBy(key).applyInPandas(run, f"{key} {kind}, stage int, status string, failures long, steps long")
+    return events.select(*kept).groupBy(key).applyInPandas(run, f"{key} {kind}, stage int, status string, failures long, steps long")
 
 
 def stage_stream(events: DataFrame, key: str, event: str) -> DataFrame:

@@ -326,3 +326,64 @@ def test_heartbeat_survives_a_failing_sink(spark):
     finally:
         spark.streams.removeListener(beat)
     assert seen[0] == "started" and "ended" in seen and q.exception() is None
+
+
+def test_submissions_are_reconciled():
+    from lumentrace.streaming.folds import StageMachine
+
+    def after(*events):
+        m = StageMachine()
+        for e, at in events:
+            m.step(e, at)
+        return m.status
+
+    assert after(("submit", 10), ("reconcile:0", 3000)) == "submitting"
+    assert after(("submit", 10), ("reconcile:0", 3610)) == "needs_attention"
+    assert after(("submit", 10), ("reconcile:1", 9000)) == "running"
+    assert after(("submit", 10), ("reconcile:2", 20)) == "needs_attention"
+    assert after(("submit", 10), ("reconcile:2", 20), ("reconcile:1", 30)) == "running"
+    assert after(("submit", 10), ("reconcile:0", 9000), ("reconcile:0", 9001)) == "needs_attention"
+
+
+def test_calls_fall_back_to_slices(spark, tmp_path):
+    def provider(stage, request):
+        if "bad" in request:
+            raise ValueError(request)
+        return flows.offline(stage, request)
+
+    n = [0]
+
+    def keep(df):
+        n[0] += 1
+        df.write.parquet(str(tmp_path / str(n[0])))
+        return spark.read.parquet(str(tmp_path / str(n[0])))
+
+    ask = "clip_id string, call_index int, request string"
+    requests = spark.createDataFrame([("a", 0, '{"x": 1}'), ("b", 0, '{"x": "bad"}'), ("c", 0, '{"x": "bad"}')], ask)
+    slices = spark.createDataFrame([(c, i, '{"x": "%s"}' % ("bad" if c == "c" or i == 1 else "s")) for c in "abc" for i in (1, 2)], ask)
+    captions, inferences, failures = flows.caption_flow(requests, slices, provider, keep)
+    assert sorted((r.clip_id, r.call_index, r.sliced) for r in captions.collect()) == [("a", 0, False), ("b", 2, True)]
+    assert sorted((r.clip_id, r.code) for r in inferences.collect()) == [("a", None), ("b", None)]
+    assert [(r.clip_id, r.code) for r in failures.collect()] == [("c", "ROW_ERROR")]
+
+
+def test_settings_within_bounds():
+    assert C.checked_settings({"workers": 16, "fps": 0.5, "clip_seconds": 30}) == {"workers": 16, "fps": 0.5, "clip_seconds": 30}
+    for bad in ({"workers": 0}, {"workers": True}, {"workers": 1.5}, {"fps": 0}, {"fps": float("nan")}, {"max_dim": 3000}, {"colour": 1}):
+        with pytest.raises(ValueError):
+            C.checked_settings(bad)
+
+
+def test_lenient_items_that_are_no_objects(spark):
+    d = spark.sql("""SELECT parse_json('{"a": ["x", 1, true, null, {"descriptor": 0, "id": [], "name": false, "note": 2.5}], "b": 3}') AS d""")
+    got = d.select(C.lenient_layer(C.json_items(F.col("d"), "a"), "person").alias("l"), F.size(C.lenient_layer(C.json_items(F.col("d"), "b"), "person")).alias("n")).first()
+    assert [tuple(r) for r in got.l] == [("", "x", "", ""), ("", "1", "", ""), ("", "True", "", ""), ("", "None", "", ""), ("", "", "", "2.5")] and got.n == 0
+
+
+def test_sums_before_are_running_sums(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), i, rng.randint(0, 9)) for i in range(300)]
+    got = {(r.g, r.i): r.s for r in W.sums_before(spark.createDataFrame(rows, "g string, i int, n int").repartition(5), ["g"], ["i"], "n", "s", parts=7).collect()}
+    assert got == {(g, i): sum(m for h, j, m in rows if h == g and j < i) for g, i, _ in rows}
