@@ -30,9 +30,9 @@ def event_aimd_fold(spark, sf):
 
 @book.add("stage_calls")
 def stage_calls(spark, sf):
-    """Model calls with the offline provider for the first turns, with failure codes and usage."""
-    c = table(spark, sf, "conversations").where("turn = 0")
-    req = c.select(F.col("conv_id").cast("string").alias("clip_id"), F.lit(0).alias("call_index"), F.to_json(F.struct("role", "text")).alias("request"))
+    """Model calls with the offline provider for every turn, with failure codes and usage."""
+    c = table(spark, sf, "conversations")
+    req = c.select(F.col("conv_id").cast("string").alias("clip_id"), F.col("turn").cast("int").alias("call_index"), F.to_json(F.struct("role", "text")).alias("request"))
     return flows.call_stage(req, "annotation", flows.offline)
 
 
