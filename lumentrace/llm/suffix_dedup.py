@@ -6,7 +6,9 @@ Comparing every shard of documents with every other grows with the square of the
    same anchor form a fragment. Equal windows have equal anchors, so they meet in the shard of that anchor's hash. Fragments
    whose anchor hash occurs once in the corpus hold no repeated window and go no further.
 2. Of equal fragments (by hash of their bytes) the first two go on, in the batch first, then in the segment of the anchor; further
-   copies are pre-aggregated and lose what the second loses. The bytes of those that go on are fetched from the texts.
+   copies are pre-aggregated and lose what the second loses. Where all fragments of an anchor are equal, as within copies, even
+   the second is settled by this, unless `confirm` asks for its bytes to be compared too. The bytes of those that go on are fetched
+   from the texts.
 3. A task reads these fragments in the order of their anchors and positions and cuts them into shards of bounded size. Each
    shard's suffix array comes from Larsson-Sadakane refinement, its common prefixes from Kasai's pass, and suffixes that share
    `length` bytes form a class, of which all but the first are repeats.
@@ -149,7 +151,7 @@ def _rows(doc: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray
         yield pa.RecordBatch.from_arrays([pa.array(doc[o]), pa.array(start[o].astype(np.int64)), pa.array(size[o].astype(np.int32)), keys, pieces], [c.split()[0] for c in _FOUND.split(", ")])
 
 
-def _decide(most: int):
+def _decide(most: int, confirm: bool):
     """Rows of _FOUND: repeats with a null key, and fragments whose bytes are needed with their key and their piece of an anchor of more than `most` fragments, -1 for others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +179,12 @@ def _decide(most: int):
         if not len(key):
             return
         order, again = _ranked(doc, start, key, frag)
-        doc, start, size, key = (x[order] for x in (doc, start, size, key))
+        doc, start, size, key, frag = (x[order] for x in (doc, start, size, key, frag))
+        if not confirm:
+            new_key = np.concatenate([[True], key[1:] != key[:-1]])
+            new = new_key | np.concatenate([[True], frag[1:] != frag[:-1]])
+            kinds = np.bincount(np.cumsum(new_key) - 1, weights=new)
+            again |= ~new & (kinds[np.cumsum(new_key) - 1] == 1)
         yield from _rows(doc[again], start[again], size[again], None)
         doc, start, size, key = (x[~again] for x in (doc, start, size, key))
         order = np.lexsort((start, doc, key))
@@ -453,12 +460,12 @@ def _cut(at_text: int, at_spans: int, length: int, whole_chars: bool):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int, most_bytes: int, most_fragments: int, scope: str) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int, most_bytes: int, most_fragments: int, confirm: bool, scope: str) -> DataFrame:
     """(doc, start, size): runs of starts of windows that start earlier too. docs: (doc long, text string)."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     segments = max(parts, (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SEGMENT_TEXT + 1)
     packed = docs.mapInArrow(_anchors(length, segments), _PACKED)
-    found = staged(packed.repartition(segments, "segment").mapInArrow(_decide(most_fragments), _FOUND), scope)
+    found = staged(packed.repartition(segments, "segment").mapInArrow(_decide(most_fragments, confirm), _FOUND), scope)
     need = found.where("key IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("start", "size", "key", "piece")).alias("need"))
     bytes_of = docs.join(need, "doc").select("doc", "text", "need").mapInArrow(_fetch(length), _PART)
     shards = bytes_of.repartition(parts, "key", "piece").sortWithinPartitions("key", "piece", "doc", "start")
@@ -472,12 +479,13 @@ def repeated_spans(docs: DataFrame, length: int, most_bytes: int, most_fragments
 
 def dedup_substrings(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, length: int = 100, whole_chars: bool = False,
-    shard_bytes: int = SHARD_BYTES, most_fragments: int = PIECE, scope: str = "suffix_dedup",
+    shard_bytes: int = SHARD_BYTES, most_fragments: int = PIECE, confirm: bool = False, scope: str = "suffix_dedup",
 ) -> DataFrame:
     """docs without text_col, with kept, n_bytes, n_removed and n_spans (long; columns so named are replaced).
 
     Of the UTF-8 bytes of each text, those covered by a string of `length` bytes that also starts earlier (smaller id, or the
-    same text before) are removed; strings are judged on the input and never cross documents. kept is binary; with whole_chars
+    same text before) are removed; strings are judged on the input and never cross documents. With confirm, copies whose
+    surroundings are equal everywhere are compared byte by byte as well, not by 64-bit hashes alone; the result is the same. kept is binary; with whole_chars
     it is a string, and code points covered only in part stay. Null texts are empty. Rows with a null id come before all others
     as one document. Rows that share an id count as one document, and what is removed from one is removed from all of them; a
     row repeated as it is loses nothing to its twin. Texts of any length are read whole; one shorter than length loses nothing. An
@@ -485,7 +493,7 @@ def dedup_substrings(
     """
     docs = docs.drop(*(c for c in ("kept", "n_bytes", "n_removed", "n_spans") if c not in (id_col, text_col)))
     plain = docs.select(id_key(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
-    spans = repeated_spans(plain, length, shard_bytes, most_fragments, scope)
+    spans = repeated_spans(plain, length, shard_bytes, most_fragments, confirm, scope)
     k, s = fresh(docs, "__suffix_doc"), fresh(docs, "__suffix_spans")
     each = spans.groupBy(F.col("doc").alias(k)).agg(F.collect_list(F.struct("start", "size")).alias(s))
     joined = docs.withColumn(text_col, F.col(text_col).cast("string")).withColumn(k, id_key(id_col)).join(each, k, "left").select(*docs.columns, s)

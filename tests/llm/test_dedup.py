@@ -112,9 +112,9 @@ def test_suffix_arrays_and_common_prefixes():
             assert shared[i] == n
 
 
-@pytest.mark.parametrize(("shard", "most", "whole"), [(1 << 20, 1024, False), (2000, 1024, True), (2000, 2, False), (1 << 20, 1, True)])
-def test_substrings(docs, rows, shard, most, whole):
-    out = suffix_dedup.dedup_substrings(docs, whole_chars=whole, shard_bytes=shard, most_fragments=most).collect()
+@pytest.mark.parametrize(("shard", "most", "whole", "confirm"), [(1 << 20, 1024, False, False), (2000, 1024, True, True), (2000, 2, False, True), (1 << 20, 1, True, False)])
+def test_substrings(docs, rows, shard, most, whole, confirm):
+    out = suffix_dedup.dedup_substrings(docs, whole_chars=whole, shard_bytes=shard, most_fragments=most, confirm=confirm).collect()
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept.encode() if whole else bytes(r.kept)) for r in out}
     want = brute.dedup_substrings(rows, whole_chars=whole)
     assert got == want and sum(x[1] > 0 for x in want.values()) > 5
