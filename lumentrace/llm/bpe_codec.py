@@ -171,7 +171,8 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
     """A row for each row of docs: its id, n_tokens (long), and the SHA-256 of its ids in decimal, joined by one space, and of the bytes that they decode to.
 
     Encodes and decodes each distinct pre-token of a task once. Null texts are empty: no tokens, the digests of no bytes.
-    Repeated ids give repeated rows, an empty table none. Extra columns are ignored."""
+    Texts of any length are read whole, one pre-token at a time; equal texts have equal digests. Rows that share an id, or have none,
+    have a row each; an empty table gives an empty one. Extra columns are ignored."""
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([plain.schema["id"]]).add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
     return plain.mapInArrow(_digest(ranks_path, pattern), schema).withColumnRenamed("id", id_col)
