@@ -5,10 +5,9 @@ Comparing every shard of documents with every other grows with the square of the
 1. Each window of `length` bytes is owned by its anchor, the k-gram with the smallest hash in it. Neighbouring windows with the
    same anchor form a fragment. Equal windows have equal anchors, so they meet in the shard of that anchor's hash. Fragments
    whose anchor hash occurs once in the corpus hold no repeated window and go no further.
-2. Of equal fragments (by hash of their bytes) the first two go on, in the batch first, then in the segment of the anchor; further
-   copies are pre-aggregated and lose what the second loses. Where all fragments of an anchor are equal, as within copies, even
-   the second is settled by this, unless `confirm` asks for its bytes to be compared too. The bytes of those that go on are fetched
-   from the texts.
+2. Equal fragments (by a 64-bit hash of their bytes) are pre-aggregated, in the batch first, then in the segment of the anchor: all
+   but the first are repeats from end to end. With `confirm` the first two go on, so that their bytes are compared, and only further
+   copies are settled here. Fragments of anchors that then have several go on; their bytes are fetched from the texts.
 3. A task reads these fragments in the order of their anchors and positions and cuts them into shards of bounded size. Each
    shard's suffix array comes from Larsson-Sadakane refinement, its common prefixes from Kasai's pass, and suffixes that share
    `length` bytes form a class, of which all but the first are repeats.
@@ -180,11 +179,8 @@ def _decide(most: int, confirm: bool):
             return
         order, again = _ranked(doc, start, key, frag)
         doc, start, size, key, frag = (x[order] for x in (doc, start, size, key, frag))
-        if not confirm:
-            new_key = np.concatenate([[True], key[1:] != key[:-1]])
-            new = new_key | np.concatenate([[True], frag[1:] != frag[:-1]])
-            kinds = np.bincount(np.cumsum(new_key) - 1, weights=new)
-            again |= ~new & (kinds[np.cumsum(new_key) - 1] == 1)
+        if not confirm and len(key):
+            again = np.concatenate([[False], (key[1:] == key[:-1]) & (frag[1:] == frag[:-1])])
         yield from _rows(doc[again], start[again], size[again], None)
         doc, start, size, key = (x[~again] for x in (doc, start, size, key))
         order = np.lexsort((start, doc, key))
@@ -484,8 +480,8 @@ def dedup_substrings(
     """docs without text_col, with kept, n_bytes, n_removed and n_spans (long; columns so named are replaced).
 
     Of the UTF-8 bytes of each text, those covered by a string of `length` bytes that also starts earlier (smaller id, or the
-    same text before) are removed; strings are judged on the input and never cross documents. With confirm, copies whose
-    surroundings are equal everywhere are compared byte by byte as well, not by 64-bit hashes alone; the result is the same. kept is binary; with whole_chars
+    same text before) are removed; strings are judged on the input and never cross documents. With confirm, equal
+    fragments are compared byte by byte as well, not by 64-bit hashes alone; the result is the same. kept is binary; with whole_chars
     it is a string, and code points covered only in part stay. Null texts are empty. Rows with a null id come before all others
     as one document. Rows that share an id count as one document, and what is removed from one is removed from all of them; a
     row repeated as it is loses nothing to its twin. Texts of any length are read whole; one shorter than length loses nothing. An
