@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import zlib
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.llm import bpe_codec, html_crf, line_dedup, packing, quality_rules, simhash, site_quality, suffix_dedup, topk, toxicity
+from lumentrace.llm import bpe_codec, html_crf, line_dedup, packing, periodic, quality_rules, simhash, site_quality, suffix_dedup, topk, toxicity
 from lumentrace.llm.common import table
 
 
@@ -135,6 +137,34 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text) with the words from a on, of one id in ten, replaced by repetitions of the p words there."""
+    for batch in batches:
+        texts = []
+        for i, t in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+            h = 1 if i is None else zlib.crc32(b"%d" % i)
+            words = t.split() if t and h % 10 == 0 else []
+            if words:
+                g, n = h // 10, len(words)
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                t = b" ".join(words[:a] + (words[a : a + p] * (1 + (n - a) // p))[: n - a])
+            texts.append(t)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string())], ["doc_id", "text"])
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = periodic.find_runs(docs.mapInArrow(planted, "doc_id long, text string"))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    top = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), top["start"].alias("start"), top["length"].alias("length"), top["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_crf": op1_html_crf,
@@ -147,6 +177,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_site_quality": op8_site_quality,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_toxicity": op10_toxicity,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 

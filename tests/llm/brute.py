@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import zlib
 from fractions import Fraction
 
 import numpy as np
@@ -152,3 +153,36 @@ def top_k(vectors, queries, k=10):
 
 def sha(b):
     return hashlib.sha256(b).hexdigest()
+
+
+def planted(i, text):
+    """Words of the text, periodic from some place on for one id in ten."""
+    w = (text or "").encode().split()
+    h, n = zlib.crc32(str(i).encode()), len(w)
+    g = h // 10
+    if h % 10 or not n:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[k if k < a else a + (k - a) % p] for k in range(n)]
+
+
+def runs(w, least=24, times=3):
+    """(start, length, period) of the maximal runs, every period tried."""
+    n, out = len(w), []
+    for q in range(1, n // times + 1):
+        i = 0
+        while i + q < n:
+            s = i
+            while i + q < n and w[i] == w[i + q]:
+                i += 1
+            size = i - s + q
+            if i > s and size >= max(least, times * q) and not any(w[s : s + size - p] == w[s + p : s + size] for p in range(1, q)):
+                out.append((s, size, q))
+            i = max(i, s + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(w, found):
+    """The words, joined, without those behind the first period of a run."""
+    return b" ".join(x for i, x in enumerate(w) if not any(s + q <= i < s + n for s, n, q in found))
