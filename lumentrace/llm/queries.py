@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.llm import bpe_codec, html_crf, line_dedup, packing, periodic, quality_rules, simhash, site_quality, suffix_dedup, topk, toxicity
+from lumentrace.llm import bpe_codec, collocations, html_crf, line_dedup, packing, periodic, quality_rules, simhash, site_quality, suffix_dedup, topk, toxicity
 from lumentrace.llm.common import table
 
 
@@ -137,6 +137,37 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+g AS (
+  SELECT lang, k, w[i:i + k - 1] AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (VALUES (1), (2), (3)) AS v(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, array_to_string(g, ' ') AS phrase, g, count(*) AS f FROM g GROUP BY lang, k, g HAVING count(*) >= 10),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+cut AS (
+  SELECT c.lang, c.phrase, c.k, c.f AS a, l.k AS cut_at, l.f AS l, r.f AS r, ((1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM f c JOIN f l ON l.lang = c.lang AND l.k < c.k AND l.g = c.g[1:l.k] JOIN f r ON r.lang = c.lang AND r.k = c.k - l.k AND r.g = c.g[l.k + 1:c.k]
+  WHERE c.k >= 2),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase, k ORDER BY score, cut_at) = 1),
+inner2 AS (
+  SELECT lang, phrase, max(f) AS longer
+  FROM (SELECT lang, f, array_to_string(g[1:2], ' ') AS phrase FROM f WHERE k = 3 UNION ALL SELECT lang, f, array_to_string(g[2:3], ' ') FROM f WHERE k = 3)
+  GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best JOIN n USING (lang) LEFT JOIN inner2 USING (lang, phrase)
+WHERE longer IS NULL OR 100 * longer < 50 * a OR k = 3
+QUALIFY rank <= 2000
+"""
+
+
 def planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) with the words from a on, of one id in ten, replaced by repetitions of the p words there."""
     for batch in batches:
@@ -177,9 +208,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_site_quality": op8_site_quality,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_toxicity": op10_toxicity,
+        "op11_collocations": op11_collocations,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": OP2_SQL, "op4_topk": OP4_SQL, "op5_line_dedup": OP5_SQL}
+    return {"op2_quality_rules": OP2_SQL, "op4_topk": OP4_SQL, "op5_line_dedup": OP5_SQL, "op11_collocations": OP11_SQL}

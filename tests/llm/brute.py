@@ -186,3 +186,33 @@ def runs(w, least=24, times=3):
 def collapsed(w, found):
     """The words, joined, without those behind the first period of a run."""
     return b" ".join(x for i, x in enumerate(w) if not any(s + q <= i < s + n for s, n, q in found))
+
+
+def collocations(docs, min_n=2, max_n=3, least=10, top=2000):
+    """[(lang, rank, phrase, a, l, r, n, score)] for [(lang, text)]."""
+    f, total = {}, {}
+    for lang, t in docs:
+        lang = "und" if lang is None else lang
+        b = (t or "").encode().lower()
+        for c in b".,;:!?\n\x0b\x0c\r":
+            b = b.replace(bytes([c]), b"\n")
+        for piece in b.split(b"\n"):
+            w = [x for x in piece.replace(b"\t", b" ").split(b" ") if x]
+            total[lang] = total.get(lang, 0) + len(w)
+            for i in range(len(w)):
+                for k in range(1, min(max_n, len(w) - i) + 1):
+                    f[lang, *w[i : i + k]] = f.get((lang, *w[i : i + k]), 0) + 1
+    out = []
+    for (lang, *w), a in f.items():
+        if len(w) < min_n or a < least:
+            continue
+        score, k = min((1000000 * a * a // (f[lang, *w[:k]] * f[lang, *w[k:]]), k) for k in range(1, len(w)))
+        longer = [x for (o, *v), x in f.items() if o == lang and len(v) > len(w) and x >= least and any(v[i : i + len(w)] == w for i in range(len(v) - len(w) + 1))]
+        if not any(2 * x >= a for x in longer):
+            out.append((lang, -score, -a, b" ".join(w), f[lang, *w[:k]], f[lang, *w[k:]], total[lang]))
+    ranked, rank = [], {}
+    for lang, s, a, phrase, l, r, n in sorted(out):
+        rank[lang] = rank.get(lang, 0) + 1
+        if rank[lang] <= top:
+            ranked.append((lang, rank[lang], phrase.decode(), -a, l, r, n, -s))
+    return ranked
