@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.llm import bpe_codec, collocations, html_crf, line_dedup, packing, periodic, quality_rules, simhash, site_quality, suffix_dedup, topk, toxicity
+from lumentrace.llm import bpe_codec, collocations, html_crf, line_dedup, ngram_join, packing, periodic, quality_rules, simhash, site_quality, suffix_dedup, topk, toxicity
 from lumentrace.llm.common import table
 
 
@@ -168,6 +168,24 @@ QUALIFY rank <= 2000
 """
 
 
+def op12_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+OP12_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, w[i:i + 2] AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) AS i FROM w)),
+n AS (SELECT w.doc_id, count(s) AS n FROM w LEFT JOIN s USING (doc_id) GROUP BY w.doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)),
+ends AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id, doc_id AS dest FROM n UNION SELECT reach.doc_id, ends.b FROM reach JOIN ends ON ends.a = reach.dest)
+SELECT doc_id, n AS n_shingles, min(dest) AS component_id FROM reach JOIN n USING (doc_id) GROUP BY doc_id, n
+"""
+
+
 def planted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) with the words from a on, of one id in ten, replaced by repetitions of the p words there."""
     for batch in batches:
@@ -209,9 +227,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_toxicity": op10_toxicity,
         "op11_collocations": op11_collocations,
+        "op12_ngram_join": op12_ngram_join,
         "op13_periodic_runs": op13_periodic_runs,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_quality_rules": OP2_SQL, "op4_topk": OP4_SQL, "op5_line_dedup": OP5_SQL, "op11_collocations": OP11_SQL}
+    return {"op2_quality_rules": OP2_SQL, "op4_topk": OP4_SQL, "op5_line_dedup": OP5_SQL, "op11_collocations": OP11_SQL, "op12_ngram_join": OP12_SQL}

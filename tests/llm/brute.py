@@ -216,3 +216,28 @@ def collocations(docs, min_n=2, max_n=3, least=10, top=2000):
         if rank[lang] <= top:
             ranked.append((lang, rank[lang], phrase.decode(), -a, l, r, n, -s))
     return ranked
+
+
+def jaccard_groups(docs, width=3, part=9, whole=10):
+    """[(number of shingles, smallest id of the component)] for [(id, text)]; sets without shingles are linked with nothing."""
+    sets = []
+    for _, t in docs:
+        w = lower((t or "").encode()).split()
+        sets.append(frozenset(tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset())
+    parent = list(range(len(docs)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if a and sets[j] and whole * both >= part * (len(a) + len(sets[j]) - both):
+                parent[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        least.setdefault(find(i), []).append(d)
+    ids = {g: [d for d in of if d is not None] for g, of in least.items()}
+    return [(len(sets[i]), min(ids[find(i)], default=None)) for i in range(len(docs))]
