@@ -30,8 +30,10 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 _CUT = bytes.maketrans(ENDS, b"\n" * len(ENDS))
 #: Suffixes that a task counts before it sends them, its words by then, and their bytes.
 MOST_HELD, MOST_WORDS, MOST_BYTES = 3_000_000, 1_000_000, 64 << 20
-#: Rows of a batch that is sent.
-ROWS = 100_000
+#: Rows of a batch that is sent, and what counts are multiplied by in it.
+ROWS, OPEN = 100_000, 4
+#: What is sent: (part, suffix, n).
+SENT = "part int, suffix binary, n long"
 #: Documents of the sample that shows hot words, and the share of a task's rows from which a word is hot.
 SAMPLE_DOCS, HOT = 20_000, 0.25
 
@@ -46,6 +48,15 @@ def pieces(text: bytes) -> Iterator[list[bytes]]:
             yield words
 
 
+def coded(lang: str) -> bytes:
+    """Without spaces."""
+    return lang.encode().replace(b"%", b"%25").replace(b" ", b"%20")
+
+
+def decoded(lang: bytes) -> str:
+    return lang.replace(b"%20", b" ").replace(b"%25", b"%").decode()
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _K2
     return x ^ (x >> np.uint64(27))
@@ -87,9 +98,11 @@ class _Held:
         self.size += len(w)
 
     def sent(self) -> Iterator[pa.RecordBatch]:
-        """(part, lang, open, n, w1, ...): a row for each suffix; part deals it out, open is how many of its shortest prefixes are counted in several tasks."""
+        """(part, suffix, n): a row for each suffix, as its first word, the language and the other words, each ended by a space, those that are missing empty.
+
+        part deals it out; n is its count times OPEN, and how many of its shortest prefixes are counted in several tasks."""
         vocabulary = [b"", *self.ids]
-        words = pa.array(vocabulary, pa.binary())
+        words = pa.array([w + b" " for w in vocabulary], pa.binary())
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
         for lang, held in self.levels.items():
             levels = np.concatenate(held, axis=1)
@@ -103,13 +116,12 @@ class _Held:
             _, first, counts = np.unique(key, return_index=True, return_counts=True)
             levels = levels[:, first]
             part, opened = self._dealt(lang, levels, hashes)
+            n, own = counts.astype(np.int64) * OPEN + opened, pa.scalar(coded(lang) + b" ", pa.binary())
             for at in range(0, len(first), ROWS):
                 rows = slice(at, at + ROWS)
-                n = len(first[rows])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part[rows]), pa.array([lang]).take(pa.array(np.zeros(n, np.int32))), pa.array(opened[rows]), pa.array(counts[rows].astype(np.int64)), *(words.take(pa.array(x[rows])) for x in levels)],
-                    ["part", "lang", "open", "n", *(f"w{k + 1}" for k in range(self.max_n))],
-                )
+                of = [words.take(pa.array(x[rows])) for x in levels]
+                suffix = pc.binary_join_element_wise(of[0], own, *of[1:], pa.scalar(b"", pa.binary()))
+                yield pa.RecordBatch.from_arrays([pa.array(part[rows]), suffix, pa.array(n[rows])], ["part", "suffix", "n"])
         self.clear()
 
     def _dealt(self, lang: str, levels: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,78 +182,99 @@ def _suffixes(max_n: int, hot: dict[tuple, int]):
     return run
 
 
+def _columns(suffixes: pa.Array, max_n: int) -> list[pa.Array]:
+    """The first words, languages and other words of suffixes, each with its space."""
+    start, end = suffixes.offset, suffixes.offset + len(suffixes)
+    ends = np.frombuffer(suffixes.buffers()[1], np.int32)[start : end + 1]
+    data = np.frombuffer(suffixes.buffers()[2], np.uint8)[: ends[-1]]
+    offsets = np.concatenate([ends[:1], np.flatnonzero(data[ends[0] :] == 32) + ends[0] + 1]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), suffixes.buffers()[2]])
+    return [words.take(pa.array(np.arange(k, len(words), max_n + 1))) for k in range(max_n + 1)]
+
+
 def _stack(max_n: int, least: int):
-    """Counted suffixes, sorted by (lang, words descending), to (lang, phrase, words, f, whole). The prefix of no words counts the words of a language. Those counted whole and under least go."""
+    """Suffixes in descending order to (lang, phrase, words, f, whole), and the words of each language as the phrase of no words. Those counted whole and under least go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # of each open prefix, by its number of words: rows that the batch before ended with
-        last: list | None = None
-        counts = [0] * (max_n + 1)
+        # the open prefixes of the row that the batch before ended with, the first word alone and with the language, then with more words: their counts
+        last: list[pa.Array] | None = None
+        counts = [0] * max_n
         opened = 0
+        totals: dict[bytes, int] = {}
 
-        def closed(cols: list, k: int, f: np.ndarray, whole: np.ndarray) -> pa.RecordBatch | None:
-            there = np.ones(len(f), bool) if k == 0 else np.asarray(pc.greater(pc.binary_length(cols[k]), 0))
-            keep = there & (~whole | (f >= least))
+        def closed(cols: list[pa.Array], k: int, f: np.ndarray, whole: np.ndarray) -> pa.RecordBatch | None:
+            """Prefixes of k words, which cols begin with."""
+            keep = ~whole | (f >= least)
+            if k > 1:
+                keep &= np.asarray(pc.greater(pc.binary_length(cols[k]), 1))
             if not keep.any():
                 return None
             mask = pa.array(keep)
             kept = [c.filter(mask) for c in cols[: k + 1]]
-            n = len(kept[0])
-            phrase = pa.array([b""] * n, pa.binary()) if k == 0 else kept[1] if k == 1 else pc.binary_join_element_wise(*kept[1:], pa.scalar(b" ", pa.binary()))
-            return pa.RecordBatch.from_arrays([kept[0], phrase.cast(pa.string()), pa.array(np.full(n, k, np.int32)), pa.array(f[keep]), pa.array(whole[keep])], ["lang", "phrase", "words", "f", "whole"])
+            langs = kept[1].dictionary_encode()
+            lang = pa.array([decoded(x[:-1]) for x in langs.dictionary.to_pylist()], pa.string()).take(langs.indices)
+            phrase = pc.binary_join_element_wise(kept[0], *kept[2:], pa.scalar(b"", pa.binary())).cast(pa.string())
+            phrase = pc.utf8_slice_codeunits(phrase, 0, -1)
+            return pa.RecordBatch.from_arrays([lang, phrase, pa.array(np.full(len(lang), k, np.int32)), pa.array(f[keep]), pa.array(whole[keep])], ["lang", "phrase", "words", "f", "whole"])
 
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            cols = [batch.column(i) for i in (1, *range(4, 4 + max_n))]
-            add, levels = batch.column(3).to_numpy(), batch.column(2).to_numpy()
+            cols = _columns(batch.column(1), max_n)
+            sent = batch.column(2).to_numpy()
+            add, levels = sent // OPEN, sent % OPEN
+            langs = cols[1].dictionary_encode()
+            for lang, c in zip(langs.dictionary.to_pylist(), np.bincount(langs.indices.to_numpy(), weights=add).tolist(), strict=True):
+                totals[lang] = totals.get(lang, 0) + int(c)
             new = np.zeros(n, bool)
-            before = last
+            new[0] = last is None
             for k, c in enumerate(cols):
                 new[1:] |= np.asarray(pc.not_equal(c.slice(1), c.slice(0, n - 1)))
-                new[0] = new[0] or (before is not None and before[k].as_py() != c[0].as_py())
+                new[0] = new[0] or last[k][0] != c[0]
+                if not k:  # a prefix has a language
+                    continue
                 starts = np.flatnonzero(new)
-                # what is open is closed by the first row that does not begin with it
-                sums = np.add.reduceat(add, np.concatenate([[0], starts]).astype(np.int64)) if not (len(starts) and starts[0] == 0) else np.add.reduceat(add, starts)
-                if before is None:
-                    starts = np.concatenate([[0], starts]).astype(np.int64) if not (len(starts) and starts[0] == 0) else starts
-                elif not (len(starts) and starts[0] == 0):
-                    counts[k] += int(sums[0])
+                sums = np.add.reduceat(add, starts if new[0] else np.concatenate([[0], starts]))
+                if not new[0]:
+                    counts[k - 1] += int(sums[0])
                     sums = sums[1:]
-                if len(starts):
-                    if before is not None and (out := closed([pa.array([x.as_py()], x.type) for x in before], k, np.array([counts[k]]), np.array([0 < k > opened]))):
-                        yield out
-                    done = starts[:-1]
-                    if len(done):
-                        at = pa.array(done)
-                        if out := closed([x.take(at) for x in cols[: k + 1]], k, sums[:-1], (levels[done] < k) & (k > 0)):
-                            yield out
-                    counts[k] = int(sums[-1])
-            last, opened = [c[n - 1] for c in cols], int(levels[n - 1])
+                if not len(starts):
+                    continue
+                # what is open is closed by the first row that does not begin with it
+                if last is not None and (out := closed(last, k, np.array([counts[k - 1]]), np.array([k > opened]))):
+                    yield out
+                done = starts[:-1]
+                if len(done) and (out := closed([x.take(pa.array(done)) for x in cols[: k + 1]], k, sums[:-1], levels[done] < k)):
+                    yield out
+                counts[k - 1] = int(sums[-1])
+            last, opened = [c.slice(n - 1) for c in cols], int(levels[n - 1])
         if last is not None:
-            for k in range(max_n + 1):
-                if out := closed([pa.array([x.as_py()], x.type) for x in last], k, np.array([counts[k]]), np.array([0 < k > opened])):
+            for k in range(1, max_n + 1):
+                if out := closed(last, k, np.array([counts[k - 1]]), np.array([k > opened])):
                     yield out
+        if totals:
+            m = len(totals)
+            yield pa.RecordBatch.from_arrays([pa.array([decoded(x[:-1]) for x in totals]), pa.array([""] * m), pa.array([0] * m, pa.int32()), pa.array(list(totals.values()), pa.int64()), pa.array([False] * m)], ["lang", "phrase", "words", "f", "whole"])
 
     return run
 
 
-def _schema(max_n: int) -> str:
-    return "part int, lang string, open byte, n long, " + ", ".join(f"w{k + 1} binary" for k in range(max_n))
-
-
-def hot_prefixes(docs: DataFrame, max_n: int, parts: int) -> dict[tuple, int]:
+def hot_prefixes(docs: DataFrame, max_n: int, parts: int, scope: str) -> dict[tuple, int]:
     """(lang, word) and (lang, word, word) that hold over HOT / parts of the words of a sample, with the tasks to deal them to: at most 8 * parts."""
     share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
-    some = (docs.sample(share, seed=7) if share < 1 else docs).mapInArrow(_suffixes(min(max_n, 2), {}), _schema(min(max_n, 2)))
-    some = staged(some, "collocations_sample")
-    total = some.agg(F.sum("n").alias("n")).first()["n"] or 0
+    depth = min(max_n, 2)
+    some = (docs.sample(share, seed=7) if share < 1 else docs).mapInArrow(_suffixes(depth, {}), SENT)
+    some = staged(some, scope)
+    total = (some.agg(F.sum("n").alias("n")).first()["n"] or 0) / OPEN
     out: dict[tuple, int] = {}
     for k in range(1, min(max_n, 3)):
-        words = [f"w{i + 1}" for i in range(k)]
-        for r in some.groupBy("lang", *words).agg(F.sum("n").alias("n")).where(F.col("n") * parts > HOT * total).where(F.length(words[-1]) > 0).collect():
-            out[r["lang"], *(bytes(r[w]) for w in words)] = max(2, round(r["n"] * parts / (HOT * total)))
+        # first word and language, then the second word
+        prefix = F.substring_index(F.col("suffix").cast("string"), " ", k + 1)
+        for r in some.groupBy(prefix.alias("p")).agg((F.sum("n") / OPEN).alias("n")).where(F.col("n") * parts > HOT * total).collect():
+            first, lang, *more = r["p"].encode().split(b" ")
+            if all(more):
+                out[decoded(lang), first, *more] = max(2, round(r["n"] * parts / (HOT * total)))
     return {p: tasks for p, tasks in out.items() if len(p) == 2 or p[:2] in out}
 
 
@@ -249,8 +282,8 @@ def phrase_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text
     """(lang, phrase, words, f): every phrase of at most max_n words that occurs least times or more, and for each language the phrase of no words, whose f is all its words."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    rows = docs.mapInArrow(_suffixes(max_n, hot_prefixes(docs, max_n, parts)), _schema(max_n))
-    rows = rows.repartition(parts, "part").sortWithinPartitions("lang", *(F.desc(f"w{k + 1}") for k in range(max_n)))
+    rows = docs.mapInArrow(_suffixes(max_n, hot_prefixes(docs, max_n, parts, scope)), SENT)
+    rows = rows.repartition(parts, "part").sortWithinPartitions(F.desc("suffix"))
     counted = staged(rows.mapInArrow(_stack(max_n, least), "lang string, phrase string, words int, f long, whole boolean"), scope)
     sums = counted.where("not whole").groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).where((F.col("words") == 0) | (F.col("f") >= least))
     return staged(counted.where("whole").select("lang", "phrase", "words", "f").unionAll(sums), scope)

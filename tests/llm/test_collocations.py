@@ -17,7 +17,7 @@ def corpus(seed, docs=300):
     out = []
     for i in range(docs):
         t = "".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\t", ", ", ".", "\n", "\r\n"]) for _ in range(rng.randint(0, 120)))
-        out.append((rng.choice(["en", "en", "en", "de", None, "und"]), t + ("New York times " * rng.randint(0, 3))))
+        out.append((rng.choice(["en", "en", "en", "de", None, "und", "a b%20", ""]), t + ("New York times " * rng.randint(0, 3))))
     return [*out, ("en", None), ("en", ""), ("fr", "one two"), ("de", " \t\n.,")]
 
 
@@ -36,7 +36,7 @@ def test_small_tasks_and_hot_words(spark, monkeypatch):
     """Words and pairs that are dealt to several tasks, suffixes sent in several lots, sorted rows in small batches."""
     d = corpus(2)
     df = spark.createDataFrame(d, "lang string, text string").repartition(3)
-    hot = collocations.hot_prefixes(df, 3, 40)
+    hot = collocations.hot_prefixes(df, 3, 40, "x")
     assert {len(p) for p in hot} == {2, 3} and all(p[:2] in hot for p in hot)
     monkeypatch.setattr(collocations, "hot_prefixes", lambda *_: hot)
     want = sorted(brute.collocations(d))
@@ -52,8 +52,8 @@ def test_lots_of_a_task():
 
     held = collocations._Held(3, {("en", b"a"): 3, ("en", b"a", b"b"): 2})
     held.add("en", [b"a", b"b", b"c", b"a", b"b", b"a"], [3, 2, 1])
-    rows = {tuple(r[f"w{k}"] for k in (1, 2, 3)): (r["open"], r["n"]) for b in held.sent() for r in pa.Table.from_batches([b]).to_pylist()}
-    assert rows == {(b"a", b"b", b"c"): (2, 1), (b"b", b"c", b""): (0, 1), (b"c", b"", b""): (0, 1), (b"a", b"b", b""): (2, 1), (b"b", b"", b""): (0, 1), (b"a", b"", b""): (1, 1)}
+    rows = {r["suffix"]: (r["n"] % collocations.OPEN, r["n"] // collocations.OPEN) for b in held.sent() for r in pa.Table.from_batches([b]).to_pylist()}
+    assert rows == {b"a en b c ": (2, 1), b"b en c  ": (0, 1), b"c en   ": (0, 1), b"a en b  ": (2, 1), b"b en   ": (0, 1), b"a en   ": (1, 1)}
     assert not held.size and not held.ids
 
 
