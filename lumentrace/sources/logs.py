@@ -5,11 +5,12 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lumentrace.sources import jsonlog
+
 
 def json_objects(text: str) -> Iterator[tuple[int, str]]:
     """(place, object) of every JSON object in a text, in order; where one cannot be read the search goes on one character further."""
@@ -25,16 +26,9 @@ def json_objects(text: str) -> Iterator[tuple[int, str]]:
         at = text.find("{", end)
 
 
-def resync_json(spark: SparkSession, path: str) -> DataFrame:
-    """(path, place, json): objects of whole files, also those that span lines or follow damage."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(p, at, obj) for p, t in zip(b["path"], b["value"], strict=True) for at, obj in json_objects(t)]
-            yield pd.DataFrame(rows, columns=["path", "place", "json"])
-
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return files.mapInPandas(run, "path string, place long, json string")
+def resync_json(spark: SparkSession, path: str, **how) -> DataFrame:
+    """(path, place, json): objects of whole files, also those that span lines or follow damage. place counts bytes. Files are read by ranges, see jsonlog.resync()."""
+    return jsonlog.resync(spark, path, **how)
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -44,14 +38,14 @@ def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return parsed.where("r._bad IS NULL").select("r.*").drop("_bad")
 
 
-def marked_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of all lines: unparsable, line (from 1, in each file) and raw (its first 120 characters) mark those that hold no object."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\n")).alias("pos", "text"))
+def marked_lines(spark: SparkSession, path: str, schema: str, **how) -> DataFrame:
+    """Rows of all lines that are not blank: unparsable, line (from 1, in each file) and raw (its first 120 characters) mark those that hold no object. Files are read by ranges."""
+    files = jsonlog.numbered_lines(spark, path, **how)
     kind = T._parse_datatype_string(f"{schema}, _bad STRING")
-    parsed = files.where(F.trim("text") != "").withColumn("r", F.from_json("text", kind, {"columnNameOfCorruptRecord": "_bad"}))
+    parsed = files.withColumn("r", F.from_json("text", kind, {"columnNameOfCorruptRecord": "_bad"}))
     bad = F.col("r._bad").isNotNull() | ~F.ltrim("text").startswith("{")
     fields = [F.when(~bad, F.col(f"r.{f.name}")).alias(f.name) for f in kind.fields if f.name != "_bad"]
-    return parsed.select("path", (F.col("pos") + 1).alias("line"), bad.alias("unparsable"), F.when(bad, F.substring("text", 1, 120)).alias("raw"), *fields)
+    return parsed.select("path", "line", bad.alias("unparsable"), F.when(bad, F.substring("text", 1, 120)).alias("raw"), *fields)
 
 
 def strict_json(spark: SparkSession, prefix: str, schema: str) -> DataFrame:
