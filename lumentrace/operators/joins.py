@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lumentrace.operators.containment import held_by
+
 
 def overlap(left: DataFrame, right: DataFrame, keys: list[str], l: tuple[str, str], r: tuple[str, str], bucket: int) -> DataFrame:  # noqa: E741
     """Pairs of half-open integer intervals of equal keys that share a point.
@@ -69,28 +71,14 @@ def by_hash(rows: DataFrame, key: str, values: list[str], order: list[str]) -> D
     return rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*names)), asc=False).alias("releases"))
 
 
-def contained(left: DataFrame, left_id: str, right: DataFrame, right_id: str, text: str, width: int = 5) -> DataFrame:
+def contained(left: DataFrame, left_id: str, right: DataFrame, right_id: str, text: str) -> DataFrame:
     """(left_id, right_id) of every pair of which one text holds the other or equals it; null and empty texts take no part.
 
-    The inner words of a held text, all but its first and last, are whole words of the text that holds it: the first width of
-    them find the candidates by an equi-join, contains() verifies. Only texts too short for that meet each text of the other side."""
-    words = F.split("t", r"\s+")
-    runs = F.transform(F.sequence(F.lit(1), F.size("w") - width + 1), lambda i: F.xxhash64(F.slice("w", i, width)))
-
-    def side(df: DataFrame, i: str) -> DataFrame:
-        return df.select(F.col(i).alias("i"), F.col(text).alias("t")).where("t <> ''").withColumn("w", words)
-
-    def held(inner: DataFrame, outer: DataFrame) -> DataFrame:
-        inside = F.col("y.t").contains(F.col("x.t"))
-        key = inner.where(F.size("w") >= width + 2).select("i", "t", F.xxhash64(F.slice("w", 2, width)).alias("k"))
-        keys = outer.where(F.size("w") >= width).select("i", "t", F.explode(F.array_distinct(runs)).alias("k"))
-        long = key.alias("x").join(keys.alias("y"), (F.col("x.k") == F.col("y.k")) & inside)
-        short = inner.where(F.size("w") < width + 2).alias("x").join(outer.alias("y"), inside)
-        return long.select("x.i", F.col("y.i").alias("o")).unionAll(short.select("x.i", F.col("y.i").alias("o")))
-
-    a, b = side(left, left_id), side(right, right_id)
-    both = held(a, b).select(F.col("i").alias(left_id), F.col("o").alias(right_id)).unionAll(held(b, a).select(F.col("o").alias(left_id), F.col("i").alias(right_id)))
-    return both.distinct()
+    Candidates of any length, with words or without, come from equi-joins, see containment; contains() verifies."""
+    a, b = (df.select(F.col(i).alias("id"), F.col(text).alias("t")).where("t <> ''") for df, i in ((left, left_id), (right, right_id)))
+    named = lambda d, n: d.select(F.col("id").alias(n), "t")
+    both = held_by(named(a, "i"), named(b, "o")).select(F.col("i").alias(left_id), F.col("o").alias(right_id))
+    return both.unionAll(held_by(named(b, "i"), named(a, "o")).select(F.col("o").alias(left_id), F.col("i").alias(right_id))).distinct()
 
 
 def short_contained(left: DataFrame, a: str, right: DataFrame, b: str) -> DataFrame:
