@@ -2,39 +2,63 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MOST_ROWS, MOST_BYTES = 200_000, 1_000_000_000
-
+from lumentrace.sources.claims import Commits, Conflict, claim, delete, names, taken
 
-class Conflict(ValueError):
-    """Something else is there under the same key."""
+MOST_ROWS, MOST_BYTES = 200_000, 1_000_000_000
 
 
-def write_once(df: DataFrame, path: str, key: str, content: str) -> int:
+def write_once(df: DataFrame, path: str, key: str, content: str, tries: int = 100) -> int:
     """Appends rows whose key is new. Rows that are there with the same content are fine, others a Conflict; returns the rows written.
 
-    Keys that repeat within df must agree too."""
-    spark = df.sparkSession
-    mine = df.withColumn("_sha", F.sha2(F.col(content).cast("string"), 256))
-    if mine.groupBy(key).agg(F.count_distinct("_sha").alias("n")).where("n > 1").take(1):
-        raise Conflict("keys with several contents")
-    mine = mine.dropDuplicates([key])
-    if exists(spark, path):
-        there = spark.read.parquet(path).select(key, F.col("_sha").alias("_there"))
-        if mine.join(there, key).where("_sha <> _there").take(1):
-            raise Conflict("other content under a key that is there")
-        mine = mine.join(there, key, "left_anti")
-    n = mine.count()
-    if n:
-        mine.write.mode("append").parquet(path)
-    return n
-
+    Keys that repeat within df must agree too. df is computed once, into a folder that readers do not see. Rows appear by a commit that names the one
+    before it; if another writer was first, keys are compared anew, so that of several writers each key has one. Null is a key like others, as is null content."""
+    spark, commits = df.sparkSession, Commits(df.sparkSession, path)
+    sha = F.sha2(F.coalesce(F.concat(F.lit("1"), F.col(content).cast("string")), F.lit("0")), 256)
+    own = commits.pending()
+    df.withColumn("_sha", sha).write.parquet(f"{commits.root}/{own}")
+    mine = spark.read.parquet(f"{commits.root}/{own}")
+    try:
+        if mine.groupBy(key).agg(F.count_distinct("_sha").alias("n")).where("n > 1").take(1):
+            raise Conflict("keys with several contents")
+        all_rows = mine.count()
+        single = mine.groupBy(key).agg(F.min(F.struct("_sha", *(c for c in mine.columns if c not in ("_sha", key)))).alias("r")).select(key, "r.*") if _plain(mine, key) else mine.dropDuplicates([key])
+        for _ in range(tries):
+            last = commits.settle()
+            new = single
+            if last:
+                there = spark.read.parquet(commits.root).select(F.col(key).alias("_k"), F.col("_sha").alias("_there"))
+                met = F.col(key).eqNullSafe(F.col("_k"))
+                if mine.join(there, met).where("_sha <> _there").take(1):
+                    raise Conflict("other content under a key that is there")
+                new = single.join(there, met, "left_anti")
+            n = new.count()
+            if not n:
+                return 0
+            if n == all_rows:
+                if commits.commit(last, own):
+                    return n
+                continue
+            part = commits.pending()
+            new.select(*mine.columns).write.parquet(f"{commits.root}/{part}")
+            if commits.commit(last, part):
+                return n
+            delete(spark, f"{commits.root}/{part}")
+        raise Conflict(f"{tries} other commits came first")
+    finally:
+        delete(spark, f"{commits.root}/{own}")
+
+
+def _plain(df: DataFrame, key: str) -> bool:
+    """Whether all columns but the key can be ordered, so that of equal keys the same row is taken always."""
+    from pyspark.sql import types as T
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    return not any(isinstance(f.dataType, (T.MapType, T.VariantType)) for f in df.schema.fields if f.name != key)
 
 
 def write_bounded(df: DataFrame, path: str, most_rows: int = MOST_ROWS, most_bytes: int = MOST_BYTES) -> None:
@@ -92,25 +116,37 @@ def write_ordered(frames: dict[str, DataFrame], root: str, order: str) -> None:
 
 
 class VersionedState:
-    """A small state row with a generation; a write names the generation it has read, and fails if another came between.
+    """A small state table with a generation; a write names the generation it has read, and fails if another came between.
 
-    Generations are folders that can be created once, so that two writers of the same generation cannot both succeed."""
+    A generation is a name that one writer only can claim, and refers to a folder that was written before. What a loser has written is deleted."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _folders(self) -> list[int]:
-        sc = self.spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = p.getFileSystem(sc._jsc.hadoopConfiguration())
-        return sorted(int(s.getPath().getName()) for s in fs.listStatus(p) if fs.exists(sc._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))) if fs.exists(p) else []
-
     def read(self) -> tuple[int, DataFrame | None]:
-        g = self._folders()
-        return (g[-1], self.spark.read.json(f"{self.root}/{g[-1]}")) if g else (0, None)
+        last = max((int(n) for n in names(self.spark, f"{self.root}/_generations") if n.isdigit()), default=0)
+        if not last:
+            return 0, None
+        return last, self.spark.read.json(f"{self.root}/{taken(self.spark, f'{self.root}/_generations/{last}')}")
 
     def write(self, state: DataFrame, generation: int) -> int:
-        if (self._folders() or [0])[-1] != generation:
+        if not isinstance(generation, int) or generation < 0:
+            raise ValueError("a generation is a whole number from 0")
+        if self.read()[0] != generation:
+            raise Conflict("generation has moved on")
+        own = f"state-{uuid.uuid4().hex}"
+        state.coalesce(1).write.json(f"{self.root}/{own}")
+        if not claim(self.spark, f"{self.root}/_generations/{generation + 1}", own):
+            delete(self.spark, f"{self.root}/{own}")
             raise Conflict("generation has moved on")
-        state.coalesce(1).write.mode("errorifexists").json(f"{self.root}/{generation + 1}")
         return generation + 1
+
+    def update(self, change: Callable[[DataFrame | None], DataFrame], tries: int = 100) -> int:
+        """Writes what change() makes of the state; if another writer was first, of the state that it left."""
+        for _ in range(tries):
+            generation, state = self.read()
+            try:
+                return self.write(change(state), generation)
+            except Conflict:
+                continue
+        raise Conflict(f"{tries} other writers came first")
