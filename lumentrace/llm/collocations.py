@@ -9,7 +9,7 @@
 4. Both parts of every cut of a candidate are phrases that were counted too; they are joined by equality. Sums and products are whole numbers
    of 38 digits.
 
-Apart from a batch a task holds the suffixes that it is counting (3,000,000 at most) and its dictionary, both of a bounded size.
+Apart from a batch a task holds the suffixes that it is counting (1,000,000 at most) and its dictionary, both of a bounded size.
 """
 
 from __future__ import annotations
@@ -29,9 +29,9 @@ from lumentrace.llm.common import staged
 ENDS = b".,;:!?\n\x0b\x0c\r"
 _CUT = bytes.maketrans(ENDS, b"\n" * len(ENDS))
 #: Suffixes that a task counts before it sends them, its words by then, and their bytes.
-MOST_HELD, MOST_WORDS, MOST_BYTES = 3_000_000, 1_000_000, 64 << 20
+MOST_HELD, MOST_WORDS, MOST_BYTES = 1_000_000, 300_000, 32 << 20
 #: Rows of a batch that is sent, and what counts are multiplied by in it.
-ROWS, OPEN = 100_000, 4
+ROWS, OPEN = 50_000, 4
 #: What is sent: (part, suffix, n).
 SENT = "part int, suffix binary, n long"
 #: Documents of the sample that shows hot words, and the share of a task's rows from which a word is hot.
