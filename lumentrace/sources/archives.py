@@ -3,18 +3,36 @@
 from __future__ import annotations
 
 import math
+import operator
 import re
 import struct
 import time
 import urllib.request
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    EqualTo,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    IsNotNull,
+    LessThan,
+    LessThanOrEqual,
+    StringContains,
+    StringEndsWith,
+    StringStartsWith,
+)
+
+from lumentrace.sources.work import kept
 
 BLOCK = 512
 #: The longest name that an entry of its own may hold, in blocks with its header.
@@ -110,18 +128,22 @@ def _windows(source, window: int):
     return read
 
 
-def first_header(source, start: int, window: int = 1 << 20) -> int | None:
-    """Where the first entry begins at or after start, a multiple of BLOCK. A file behind a long name belongs to the entry of that name."""
+def first_header(source, start: int, window: int = 1 << 20, end: int | None = None) -> int | None:
+    """Where the first entry begins at or after start, a multiple of BLOCK, and before end. A file behind a long name belongs to the entry of that name."""
     read = _windows(source, window)
-    at = -(-start // BLOCK) * BLOCK
-    while at < source.size:
+    at, end = -(-start // BLOCK) * BLOCK, source.size if end is None else min(end, source.size)
+    base, earlier = max(0, start - NAME_BLOCKS * BLOCK), None
+    while at < end:
         if is_header(read(at, BLOCK)):
             owned = False
             for back in range(2, NAME_BLOCKS + 1):
                 before = at - back * BLOCK
                 if before < 0:
                     break
-                h = source.read(before, BLOCK) if before < start else b""
+                if before >= start:
+                    continue
+                earlier = source.read(base, start - base) if earlier is None else earlier
+                h = earlier[before - base :][:BLOCK] if before >= base else b""
                 if is_header(h) and h[156:157] == b"L" and before + BLOCK + _blocks(_number(h[124:136])) == at:
                     owned = True
                     break
@@ -153,17 +175,17 @@ def headers(source, start: int = 0, end: int | None = None, window: int = 64 <<
         long_name = None
 
 
-def entries_from(source, start: int, end: int | None = None) -> Iterator[tuple[str, int, int]]:
+def entries_from(source, start: int, end: int | None = None, window: int = 1 << 20) -> Iterator[tuple[str, int, int]]:
     """headers() from the first entry at or after start."""
-    at = first_header(source, start)
-    return iter(()) if at is None or (end is not None and at >= end) else headers(source, at, end)
+    at = first_header(source, start, window, end)
+    return iter(()) if at is None else headers(source, at, end, min(window, 64 << 10))
 
 
 def tail_entries(source, enough: Callable[[list[tuple[str, int, int]]], bool], first: int = 16 << 20, most: int = 512 << 20) -> list[tuple[str, int, int]]:
     """Entries of the end of an archive: a tail that doubles until they are enough, all is read, or it has `most` bytes."""
     n = first
     while True:
-        found = list(entries_from(source, max(0, source.size - n)))
+        found = list(entries_from(source, max(0, source.size - n), None, min(n, 1 << 20)))
         if enough(found) or n >= source.size or n >= most:
             return found
         n *= 2
@@ -176,7 +198,7 @@ def boundary(source, is_left: Callable[[list[tuple[str, int, int]]], bool], prob
         if hi - lo < probe:
             break
         middle = (lo + hi) // 2 // BLOCK * BLOCK
-        if is_left(list(entries_from(source, middle, middle + probe))):
+        if is_left(list(entries_from(source, middle, middle + probe, probe))):
             lo = middle
         else:
             hi = middle
@@ -186,42 +208,154 @@ def boundary(source, is_left: Callable[[list[tuple[str, int, int]]], bool], prob
 def section(source, is_left: Callable, wanted: Callable[[str], bool], probe: int = 4 << 20, windows: int = 6) -> tuple[str, int, int] | None:
     """The first wanted entry behind a boundary, sought in some windows there, else by all headers from the start."""
     lo, _ = boundary(source, is_left, probe)
-    for e in entries_from(source, lo, lo + windows * probe):
+    for e in entries_from(source, lo, lo + windows * probe, probe):
         if wanted(e[0]):
             return e
     return next((e for e in headers(source) if wanted(e[0])), None)
 
 
+class Ahead:
+    """A source that fetches the chunks behind the one that is read, `ahead` of them at most, each by a request of its own; what lies before the reader is let go.
+
+    Reads should go forward. A jump beyond what is fetched begins anew there; nothing at or behind end is fetched ahead."""
+
+    def __init__(self, source, end: int | None = None, chunk: int = 8 << 20, ahead: int = 8):
+        self.source, self.size = source, source.size
+        self.end, self.chunk, self.ahead = min(source.size, end if end is not None else source.size), chunk, ahead
+        self.pool = ThreadPoolExecutor(ahead, thread_name_prefix="ahead")
+        self.coming: dict[int, Future] = {}
+
+    def _chunk(self, n: int) -> bytes:
+        if n not in self.coming:
+            self.coming[n] = self.pool.submit(self.source.read, n * self.chunk, self.chunk)
+        return self.coming[n].result()
+
+    def read(self, offset: int, n: int) -> bytes:
+        n = max(0, min(n, self.size - offset))
+        if not n:
+            return b""
+        first, last = offset // self.chunk, (offset + n - 1) // self.chunk
+        for c in [c for c in self.coming if c < first]:
+            self.coming.pop(c).cancel()
+        out = []
+        for c in range(first, last + 1):
+            for k in range(c, c + self.ahead):
+                if k * self.chunk < self.end and k not in self.coming:
+                    self.coming[k] = self.pool.submit(self.source.read, k * self.chunk, self.chunk)
+            out.append(self._chunk(c))
+            if c < last:
+                self.coming.pop(c)
+        data = b"".join(out) if len(out) > 1 else out[0]
+        return data[offset - first * self.chunk :][:n]
+
+    def close(self) -> None:
+        self.pool.shutdown(wait=True, cancel_futures=True)
+        self.source.close()
+
+
+def tail_start(source, wanted: Callable[[str], bool], first: int = 16 << 20, most: int = 512 << 20) -> int:
+    """Where the tail begins that tail_entries() settles on: it holds a wanted name, is the whole archive, or has `most` bytes."""
+    found = tail_entries(source, lambda e: any(wanted(x[0]) for x in e), first, most)
+    at = first_header(source, max(0, source.size - min(most, source.size))) if not found else None
+    return (at or 0) if not found else max(0, _entry_start(source, found[0]))
+
+
+def _entry_start(source, entry: tuple[str, int, int]) -> int:
+    """Where an entry begins, its long name included."""
+    at = entry[1] - BLOCK
+    for back in range(2, NAME_BLOCKS + 1):
+        before = at - back * BLOCK
+        if before < 0:
+            break
+        h = source.read(before, BLOCK)
+        if is_header(h) and h[156:157] == b"L" and before + BLOCK + _blocks(_number(h[124:136])) == at:
+            return before
+    return at
+
+
+def section_start(source, left: Callable[[str], bool], wanted: Callable[[str], bool], probe: int = 4 << 20, windows: int = 6) -> int:
+    """Where the first wanted entry behind the left ones begins, as section() finds it; the size of the archive where there is none."""
+    found = section(source, lambda e: any(left(x[0]) for x in e), wanted, probe, windows)
+    return source.size if found is None else _entry_start(source, found)
+
+
+def planned(path: str, options: dict) -> tuple[int, int]:
+    """The bytes of an archive that the options tail, or left and wanted, leave: only the ranges that this takes are read."""
+    source = open_range(path)
+    try:
+        start, end = int(options.get("start", 0)), min(source.size, int(options["end"])) if "end" in options else source.size
+        matches = lambda o: re.compile(options[o]).search
+        if "tail" in options:
+            start = max(start, tail_start(source, matches("tail"), int(options.get("tail_bytes", 16 << 20)), int(options.get("tail_most", 512 << 20))))
+        elif "left" in options:
+            start = max(start, section_start(source, matches("left"), matches("wanted"), int(options.get("probe_bytes", 4 << 20)), int(options.get("probe_windows", 6))))
+        return start, end
+    finally:
+        source.close()
+
+
 class _Part(InputPartition):
     def __init__(self, path: str, start: int, end: int | None):
         self.path, self.start, self.end = path, start, end
 
 
+def _holds(f, row: dict) -> bool:
+    """Whether a row passes a filter of the source."""
+    value = row[f.attribute[0]]
+    if isinstance(f, StringStartsWith):
+        return value.startswith(f.value)
+    if isinstance(f, StringEndsWith):
+        return value.endswith(f.value)
+    if isinstance(f, StringContains):
+        return f.value in value
+    if isinstance(f, In):
+        return value in f.value
+    compare = {EqualTo: operator.eq, GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, LessThan: operator.lt, LessThanOrEqual: operator.le}
+    return compare[type(f)](value, f.value)
+
+
 class _Reader(DataSourceReader):
     def __init__(self, schema, options):
         self.names = [f.name for f in schema.fields]
         self.paths = [p for p in options["path"].split(",") if p]
         self.suffix, self.holds = options.get("suffix", ""), options.get("contains", "")
-        self.start, self.end = int(options.get("start", 0)), int(options["end"]) if "end" in options else None
+        self.options = {k: options[k] for k in ("start", "end", "tail", "tail_bytes", "tail_most", "left", "wanted", "probe_bytes", "probe_windows") if k in options}
+        if "left" in self.options and "wanted" not in self.options:
+            raise ValueError("left goes with wanted")
         self.size = max(BLOCK, int(options.get("partition_bytes", 64 << 20)) // BLOCK * BLOCK)
+        self.ahead, self.chunk = int(options.get("read_ahead", 0)), int(options.get("read_ahead_bytes", 8 << 20))
+        self.filters: list = []
+
+    def pushFilters(self, filters):
+        """Conditions on path, name, offset and size hold before a content is read; those on the path before an archive is opened."""
+        kinds = (EqualTo, In, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, StringStartsWith, StringEndsWith, StringContains)
+        for f in filters:
+            if isinstance(f, kinds) and f.attribute[0] in ("path", "name", "offset", "size"):
+                self.filters.append(f)
+            elif not (isinstance(f, IsNotNull) and f.attribute[0] in ("path", "name", "offset", "size")):
+                yield f
+
+    def _passes(self, row: dict) -> bool:
+        return all(_holds(f, row) for f in self.filters if f.attribute[0] in row)
 
     def partitions(self):
-        """Ranges of bytes; no header is read here."""
-        out = []
-        for path in self.paths:
-            source = open_range(path)
-            end = min(source.size, self.end) if self.end is not None else source.size
-            source.close()
-            out += [_Part(path, at, min(at + self.size, end)) for at in range(self.start // BLOCK * BLOCK, end, self.size)]
+        """Ranges of bytes. Archives are opened several at a time, for their sizes and for what the options tail and left look at; nothing else is read."""
+        paths = [p for p in self.paths if self._passes({"path": p})]
+        with ThreadPoolExecutor(min(32, max(1, len(paths)))) as pool:
+            found = list(pool.map(lambda p: planned(p, self.options), paths))
+        out = [_Part(path, at, min(at + self.size, end)) for path, (start, end) in zip(paths, found, strict=True) for at in range(start // BLOCK * BLOCK, end, self.size)]
         return out or [_Part("", 0, 0)]
 
     def read(self, part):
         if not part.path:
             return
         source = open_range(part.path)
+        if self.ahead:
+            source = Ahead(source, part.end, self.chunk, self.ahead)
         for name, at, size in entries_from(source, part.start, part.end):
-            if name.endswith(self.suffix) and self.holds in name:
-                row = {"path": part.path, "name": name, "offset": at, "size": size, "content": source.read(at, size) if "content" in self.names else None}
+            row = {"path": part.path, "name": name, "offset": at, "size": size}
+            if name.endswith(self.suffix) and self.holds in name and self._passes(row):
+                row["content"] = source.read(at, size) if "content" in self.names else None
                 yield tuple(row[n] for n in self.names)
         source.close()
 
@@ -230,7 +364,10 @@ class TarSource(DataSource):
     """Format "tar": files of archives. Tasks find and walk the headers of a range of bytes each; an archive in an archive, uncompressed, is not told apart from its outside where a range begins within it.
 
     Options: path, one or several with commas between, local or with a scheme; suffix and contains keep members by name; start and end, a range
-    of bytes; partition_bytes. A schema without content reads headers only."""
+    of bytes; partition_bytes. tail=<regular expression> reads a tail only: of tail_bytes, doubled until it holds such a name, has tail_most bytes or is all.
+    left=<expression> with wanted=<expression> reads from the first wanted member behind those that match left, which is found by bisection with
+    windows of probe_bytes, then in probe_windows of them, else by the headers. read_ahead=<n> fetches that many chunks of read_ahead_bytes ahead of the reader.
+    Conditions on path, name, offset and size are applied before contents are read. A schema without content reads headers only."""
 
     @classmethod
     def name(cls):
@@ -243,8 +380,37 @@ class TarSource(DataSource):
         return _Reader(schema, self.options)
 
 
+def members(files: DataFrame, *, content: bool = True, suffix: str = "", contains: str = "", partition_bytes: int = 64 << 20, **options) -> DataFrame:
+    """(path, name, offset, size, content): the files of archives that a table lists by path; tasks open them, plan their ranges as the options of the source say and read these.
+
+    For more archives than a driver should open."""
+    paths = files.select("path")
+    cut = "path string, start long, end long"
+    step = max(BLOCK, partition_bytes // BLOCK * BLOCK)
+
+    def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(p, at, min(at + step, end)) for p in b["path"] for start, end in [planned(p, options)] for at in range(start // BLOCK * BLOCK, end, step)]
+            yield pd.DataFrame(rows, columns=["path", "start", "end"])
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for p, start, end in zip(b["path"], b["start"], b["end"], strict=True):
+                source = open_range(p)
+                for name, at, size in entries_from(source, start, end):
+                    if name.endswith(suffix) and contains in name:
+                        yield pd.DataFrame({"path": [p], "name": [name], "offset": [at], "size": [size]} | ({"content": [source.read(at, size)]} if content else {}))
+                source.close()
+
+    ranges = kept(paths.mapInPandas(plan, cut))
+    n = max(1, min(ranges.count(), 20_000))
+    return ranges.repartition(n, "path", "start").mapInPandas(read, "path string, name string, offset long, size long" + (", content binary" if content else ""))
+
+
 def register(spark: SparkSession) -> None:
+    """Makes the source known to a session, with filters that reach it."""
     spark.dataSource.register(TarSource)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
 def inventory(spark: SparkSession, root: str, pattern: str = "", below: str = "") -> DataFrame:
