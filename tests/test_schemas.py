@@ -85,9 +85,10 @@ def mutations(doc):
             for k in path[:-1]:
                 at = at[k]
             if isinstance(at, dict):
-                at["more still"] = 1
+                extra = "x" * (1 + max(map(len, at)))
+                at[extra] = 1
                 yield copy.deepcopy(d)
-                del at["more still"]
+                del at[extra]
             del at[path[-1]]
             yield d
 
