@@ -207,7 +207,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sig, key = sig[keep:end], key[keep:end]
 
 
-def _close(scheme: Scheme):
+def close_pairs(scheme: Scheme):
     """Of pairs (a, b, na, nb, sa, sb), sb the sketch of b, those that their sketches do not rule out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,14 +227,14 @@ def _close(scheme: Scheme):
 
 
 def _within(scheme: Scheme, every: bool):
-    """Of rows (list, block, left, kind, key, n, root, sketch) in the order of list and block: pairs of different roots that sketches do not rule out; unless every, only as many as connect the same rows."""
+    """Of rows (list, block, left, kind, key, n, room, root, sketch) in the order of list and block: pairs of different roots that neither rooms nor sketches rule out; unless every, only as many as connect the same rows."""
 
     def compare(cols: dict[str, np.ndarray], sketches: list[bytes]) -> list[tuple[int, int]]:
         order = np.argsort(cols["n"], kind="stable")
         cols = {c: x[order] for c, x in cols.items()}
         size = min(len(sketches[i]) for i in order)
         bits = np.frombuffer(b"".join(_folded(sketches[i], size) for i in order), np.uint64).reshape(len(order), -1)
-        key, n, root, kind, left = (cols[c] for c in ("key", "n", "root", "kind", "left"))
+        key, n, root, kind, left, room = (cols[c] for c in ("key", "n", "root", "kind", "left", "room"))
         group = {int(r): int(r) for r in np.unique(root)}
 
         def find(x: int) -> int:
@@ -248,6 +248,7 @@ def _within(scheme: Scheme, every: bool):
             end = int(np.searchsorted(n, n[i] * scheme.whole // scheme.part, side="right"))
             js = np.arange(i + 1, end)
             js = js[(root[js] != root[i]) & ((kind[js] | kind[i]) & INDEX == INDEX) & (kind[js] & kind[i] & LACKING == 0) & ((left[js] != left[i]) | (left[i] == 2))]
+            js = js[(scheme.part + scheme.whole) * np.minimum(room[js], room[i]) >= scheme.part * (n[js] + n[i])]
             if not len(js):
                 continue
             js = js[np.bitwise_count(bits[js] ^ bits[i]).sum(axis=1) <= scheme.differing(n[js] + n[i])]
@@ -259,7 +260,7 @@ def _within(scheme: Scheme, every: bool):
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("list", "block", "left", "kind", "key", "n", "root")
+        names = ("list", "block", "left", "kind", "key", "n", "room", "root")
         held: dict[str, np.ndarray] | None = None
         texts: list[bytes] = []
 
@@ -293,6 +294,19 @@ def _within(scheme: Scheme, every: bool):
     return run
 
 
+def apart_within(lists: DataFrame, sketches: DataFrame, scheme: Scheme, every: bool, parts: int) -> DataFrame:
+    """(a, b): pairs of keys of one list and different roots that may be links, found in the task that holds the list; unless every, only as many as connect the same rows.
+
+    lists: list, kind, key, room (of how many tokens in common the list leaves room for), root. sketches: key, n, sketch."""
+    # a list longer than a block meets itself block by block: a row goes to its row and column of the blocks' square; left tells for which of both it is there
+    sizes = lists.groupBy("list").agg(F.count("*").alias("rows")).where(F.col("rows") > BLOCK).select("list", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+    q = lists.join(sizes, "list", "left").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    places = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct((F.least("mine", o) * F.col("blocks") + F.greatest("mine", o)).alias("block"), F.when(o == F.col("mine"), 2).when(F.col("mine") < o, 1).otherwise(0).alias("left")))
+    q = q.withColumn("at", F.explode(F.when(F.col("blocks").isNotNull(), places).otherwise(F.array(F.struct(F.lit(0).alias("block"), F.lit(2).alias("left"))))))
+    q = q.join(sketches.select("key", "n", "sketch"), "key").select("list", F.col("at.block").alias("block"), F.col("at.left").cast("byte").alias("left"), "kind", "key", "n", F.col("room").cast("long").alias("room"), "root", "sketch")
+    return q.repartition(parts, "list", "block").sortWithinPartitions("list", "block").mapInArrow(_within(scheme, every), "a long, b long").distinct()
+
+
 def allocated(docs: DataFrame, width: int, part: int, whole: int) -> Scheme:
     """The scheme with the spare segments and long lists that cost least, by a sample of at most about SAMPLE_DOCS documents."""
     plain = Scheme(part, whole)
@@ -384,17 +398,11 @@ def join_groups(
     held = p.select("list", "key").distinct().groupBy("key").agg(F.count("*").alias("held"))
     centre = p.join(held, "key").groupBy("list").agg(F.max_by("key", F.struct("held", "key")).alias("centre"))
     pairs = p.join(centre, "list").where("key <> centre").select(F.least("key", "centre").alias("a"), F.greatest("key", "centre").alias("b")).distinct()
-    pairs = pairs.join(own("a"), "a").join(own("b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(_close(scheme), "a long, b long")
+    pairs = pairs.join(own("a"), "a").join(own("b"), "b").select("a", "b", "na", "nb", "sa", "sb").mapInArrow(close_pairs(scheme), "a long, b long")
     joined = [grown(verified(staged(pairs, scope)), p)]
     for every in (False, True):
         p = merged(p, joined[-1])
-        # a list longer than a block meets itself block by block: row i of the blocks' square and column i; left tells which of both a row is for
-        sizes = p.groupBy("list").agg(F.count("*").alias("rows")).where(F.col("rows") > BLOCK).select("list", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
-        q = p.join(sizes, "list", "left").withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-        places = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct((F.least("mine", o) * F.col("blocks") + F.greatest("mine", o)).alias("block"), F.when(o == F.col("mine"), 2).when(F.col("mine") < o, 1).otherwise(0).alias("left")))
-        q = q.withColumn("at", F.explode(F.when(F.col("blocks").isNotNull(), places).otherwise(F.array(F.struct(F.lit(0).alias("block"), F.lit(2).alias("left"))))))
-        q = q.join(distinct.select("key", "n", "sketch"), "key").select("list", F.col("at.block").alias("block"), F.col("at.left").cast("byte").alias("left"), "kind", "key", "n", "root", "sketch")
-        pairs = q.repartition(parts, "list", "block").sortWithinPartitions("list", "block").mapInArrow(_within(scheme, every), "a long, b long").distinct()
+        pairs = apart_within(p.withColumn("room", F.lit(2**31)), distinct, scheme, every, parts)
         joined.append(grown(verified(staged(pairs, scope)), p))
     tied = distinct.select("key", "rep", F.col("key").alias("root"))
     for of in joined:
