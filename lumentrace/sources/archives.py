@@ -32,6 +32,7 @@ from pyspark.sql.datasource import (
     StringStartsWith,
 )
 
+from lumentrace.sources import matroska
 from lumentrace.sources.work import kept
 
 BLOCK = 512
@@ -462,8 +463,15 @@ def mp4_durations(source) -> dict[str, float]:
     return {}
 
 
+def video_seconds(source) -> float | None:
+    """Seconds of the video track of an MP4, Matroska or WebM file, by its media header or its DURATION tag."""
+    if source.read(0, 4) == b"\x1a\x45\xdf\xa3":
+        return next((t["seconds"] for t in matroska.tracks(source) if t["kind"] == "vide"), None)
+    return mp4_durations(source).get("vide")
+
+
 def probed(files: DataFrame, path: str = "path") -> DataFrame:
-    """files with duration_sec of their video track; null where there is none, or the file is no MP4."""
+    """files with duration_sec of their video track; null where there is none, or the file is of another kind."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -471,7 +479,7 @@ def probed(files: DataFrame, path: str = "path") -> DataFrame:
             for p in b[path]:
                 try:
                     source = open_range(p)
-                    seconds.append(mp4_durations(source).get("vide"))
+                    seconds.append(video_seconds(source))
                     source.close()
                 except (OSError, struct.error):
                     seconds.append(None)
