@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +79,21 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run over the batches of a task; what it has freed by the end goes back to the system, as workers live on and wait for other tasks."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return whole
+
+
 def id_key(col: str) -> Column:
     return F.coalesce(F.col(col).cast("long"), F.lit(NO_ID))
 

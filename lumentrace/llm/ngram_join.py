@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lumentrace.llm.common import staged
+from lumentrace.llm.common import staged, trimmed
 from lumentrace.llm.components import components
 from lumentrace.llm.simhash import shingle_hashes
 
@@ -304,7 +304,7 @@ def apart_within(lists: DataFrame, sketches: DataFrame, scheme: Scheme, every: b
     places = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct((F.least("mine", o) * F.col("blocks") + F.greatest("mine", o)).alias("block"), F.when(o == F.col("mine"), 2).when(F.col("mine") < o, 1).otherwise(0).alias("left")))
     q = q.withColumn("at", F.explode(F.when(F.col("blocks").isNotNull(), places).otherwise(F.array(F.struct(F.lit(0).alias("block"), F.lit(2).alias("left"))))))
     q = q.join(sketches.select("key", "n", "sketch"), "key").select("list", F.col("at.block").alias("block"), F.col("at.left").cast("byte").alias("left"), "kind", "key", "n", F.col("room").cast("long").alias("room"), "root", "sketch")
-    return q.repartition(parts, "list", "block").sortWithinPartitions("list", "block").mapInArrow(_within(scheme, every), "a long, b long").distinct()
+    return q.repartition(parts, "list", "block").sortWithinPartitions("list", "block").mapInArrow(trimmed(_within(scheme, every)), "a long, b long").distinct()
 
 
 def allocated(docs: DataFrame, width: int, part: int, whole: int) -> Scheme:
@@ -358,7 +358,7 @@ def join_groups(
     scheme = scheme or allocated(docs, width, part, whole)
     plain = docs.withColumn("content", F.xxhash64("text"))
     fields = [*(T.StructField(n, T.LongType()) for n in ("content", "key", "n")), T.StructField("sketch", T.BinaryType()), T.StructField("sigs", T.ArrayType(T.LongType()))]
-    info = staged(plain.select("id", "content", "text").mapInArrow(_sets(width, scheme), T.StructType([docs.schema["id"], *fields])), scope)
+    info = staged(plain.select("id", "content", "text").mapInArrow(trimmed(_sets(width, scheme)), T.StructType([docs.schema["id"], *fields])), scope)
     # pick: the row whose text stands for all of a key
     distinct = info.where("n > 0").groupBy("key").agg(F.min("id").alias("rep"), F.min(F.struct("content", "id")).alias("pick"), F.first("n").alias("n"), F.max("sketch").alias("sketch"))
     distinct = staged(distinct, scope)
@@ -376,7 +376,7 @@ def join_groups(
         # where few texts are asked for, the list goes to the texts; else both are shuffled
         of = F.broadcast(of) if of.count() <= MOST_ASKED else of
         texts = plain.join(of, "content").where(F.col("id").eqNullSafe(F.col("own"))).select("key", "text").dropDuplicates(["key"])
-        sets = staged(texts.mapInArrow(_tokens(width), "key long, tokens array<long>"), scope)
+        sets = staged(texts.mapInArrow(trimmed(_tokens(width)), "key long, tokens array<long>"), scope)
         a, b = (sets.select(F.col("key").alias(e), F.col("tokens").alias(f"t{e}")) for e in "ab")
         both = F.size(F.array_intersect("ta", "tb"))
         return staged(pairs.join(a, "a").join(b, "b").where((part + whole) * both >= part * (F.size("ta") + F.size("tb"))).select("a", "b"), scope)

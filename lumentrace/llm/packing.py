@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lumentrace.llm.bpe_codec import byte_characters, model_proto
-from lumentrace.llm.common import staged
+from lumentrace.llm.common import staged, trimmed
 
 #: Chunks of a generation of a worker's cache, at some 200 bytes each; it keeps two generations.
 MOST_CACHED = 300_000
@@ -286,7 +286,7 @@ def pack(
     spark = docs.sparkSession
     schema = T.StructType([T.StructField(n, T.BinaryType() if n == "ids" else T.LongType()) for n in _NAMES])
     plain = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    first = staged(plain.mapInArrow(_pack(tokenizer, end_id, length, open_windows, with_ids), schema), scope)
+    first = staged(plain.mapInArrow(trimmed(_pack(tokenizer, end_id, length, open_windows, with_ids)), schema), scope)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     group = F.floor(F.col("task") / merge_tasks)
     left = first.where("sequence_id IS NULL").repartition(parts, group).sortWithinPartitions("task", F.length("ids").desc(), "doc", "start")
