@@ -80,65 +80,63 @@ def review() -> dict:
     return an_object({"findings": an_array(found), "segment_replacements": an_array(replaced), "initial_environment_replacement": _INITIAL, "scene_summary_replacement": NULL_TEXT, "resegmentation_requests": an_array(again)})
 
 
-def _kind(v: Column) -> Column:
-    """Of what type a value is, in JSON's words."""
-    s = F.schema_of_variant(v)
-    number = s.isin("BIGINT", "DOUBLE", "FLOAT") | s.startswith("DECIMAL")
-    return F.when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array").when(number, "number").when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").when(s == "VOID", "null")
+def _bound(value: Column, use) -> Column:
+    """use(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
 
+# Names of leaf types, as Spark gives them.
+_LEAVES = {"string": ("STRING",), "boolean": ("BOOLEAN",), "null": ("VOID",), "number": ("BIGINT", "DOUBLE", "FLOAT")}
 
-def _is(v: Column, name: str) -> Column:
-    # containers are told by what they can become, as naming the type of one walks all of it
-    if name == "object":
-        return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
-    if name == "array":
-        return F.try_variant_get(v, "$", "array<variant>").isNotNull()
-    return _kind(v) == name
+
+def _is_leaf(v: Column, kinds: list[str]) -> Column:
+    s = F.schema_of_variant(v)
+    right = s.isin(*(n for k in kinds for n in _LEAVES[k]))
+    return F.coalesce(right | s.startswith("DECIMAL") if "number" in kinds else right, F.lit(False))
 
 
 def _violation(schema: dict, v: Column, path: list[Column]) -> Column:
-    """Of a value that is there (a variant); null for none."""
+    """Of a value that is there (a variant); null for none. Containers are told by what they can become, as naming the type of one walks all of it."""
     place = F.array(*path) if path else F.array().cast("array<string>")
     broken = lambda rule: F.struct(place.alias("path"), F.lit(rule).alias("rule")).cast(VIOLATION)
-    cases: list[Column] = []
-    for word, value in schema.items():
-        if word == "type":
-            kinds = [value] if isinstance(value, str) else value
-            right = F.lit(False)
-            for k in kinds:
-                right = right | F.coalesce(_is(v, k), F.lit(False))
-            cases.append(F.when(~right, broken("type")))
-        elif word == "enum":
-            text = F.when(_kind(v) == "string", F.try_variant_get(v, "$", "string"))
-            cases.append(F.when(~F.coalesce(text.isin(*value), F.lit(False)), broken("enum")))
-        elif word == "anyOf":
-            none = F.lit(True)
-            for s in value:
-                none = none & _violation(s, v, path).isNotNull()
-            cases.append(F.when(none, broken("anyOf")))
-        elif word == "properties":
-            for name, s in value.items():
-                inner = F.try_variant_get(v, f"$.{name}", "variant")
-                cases.append(F.when(inner.isNotNull(), _violation(s, inner, [*path, F.lit(name)])))
-        elif word == "required":
-            missing = F.lit(False)
-            for name in value:
-                missing = missing | F.try_variant_get(v, f"$.{name}", "variant").isNull()
-            cases.append(F.when(_is(v, "object") & missing, broken("required")))
-        elif word == "additionalProperties" and value is False:
-            known = F.array(*(F.lit(n) for n in schema.get("properties", {}))).cast("array<string>")
-            keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
-            cases.append(F.when(F.size(F.array_except(keys, known)) > 0, broken("additionalProperties")))
-        elif word == "items":
-            items = F.try_variant_get(v, "$", "array<variant>")
-            # lambdas of nested arrays need names of their own
-            found = F.transform(items, lambda x, i: _violation(value, x, [*path, i.cast("string")]))
-            cases.append(F.get(F.filter(found, lambda x: x.isNotNull()), F.lit(0)))
-        elif word == "minItems":
-            cases.append(F.when(F.size(F.try_variant_get(v, "$", "array<variant>")) < value, broken("minItems")))
-        else:
-            raise ValueError(f"{word} is not known")
-    return F.coalesce(*cases) if cases else F.lit(None).cast(VIOLATION)
+    if unknown := schema.keys() - {"type", "properties", "required", "additionalProperties", "items", "minItems", "enum", "anyOf"}:
+        raise ValueError(f"{', '.join(sorted(unknown))} is not known")
+
+    def judged(inner: Column | None) -> Column:
+        """inner: the keys of an object or the items of an array, null for other values."""
+        cases: list[Column] = []
+        for word, value in schema.items():
+            if word == "type":
+                wrong = inner.isNull() if inner is not None else ~_is_leaf(v, [value] if isinstance(value, str) else value)
+                cases.append(F.when(wrong, broken("type")))
+            elif word == "enum":
+                text = F.when(_is_leaf(v, ["string"]), F.try_variant_get(v, "$", "string"))
+                cases.append(F.when(~F.coalesce(text.isin(*value), F.lit(False)), broken("enum")))
+            elif word == "anyOf":
+                none = F.lit(True)
+                for s in value:
+                    none = none & _violation(s, v, path).isNotNull()
+                cases.append(F.when(none, broken("anyOf")))
+            elif word == "properties":
+                for name, s in value.items():
+                    cases.append(_bound(F.try_variant_get(v, f"$.{name}", "variant"), lambda x: F.when(x.isNotNull(), _violation(s, x, [*path, F.lit(name)]))))  # noqa: B023  called at once
+            elif word == "required":
+                cases.append(F.when(F.size(F.array_except(F.array(*map(F.lit, value)).cast("array<string>"), inner)) > 0, broken("required")))
+            elif word == "additionalProperties" and value is False:
+                known = F.array(*map(F.lit, schema.get("properties", {}))).cast("array<string>")
+                cases.append(F.when(F.size(F.array_except(inner, known)) > 0, broken("additionalProperties")))
+            elif word == "items":
+                found = F.transform(inner, lambda x, i: _violation(value, x, [*path, i.cast("string")]))  # noqa: B023  called at once
+                cases.append(F.get(F.filter(found, lambda x: x.isNotNull()), F.lit(0)))
+            elif word == "minItems":
+                cases.append(F.when(F.size(inner) < value, broken("minItems")))
+        return F.coalesce(*cases) if cases else F.lit(None).cast(VIOLATION)
+
+    if schema.get("type") == "object":
+        return _bound(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), judged)
+    if schema.get("type") == "array":
+        return _bound(F.try_variant_get(v, "$", "array<variant>"), judged)
+    return judged(None)
 
 
 def violation(document: Column, schema: dict) -> Column:

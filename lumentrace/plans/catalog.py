@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lumentrace.plans import events, folds, records, reports, stages, texts
+from lumentrace.plans import events, folds, inputs, records, reports, stages, texts
 
-BOOKS = (events.book, records.book, reports.book, texts.book, stages.book, folds.book)
+BOOKS = (events.book, records.book, reports.book, texts.book, stages.book, folds.book, inputs.book)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -195,13 +195,21 @@ def _newlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*b.columns, pa.array(counts, pa.int64())], [*b.schema.names, "newlines"])
 
 
+def is_object(line: bytes) -> bool:
+    """Whether a line is one JSON object and nothing else."""
+    try:
+        return isinstance(json.loads(line), dict)
+    except (ValueError, RecursionError):
+        return False
+
+
 def numbered_lines(spark: SparkSession, path: str, *, range_bytes: int = RANGE) -> DataFrame:
-    """(path, line, text): the lines of the files that are not blank, numbered from 1 in each file; numbers come from sums over ranges."""
+    """(path, line, sound, text): the lines of the files that are not blank, numbered from 1 in each file, and whether each is one JSON object; numbers come from sums over ranges."""
     counted = ranges(spark, path, range_bytes).mapInArrow(_newlines, "path string, length long, start long, end long, newlines long")
     before = F.coalesce(F.sum("newlines").over(Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     r = kept(counted.withColumn("before", before))
     n = r.count()
-    schema = pa.schema([("path", pa.string()), ("line", pa.int64()), ("text", pa.string())])
+    schema = pa.schema([("path", pa.string()), ("line", pa.int64()), ("sound", pa.bool_()), ("text", pa.string())])
 
     def row(x: dict, source) -> Iterator[tuple]:
         at, finish = line_start(source, x["start"]), line_start(source, x["end"])
@@ -215,8 +223,8 @@ def numbered_lines(spark: SparkSession, path: str, *, range_bytes: int = RANGE)
             for line in whole:
                 number += 1
                 if line.strip():
-                    yield x["path"], number, line.decode("utf-8", "replace")
+                    yield x["path"], number, is_object(line), line.decode("utf-8", "replace")
         if rest.strip():
-            yield x["path"], number + 1, rest.decode("utf-8", "replace")
+            yield x["path"], number + 1, is_object(rest), rest.decode("utf-8", "replace")
 
-    return r.repartition(max(1, min(n, MOST_TASKS)), "path", "start").mapInArrow(lambda batches: _rows(batches, row, schema), "path string, line long, text string")
+    return r.repartition(max(1, min(n, MOST_TASKS)), "path", "start").mapInArrow(lambda batches: _rows(batches, row, schema), "path string, line long, sound boolean, text string")

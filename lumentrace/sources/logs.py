@@ -43,7 +43,7 @@ def marked_lines(spark: SparkSession, path: str, schema: str, **how) -> DataFram
     files = jsonlog.numbered_lines(spark, path, **how)
     kind = T._parse_datatype_string(f"{schema}, _bad STRING")
     parsed = files.withColumn("r", F.from_json("text", kind, {"columnNameOfCorruptRecord": "_bad"}))
-    bad = F.col("r._bad").isNotNull() | ~F.ltrim("text").startswith("{")
+    bad = F.col("r._bad").isNotNull() | ~F.col("sound")
     fields = [F.when(~bad, F.col(f"r.{f.name}")).alias(f.name) for f in kind.fields if f.name != "_bad"]
     return parsed.select("path", "line", bad.alias("unparsable"), F.when(bad, F.substring("text", 1, 120)).alias("raw"), *fields)
 

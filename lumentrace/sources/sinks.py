@@ -61,6 +61,14 @@ def _plain(df: DataFrame, key: str) -> bool:
     return not any(isinstance(f.dataType, (T.MapType, T.VariantType)) for f in df.schema.fields if f.name != key)
 
 
+def read_back(expected: DataFrame, published: DataFrame, key: str, content: str) -> DataFrame:
+    """(key, kind): what is missing from a published table, differs in it, or is there unexpected, by one full join; keys are compared as they are, and each should come once a side."""
+    a = expected.select(F.col(key).alias("_a"), F.col(content).alias("_x"), F.lit(True).alias("_ha"))
+    b = published.select(F.col(key).alias("_b"), F.col(content).alias("_y"), F.lit(True).alias("_hb"))
+    kind = F.when(F.col("_hb").isNull(), "missing").when(F.col("_ha").isNull(), "unexpected").when(~F.col("_x").eqNullSafe(F.col("_y")), "differs")
+    return a.join(b, F.col("_a") == F.col("_b"), "full").select(F.coalesce("_a", "_b").alias(key), kind.alias("kind")).where("kind IS NOT NULL")
+
+
 def write_bounded(df: DataFrame, path: str, most_rows: int = MOST_ROWS, most_bytes: int = MOST_BYTES) -> None:
     """JSON lines, or an error before anything is written where there are too many rows or bytes."""
     lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
