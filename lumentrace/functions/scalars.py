@@ -158,7 +158,10 @@ def pii_counts(text: Column, schools: tuple[str, ...] = ()) -> dict[str, Column]
     named = "|".join(f"\\b{re.escape(s)}\\b" for s in schools)
     patterns = ({"school_plain": f"(?i){named}"} if named else {}) | PII
     count = lambda p: F.coalesce(F.regexp_count(text, F.lit(p)), F.lit(0)).cast("long")
-    out = {k: count(p) for k, p in patterns.items()}
+    # what every match holds is looked for first: most texts have none of it
+    low = F.lower(text)
+    needs = {"school_generic": low.contains("university") | low.contains("college"), "email_plain": text.contains("@")}
+    out = {k: F.when(needs[k], count(p)).otherwise(F.lit(0).cast("long")) if k in needs else count(p) for k, p in patterns.items()}
     total = F.lit(0).cast("long")
     for c in out.values():
         total = total + c

@@ -80,7 +80,7 @@ def review() -> dict:
     return an_object({"findings": an_array(found), "segment_replacements": an_array(replaced), "initial_environment_replacement": _INITIAL, "scene_summary_replacement": NULL_TEXT, "resegmentation_requests": an_array(again)})
 
 
-def _bound(value: Column, use) -> Column:
+def bound(value: Column, use) -> Column:
     """use(value), with the value computed once."""
     return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
 
@@ -119,7 +119,7 @@ def _violation(schema: dict, v: Column, path: list[Column]) -> Column:
                 cases.append(F.when(none, broken("anyOf")))
             elif word == "properties":
                 for name, s in value.items():
-                    cases.append(_bound(F.try_variant_get(v, f"$.{name}", "variant"), lambda x: F.when(x.isNotNull(), _violation(s, x, [*path, F.lit(name)]))))  # noqa: B023  called at once
+                    cases.append(bound(F.try_variant_get(v, f"$.{name}", "variant"), lambda x: F.when(x.isNotNull(), _violation(s, x, [*path, F.lit(name)]))))  # noqa: B023  called at once
             elif word == "required":
                 cases.append(F.when(F.size(F.array_except(F.array(*map(F.lit, value)).cast("array<string>"), inner)) > 0, broken("required")))
             elif word == "additionalProperties" and value is False:
@@ -133,9 +133,9 @@ def _violation(schema: dict, v: Column, path: list[Column]) -> Column:
         return F.coalesce(*cases) if cases else F.lit(None).cast(VIOLATION)
 
     if schema.get("type") == "object":
-        return _bound(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), judged)
+        return bound(F.map_keys(F.try_variant_get(v, "$", "map<string,variant>")), judged)
     if schema.get("type") == "array":
-        return _bound(F.try_variant_get(v, "$", "array<variant>"), judged)
+        return bound(F.try_variant_get(v, "$", "array<variant>"), judged)
     return judged(None)
 
 

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from lumentrace.functions import scalars as S
-from lumentrace.operators import schemas, speech, wordings
+from lumentrace.operators import critics, schemas, speech, wordings
 from lumentrace.plans.tables import Book, table
 from lumentrace.sources import archives, claims, logs, sinks
 from lumentrace.sources.work import scratch
@@ -269,3 +269,50 @@ def archive_sections(spark, sf):
     all_of = members.groupBy(source).agg(F.count("*").alias("members"), F.sum("size").alias("bytes"), F.min(F.sha2("content", 256)).alias("first_sha"))
     long = archives.members(files, content=False, left="/short/", wanted="/long/", probe_bytes=64 << 10, partition_bytes=1 << 20).groupBy(source).agg(F.count("*").alias("long_members"))
     return all_of.join(long, "source", "left").select("source", "members", "bytes", F.coalesce("long_members", F.lit(0)).alias("long_members"), "first_sha")
+
+
+_CANDIDATES = """
+WITH c AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS i, CAST(l_quantity AS BIGINT) AS q, l_returnflag = 'R' AS fatal FROM lineitem),
+b AS (SELECT k, count(*) AS n, min(i) FILTER (q = m) AS largest FROM (SELECT *, max(q) OVER (PARTITION BY k) AS m FROM c) GROUP BY k),
+v AS (SELECT k, n, CASE WHEN k % 6 BETWEEN 1 AND n THEN k % 6 - 1 ELSE largest END AS best FROM b WHERE k % 11 <> 0)
+"""
+
+
+def _answers(spark, sf):
+    """(clip_id, content): a critic's answer on every order, totals as texts or numbers, the best index often beyond the candidates; some answers have none."""
+    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    x = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("clip_id"), F.struct(*order, "l_returnflag").alias("o"))
+    q = lambda o: o["l_quantity"].cast("long").cast("string")
+    issues = lambda o: F.when(o["l_returnflag"] == "R", '[{"severity": "fatal"}]').otherwise('"none"')
+    item = lambda o, i: F.concat(F.lit('{"index": '), i.cast("string"), F.lit(', "scores": {"coverage": "'), q(o), F.lit('"}, "weighted_total": '), F.when(i % 2 == 0, F.concat(F.lit('"'), q(o), F.lit('"'))).otherwise(q(o)), F.lit(', "issues": '), issues(o), F.lit("}"))
+    g = x.groupBy("clip_id").agg(F.array_sort(F.collect_list("o")).alias("l"))
+    items = F.array_join(F.transform("l", item), ", ")
+    full = F.concat(F.lit('{"candidates": ['), F.when(F.col("clip_id") % 11 == 0, "").otherwise(items), F.lit('], "best_index": "'), (F.col("clip_id") % 6 - 1).cast("string"), F.lit('", "needs_regeneration": "'), F.when(F.col("clip_id") % 3 == 0, "Yes").otherwise("no"), F.lit('"}'))
+    return g.select("clip_id", full.alias("content"))
+
+
+@book.add(
+    "critic_verdicts",
+    _CANDIDATES + "SELECT k AS clip_id, n AS candidates, CAST(best AS INTEGER) AS best_index, CAST(q AS DOUBLE) AS total, fatal, k % 3 = 0 AS again, q AS coverage FROM v JOIN c USING (k) WHERE i = best",
+)
+def critic_verdicts(spark, sf):
+    """What critics have answered: the best candidate, by their word where it can be, else by its total; answers without candidates are none."""
+    good, _ = critics.verdicts(_answers(spark, sf))
+    c = F.element_at("candidates", F.col("best_index") + 1)
+    return good.select("clip_id", F.size("candidates").cast("long").alias("candidates"), "best_index", c["weighted_total"].alias("total"), c["fatal"].alias("fatal"), F.col("needs_regeneration").alias("again"), c["coverage"].alias("coverage"))
+
+
+@book.add(
+    "second_critic_pool",
+    _CANDIDATES + "SELECT k AS clip_id, 0 AS place, 'generate' AS source, best AS call_index FROM v WHERE k % 3 = 0 UNION ALL SELECT k, j, 'refine', 99 + j FROM v, (VALUES (1), (2)) AS r(j) WHERE k % 3 = 0",
+)
+def second_critic_pool(spark, sf):
+    """What the critic judges again: the best candidate and two that were made with its guidance, for the clips whose verdict asks for it."""
+    answers = _answers(spark, sf)
+    good, _ = critics.verdicts(answers)
+    good = good.select("clip_id", "best_index", "needs_regeneration", F.size("candidates").alias("n"))
+    calls = good.select("clip_id", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("call_index"))
+    candidates = calls.select("clip_id", "call_index", F.lit("candidate").alias("content"))
+    refined = good.where("needs_regeneration").select("clip_id", F.explode(F.array(F.lit(101), F.lit(100))).alias("call_index"), F.lit("anew").alias("content"))
+    pool = critics.second_pool(candidates, good.select("clip_id", "best_index"), refined)
+    return pool.select("clip_id", "place", "source", F.col("call_index").cast("long").alias("call_index"))

@@ -75,8 +75,11 @@ SELECT CAST(coalesce(sum(school_plain), 0) AS BIGINT) AS school_plain, CAST(coal
 def doc_pii_audit(spark, sf):
     """Matches of each privacy pattern in all texts; placeholders do not count as hits. The named schools are a stand-in."""
     counts = S.pii_counts(F.col("text"), ("lorem school", "IP"))
-    per_text = table(spark, sf, "documents").select(*(c.alias(n) for n, c in counts.items()))
-    return per_text.agg(*(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in counts), F.count("*").alias("docs"))
+    hits = [n for n in counts if n not in ("anonymized_placeholders", "total_hits")]
+    # the total is that of the sums, so that no pattern is matched twice
+    per_text = table(spark, sf, "documents").select(*(counts[n].alias(n) for n in (*hits, "anonymized_placeholders")))
+    sums = per_text.agg(*(F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in (*hits, "anonymized_placeholders")), F.count("*").alias("docs"))
+    return sums.withColumn("total_hits", sum((F.col(n) for n in hits[1:]), F.col(hits[0])))
 
 
 @book.add(
