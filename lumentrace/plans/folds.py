@@ -36,9 +36,16 @@ def stage_calls(spark, sf):
     return flows.call_stage(req, "annotation", flows.offline)
 
 
-@book.add("salvage_json")
+@book.add(
+    "salvage_json",
+    "SELECT conv_id, turn, role, sha256(coalesce(text, '')) AS text_sha, CASE WHEN conv_id % 2 = 0 THEN 1 ELSE 0 END AS left_over FROM conversations",
+)
 def salvage_json(spark, sf):
-    """Cut-off JSON closed where its last whole value ends."""
-    cut = F.concat(F.lit('{"text": ['), F.to_json(F.struct("conv_id", "turn")), F.lit(', {"left'))
-    udf = F.pandas_udf(salvage_batch, "string")
-    return table(spark, sf, "conversations").select("conv_id", "turn", udf(cut).alias("json"))
+    """Turns as JSON that is cut off behind their texts, within a further list: what was whole comes back, with the items of the list that had ended."""
+    c = table(spark, sf, "conversations").withColumn("text", F.coalesce("text", F.lit("")))
+    whole = F.to_json(F.struct("conv_id", "turn", "role", "text"))
+    # the list goes on with the text again, which has no end
+    again = F.substring(F.to_json(F.struct(F.col("text").alias("t"))), 6, 30)
+    cut = F.concat(F.expr("substring(to_json(struct(conv_id, turn, role, text)), 1, length(to_json(struct(conv_id, turn, role, text))) - 1)"), F.lit(', "left": ['), F.when(F.col("conv_id") % 2 == 0, F.lit('"one", ')).otherwise(""), F.regexp_replace(again, r'\\?"\}?$', ""))
+    found = c.select("conv_id", "turn", F.from_json(F.pandas_udf(salvage_batch, "string")(F.when(whole.isNotNull(), cut)), "role STRING, text STRING, left ARRAY<STRING>").alias("r"))
+    return found.select("conv_id", "turn", "r.role", F.sha2("r.text", 256).alias("text_sha"), F.size("r.left").alias("left_over"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql.streaming import StreamingQueryListener
@@ -31,3 +32,46 @@ class Heartbeat(StreamingQueryListener):
 
     def onQueryTerminated(self, event):
         self._say("ended", id=str(event.id), error=event.exception)
+
+
+class Ticker:
+    """Calls sink("progress", fields of status()) every so many seconds while its block runs, whether or not a batch ends meanwhile; where status() fails it says so, and a failing sink stops nothing.
+
+    status is often streams(spark)."""
+
+    def __init__(self, sink: Callable[[str, dict], None], seconds: float, status: Callable[[], dict]):
+        self.sink, self.seconds, self.status = sink, seconds, status
+        self._stop = threading.Event()
+        self._thread = threading.Thread(target=self._run, name="ticker", daemon=True)
+
+    def _run(self) -> None:
+        while not self._stop.wait(self.seconds):
+            try:
+                event, fields = "progress", self.status()
+            except Exception as e:  # noqa: BLE001  whatever it is, the work goes on
+                event, fields = "progress_unavailable", {"error_type": type(e).__name__}
+            try:
+                self.sink(event, fields)
+            except Exception:  # noqa: BLE001
+                pass
+
+    def __enter__(self):
+        self._thread.start()
+        return self
+
+    def __exit__(self, *_):
+        self._stop.set()
+        self._thread.join()
+
+
+def streams(spark) -> Callable[[], dict]:
+    """A status of the session's active streams: what each is doing, and its last batch."""
+
+    def status() -> dict:
+        out = {}
+        for q in spark.streams.active:
+            last = q.lastProgress
+            out[q.name or str(q.id)] = {"doing": q.status["message"], "batch": last["batchId"] if last else None}
+        return {"streams": out}
+
+    return status

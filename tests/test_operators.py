@@ -387,3 +387,35 @@ def test_sums_before_are_running_sums(spark):
     rows = [(rng.choice(["a", "b", None]), i, rng.randint(0, 9)) for i in range(300)]
     got = {(r.g, r.i): r.s for r in W.sums_before(spark.createDataFrame(rows, "g string, i int, n int").repartition(5), ["g"], ["i"], "n", "s", parts=7).collect()}
     assert got == {(g, i): sum(m for h, j, m in rows if h == g and j < i) for g, i, _ in rows}
+
+
+def test_ticker_speaks_between_batches(spark):
+    import time
+
+    from lumentrace.streaming.heartbeat import Ticker, streams
+
+    seen, calls = [], []
+
+    def sink(event, fields):
+        seen.append((event, fields))
+        raise OSError
+
+    def status():
+        calls.append(1)
+        if len(calls) == 1:
+            raise KeyError
+        return streams(spark)()
+
+    q = spark.readStream.format("rate").load().writeStream.format("noop").queryName("slow").trigger(processingTime="1 hour").start()
+    try:
+        with Ticker(sink, 0.05, status):
+            for _ in range(200):
+                if len(seen) > 3 and "slow" in seen[-1][1].get("streams", {}):
+                    break
+                time.sleep(0.05)
+    finally:
+        q.stop()
+    n = len(seen)
+    assert seen[0] == ("progress_unavailable", {"error_type": "KeyError"}) and "slow" in seen[-1][1]["streams"]
+    time.sleep(0.2)
+    assert len(seen) == n and q.exception() is None
