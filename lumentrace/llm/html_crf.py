@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Elements of HTML by the part they play here.
-SILENT = frozenset("script style noscript template head title svg math iframe object canvas select option datalist textarea button".split())
+SILENT = frozenset("script style noscript template head title svg iframe object canvas select option datalist textarea button".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
@@ -29,7 +29,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 ENDS_P = BLOCK - {"html", "body", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"}
 OWN_KIND = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",), "p": ("p",)}
 
-_tag = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+# a quote opens a value only behind an equals sign
+_tag = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?([a-zA-Z][^\s/>]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*+)(?:>|\Z)", re.S)
 _attribute = re.compile(r"\b(class|id|role|hidden|aria-label|itemprop)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _word = re.compile(r"[a-z]+")
 _space = re.compile(r"\s+")

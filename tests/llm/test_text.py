@@ -412,3 +412,17 @@ def test_top_k_of_busy_groups_and_rounds(spark, monkeypatch):
     for r in topk.top_k(d, queries="vec_id % 10 = 0", annulus_rows=8, group_annuli=1, query_rows=4, pivots=6).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
     assert got == brute.top_k(v, range(0, 600, 10))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<article><p title=don't>First paragraph.</p><p>Second isn't lost.</p><p>Third.</p></article>", ["First paragraph.", "Second isn't lost.", "Third."]),
+        ("<p class=a'>First</p><p>Second</p>", ["First", "Second"]),
+        ("<p title='a > b' data-x = \"c > d\">Text</p>", ["Text"]),
+        ("<p title=\"never closed>Text</p><p>More</p>", ["Text", "More"]),
+        ("<p>We have <math><mi>x</mi>+<mi>y</mi></math> as the sum</p>", ["We have x+y as the sum"]),
+    ],
+)
+def test_quotes_and_formulae(page, want):
+    assert [b.text for b in html_crf.blocks(page)] == want
