@@ -18,7 +18,7 @@ book = Book()
 @book.add(
     "attrition_funnel",
     """
-WITH x AS (SELECT o_orderkey AS rid FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'),
+WITH x AS (SELECT o_orderkey AS rid FROM orders),
 r AS (SELECT l_orderkey AS rid, l_quantity AS q, l_discount AS d FROM lineitem),
 c AS (SELECT x.rid, count(r.rid) AS n, max(CASE WHEN q > 49 THEN 1 ELSE 0 END) AS bad, max(CASE WHEN d >= 0.1 THEN 1 ELSE 0 END) AS inv FROM x LEFT JOIN r USING (rid) GROUP BY x.rid),
 k AS (SELECT CASE WHEN n = 0 THEN 'MISSING_RESPONSE' WHEN n > 1 THEN 'DUPLICATE_RESPONSE' WHEN bad = 1 THEN 'ROW_ERROR' WHEN inv = 1 THEN 'INVALID_OUTPUT' ELSE 'COMPLETED' END AS code FROM c)
@@ -27,7 +27,7 @@ UNION ALL SELECT 'UNMATCHED_RESPONSE', count(*) FROM r WHERE rid NOT IN (SELECT
 )
 def attrition_funnel(spark, sf):
     """Requests against responses in any order: one failure code each, and the responses nobody asked for."""
-    x = table(spark, sf, "orders").where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp_ntz")).select(F.col("o_orderkey").alias("rid"))
+    x = table(spark, sf, "orders").select(F.col("o_orderkey").alias("rid"))
     r = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("rid"), "l_quantity", "l_discount")
     c = J.correlate(x, r, "rid", F.col("l_quantity") > 49, F.col("l_discount") >= 0.1)
     counts = c.groupBy(F.coalesce("code", F.lit("COMPLETED")).alias("code")).agg(F.count("*").alias("n"))

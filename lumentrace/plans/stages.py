@@ -92,14 +92,14 @@ def transcript_lines(spark, sf):
 @book.add(
     "ocr_clean",
     r"""
-WITH l AS (SELECT doc_id, generate_subscripts(x, 1) AS i, unnest(x) AS line FROM (SELECT doc_id, string_split('capture_time: 1' || chr(10) || text || chr(10) || 'frame_index=' || CAST(doc_id AS VARCHAR) || chr(10) || '  ', chr(10)) AS x FROM documents WHERE text IS NOT NULL))
+WITH l AS (SELECT doc_id, generate_subscripts(x, 1) AS i, unnest(x) AS line FROM (SELECT doc_id, string_split('capture_time: 1' || chr(10) || coalesce(text, '') || chr(10) || 'frame_index=' || CAST(doc_id AS VARCHAR) || chr(10) || '  ', chr(10)) AS x FROM documents))
 SELECT doc_id, sha256(coalesce(regexp_replace(string_agg(line, chr(10) ORDER BY i) FILTER (NOT starts_with(line, 'capture_time') AND NOT starts_with(line, 'capture_epoch') AND NOT starts_with(line, 'frame_index')),
   '^[\s\x0B\x1C-\x1F\x85\p{Z}]+|[\s\x0B\x1C-\x1F\x85\p{Z}]+$', '', 'g'), '')) AS cleaned FROM l GROUP BY doc_id""",
 )
 def ocr_clean(spark, sf):
     """Screen texts without their capture lines."""
-    t = F.concat(F.lit("capture_time: 1\n"), "text", F.lit("\nframe_index="), F.col("doc_id").cast("string"), F.lit("\n  "))
-    return table(spark, sf, "documents").where("text IS NOT NULL").select("doc_id", F.sha2(S.clean_ocr(t), 256).alias("cleaned"))
+    t = F.concat(F.lit("capture_time: 1\n"), F.coalesce("text", F.lit("")), F.lit("\nframe_index="), F.col("doc_id").cast("string"), F.lit("\n  "))
+    return table(spark, sf, "documents").select("doc_id", F.sha2(S.clean_ocr(t), 256).alias("cleaned"))
 
 
 # ---------------------------------------------------------------- contracts on nested documents
@@ -374,14 +374,14 @@ def batch_completed(spark, sf):
 @book.add(
     "critic_flow",
     """
-WITH c AS (SELECT l_orderkey AS k, list(DISTINCT l_linenumber ORDER BY l_linenumber) AS p FROM lineitem WHERE l_quantity < 40 GROUP BY 1),
+WITH c AS (SELECT l_orderkey AS k, list(DISTINCT l_linenumber ORDER BY l_linenumber) AS p FROM lineitem GROUP BY 1),
 x AS (SELECT k, p, len(p) AS n, CASE WHEN k % 13 = 0 THEN NULL ELSE greatest(0, least(k % 6 - 1, len(p) - 1)) END AS best, k % 3 = 0 AS again, CASE WHEN k % 3 = 0 AND k % 2 = 0 THEN least(k % 4, 2) END AS second FROM c)
 SELECT k AS clip_id, CASE WHEN n > 1 AND best IS NOT NULL AND second > 0 THEN 'refine' ELSE 'generate' END AS source, CASE WHEN n = 1 OR best IS NULL THEN p[1] WHEN second > 0 THEN 100 + second - 1 ELSE p[best + 1] END AS call_index,
   CASE WHEN n = 1 THEN 'single_valid' WHEN best IS NULL THEN 'critic_failed' WHEN second IS NOT NULL THEN 'refined' ELSE 'chosen' END AS critic FROM x""",
 )
 def critic_flow(spark, sf):
     """The candidate that a flow of several candidates, a critic, guided new ones and a second critic ends with."""
-    cand = table(spark, sf, "lineitem").where("l_quantity < 40").select(F.col("l_orderkey").alias("clip_id"), F.col("l_linenumber").cast("long").alias("call_index")).distinct()
+    cand = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("clip_id"), F.col("l_linenumber").cast("long").alias("call_index")).distinct()
     clips = cand.select("clip_id").distinct()
     verdicts = clips.where("clip_id % 13 <> 0").selectExpr("clip_id", "cast(clip_id % 6 - 1 as int) AS best_index", "clip_id % 3 = 0 AS needs_regeneration")
     refined = clips.where("clip_id % 2 = 0").withColumn("call_index", F.explode(F.array(F.lit(100).cast("long"), F.lit(101).cast("long"))))
@@ -499,10 +499,10 @@ def structural_prune(spark, sf):
 REPORT = tuple("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus".split())
 
 
-@book.add("report_projection", f"SELECT {', '.join(REPORT)} FROM lineitem WHERE l_linestatus = 'O' OR l_quantity > 30")
+@book.add("report_projection", f"SELECT {', '.join(REPORT)} FROM lineitem")
 def report_projection(spark, sf):
     """The report's columns of a result; only these are read."""
-    return table(spark, sf, "lineitem").where("l_linestatus = 'O' OR l_quantity > 30").select(*REPORT)
+    return table(spark, sf, "lineitem").select(*REPORT)
 
 
 # ---------------------------------------------------------------- order and limits

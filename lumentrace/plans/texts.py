@@ -313,11 +313,11 @@ def conv_substantive(spark, sf):
 @book.add(
     "fingerprint",
     """
-SELECT source, sha256('{' || string_agg('"' || CAST(doc_id AS VARCHAR) || '": "' || sha256(text) || '"', ', ' ORDER BY CAST(doc_id AS VARCHAR)) || '}') AS fingerprint, count(*) AS files FROM documents WHERE text IS NOT NULL GROUP BY source""",
+SELECT source, sha256('{' || string_agg('"' || CAST(doc_id AS VARCHAR) || '": "' || sha256(text) || '"', ', ' ORDER BY CAST(doc_id AS VARCHAR)) || '}') AS fingerprint, count(*) AS files FROM documents GROUP BY source""",
 )
 def fingerprint(spark, sf):
     """Fingerprint of a release: the hash of the sorted digests of its files."""
-    d = table(spark, sf, "documents").where("text IS NOT NULL").select("source", F.col("doc_id").cast("string").alias("name"), F.sha2("text", 256).alias("digest"))
+    d = table(spark, sf, "documents").select("source", F.col("doc_id").cast("string").alias("name"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
     return A.map_fingerprint(d, ["source"], "name", "digest")
 
 
