@@ -313,7 +313,7 @@ def conv_substantive(spark, sf):
 @book.add(
     "fingerprint",
     """
-SELECT source, sha256('{' || string_agg('"' || CAST(doc_id AS VARCHAR) || '": "' || sha256(text) || '"', ', ' ORDER BY CAST(doc_id AS VARCHAR)) || '}') AS fingerprint, count(*) AS files FROM documents GROUP BY source""",
+SELECT source, sha256('{' || string_agg('"' || CAST(doc_id AS VARCHAR) || '": "' || sha256(coalesce(text, '')) || '"', ', ' ORDER BY CAST(doc_id AS VARCHAR)) || '}') AS fingerprint, count(*) AS files FROM documents GROUP BY source""",
 )
 def fingerprint(spark, sf):
     """Fingerprint of a release: the hash of the sorted digests of its files."""
