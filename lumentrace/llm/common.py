@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import ctypes
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -84,7 +83,6 @@ def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
 
     def whole(batches: Iterator) -> Iterator:
         yield from run(batches)
-        gc.collect()
         pa.default_memory_pool().release_unused()
         try:
             ctypes.CDLL(None).malloc_trim(0)
