@@ -35,8 +35,8 @@ def annotations(events: DataFrame) -> DataFrame:
 
 
 def canonical(segments: Column | str) -> Column:
-    """Segments by start and id."""
-    keyed = F.transform(segments, lambda s: F.struct(s["start_sec"].alias("a"), s["segment_id"].alias("b"), s.alias("s")))
+    """Segments by start and id; those that agree in both stay as they came."""
+    keyed = F.transform(segments, lambda s, i: F.struct(s["start_sec"].alias("a"), s["segment_id"].alias("b"), i.alias("i"), s.alias("s")))
     return F.transform(F.sort_array(keyed), lambda x: x["s"])
 
 
