@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumentrace.functions.scalars import piece_count
+from lumentrace.sources.work import kept
 
 
 def _w(by: list[str], order: list):
@@ -57,7 +58,8 @@ def sums_before(df: DataFrame, by: list[str], order: list[str], n: str, name: st
 
     No task sees more than a range of a group, however large groups are. by and order together should be unique."""
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.repartitionByRange(parts, *by, *order).withColumn("_p", F.spark_partition_id())
+    # ranges are drawn from samples, anew each time: both uses read them from one table
+    spread = kept(df.repartitionByRange(parts, *by, *order).withColumn("_p", F.spark_partition_id()))
     inside = Window.partitionBy("_p", *by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     spread = spread.withColumn("_in", F.coalesce(F.sum(n).over(inside), F.lit(0)))
     # a row for each range of a group
@@ -114,8 +116,8 @@ def ranked(df: DataFrame, order: list[str], name: str, parts: int | None = None)
 
     Ties in the first column stay in one bucket; rows are spread as the quantiles spread them."""
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id())
-    # the ranges must be the same in both uses
+    # ranges are drawn from samples, anew each time: both uses read them from one table
+    spread = kept(df.repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()))
     spread = spread.select("*", F.row_number().over(Window.partitionBy("_p").orderBy(*order)).alias("_i"))
     sizes = spread.groupBy("_p").agg(F.max("_i").alias("_n"))
     # a row for each of the n partitions
