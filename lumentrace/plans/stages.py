@@ -61,7 +61,7 @@ def utc_and_frame_names(spark, sf):
     e = table(spark, sf, "events").selectExpr(
         "event_id",
         "CASE event_id % 4 WHEN 0 THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") WHEN 1 THEN concat(date_format(ts, 'yyyy-MM-dd HH:mm:ss'), '+00:00') WHEN 2 THEN date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSS\") ELSE date_format(ts, 'dd.MM.yyyy') END AS t",
-        "concat('d/', date_format(ts, 'yyyy-MM-dd_HH-mm-ss'), if(event_id % 5 = 0, '_frame_', '_UTC__frame_'), lpad(cast(event_id as string), 6, '0'), '.JPG') AS name",
+        "concat('d/', date_format(ts, 'yyyy-MM-dd_HH-mm-ss'), if(event_id % 5 = 0, '_frame_', '_UTC__frame_'), lpad(cast(event_id as string), greatest(6, length(cast(event_id as string))), '0'), '.JPG') AS name",
     )
     f = S.frame_parts(F.col("name"))
     return e.select("event_id", S.utc_text(F.col("t")).alias("utc"), F.when(f.isNotNull(), F.concat_ws(" ", f["day"], f["clock"])).alias("frame_time"), F.coalesce(f["index"], F.lit(-1)).alias("frame"))
