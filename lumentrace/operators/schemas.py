@@ -90,9 +90,9 @@ _LEAVES = {"string": ("STRING",), "boolean": ("BOOLEAN",), "null": ("VOID",), "n
 
 
 def _is_leaf(v: Column, kinds: list[str]) -> Column:
-    s = F.schema_of_variant(v)
-    right = s.isin(*(n for k in kinds for n in _LEAVES[k]))
-    return F.coalesce(right | s.startswith("DECIMAL") if "number" in kinds else right, F.lit(False))
+    known = [n for k in kinds for n in _LEAVES[k]]
+    right = lambda s: s.isin(*known) | s.startswith("DECIMAL") if "number" in kinds else s.isin(*known)
+    return F.coalesce(bound(F.schema_of_variant(v), right) if "number" in kinds else right(F.schema_of_variant(v)), F.lit(False))
 
 
 def _violation(schema: dict, v: Column, path: list[Column]) -> Column:
@@ -141,5 +141,10 @@ def _violation(schema: dict, v: Column, path: list[Column]) -> Column:
 
 def violation(document: Column, schema: dict) -> Column:
     """(path, rule) of the first violation of a document (variant), with dots between the parts of the path; null for a sound one. What is no JSON, a null variant, breaks the type of the whole."""
-    v = F.when(document.isNull(), F.struct(F.array().cast("array<string>").alias("path"), F.lit("type").alias("rule"))).otherwise(_violation(schema, document, []))
-    return F.when(v.isNotNull(), F.struct(F.array_join(v["path"], ".").alias("path"), v["rule"].alias("rule")))
+
+    def judged(d):
+        first = F.when(d.isNull(), F.struct(F.array().cast("array<string>").alias("path"), F.lit("type").alias("rule"))).otherwise(_violation(schema, d, []))
+        return bound(first, lambda v: F.when(v.isNotNull(), F.struct(F.array_join(v["path"], ".").alias("path"), v["rule"].alias("rule"))))
+
+    # the text is parsed once, and the document judged once
+    return bound(document, judged)

@@ -170,7 +170,8 @@ SELECT CASE WHEN event_id % 23 = 0 THEN 'actors.1.actor_id' WHEN event_id % 19 =
 )
 def schema_violations_deep(spark, sf):
     """The first violation of an annotation document of every event, wherever in it: actors, evidence, speech, chain, fields too many."""
-    e = table(spark, sf, "events")
+    # rows are few bytes and much work: they are dealt out, as a file's splits are too few tasks
+    e = table(spark, sf, "events").select("event_id", "event_type", "value").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     broken = lambda n: F.col("event_id") % n == 0
     text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
     item = lambda modality: text('{"source_id": "video_0", "modality": "', modality, '", "start_sec": 0, "end_sec": ', F.col("value").cast("string"), ', "support": "direct", "note": ""}')

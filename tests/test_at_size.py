@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from lumentrace.operators import contracts as C
+from lumentrace.operators import schemas
 from lumentrace.operators import windows as W
 from lumentrace.plans import catalog
 
@@ -30,3 +31,10 @@ def test_sums_before_over_rows_in_no_order(spark):
 def test_frames_of_seven_digits(spark, tmp_path):
     spark.sql("SELECT id AS event_id, TIMESTAMP '2024-01-01 00:00:00' AS ts FROM VALUES (7L), (999999L), (1000001L), (12345678L) AS t(id)").write.parquet(str(tmp_path / "events.parquet"))
     assert {r.event_id: r.frame for r in catalog.queries()["utc_and_frame_names"](spark, str(tmp_path)).collect()} == {i: i for i in (7, 999_999, 1_000_001, 12_345_678)}
+
+
+def test_documents_are_parsed_and_judged_once(spark):
+    d = spark.createDataFrame([('{"a": 1}',), ('{"a": "x"}',), ("[]",), ("no",)], "t string")
+    f = d.select(schemas.violation(F.try_parse_json("t"), schemas.an_object({"a": schemas.TEXT, "b": schemas.or_null(schemas.TEXT)})).alias("f"))
+    assert [tuple(r.f) for r in f.collect()] == [("a", "type"), ("", "required"), ("", "type"), ("", "type")]
+    assert f._jdf.queryExecution().analyzed().toString().count("parse_json(t") == 1
