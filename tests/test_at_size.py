@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from lumentrace.operators import contracts as C
+from lumentrace.operators import critics
 from lumentrace.operators import schemas
 from lumentrace.operators import windows as W
 from lumentrace.plans import catalog
@@ -38,3 +39,10 @@ def test_documents_are_parsed_and_judged_once(spark):
     f = d.select(schemas.violation(F.try_parse_json("t"), schemas.an_object({"a": schemas.TEXT, "b": schemas.or_null(schemas.TEXT)})).alias("f"))
     assert [tuple(r.f) for r in f.collect()] == [("a", "type"), ("", "required"), ("", "type"), ("", "type")]
     assert f._jdf.queryExecution().analyzed().toString().count("parse_json(t") == 1
+
+
+def test_answers_are_judged_once(spark):
+    d = spark.createDataFrame([(1, '{"candidates": [{"weighted_total": "2.5"}], "best_index": 0}'), (2, '{"candidates": []}'), (3, None)], "clip_id long, content string")
+    good, bad = critics.verdicts(d)
+    assert [(r.clip_id, r.best_index, r.candidates[0].weighted_total) for r in good.collect()] == [(1, 0, 2.5)] and {r.clip_id for r in bad.collect()} == {2, 3}
+    assert good._jdf.queryExecution().optimizedPlan().toString().count("$.candidates") == 1
