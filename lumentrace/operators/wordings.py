@@ -1,15 +1,22 @@
 """Near-equal wordings of several runs as one: a similarity join within each clip, groups of what it links, and the longest wording of each group.
 
-Equal texts of a clip meet once. Two sets of words of a similarity of share or more have a word in common among the first n - ceil(share * n) + 1 of each, whatever the order; the order
-is by rarity within the clip, so that the lists of words are short. Links are verified on the whole sets."""
+Equal texts of a clip meet once. Words are drawn from so few that most pairs of a clip have rare ones in common; all pairs of like length are therefore counted on the whole sets, in blocks
+of bounded size. The work is quadratic in the texts of a clip, what is stored is not."""
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lumentrace.sources.work import kept
 
+#: Texts of a block, of which a task holds two.
+BLOCK = 16_384
+
 
 def groups(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for the nodes of edges (a, b), longs: the smallest node that each reaches.
@@ -33,24 +40,59 @@ def words(text: str):
     return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}']+"), lambda w: w != ""))
 
 
-def near_links(texts: DataFrame, share: float) -> DataFrame:
-    """(a, b): ids of texts (clip_id, id, w: distinct words) of one clip whose words have a Jaccard similarity of share or more; a < b. Texts without words link to nothing."""
+def _joined(part: int, whole: int):
+    """Links of a pair of blocks that reach what all its links reach: each text of the right block against the lists of words of the left one; a block is paired with itself too."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        side = rows["side"].to_numpy()
+        # left texts first; a block's pair with itself has no right ones
+        rows = rows.take(pa.array(np.argsort(side, kind="stable")))
+        ids, lists = rows["id"].to_numpy(), rows["w"].combine_chunks()
+        n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        code = lists.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(n)
+        left = int((side == 0).sum())
+        same, cut = left == len(ids), ends[left - 1] if left else 0
+        holder = np.repeat(np.arange(left), n[:left])
+        order = np.argsort(code[:cut], kind="stable")
+        holder, at = holder[order], np.searchsorted(code[:cut][order], np.arange(int(code.max()) + 2 if len(code) else 1))
+        label, found = np.arange(len(ids)), []
+        for r in range(0 if same else left, len(ids) if left else 0):
+            words_of = code[ends[r] - n[r] : ends[r]]
+            shared = np.bincount(np.concatenate([holder[at[c] : at[c + 1]] for c in words_of.tolist()]), minlength=left)
+            linked = np.nonzero(shared * (part + whole) >= part * (n[:left] + n[r]))[0]
+            roots, first = np.unique(label[linked], return_index=True)
+            new = roots != label[r]
+            if new.any():
+                found += [(ids[r], ids[x]) for x in linked[first[new]].tolist()]
+                label[np.isin(label, roots)] = label[r]
+        a, b = np.array(found, np.int64).reshape(-1, 2).T
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+    return run
+
+
+def near_links(texts: DataFrame, share: float, block: int = BLOCK) -> DataFrame:
+    """(a, b): links of texts (clip_id, id, w: distinct words) of one clip whose words have a Jaccard similarity of share or more, a < b; not all, but such that the same texts are reached. Texts without words link to nothing.
+
+    Texts of a clip lie in classes of their number of words, of which only equal and neighbouring ones can link, and classes in blocks. A pair of blocks is a task's group: candidates are counted
+    where they meet and never stored, so that what is shuffled are the texts, once for each block that theirs meets."""
     part, whole = round(share * 1000), 1000
-    tokens = texts.select("clip_id", "id", F.explode("w").alias("word"))
-    rare = tokens.groupBy("clip_id", "word").agg(F.count("*").alias("held")).where("held > 1")
-    # a word of one text only joins nothing: it counts, and its place may be taken by one that others have too, as any order will do that is the same for all
-    placed = tokens.join(rare, ["clip_id", "word"]).groupBy("clip_id", "id").agg(F.sort_array(F.collect_list(F.struct("held", "word"))).alias("o"))
-    sets = placed.join(texts.select("clip_id", "id", "w"), ["clip_id", "id"])
-    n, alone = F.size("w"), F.size("w") - F.size("o")
-    prefix = n - F.ceil(F.lit(part) * n / whole).cast("int") + 1 - alone  # words of one text come first in the order
-    first = sets.where(prefix > 0).select("clip_id", "id", n.alias("n"), F.explode(F.slice("o", 1, prefix)).alias("x")).select("clip_id", "id", "n", F.col("x.word").alias("word"))
-    x, y = first.alias("x"), first.alias("y")
-    fits = F.lit(whole) * F.least("x.n", "y.n") >= F.lit(part) * F.greatest("x.n", "y.n")
-    pairs = x.join(y, (F.col("x.clip_id") == F.col("y.clip_id")) & (F.col("x.word") == F.col("y.word")) & (F.col("x.id") < F.col("y.id")) & fits)
-    pairs = pairs.select(F.col("x.clip_id").alias("clip_id"), F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    own = lambda e: texts.select("clip_id", F.col("id").alias(e), F.col("w").alias(f"w{e}"))
-    both = F.size(F.array_intersect("wa", "wb"))
-    return pairs.join(own("a"), ["clip_id", "a"]).join(own("b"), ["clip_id", "b"]).where((part + whole) * both >= part * (F.size("wa") + F.size("wb"))).select("a", "b")
+    # a little wider than the share, so that no rounding parts two texts by a class
+    width = max(math.log(whole / part), 0.1) * (1 + 1e-6)
+    sets = texts.where(F.size("w") > 0).select("clip_id", "id", "w", F.floor(F.log(F.size("w").cast("double")) / width).cast("int").alias("c"))
+    sizes = sets.groupBy("clip_id", "c").agg(F.ceil(F.count("*") / block).cast("int").alias("own"))
+    x = sets.join(sizes, ["clip_id", "c"])
+    for name, step in (("up", 1), ("down", -1)):
+        x = x.join(sizes.select("clip_id", (F.col("c") - step).alias("c"), F.col("own").alias(name)), ["clip_id", "c"], "left")
+    x = x.withColumn("i", F.pmod(F.xxhash64("id"), "own").cast("int"))
+    none = F.array().cast("array<struct<c:int,i:int,d:int,j:int,side:int>>")
+    pair = lambda c, i, d, j, side: F.struct(c.alias("c"), i.alias("i"), d.alias("d"), j.alias("j"), side.cast("int").alias("side"))
+    to = lambda n, of: F.when(F.col(n) > 0, F.transform(F.sequence(F.lit(0), F.col(n) - 1), of)).otherwise(none)
+    c, i = F.col("c"), F.col("i")
+    met = F.concat(to("own", lambda j: pair(c, F.least(i, j), c, F.greatest(i, j), i > j)), to("up", lambda j: pair(c, i, c + 1, j, F.lit(0))), to("down", lambda j: pair(c - 1, j, c, i, F.lit(1))))
+    dealt = x.select("clip_id", "id", "w", F.explode(met).alias("p")).select("clip_id", "p.*", "id", "w")
+    return dealt.groupBy("clip_id", "c", "i", "d", "j").applyInArrow(_joined(part, whole), "a long, b long")
 
 
 def merged(items: DataFrame, runs: DataFrame, share: float = 0.6) -> DataFrame:

@@ -1,11 +1,14 @@
 """Faults that only larger tables have shown, on small ones."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from lumentrace.operators import contracts as C
 from lumentrace.operators import critics
 from lumentrace.operators import schemas
 from lumentrace.operators import windows as W
+from lumentrace.operators import wordings
 from lumentrace.plans import catalog
 
 
@@ -46,3 +49,29 @@ def test_answers_are_judged_once(spark):
     good, bad = critics.verdicts(d)
     assert [(r.clip_id, r.best_index, r.candidates[0].weighted_total) for r in good.collect()] == [(1, 0, 2.5)] and {r.clip_id for r in bad.collect()} == {2, 3}
     assert good._jdf.queryExecution().optimizedPlan().toString().count("$.candidates") == 1
+
+
+def test_links_in_blocks(spark):
+    """Pairs of blocks of few texts reach what all pairs do, and store no candidates: at most one link less than a pair of blocks has texts."""
+    rng = random.Random(5)
+    sets = [(f"c{i % 2}", i, rng.sample([f"w{k}" for k in range(14)], rng.randint(1, 9))) for i in range(160)] + [("c0", 500 + i, ["x", "y", "z"]) for i in range(60)] + [("c1", 900, [])]
+    d = spark.createDataFrame(sets, "clip_id string, id long, w array<string>")
+
+    def reached(links):
+        to = {i: i for _, i, _ in sets}
+
+        def find(i):
+            while to[i] != i:
+                i = to[i]
+            return i
+
+        for a, b in links:
+            a, b = sorted((find(a), find(b)))
+            to[b] = a
+        return {i: find(i) for i in to}
+
+    want = {(a, b) for c, a, v in sets for e, b, w in sets if c == e and a < b and v and w and 5 * len(set(v) & set(w)) >= 3 * len(set(v) | set(w))}
+    for block in (7, 1000):
+        got = [tuple(r) for r in wordings.near_links(d, 0.6, block).collect()]
+        assert set(got) <= want and reached(got) == reached(want)
+    assert len(got) < 2 * len(sets) < len(want)
