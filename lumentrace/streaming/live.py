@@ -8,8 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -17,7 +16,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 QUEUED, STARTED, ENDED = ("request_queued", "retry_scheduled"), ("request_start",), ("request_success", "request_failed")
 STAGE_STARTED, STAGE_ENDED = ("stage_start",), ("stage_success", "stage_failed", "stage_reused", "clip_failed", "clip_completed", "clip_reused")
 
-ROW = "kind string, id string, clip_id string, phase string, attempt int, running_since timestamp, waiting_since timestamp, at timestamp, seq long, report string, running_sec double, waiting_sec double"
+_TOLD = "kind string, id string, clip_id string, phase string, attempt int, running_us long, waiting_us long, at_us long, seq long, report string"
 _STATE = "clip_id string, phase string, attempt int, running_us long, waiting_us long, last_us long, last_seq long"
 
 
@@ -45,6 +44,8 @@ def open_work(events: DataFrame) -> DataFrame:
 
 
 class _Live(StatefulProcessor):
+    """Plain rows and times in microseconds; a frame for each key would cost many times what its events do."""
+
     def __init__(self, every: float, remember: float):
         self.every, self.remember = int(every * 1000), int(remember * 1000)
 
@@ -52,49 +53,38 @@ class _Live(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("open", _STATE)
 
-    def _timers(self, at_ms: int | None) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        if at_ms is not None:
-            self.handle.registerTimer(at_ms)
-
-    def _row(self, key: tuple, s: tuple, at_us: int, report: str) -> pd.DataFrame:
+    def _row(self, key: tuple, s: tuple, at_us: int, report: str) -> Row:
         clip_id, phase, attempt, running, waiting, _, seq = s
-        time = lambda us: None if us is None else pd.Timestamp(us, unit="us")
-        since = lambda us: None if us is None else (at_us - us) / 1e6
-        row = {
-            "kind": key[0], "id": key[1], "clip_id": clip_id, "phase": phase, "attempt": attempt, "running_since": time(running), "waiting_since": time(waiting),
-            "at": time(at_us), "seq": seq, "report": report, "running_sec": since(running), "waiting_sec": since(waiting),
-        }
-        return pd.DataFrame({c: pd.Series([v], dtype="object") for c, v in row.items()}).astype({"running_since": "datetime64[us]", "waiting_since": "datetime64[us]", "at": "datetime64[us]"})
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = pd.concat(list(rows)).sort_values(["ts", "seq"])
-        s = tuple(self.state.get()) if self.state.exists() else (None, None, None, None, None, None, None)
-        clip_id, phase, attempt, running, waiting, last, last_seq = s
-        absent = lambda v: None if v is None or v != v else v
-        for e in events.itertuples(index=False):
-            us, seq = int(pd.Timestamp(e.ts).value // 1000), int(e.seq)
+        return Row(kind=key[0], id=key[1], clip_id=clip_id, phase=phase, attempt=attempt, running_us=running, waiting_us=waiting, at_us=at_us, seq=seq, report=report)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        events = sorted(((e["us"], e["seq"], e["event"], e["clip_id"], e["phase"], e["attempt"]) for e in rows), key=lambda e: e[:2])
+        before = self.state.get()
+        clip_id, phase, attempt, running, waiting, last, last_seq = before or (None,) * 7
+        for us, seq, event, *named in events:
             if last is not None and (us, seq) <= (last, last_seq):
                 continue  # late or a repetition: what came behind it has settled the matter
             last, last_seq = us, seq
-            if e.event in QUEUED:
+            if event in QUEUED:
                 waiting = us
             else:
                 waiting = None
-                running = us if e.event in STARTED or e.event in STAGE_STARTED else None
-            if e.event in (*QUEUED, *STARTED, *STAGE_STARTED) and (running is None or running == us):
-                number = absent(e.attempt)
-                clip_id, phase, attempt = absent(e.clip_id), absent(e.phase), None if number is None else int(number)
+                running = us if event in STARTED or event in STAGE_STARTED else None
+            if event in (*QUEUED, *STARTED, *STAGE_STARTED) and (running is None or running == us):
+                clip_id, phase, attempt = named
         s = (clip_id, phase, attempt, running, waiting, last, last_seq)
         self.state.update(s)
         is_open = running is not None or waiting is not None
+        # a key without a state has no timers
+        if before is not None:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
         # open ones report at their times; ended ones are remembered for a while, so that late events do not open them again
-        self._timers(max(last // 1000, timerValues.getCurrentWatermarkInMs()) + (self.every if is_open else self.remember))
+        self.handle.registerTimer(max(last // 1000, timerValues.getCurrentWatermarkInMs()) + (self.every if is_open else self.remember))
         yield self._row(key, s, last, "open" if is_open else "ended")
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        s = tuple(self.state.get()) if self.state.exists() else None
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        s = self.state.get()
         if s is None or (s[3] is None and s[4] is None):
             self.state.clear()
             return
@@ -105,13 +95,18 @@ class _Live(StatefulProcessor):
 
 
 def watch(events: DataFrame, every: float = 60.0, remember: float = 3600.0, late: str = "10 seconds") -> DataFrame:
-    """A stream of events to rows of ROW: for each micro-batch the keys that it touches, open or ended, and at event times `every` seconds apart those still open.
+    """A stream of events to rows (kind, id, clip_id, phase, attempt, running_since, waiting_since, at, seq, report, running_sec, waiting_sec): for each micro-batch the keys that it touches, open or ended, and at event times `every` seconds apart those still open.
 
     Events that come late by more than the last event of their key change nothing; ended keys are forgotten after `remember` seconds of event time. The stream's state
     store is RocksDB, which this sets for the session."""
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    e = keyed(events).withWatermark("ts", late)
-    return e.groupBy("kind", "id").transformWithStateInPandas(_Live(every, remember), ROW, "Update", "EventTime")
+    e = keyed(events).where("ts IS NOT NULL AND seq IS NOT NULL").withColumn("us", F.unix_micros(F.col("ts").cast("timestamp"))).withWatermark("ts", late)
+    r = e.groupBy("kind", "id").transformWithState(_Live(every, remember), _TOLD, "Update", "EventTime")
+    time, since = (lambda c: F.timestamp_micros(c)), (lambda c: (F.col("at_us") - F.col(c)) / 1e6)
+    return r.select(
+        "kind", "id", "clip_id", "phase", "attempt", time("running_us").alias("running_since"), time("waiting_us").alias("waiting_since"), time("at_us").alias("at"), "seq", "report",
+        since("running_us").alias("running_sec"), since("waiting_us").alias("waiting_sec"),
+    )
 
 
 def record(rows: DataFrame, path: str, checkpoint: str):

@@ -81,3 +81,23 @@ def test_late_events_do_not_open_what_has_ended(spark, tmp_path):
         q.awaitTermination(180)
         assert q.exception() is None
     assert rows(live.current(spark, table)) == {("stage", "c"): ("c", "audio", None, at(8), None)}
+
+
+def test_a_new_key_asks_its_state_once():
+    """Plain rows in any order; a key that has no state yet has no timers to look for."""
+    calls = []
+
+    class Handle:
+        def __getattr__(self, name):
+            return lambda *a: calls.append(name) or {"getValueState": self}.get(name)
+
+    class Times:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    p = live._Live(60, 60)
+    p.init(Handle())
+    rows = [{"us": u, "seq": u, "event": e, "clip_id": "c", "phase": "audio", "attempt": 1} for u, e in ((9, "request_start"), (5, "request_queued"))]
+    (r,) = p.handleInputRows(("request", "r"), iter(rows), Times())
+    assert (r["running_us"], r["waiting_us"], r["at_us"], r["report"]) == (9, None, 9, "open")
+    assert calls == ["getValueState", "get", "update", "registerTimer"]
