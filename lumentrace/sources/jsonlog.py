@@ -19,6 +19,8 @@ from lumentrace.sources.archives import open_range
 from lumentrace.sources.work import kept
 
 RANGE, LONGEST, CHUNK = 64 << 20, 64 << 20, 1 << 20
+#: Bytes that are decoded at a time: an error counts the lines before its place, so text that lies behind must be short.
+WINDOW = 32 << 10
 MOST_TASKS = 20_000
 #: Bytes of rows that are handed on at a time.
 _BATCH = 8 << 20
@@ -57,21 +59,27 @@ def line_start(source, at: int) -> int:
 
 
 class _Text:
-    """A part of a file, a character for each byte, that grows at its end and is cut at its front."""
+    """A part of a file, a character for each byte, that grows at its end and is cut at its front; it is read ahead by CHUNK bytes and decoded by WINDOW bytes."""
 
     def __init__(self, source, at: int):
         self.source, self.base, self.text = source, at, ""
+        self.ahead, self.ahead_at = b"", at
 
     @property
     def end(self) -> int:
         return self.base + len(self.text)
 
     def reach(self, upto: int) -> None:
-        if upto > self.end:
-            self.text += self.source.read(self.end, max(upto - self.end, CHUNK)).decode("latin-1")
+        if upto <= self.end:
+            return
+        n = max(upto - self.end, min(WINDOW, CHUNK))
+        at = self.end - self.ahead_at
+        if at + n > len(self.ahead):
+            self.ahead, self.ahead_at, at = self.source.read(self.end, max(n, CHUNK)), self.end, 0
+        self.text += self.ahead[at : at + n].decode("latin-1")
 
     def forget(self, before: int) -> None:
-        if before - self.base > 4 * CHUNK:
+        if before - self.base > min(WINDOW, CHUNK):
             self.text, self.base = self.text[before - self.base :], before
 
 
@@ -89,7 +97,7 @@ def objects(source, at: int, finish: int, longest: int = LONGEST) -> Iterator[tu
         if found < 0:
             at = min(t.end, finish)
             continue
-        at, ahead = t.base + found, CHUNK
+        at, ahead = t.base + found, min(WINDOW, CHUNK) // 8
         last = min(source.size, at + longest)
         while True:
             t.reach(min(at + ahead, last))

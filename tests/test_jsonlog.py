@@ -81,3 +81,21 @@ def test_no_file_is_a_row(spark, tmp_path):
     assert r.count() == 10 and r.rdd.getNumPartitions() == 10
     got = logs.resync_json(spark, str(tmp_path), range_bytes=900, one_per_line=True)
     assert got.count() == 1000 and got.rdd.getNumPartitions() == 10
+
+
+def test_text_at_hand_is_short(tmp_path, monkeypatch):
+    """The cost of an error is that of the text before it, so little is decoded at a time where objects are small; a long one is still read."""
+    long = json.dumps({"long": "x" * 300_000})
+    (tmp_path / "a.log").write_text('{"cut": "off\n{"n": 1}\n' * 100_000 + long)
+    most = []
+
+    class Text(jsonlog._Text):
+        def forget(self, before):
+            super().forget(before)
+            most.append(len(self.text))
+
+    monkeypatch.setattr(jsonlog, "_Text", Text)
+    source = open_range(str(tmp_path / "a.log"))
+    found = [o for _, _, o in jsonlog.objects(source, 0, source.size)]
+    source.close()
+    assert found == ['{"n": 1}'] * 100_000 + [long] and max(most) < 200_000
