@@ -225,14 +225,21 @@ def speech_alignment(spark, sf):
     return speech.aligned(said, found).select("event_id", F.col("window").alias("slot"), "start_sec", "end_sec")
 
 
+#: Bytes of texts for which an archive of a source is planned.
+_ARCHIVE = 64 << 20
+
+
 @book.add(
     "archive_sections",
     """
 SELECT source, count(*) AS members, CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes, count(*) FILTER (n_chars >= 1000) AS long_members, min(sha256(text)) AS first_sha FROM documents WHERE text IS NOT NULL AND source IS NOT NULL GROUP BY source""",
 )
 def archive_sections(spark, sf):
-    """Documents in archives, one of each source: members by ranges, and the section of long texts behind the short ones by bisection, in agreement with the texts."""
+    """Documents in archives, one of each source or, of large ones, several: members by ranges, and the section of long texts behind the short ones by bisection, in agreement with the texts."""
     d = table(spark, sf, "documents").where("text IS NOT NULL AND source IS NOT NULL").select("source", "doc_id", "text", (F.col("n_chars") >= 1000).alias("long"))
+    # an archive is written by one task, so that a large source is dealt out to several
+    of_source = kept(d.groupBy("source").agg(F.ceil(F.sum(F.octet_length("text")) / _ARCHIVE).alias("n")))
+    d = d.join(of_source, "source").select("source", F.pmod(F.xxhash64("doc_id"), F.greatest("n", F.lit(1))).alias("part"), "doc_id", "text", "long")
     root = scratch(spark)
 
     def write(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -240,15 +247,15 @@ def archive_sections(spark, sf):
 
         system, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
         system.create_dir(base, recursive=True)
-        out, of, raw, paths = None, None, None, []
+        out, now, raw, paths = None, None, None, []
         for b in rows:
             for r in b.itertuples(index=False):
-                if r.source != of:
+                if (r.source, r.part) != now:
                     if out is not None:
                         out.close()
                         raw.close()
-                    of = r.source
-                    paths.append(f"{base}/{len(paths)}-{abs(hash(of))}-{of.replace('/', '_')}.tar")
+                    of, now = r.source, (r.source, r.part)
+                    paths.append(f"{base}/{len(paths)}-{r.part}-{abs(hash(of))}-{of.replace('/', '_')}.tar")
                     raw = system.open_output_stream(paths[-1])
                     out = tarfile.open(fileobj=raw, mode="w|")
                 data = r.text.encode()
@@ -263,7 +270,7 @@ def archive_sections(spark, sf):
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = f"{scratch(spark)}/list"
-    d.repartition(n, "source").sortWithinPartitions("source", "long", "doc_id").mapInPandas(write, "path string").write.parquet(path)
+    d.repartition(n, "source", "part").sortWithinPartitions("source", "part", "long", "doc_id").mapInPandas(write, "path string").write.parquet(path)
     files = spark.read.parquet(path)
     members = archives.members(files, partition_bytes=1 << 20)
     source = F.regexp_extract("name", "^(.*)/(?:long|short)/", 1).alias("source")

@@ -13,6 +13,7 @@ from concurrent.futures import Future, ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,8 @@ from lumentrace.sources import matroska
 from lumentrace.sources.work import kept
 
 BLOCK = 512
+#: Bytes of members that are handed on at a time.
+_BATCH = 8 << 20
 #: The longest name that an entry of its own may hold, in blocks with its header.
 NAME_BLOCKS = 17
 
@@ -394,18 +397,29 @@ def members(files: DataFrame, *, content: bool = True, suffix: str = "", contain
             rows = [(p, at, min(at + step, end)) for p in b["path"] for start, end in [planned(p, options)] for at in range(start // BLOCK * BLOCK, end, step)]
             yield pd.DataFrame(rows, columns=["path", "start", "end"])
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = [("path", pa.string()), ("name", pa.string()), ("offset", pa.int64()), ("size", pa.int64()), *([("content", pa.binary())] if content else [])]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        held = 0
+        packed = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), kinds, strict=True)], [c for c, _ in kinds])
         for b in batches:
-            for p, start, end in zip(b["path"], b["start"], b["end"], strict=True):
+            for p, start, end in zip(*(b.column(c).to_pylist() for c in ("path", "start", "end")), strict=True):
                 source = open_range(p)
                 for name, at, size in entries_from(source, start, end):
                     if name.endswith(suffix) and contains in name:
-                        yield pd.DataFrame({"path": [p], "name": [name], "offset": [at], "size": [size]} | ({"content": [source.read(at, size)]} if content else {}))
+                        rows.append((p, name, at, size, *([source.read(at, size)] if content else [])))
+                        held += 256 + (size if content else 0)
+                        if held >= _BATCH:
+                            yield packed()
+                            rows, held = [], 0
                 source.close()
+        if rows:
+            yield packed()
 
     ranges = kept(paths.mapInPandas(plan, cut))
     n = max(1, min(ranges.count(), 20_000))
-    return ranges.repartition(n, "path", "start").mapInPandas(read, "path string, name string, offset long, size long" + (", content binary" if content else ""))
+    return ranges.repartition(n, "path", "start").mapInArrow(read, "path string, name string, offset long, size long" + (", content binary" if content else ""))
 
 
 def register(spark: SparkSession) -> None:

@@ -9,7 +9,7 @@ from lumentrace.operators import critics
 from lumentrace.operators import schemas
 from lumentrace.operators import windows as W
 from lumentrace.operators import wordings
-from lumentrace.plans import catalog
+from lumentrace.plans import catalog, inputs
 
 
 def test_equal_starts_and_ids_stay_as_they_came(spark):
@@ -75,3 +75,15 @@ def test_links_in_blocks(spark):
         got = [tuple(r) for r in wordings.near_links(d, 0.6, block).collect()]
         assert set(got) <= want and reached(got) == reached(want)
     assert len(got) < 2 * len(sets) < len(want)
+
+
+def test_large_sources_are_written_as_several_archives(spark, tmp_path, monkeypatch):
+    """One archive is one task's work; a source of many bytes has several, and the same members."""
+    spark.range(600).selectExpr("id AS doc_id", "concat('s/', id % 2) AS source", "repeat(concat('w', id, ' '), cast(id AS int)) AS text").withColumn("n_chars", F.length("text")).write.parquet(str(tmp_path / "documents.parquet"))
+    want = spark.sql("SELECT concat('s/', id % 2) AS source, count(*) AS members, sum(length(repeat(concat('w', id, ' '), cast(id AS int)))) AS bytes, min(sha2(repeat(concat('w', id, ' '), cast(id AS int)), 256)) AS sha FROM range(600) GROUP BY 1").collect()
+    monkeypatch.setattr(inputs, "_ARCHIVE", 64 << 10)
+    seen, members = [], inputs.archives.members
+    monkeypatch.setattr(inputs.archives, "members", lambda files, **how: seen.append(files.select("path").distinct().count()) or members(files, **how))
+    got = catalog.queries()["archive_sections"](spark, str(tmp_path)).collect()
+    assert {(r.source, r.members, r.bytes, r.first_sha) for r in got} == {tuple(r) for r in want} and min(seen) > 8
+    assert sum(r.long_members for r in got) == spark.read.parquet(str(tmp_path / "documents.parquet")).where("n_chars >= 1000").count()
