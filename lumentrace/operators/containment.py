@@ -15,11 +15,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lumentrace.sources.work import kept
+
 _B, _K = 0x9E3779B97F4A7C15, np.uint64(0xBF58476D1CE4E5B9)
 #: Classes of fewer bytes are found by all their bytes at once.
 SHORT = 16
 #: Bytes of a long text that are worked on at a time.
 PART = 4 << 20
+#: Anchors for which a filter goes to the tasks, and its places: entries that meet none are not shuffled. More anchors have no filter.
+MOST_ANCHORS, PLACES = 1 << 18, 1 << 24
 
 
 def _class(length: int) -> int:
@@ -76,16 +80,34 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_class(len(t)) for t in texts], pa.int32()), pa.array([anchor(t) for t in texts], pa.int64())], ["id", "class", "anchor"])
 
 
-def _entries(classes: list[int]):
-    """(id, text) to (id, class, anchor), of the classes that are asked for"""
+def _places(anchors: np.ndarray) -> np.ndarray:
+    return (anchors.view(np.uint64) % np.uint64(PLACES)).astype(np.int64)
+
+
+def _filter(have: DataFrame) -> list[int] | None:
+    """The places of all anchors, or None if these are too many."""
+    found = have.select("anchor").distinct().limit(MOST_ANCHORS + 1).toPandas()["anchor"].to_numpy(np.int64)
+    return None if len(found) > MOST_ANCHORS else np.unique(_places(found)).tolist()
+
+
+def _entries(classes: list[int], places: list[int] | None = None):
+    """(id, text) to (id, class, anchor), of the classes that are asked for; of anchors at other places, if any are given, none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = None
+        if places is not None:
+            wanted = np.zeros(PLACES, bool)
+            wanted[places] = True
         for b in batches:
             for i, t in zip(b.column(0), b.column(1).cast(pa.binary()), strict=True):
                 t = t.as_py()
                 for c in classes:
                     if len(t) >= 1 << c:
                         found = entries(t, c)
+                        if wanted is not None:
+                            found = found[wanted[_places(found)]]
+                        if not len(found):
+                            continue
                         yield pa.RecordBatch.from_arrays([pa.array([i.as_py()], i.type).take(pa.array(np.zeros(len(found), np.int32))), pa.array(np.full(len(found), c, np.int32)), pa.array(found)], ["id", "class", "anchor"])
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,12 +130,12 @@ def held_by(inner: DataFrame, outer: DataFrame) -> DataFrame:
     if longest is None:
         longest = 0
     inner = inner.where(F.octet_length("t") <= longest)
-    classes = sorted(r[0] for r in inner.select(F.floor(F.log2(F.octet_length("t"))).cast("int")).distinct().collect())
-    # the logarithm may be off by one at a power of two, and a class too many does no harm
-    classes = sorted({c + d for c in classes for d in (-1, 0, 1) if c + d >= 0 and 1 << (c + d) <= longest})
+    # the class by binary digits, as a logarithm may be off by one
+    classes = sorted(r[0] for r in inner.select((F.length(F.bin(F.octet_length("t"))) - 1).alias("c")).distinct().collect())
     kind = inner.schema["i"].dataType.simpleString(), outer.schema["o"].dataType.simpleString()
-    have = inner.select("i", "t").mapInArrow(_anchors, f"id {kind[0]}, class int, anchor long").withColumnRenamed("id", "i")
-    may = outer.select("o", "t").mapInArrow(_entries(classes), f"id {kind[1]}, class int, anchor long").withColumnRenamed("id", "o")
-    pairs = have.join(may, ["class", "anchor"]).select("i", "o").distinct()
-    texts = pairs.join(inner.select("i", F.col("t").alias("ti")), "i").join(outer.select("o", F.col("t").alias("to")), "o")
-    return texts.where(F.col("to").contains(F.col("ti"))).select("i", "o").distinct()
+    have = kept(inner.select("i", "t").mapInArrow(_anchors, f"id {kind[0]}, class int, anchor long").withColumnRenamed("id", "i"))
+    may = outer.select("o", "t").mapInArrow(_entries(classes, _filter(have)), f"id {kind[1]}, class int, anchor long").withColumnRenamed("id", "o")
+    pairs = kept(have.join(may, ["class", "anchor"]).select("i", "o").distinct())
+    # only texts of candidates travel
+    texts_i, texts_o = (d.join(pairs.select(c).distinct(), c, "left_semi").select(c, F.col("t").alias(f"t{c}")) for d, c in ((inner, "i"), (outer, "o")))
+    return pairs.join(texts_i, "i").join(texts_o, "o").where(F.col("to").contains(F.col("ti"))).select("i", "o").distinct()

@@ -48,3 +48,18 @@ def test_pairs(spark):
 def test_nothing(spark):
     e = spark.createDataFrame([], "id long, t string")
     assert J.contained(e, "id", e.withColumnRenamed("id", "other"), "other", "t").count() == 0
+
+
+@pytest.mark.parametrize("most", [0, 1 << 18])
+def test_entries_that_meet_nothing_stay_where_they_are(spark, monkeypatch, most):
+    """Only entries of anchors that the other side has go on, but where these are too many for a filter; the pairs are the same."""
+    monkeypatch.setattr(C, "MOST_ANCHORS", most)
+    rng, made, entries = np.random.default_rng(4), [], C._entries
+    texts = [rng.integers(97, 122, 4000).astype(np.uint8).tobytes().decode() for _ in range(20)]
+    monkeypatch.setattr(C, "_entries", lambda classes, places: made.append((classes, places)) or entries(classes, places))
+    inner, outer = spark.createDataFrame([(1, texts[3][100:228])], "i int, t string"), spark.createDataFrame(list(enumerate(texts)), "o int, t string")
+    assert [tuple(r) for r in C.held_by(inner, outer).collect()] == [(1, 3)]
+    (classes, places), = made
+    assert classes == [7]
+    rows = outer.mapInArrow(entries(classes, places), "id int, class int, anchor long").count()
+    assert rows == 1 if most else rows > 100
