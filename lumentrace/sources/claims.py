@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 #: Stores whose rename is no single step, and whose create() without overwriting is one.
@@ -130,8 +131,14 @@ class Commits:
                 break
             own = f"{self.root}/{taken(self.spark, f'{self.root}/_claims/{number}')}"
             jvm, _, p, fs = _hadoop(self.spark, own)
-            # whoever comes second finds the folder gone and the commit's there
-            if not (fs.exists(p) and fs.rename(p, jvm.org.apache.hadoop.fs.Path(self.place(number)))) and not exists(self.spark, self.place(number)):
+            # whoever comes second finds the folder gone, before the renaming or in the middle of it, and the commit's there
+            try:
+                done = fs.exists(p) and fs.rename(p, jvm.org.apache.hadoop.fs.Path(self.place(number)))
+            except Py4JJavaError:
+                if not exists(self.spark, self.place(number)):
+                    raise
+                done = True
+            if not done and not exists(self.spark, self.place(number)):
                 raise Conflict(f"commit {number} has no folder")
         return last
 

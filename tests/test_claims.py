@@ -214,3 +214,25 @@ def test_stream_of_requests_is_submitted_once(spark, tmp_path):
         assert q.exception() is None
     assert sorted(sum(provider.rows.values(), [])) == sorted(f"r{i}" for i in range(25))
     assert len(provider.jobs) == len(set(provider.jobs)) == len(box.jobs()) > 1
+
+
+def test_folder_renamed_by_another_in_between(spark, tmp_path, monkeypatch):
+    """Two writers settle the same commit; the second finds its folder while it looks and gone when it renames."""
+    hadoop = claims._hadoop
+
+    class Both:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            self.fs.rename(a, b)
+            return self.fs.rename(a, b)
+
+    commits = claims.Commits(spark, str(tmp_path / "t"))
+    own = commits.pending()
+    spark.range(3).write.parquet(f"{commits.root}/{own}")
+    monkeypatch.setattr(claims, "_hadoop", lambda s, path: (*hadoop(s, path)[:3], Both(hadoop(s, path)[3])))
+    assert commits.commit(0, own) and spark.read.parquet(commits.place(1)).count() == 3
