@@ -11,17 +11,19 @@ Comparing every shard of documents with every other grows with the square of the
 3. A task reads these fragments in the order of their anchors and positions and cuts them into shards of bounded size. Each
    shard's suffix array comes from Larsson-Sadakane refinement, its common prefixes from Kasai's pass, and suffixes that share
    `length` bytes form a class, of which all but the first are repeats.
-4. An anchor in very many surroundings is cut into pieces by document, each in a shard of its own and with any task. What these
-   shards have found new, their sorted windows, is dealt out by ranges of windows; there each piece's windows are searched by
-   bisection among those of the pieces before it.
+4. The fragments of an anchor in very many surroundings are cut by where the anchor lies in a window: windows of a range of such
+   places share more bytes than the anchor, and these take its part. What is alone with them goes no further, as in 1 and 2, the
+   rest goes to shards. Where very many share even these bytes, as around a line that is everywhere, the ranges shrink to single
+   windows, which are settled by their hashes. Only fragments that share so much come as single windows.
 5. The repeated starts are gathered per document, and the bytes that they cover are removed.
 
-Memory of a task: one batch of texts, about 30 bytes for each fragment of a segment, one shard, one range of windows.
+Memory of a task: one batch of texts, about 30 bytes for each fragment of a segment, one shard.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +38,14 @@ GRAM = 24
 #: Starts handled at once; positions fit the low 24 bits of an anchor.
 CHUNK = 1 << 20
 SHARD_BYTES = 1 << 20
-#: Fragments of an anchor that stay in one shard.
+#: Fragments of an anchor that go to a shard; those of others are cut first.
 PIECE = 1024
+#: Places of the anchor in a window that such cuts keep together, the first time and after it.
+RANGES = (20, 1)
 #: Bytes of text for which a segment of fragments is planned.
 SEGMENT_TEXT = 64 << 20
+#: Windows of cut fragments for which a segment is planned.
+SEGMENT_WINDOWS = 2_000_000
 _R = 0x9E3779B97F4A7C15
 _LOW = np.uint64(0xFFFFFF)
 _powers: dict[str, np.ndarray] = {}
@@ -55,9 +61,9 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
-def fragments(text: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, number of windows, anchor hash) of the fragments of a text."""
-    starts, sizes, keys = [], [], []
+def fragments(text: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, number of windows, place of the anchor from the start, anchor hash) of the fragments of a text."""
+    starts, sizes, places, keys = [], [], [], []
     for at in range(0, len(text) - length + 1, CHUNK):
         part = np.frombuffer(text, np.uint8, min(CHUNK + length - 1, len(text) - at), at)
         n = len(part)
@@ -79,13 +85,15 @@ def fragments(text: bytes, length: int, gram: int = GRAM) -> tuple[np.ndarray, n
         first = np.concatenate([[0], np.nonzero(low[1:] != low[:-1])[0] + 1])
         starts.append(first + at)
         sizes.append(np.diff(np.append(first, len(low))))
-        keys.append(h[(low[first] & _LOW).astype(np.int64)])
+        anchor = (low[first] & _LOW).astype(np.int64)
+        places.append(anchor - first)
+        keys.append(h[anchor])
     if not starts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    return np.concatenate(starts), np.concatenate(sizes), np.concatenate(keys)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    return np.concatenate(starts), np.concatenate(sizes), np.concatenate(places), np.concatenate(keys)
 
 
-_FIELDS = (("doc", np.int64), ("start", np.uint32), ("size", np.uint16), ("key", np.uint64), ("frag", np.uint64))
+_FIELDS = (("doc", np.int64), ("start", np.uint32), ("size", np.uint16), ("at", np.uint16), ("key", np.uint64), ("frag", np.uint64))
 _PACKED = "segment int, decided boolean, " + ", ".join(f"{n} binary" for n, _ in _FIELDS)
 
 
@@ -107,6 +115,23 @@ def _ranked(doc: np.ndarray, start: np.ndarray, key: np.ndarray, frag: np.ndarra
     return order, third
 
 
+def _packed(cols: list[np.ndarray], segments: int) -> pa.RecordBatch:
+    """_PACKED of the _FIELDS of a batch; of its equal fragments the first two go to the segment of their key."""
+    cols = [np.asarray(c).astype(t) for c, (_, t) in zip(cols, _FIELDS, strict=True)]
+    doc, start, _, _, key, frag = cols
+    order, again = _ranked(doc, start, key, frag)
+    segment = np.where(again, doc[order].view(np.uint64) % np.uint64(segments), key[order] % np.uint64(segments)).astype(np.int64)
+    group = segment * 2 + again
+    by = np.argsort(group, kind="stable")
+    order, group = order[by], group[by]
+    cuts = np.nonzero(np.diff(group))[0] + 1
+    firsts = group[np.concatenate([[0], cuts])]
+    arrays = [pa.array((firsts // 2).astype(np.int32)), pa.array((firsts % 2).astype(bool))]
+    for x in cols:
+        arrays.append(pa.array([p.tobytes() for p in np.split(x[order], cuts)], pa.binary()))
+    return pa.RecordBatch.from_arrays(arrays, ["segment", "decided", *(n for n, _ in _FIELDS)])
+
+
 def _anchors(length: int, segments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,44 +139,51 @@ def _anchors(length: int, segments: int):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
                 if text is None or len(text) < length:
                     continue
-                start, size, key = fragments(text, length)
+                start, size, at, key = fragments(text, length)
                 view = memoryview(text)
                 frag = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in zip(start.tolist(), (start + size + (length - 1)).tolist(), strict=True)), np.uint64, len(start))
-                for col, x in zip(cols, (np.full(len(start), doc, np.int64), start, size, key, frag), strict=True):
+                for col, x in zip(cols, (np.full(len(start), doc, np.int64), start, size, at, key, frag), strict=True):
                     col.append(x)
-            if not cols[0]:
-                continue
-            doc, start, size, key, frag = (np.concatenate(c).astype(t) for c, (_, t) in zip(cols, _FIELDS, strict=True))
-            # of equal fragments of the batch the first two go to the segment
-            order, again = _ranked(doc, start, key, frag)
-            segment = np.where(again, doc[order].view(np.uint64) % np.uint64(segments), key[order] % np.uint64(segments)).astype(np.int64)
-            group = segment * 2 + again
-            by = np.argsort(group, kind="stable")
-            order, group = order[by], group[by]
-            cuts = np.nonzero(np.diff(group))[0] + 1
-            firsts = group[np.concatenate([[0], cuts])]
-            arrays = [pa.array((firsts // 2).astype(np.int32)), pa.array((firsts % 2).astype(bool))]
-            for x in (doc, start, size, key, frag):
-                arrays.append(pa.array([p.tobytes() for p in np.split(x[order], cuts)], pa.binary()))
-            yield pa.RecordBatch.from_arrays(arrays, ["segment", "decided", *(n for n, _ in _FIELDS)])
+            if cols[0]:
+                yield _packed([np.concatenate(c) for c in cols], segments)
 
     return run
 
 
-_FOUND = "doc long, start long, size int, key long, piece int"
+def _finer(length: int, width: int, segments: int):
+    """_PACKED of fragments cut by the place of the anchor in a window, `width` places together; their key is the hash of the bytes that all windows with these places share. Input: (doc, start, at, part)."""
+    places = length - GRAM + 1
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols: list[list[int]] = [[] for _ in _FIELDS]
+            for doc, start, at, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                view, low = memoryview(part), at - (len(part) - length)
+                for q in range(low // width, at // width + 1):
+                    first, last = at - min(at, (q + 1) * width - 1), at - max(low, q * width)
+                    shared = view[at - q * width : at - min((q + 1) * width, places) + 1 + length]
+                    own = (doc, start + first, last - first + 1, at - first, xxhash.xxh3_64_intdigest(shared, q), xxhash.xxh3_64_intdigest(view[first : last + length]))
+                    for col, x in zip(cols, own, strict=True):
+                        col.append(x)
+            if cols[0]:
+                yield _packed([np.array(c, t) for c, (_, t) in zip(cols, _FIELDS, strict=True)], segments)
 
-def _rows(doc: np.ndarray, start: np.ndarray, size: np.ndarray, key: np.ndarray | None, piece: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    return run
+
+
+_FOUND = "doc long, start long, size int, at int, key long, wide boolean"
+
+
+def _rows(doc: np.ndarray, start: np.ndarray, size: np.ndarray, at: np.ndarray | None = None, key: np.ndarray | None = None, wide: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
     order = _order(doc, start)
-    for at in range(0, len(order), 100_000):
-        o = order[at : at + 100_000]
-        keys = pa.nulls(len(o), pa.int64()) if key is None else pa.array(key[o].view(np.int64))
-        pieces = pa.nulls(len(o), pa.int32()) if piece is None else pa.array(piece[o].astype(np.int32))
-        yield pa.RecordBatch.from_arrays([pa.array(doc[o]), pa.array(start[o].astype(np.int64)), pa.array(size[o].astype(np.int32)), keys, pieces], [c.split()[0] for c in _FOUND.split(", ")])
+    for a in range(0, len(order), 100_000):
+        o = order[a : a + 100_000]
+        rest = [pa.nulls(len(o), t) if x is None else pa.array(x[o].astype(t.to_pandas_dtype())) for x, t in ((at, pa.int32()), (None if key is None else key.view(np.int64), pa.int64()), (wide, pa.bool_()))]
+        yield pa.RecordBatch.from_arrays([pa.array(doc[o]), pa.array(start[o].astype(np.int64)), pa.array(size[o].astype(np.int32)), *rest], [c.split()[0] for c in _FOUND.split(", ")])
 
 
 def _decide(most: int, confirm: bool):
-    """Rows of _FOUND: repeats with a null key, and fragments whose bytes are needed with their key and their piece of an anchor of more than `most` fragments, -1 for others."""
+    """Rows of _FOUND: repeats with a null key, and fragments whose bytes are needed with their key; wide are those of a key of more than `most` fragments."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cols: list[list[np.ndarray]] = [[] for _ in _FIELDS]
@@ -159,13 +191,13 @@ def _decide(most: int, confirm: bool):
             for decided, *packed in zip(*(batch.column(i).to_pylist() for i in range(1, 2 + len(_FIELDS))), strict=True):
                 arrays = [np.frombuffer(p, t) for p, (_, t) in zip(packed, _FIELDS, strict=True)]
                 if decided:
-                    yield from _rows(*arrays[:3], None)
+                    yield from _rows(*arrays[:3])
                 else:
                     for col, x in zip(cols, arrays, strict=True):
                         col.append(x)
         if not cols[0]:
             return
-        doc, start, size, key, frag = (np.concatenate(c) for c in cols)
+        doc, start, size, at, key, frag = (np.concatenate(c) for c in cols)
         del cols
         # anchors that occur once are most; they go before anything else is sorted
         order = np.argsort(key)
@@ -174,29 +206,25 @@ def _decide(most: int, confirm: bool):
         alone[1:] &= k[1:] != k[:-1]
         alone[:-1] &= k[:-1] != k[1:]
         order = order[~alone]
-        doc, start, size, key, frag = (x[order] for x in (doc, start, size, key, frag))
+        doc, start, size, at, key, frag = (x[order] for x in (doc, start, size, at, key, frag))
         if not len(key):
             return
         order, again = _ranked(doc, start, key, frag)
-        doc, start, size, key, frag = (x[order] for x in (doc, start, size, key, frag))
+        doc, start, size, at, key, frag = (x[order] for x in (doc, start, size, at, key, frag))
         if not confirm and len(key):
             again = np.concatenate([[False], (key[1:] == key[:-1]) & (frag[1:] == frag[:-1])])
-        yield from _rows(doc[again], start[again], size[again], None)
-        doc, start, size, key = (x[~again] for x in (doc, start, size, key))
-        order = np.lexsort((start, doc, key))
-        doc, start, size, key = (x[order] for x in (doc, start, size, key))
+        yield from _rows(doc[again], start[again], size[again])
+        doc, start, size, at, key = (x[~again] for x in (doc, start, size, at, key))
         first = np.concatenate([[0], np.nonzero(key[1:] != key[:-1])[0] + 1])
         count = np.diff(np.append(first, len(key)))
-        place = np.arange(len(key)) - np.repeat(first, count)
         count = np.repeat(count, count)
         need = count > 1
-        piece = np.where(count > most, place // most, -1)
-        yield from _rows(doc[need], start[need], size[need], key[need], piece[need])
+        yield from _rows(doc[need], start[need], size[need], at[need], key[need], count[need] > most)
 
     return run
 
 
-_PART = "key long, piece int, doc long, start long, part binary"
+_PART = "key long, doc long, start long, part binary, at int, wide boolean"
 
 
 def _fetch(length: int):
@@ -204,14 +232,14 @@ def _fetch(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for doc, text, need in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 for x in need:
                     part = text[x["start"] : x["start"] + x["size"] + length - 1]
                     if len(part) >= length:
-                        for col, v in zip(out, (x["key"], x["piece"], doc, x["start"], part), strict=True):
+                        for col, v in zip(out, (x["key"], doc, x["start"], part, x["at"], x["wide"]), strict=True):
                             col.append(v)
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], [c.split()[0] for c in _PART.split(", ")])
 
     return run
@@ -291,29 +319,27 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, most: int, lanes: int = 20
 
 
 class Shards:
-    """Fragments in the order (key, piece, doc, start), cut into shards; says which window starts are repeats, and which windows of a cut anchor are new to its piece."""
+    """Fragments in the order (key, doc, start), cut into shards; says which window starts are repeats."""
 
     def __init__(self, length: int, most_bytes: int = SHARD_BYTES):
         self.length, self.most = length, most_bytes
-        self.rows: list[tuple[int, int, int, int, bytes]] = []
+        self.rows: list[tuple[int, int, int, bytes]] = []
         self.bytes = 0
-        #: Of the last shard: (key, piece, doc, start, window), the windows of a piece in order.
-        self.fresh: list[tuple[int, int, int, int, bytes]] = []
 
-    def add(self, key: int, piece: int, doc: int, start: int, part: bytes) -> Iterator[tuple[int, int, int]]:
-        # all of a key, or of its piece, is in one shard
-        if self.bytes >= self.most and self.rows[-1][:2] != (key, piece):
+    def add(self, key: int, doc: int, start: int, part: bytes) -> Iterator[tuple[int, int, int]]:
+        # all of a key is in one shard
+        if self.bytes >= self.most and self.rows[-1][0] != key:
             yield from self.close()
-        self.rows.append((key, piece, doc, start, part))
+        self.rows.append((key, doc, start, part))
         self.bytes += len(part)
 
     def close(self) -> Iterator[tuple[int, int, int]]:
-        rows, self.rows, self.bytes, self.fresh = self.rows, [], 0, []
+        rows, self.rows, self.bytes = self.rows, [], 0
         if not rows:
             return
         length = self.length
-        sizes = np.array([len(r[4]) for r in rows])
-        text = np.frombuffer(b"".join(r[4] for r in rows), np.uint8)
+        sizes = np.array([len(r[3]) for r in rows])
+        text = np.frombuffer(b"".join(r[3] for r in rows), np.uint8)
         begin = np.cumsum(sizes) - sizes
         frag = np.repeat(np.arange(len(rows)), sizes)
         offset = np.arange(len(text)) - begin[frag]
@@ -324,7 +350,7 @@ class Shards:
         label = np.cumsum(share < length)[window[sa]]
         at = sa[window[sa]]
         # places in the order (doc, start), also across keys
-        docs, starts = np.array([r[2] for r in rows], np.int64), np.array([r[3] for r in rows], np.int64)
+        docs, starts = np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.int64)
         turn = np.empty(len(rows), np.int64)
         turn[_order(docs, starts)] = np.arange(len(rows))
         place = turn[frag[at]] * (1 << 20) + offset[at]
@@ -333,11 +359,6 @@ class Shards:
         repeat = place != least[np.cumsum(heads) - 1]
         bad = np.zeros(len(text), bool)
         bad[at[repeat]] = True
-        # in the order of the suffix array, which is that of the windows
-        cut = np.array([r[1] for r in rows])
-        for i in at[~repeat & (cut[frag[at]] >= 0)].tolist():
-            key, piece, doc, start, _ = rows[frag[i]]
-            self.fresh.append((key, piece, doc, start + int(offset[i]), text[i : i + length].tobytes()))
         hits = np.nonzero(bad)[0]
         if len(hits):
             cuts = np.concatenate([[0], np.nonzero((np.diff(hits) > 1) | (np.diff(frag[hits]) > 0))[0] + 1, [len(hits)]])
@@ -346,66 +367,22 @@ class Shards:
                 yield int(docs[f]), int(starts[f] + offset[hits[a]]), b - a
 
 
-_SPANS = "doc long, start long, size int, key long, piece int, window binary"
+_SPANS = "doc long, start long, size int"
 
 
 def _repeats(length: int, most_bytes: int):
-    """_SPANS: runs of repeated starts, without a window; and new windows of cut anchors."""
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+    """_SPANS: runs of repeated starts."""
 
-    def pack(spans: list[tuple[int, int, int]], fresh: list) -> pa.RecordBatch:
-        rows = [(*s, None, None, None) for s in spans] + [(doc, start, None, key, piece, w) for key, piece, doc, start, w in fresh]
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], [c.split()[0] for c in _SPANS.split(", ")])
+    def pack(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in spans], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32()))], [c.split()[0] for c in _SPANS.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shards = Shards(length, most_bytes)
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                spans = list(shards.add(*row))
-                if spans or shards.fresh:
-                    yield pack(spans, shards.fresh)
-                    shards.fresh = []
-        spans = list(shards.close())
-        yield pack(spans, shards.fresh)
-
-    return run
-
-
-def _across(length: int):
-    """(doc, start, size) of windows that a piece before their own holds too. Input: (key, piece, window, doc, start), a range of a key's windows, by piece and window."""
-    kind = f"S{length + 1}"
-
-    def packed(windows: list[bytes]) -> np.ndarray:
-        return np.array([w + b"\x01" for w in windows], kind)  # ends with a byte that is no padding
-
-    def search(seen: np.ndarray, own: list[tuple[bytes, int, int]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
-        windows = packed([w for w, _, _ in own])
-        if not len(seen):
-            return windows, []
-        where = np.searchsorted(seen, windows)
-        hit = seen[np.minimum(where, len(seen) - 1)] == windows
-        return np.insert(seen, where[~hit], windows[~hit]), [(own[i][1], own[i][2]) for i in np.nonzero(hit)[0]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, seen, own = None, packed([]), []
-
-        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([d for d, _ in found], pa.int64()), pa.array([s for _, s in found], pa.int64()), pa.array([1] * len(found), pa.int32())], ["doc", "start", "size"])
-
-        for batch in batches:
-            found: list[tuple[int, int]] = []
-            for key, piece, window, doc, start in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (key, piece) != of:
-                    if own:
-                        seen, hits = search(seen, own)
-                        found += hits
-                    if of is not None and key != of[0]:
-                        seen = packed([])
-                    of, own = (key, piece), []
-                own.append((window, doc, start))
-            yield out(found)
-        if own:
-            yield out(search(seen, own)[1])
+                if spans := list(shards.add(*row)):
+                    yield pack(spans)
+        yield pack(list(shards.close()))
 
     return run
 
@@ -462,15 +439,31 @@ def repeated_spans(docs: DataFrame, length: int, most_bytes: int, most_fragments
     segments = max(parts, (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // SEGMENT_TEXT + 1)
     packed = docs.mapInArrow(_anchors(length, segments), _PACKED)
     found = staged(packed.repartition(segments, "segment").mapInArrow(_decide(most_fragments, confirm), _FOUND), scope)
-    need = found.where("key IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("start", "size", "key", "piece")).alias("need"))
-    bytes_of = docs.join(need, "doc").select("doc", "text", "need").mapInArrow(_fetch(length), _PART)
-    shards = bytes_of.repartition(parts, "key", "piece").sortWithinPartitions("key", "piece", "doc", "start")
-    late = staged(shards.mapInArrow(_repeats(length, most_bytes), _SPANS), scope)
-    # a key's windows are cut into ranges, equal ones in one range
-    cut = late.where("window IS NOT NULL").select("key", "piece", "window", "doc", "start")
-    ranges = cut.repartitionByRange(parts, "key", "window").sortWithinPartitions("key", "piece", "window")
-    across = ranges.mapInArrow(_across(length), "doc long, start long, size int")
-    return found.where("key IS NULL").select("doc", "start", "size").unionAll(late.where("window IS NULL").select("doc", "start", "size")).unionAll(across)
+    need = found.where("key IS NOT NULL").groupBy("doc").agg(F.collect_list(F.struct("start", "size", "key", "at", "wide")).alias("need"))
+    fetched = staged(docs.join(need, "doc").select("doc", "text", "need").mapInArrow(_fetch(length), _PART), scope)
+    repeats, parts_of = [found], [fetched]
+    for width in RANGES:
+        wide = fetched.where("wide")
+        windows = wide.agg(F.sum(F.octet_length("part") - (length - 1))).first()[0]
+        if not windows:
+            break
+        segments = max(parts, windows // SEGMENT_WINDOWS + 1)
+        packed = wide.select("doc", "start", "at", "part").mapInArrow(_finer(length, width, segments), _PACKED)
+        # single windows are equal or not, and are cut no more
+        most = most_fragments if width > 1 else 2**62
+        found = staged(packed.repartition(segments, "segment").mapInArrow(_decide(most, confirm), _FOUND), scope)
+        # a cut fragment lies in the one that has its anchor
+        of = wide.select("doc", (F.col("start") + F.col("at")).alias("anchor"), F.col("start").alias("begin"), "part")
+        cut = found.where("key IS NOT NULL").withColumn("anchor", F.col("start") + F.col("at")).join(of, ["doc", "anchor"])
+        cut = cut.where((F.col("start") >= F.col("begin")) & (F.col("start") + F.col("size") + (length - 1) <= F.col("begin") + F.octet_length("part")))
+        cut = cut.withColumn("part", F.substring("part", (F.col("start") - F.col("begin") + 1).cast("int"), F.col("size") + (length - 1)))
+        fetched = staged(cut.select("key", "doc", "start", "part", "at", "wide"), scope)
+        repeats.append(found)
+        parts_of.append(fetched)
+    every = reduce(DataFrame.unionAll, (p.where("NOT wide").select("key", "doc", "start", "part") for p in parts_of))
+    shards = every.repartition(parts, "key").sortWithinPartitions("key", "doc", "start")
+    late = shards.mapInArrow(_repeats(length, most_bytes), _SPANS)
+    return reduce(DataFrame.unionAll, (f.where("key IS NULL").select("doc", "start", "size") for f in repeats), late)
 
 
 def dedup_substrings(

@@ -130,6 +130,20 @@ def test_substrings_across_shards(spark):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out.collect()} == brute.dedup_substrings(rows)
 
 
+def test_rows_of_anchors_in_many_surroundings(spark, monkeypatch):
+    """A phrase that is everywhere: what is staged stays within a few rows for each text, and is no row for each window."""
+    rng = random.Random(12)
+    noise = lambda: "".join(rng.choice("ABCDEFGHIJKL") for _ in range(110))
+    made, stage = [], suffix_dedup.staged
+    monkeypatch.setattr(suffix_dedup, "staged", lambda df, scope="": (lambda t: made.append(t.count()) or t)(stage(df, scope)))
+    for phrase in ("".join(rng.choice("abcdefgh") for _ in range(n)) for n in (70, 95)):
+        rows = [(i, noise() + phrase + noise()) for i in range(100)]
+        made.clear()
+        out = suffix_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"), most_fragments=10)
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out.collect()} == brute.dedup_substrings(rows)
+        assert 100 <= max(made) <= 600
+
+
 def test_substrings_edges(spark, empty):
     assert suffix_dedup.dedup_substrings(empty).count() == 0
     rng = random.Random(6)
