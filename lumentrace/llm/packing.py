@@ -13,9 +13,11 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -27,6 +29,8 @@ from lumentrace.llm.common import staged, trimmed
 
 #: Chunks of a generation of a worker's cache, at some 200 bytes each; it keeps two generations.
 MOST_CACHED = 300_000
+#: Characters of texts that are encoded at once, as each distinct chunk of them is looked up once.
+BATCH_CHARS = 8_000_000
 #: Marks that may follow a word; each is a run of its own for the tokenizer.
 MARKS = ".,;:!?&%$#*|"
 
@@ -67,10 +71,15 @@ class WordPieces:
         chars, last = self.chars, self.last
         mapped = []
         for w in words:
+            if w.isascii():  # letters stand for themselves
+                mapped.append(w[:-1] + last[ord(w[-1])])
+                continue
             b = w.encode()
             mapped.append("".join([chars[x] for x in b[:-1]]) + last[b[-1]])
-        ids = self.ids
-        return [ids[p].tobytes() for p in self.model.encode(mapped, out_type=int, num_threads=1)]
+        found = self.model.encode(mapped, out_type=int, num_threads=1)
+        ends = (4 * np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))).tolist()
+        ids = self.ids[np.fromiter(chain.from_iterable(found), np.int64)].tobytes()
+        return [ids[a:b] for a, b in zip([0, *ends], ends)]
 
 
 class WordTokenizer:
@@ -98,34 +107,62 @@ class WordTokenizer:
         """Lower-case letters only, each word one pre-token."""
         self.known.update(zip(words, self.pieces.encode(words) if self.pieces else self._plain(words), strict=True))
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each chunk; chunks are distinct."""
         if len(self.known) > MOST_CACHED:
             self.older, self.known = self.known, {"": b""}
         known, older = self.known, self.older
-        known.update({c: older[c] for c in chunks.difference(known).intersection(older)})
-        split = {}
-        for c in chunks.difference(known):
+        split, words, odd = {}, set(), set()
+        for c in chunks:
+            if c in known:
+                continue
+            if (ids := older.get(c)) is not None:
+                known[c] = ids
+                continue
             b = c.rstrip(MARKS)
-            split[c] = b if b.isalpha() else c  # marks behind anything but letters may belong to one run
-        if not split:
-            return
-        self._words([b for b in set(split.values()).difference(known) if b.isalpha()])
-        odd = list({c if b == c else c[len(b) :] for c, b in split.items()}.difference(known))
-        known.update(zip(odd, self._plain(odd), strict=True))
-        for c, b in split.items():
+            if not b.isalpha():  # marks behind anything but letters may belong to one run
+                odd.add(c)
+                continue
+            if b not in known:
+                words.add(b)
             if b != c:
-                known[c] = known[b] + known[c[len(b) :]]
+                split[c] = b
+                if (marks := c[len(b) :]) not in known:
+                    odd.add(marks)
+        if words:
+            self._words(list(words))
+        if odd:
+            known.update(zip(odd, self._plain(list(odd)), strict=True))
+        for c, b in split.items():
+            known[c] = known[b] + known[c[len(b) :]]
+        return list(map(known.__getitem__, chunks))
+
+    def _chunked(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts of chunks: each distinct chunk of all of them is looked up once."""
+        if not texts:
+            return []
+        data = np.frombuffer((" ".join(texts) + " ").encode(), np.uint8).copy()
+        data[data == 10] = 32
+        ends = np.flatnonzero(data == 32) + 1
+        # a chunk with the space behind it
+        chunks = pa.StringArray.from_buffers(len(ends), pa.py_buffer(np.append(0, ends).astype(np.int32)), pa.py_buffer(data)).dictionary_encode()
+        each = self._learn(pc.binary_join(pa.ListArray.from_arrays([0, len(chunks.dictionary)], chunks.dictionary), "")[0].as_py().split(" ")[:-1])
+        ends = np.cumsum(np.fromiter(map(len, each), np.int32, len(each)) // 4, dtype=np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(np.int32(0), ends)), pa.array(np.frombuffer(b"".join(each), "<u4"))).take(chunks.indices)
+        ids, to = lists.values.to_numpy().tobytes(), lists.offsets.to_numpy()[1:]
+        lines = np.cumsum([t.count(" ") + t.count("\n") + 1 for t in texts])
+        cuts = (4 * to[lines - 1].astype(np.int64)).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunked: list[list[str] | None] = []
+        low: list[str | None] = []
         for t in texts:
-            plain = t.isascii() or (max(t) < "Ͱ" and unicodedata.is_normalized("NFC", t))
-            low = t.lower() if plain else ""
-            chunked.append(low.replace("\n", " ").split(" ") if plain and not any(a in low for a in self.added) else None)
-        self._learn(set().union(*(c for c in chunked if c)))
-        get = self.known.__getitem__
-        other = iter(self._plain([t for t, c in zip(texts, chunked, strict=True) if c is None]))
-        return [next(other) if c is None else b"".join(map(get, c)) for c in chunked]
+            plain = t.isascii() or (np.frombuffer(t.encode("utf-32-le"), "<u4").max() < 0x370 and unicodedata.is_normalized("NFC", t))
+            x = t.lower() if plain else ""
+            low.append(x if plain and not any(a in x for a in self.added) else None)
+        chunked = iter(self._chunked([x for x in low if x is not None]))
+        other = iter(self._plain([t for t, x in zip(texts, low, strict=True) if x is None]))
+        return [next(other if x is None else chunked) for x in low]
 
 
 _tokenizers: dict[str, WordTokenizer] = {}
@@ -234,7 +271,7 @@ def _pack(path: str, end_id: int, length: int, open_windows: int, with_ids: bool
             at = 0
             while at < len(docs):
                 to, size = at, 0
-                while to < len(docs) and size < 2_000_000:
+                while to < len(docs) and size < BATCH_CHARS:
                     size += len(texts[to] or "")
                     to += 1
                 for doc, ids in zip(docs[at:to], tok.encode([t or "" for t in texts[at:to]]), strict=True):

@@ -187,6 +187,25 @@ def test_words_are_encoded_as_the_tokenizer_does():
     assert t.pieces.encode(words) == t._plain(words)
 
 
+def test_each_distinct_chunk_is_looked_up_once():
+    """Not each chunk of each text; the ids are those of the tokenizer."""
+    from tokenizers import Tokenizer
+
+    class Known(dict):
+        asked = 0
+
+        def __getitem__(self, k):
+            self.asked += 1
+            return super().__getitem__(k)
+
+    t, other = packing.WordTokenizer(P.path("word_bpe_49k.json")), Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    t.known = Known(t.known)
+    texts = ["The cat, the dog.\nthe  Élan\n", "", "日本 the cat", " the\tcat 12.5 "] * 100
+    got = t.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [other.encode(x, add_special_tokens=False).ids for x in texts]
+    assert 0 < t.known.asked < 50
+
+
 def test_codec_is_that_of_the_ranks(spark, docs, rows, empty):
     import base64
 
