@@ -1,23 +1,70 @@
 """Connected components of an edge table by alternating large-star and small-star steps.
 
 Every step is a grouped minimum, pre-aggregated before it is shuffled, and an equi-join, in which the edges of hubs are not
-shuffled at all; nothing is gathered in the driver but two numbers a round. Rounds grow with the logarithm of the longest chain."""
+shuffled at all; nothing is gathered in the driver but four numbers a task. Rounds grow with the logarithm of the longest chain.
+Before the first, each task joins what CHUNK of its own edges join; where that were all there are, no round is needed."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumentrace.llm.common import staged
+from lumentrace.llm.common import staged, tally
 
 
 #: Nodes of fewer edges are no hubs: a task joins so many rows in no time.
 LEAST_HUB = 10_000
+#: Edges that a task joins at once.
+CHUNK = 250_000
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of edges, and of each the smallest that it reaches."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while len(x):
+        rx, ry = root[x], root[y]
+        low = np.minimum(rx, ry)
+        np.minimum.at(root, rx, low)
+        np.minimum.at(root, ry, low)
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+    return nodes, nodes[root]
+
+
+def _joined(chunk: int):
+    """Edges (a, b) to stars (a, b, at) of as many as chunk of them; at tells these apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = TaskContext.get().partitionId() << 32, []
+
+        def out() -> pa.RecordBatch:
+            a, b = stars(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            more = a != b
+            return pa.RecordBatch.from_arrays([pa.array(a[more]), pa.array(b[more]), pa.array(np.full(int(more.sum()), at))], ["a", "b", "at"])
+
+        for batch in batches:
+            for some in (batch.slice(i, chunk) for i in range(0, batch.num_rows, chunk)):
+                if sum(len(x) for x, _ in held) + some.num_rows > chunk:
+                    yield out()
+                    at, held = at + 1, []
+                held.append((some.column(0).to_numpy(), some.column(1).to_numpy()))
+        if held:
+            yield out()
+
+    return run
 
 
 def _mark(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)")).alias("h")).first()
-    return row["n"], int(row["h"] or 0)
+    return tally(edges, F.xxhash64("a", "b"))[:2]
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -55,18 +102,18 @@ def components(edges: DataFrame, scope: str, most_rounds: int = 60) -> DataFrame
     Loops, repeated edges and null ends are ignored; no edges give an empty table."""
     a, b = edges.columns
     edges = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a > b").distinct()
-    edges = staged(edges, scope)
-    mark = _mark(edges)
+    edges = staged(edges.mapInArrow(_joined(CHUNK), "a long, b long, at long"), scope)
+    _, _, first, last = tally(edges, F.col("at"))
+    edges = edges.select("a", "b")
+    mark = _mark(edges) if first != last else None  # of one task and chunk: joined, or none
     for _ in range(most_rounds):
-        if not mark[0]:
+        if mark is None:
             break
         hubs = _has_hubs(edges, mark[0])
         edges = staged(_small_star(_large_star(edges, mark[0], hubs), mark[0], hubs), scope)
         now = _mark(edges)
-        if now == mark:
-            break
-        mark = now
-    else:
+        mark = None if now == mark else now
+    if mark is not None:
         raise RuntimeError(f"no end after {most_rounds} rounds")
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(roots)
