@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumentrace.session import ready
+from lumentrace.session import no_shuffles_left, ready
 
 #: What stands for a missing id wherever ids are compared or joined.
 NO_ID = -(2**63)
@@ -48,7 +48,8 @@ def staged(df: DataFrame, scope: str = "") -> DataFrame:
 
     scope names a group of tables that release() deletes together; what is left of an application is in one folder of its id."""
     path = work_folder(df.sparkSession)
-    df.write.option("compression", "zstd").parquet(path)
+    with no_shuffles_left(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
     _staged.setdefault(scope, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

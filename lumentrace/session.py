@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -35,3 +37,15 @@ def ready(spark: SparkSession) -> SparkSession:
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
     return spark
+
+
+@contextmanager
+def no_shuffles_left(spark: SparkSession) -> Iterator[None]:
+    """What is run in here leaves no shuffle files when it ends. Otherwise they stay until the driver happens to collect its garbage, which it does the later the less it has to do."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
