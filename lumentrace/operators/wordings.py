@@ -1,11 +1,13 @@
 """Near-equal wordings of several runs as one: a similarity join within each clip, groups of what it links, and the longest wording of each group.
 
-Equal texts of a clip meet once. Words are drawn from so few that most pairs of a clip have rare ones in common; all pairs of like length are therefore counted on the whole sets, in blocks
-of bounded size. The work is quadratic in the texts of a clip, what is stored is not."""
+Equal texts of a clip meet once. Words are drawn from so few that most pairs of a clip have rare ones in common; all pairs of like length are therefore compared, in blocks of bounded size:
+first by sketches, which are short and rule out no link, then on the whole sets among texts that sketches join. The work is quadratic in the texts of a clip; what is stored are some
+hundred bytes a text for each block that its own meets, and whole sets of such texts only."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,8 @@ from lumentrace.sources.work import kept
 
 #: Texts of a block, of which a task holds two.
 BLOCK = 16_384
+#: Bins of a sketch: a power of two, twice as many as a text of its class has words or more, within these. Numbers of a matrix that a task compares with another.
+LEAST_BINS, MOST_BINS, MATRIX = 512, 1 << 14, 1 << 23
 
 
 def groups(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -72,17 +76,84 @@ def _joined(part: int, whole: int):
     return run
 
 
-def near_links(texts: DataFrame, share: float, block: int = BLOCK) -> DataFrame:
-    """(a, b): links of texts (clip_id, id, w: distinct words) of one clip whose words have a Jaccard similarity of share or more, a < b; not all, but such that the same texts are reached. Texts without words link to nothing.
+def _width(part: int, whole: int) -> float:
+    """Of a class of texts by the logarithm of their number of words: a little wider than the share, so that no rounding parts two texts by a class."""
+    return max(math.log(whole / part), 0.1) * (1 + 1e-6)
 
-    Texts of a clip lie in classes of their number of words, of which only equal and neighbouring ones can link, and classes in blocks. A pair of blocks is a task's group: candidates are counted
-    where they meet and never stored, so that what is shuffled are the texts, once for each block that theirs meets."""
-    part, whole = round(share * 1000), 1000
-    # a little wider than the share, so that no rounding parts two texts by a class
-    width = max(math.log(whole / part), 0.1) * (1 + 1e-6)
-    sets = texts.where(F.size("w") > 0).select("clip_id", "id", "w", F.floor(F.log(F.size("w").cast("double")) / width).cast("int").alias("c"))
-    sizes = sets.groupBy("clip_id", "c").agg(F.ceil(F.count("*") / block).cast("int").alias("own"))
-    x = sets.join(sizes, ["clip_id", "c"])
+
+def _sketches(width: float):
+    """(clip_id, id, h: hashes of the words) to (clip_id, id, n, sketch): the number of words, and the parities of how many of them fall into each bin."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            n = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            largest = np.exp((np.floor(np.log(np.maximum(n, 1)) / width) + 1) * width)
+            sizes = np.clip(1 << np.ceil(np.log2(2 * largest)).astype(np.int64), LEAST_BINS, MOST_BINS)
+            flat, ends, out = lists.flatten().to_numpy(), np.cumsum(n), []
+            for k, end, bins in zip(n.tolist(), ends.tolist(), sizes.tolist(), strict=True):
+                out.append(np.packbits(np.bincount(flat[end - k : end] & (bins - 1), minlength=bins).astype(np.uint8) & 1).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(out, pa.binary())], ["clip_id", "id", "n", "sketch"])
+
+    return run
+
+
+def _folded(sketch: bytes, size: int) -> bytes:
+    """To size bytes, a power of two: bins that fall together add up."""
+    return sketch if len(sketch) == size else np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size)).tobytes()
+
+
+def _near(part: int, whole: int):
+    """Stars of the texts of a pair of blocks that links may join. Sets that differ in d words differ in at most d bins; links differ in at most (whole - part) / (whole + part) of the words of both."""
+    most = (whole - part) / (whole + part)
+
+    def run(rows: pa.Table) -> pa.Table:
+        n, side = rows["n"].to_numpy(), rows["side"].to_numpy()
+        order = np.lexsort((n, side))
+        ids, n, left = rows["id"].to_numpy()[order], n[order], int((side == 0).sum())
+        found = rows["sketch"].to_pylist()
+        size = min(map(len, found))
+        bits = np.frombuffer(b"".join(_folded(found[i], size) for i in order), np.uint8).reshape(-1, size)
+        # bins that differ are own + own - 2 x common: each side brings its share of what common must reach
+        need = (np.bitwise_count(bits).sum(axis=1, dtype=np.int64) - most * n) / 2
+        root, step = np.arange(len(ids)), max(64, MATRIX // (8 * size))
+        rest = 0 if left == len(ids) else left
+        for at in range(0, left, step):
+            a = slice(at, min(at + step, left))
+            x = np.unpackbits(bits[a], axis=1).astype(np.float32)
+            # lengths are in order, so that texts of like length are a stretch
+            first = rest + int(np.searchsorted(n[rest:] * whole, n[a][0] * part))
+            last = rest + int(np.searchsorted(n[rest:] * part, n[a][-1] * whole, side="right"))
+            for to in range(max(first, at) if rest == 0 else first, last, 512):
+                b = slice(to, min(to + 512, last))
+                common = np.unpackbits(bits[b], axis=1).astype(np.float32) @ x.T
+                common -= (need[a] - 0.25).astype(np.float32)
+                j, i = np.nonzero(common >= need[b].astype(np.float32)[:, None])
+                i, j = i + at, j + to
+                like = (i != j) & (whole * np.minimum(n[i], n[j]) >= part * np.maximum(n[i], n[j])) & (root[i] != root[j])
+                i, j = i[like], j[like]
+                while len(i):
+                    low = np.minimum(root[i], root[j])
+                    np.minimum.at(root, root[i], low)
+                    np.minimum.at(root, root[j], low)
+                    while (root[root] != root).any():
+                        root = root[root]
+                    apart = root[i] != root[j]
+                    i, j = i[apart], j[apart]
+        more = root != np.arange(len(ids))
+        return pa.table({"a": pa.array(ids[root[more]]), "b": pa.array(ids[more])})
+
+    return run
+
+
+def _met(x: DataFrame, part: int, whole: int, block: int) -> DataFrame:
+    """x (clip_id, id, n: number of words, ...) dealt to pairs of blocks (clip_id, c, i, d, j), with the side it is on.
+
+    Texts of a clip lie in classes of their number of words, of which only equal and neighbouring ones can link, and classes in blocks; a block is paired with itself too."""
+    more = [c for c in x.columns if c not in ("clip_id", "id")]
+    x = x.withColumn("c", F.floor(F.log(F.col("n").cast("double")) / _width(part, whole)).cast("int"))
+    sizes = x.groupBy("clip_id", "c").agg(F.ceil(F.count("*") / block).cast("int").alias("own"))
+    x = x.join(sizes, ["clip_id", "c"])
     for name, step in (("up", 1), ("down", -1)):
         x = x.join(sizes.select("clip_id", (F.col("c") - step).alias("c"), F.col("own").alias(name)), ["clip_id", "c"], "left")
     x = x.withColumn("i", F.pmod(F.xxhash64("id"), "own").cast("int"))
@@ -91,8 +162,23 @@ def near_links(texts: DataFrame, share: float, block: int = BLOCK) -> DataFrame:
     to = lambda n, of: F.when(F.col(n) > 0, F.transform(F.sequence(F.lit(0), F.col(n) - 1), of)).otherwise(none)
     c, i = F.col("c"), F.col("i")
     met = F.concat(to("own", lambda j: pair(c, F.least(i, j), c, F.greatest(i, j), i > j)), to("up", lambda j: pair(c, i, c + 1, j, F.lit(0))), to("down", lambda j: pair(c - 1, j, c, i, F.lit(1))))
-    dealt = x.select("clip_id", "id", "w", F.explode(met).alias("p")).select("clip_id", "p.*", "id", "w")
-    return dealt.groupBy("clip_id", "c", "i", "d", "j").applyInArrow(_joined(part, whole), "a long, b long")
+    return x.select("clip_id", "id", *more, F.explode(met).alias("p")).select("clip_id", "p.*", "id", *more)
+
+
+def near_links(texts: DataFrame, share: float, block: int = BLOCK) -> DataFrame:
+    """(a, b): links of texts (clip_id, id, w: distinct words) of one clip whose words have a Jaccard similarity of share or more, a < b; not all, but such that the same texts are reached. Texts without words link to nothing.
+
+    Sketches of texts of like length are compared first, in pairs of blocks; no link is lost, as they can only be nearer than their texts are. What they join is a group, within which links are counted
+    on the whole sets, in pairs of blocks where it is large. Candidates are never stored."""
+    part, whole = round(share * 1000), 1000
+    sets = texts.where(F.size("w") > 0).select("clip_id", "id", "w")
+    hashed = sets.select("clip_id", "id", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))
+    sketches = kept(hashed.mapInArrow(_sketches(_width(part, whole)), hashed.select("clip_id", "id").schema.add("n", "long").add("sketch", "binary")))
+    pairs = ("clip_id", "c", "i", "d", "j")
+    near = _met(sketches, part, whole, block).groupBy(*pairs).applyInArrow(_near(part, whole), "a long, b long")
+    of = kept(groups(kept(near)))
+    open_ = kept(sets.join(of.withColumnRenamed("node", "id"), "id").select(F.col("root").alias("clip_id"), "id", F.size("w").cast("long").alias("n"), "w"))
+    return _met(open_, part, whole, block).groupBy(*pairs).applyInArrow(_joined(part, whole), "a long, b long")
 
 
 def merged(items: DataFrame, runs: DataFrame, share: float = 0.6) -> DataFrame:
@@ -102,8 +188,8 @@ def merged(items: DataFrame, runs: DataFrame, share: float = 0.6) -> DataFrame:
     order. Seen by all runs: high; by one of several: low; else medium. runs: (clip_id, call_index). Null and blank texts are no wordings; texts without words are one with equal ones only."""
     # one row for each text of a clip; its id is a place in a table, and so stays what it is
     texts = items.where(F.trim("text") != "").groupBy("clip_id", "text").agg(F.collect_set("call_index").alias("calls"), F.count("*").alias("n_items"))
-    texts = kept(kept(texts.withColumn("w", words("text"))).withColumn("id", F.monotonically_increasing_id()))
-    roots = groups(near_links(texts, share))
+    texts = kept(texts.withColumn("id", F.monotonically_increasing_id()))
+    roots = groups(near_links(texts.select("clip_id", "id", words("text").alias("w")), share))
     k = runs.groupBy("clip_id").agg(F.count_distinct("call_index").alias("k"))
     t = texts.join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id"))
     g = t.groupBy("clip_id", "root").agg(F.max_by("text", F.struct(F.length("text"), "text")).alias("text"), F.array_distinct(F.flatten(F.collect_list("calls"))).alias("c"), F.sum("n_items").alias("n_items"))

@@ -2,7 +2,10 @@
 
 import random
 import re
+import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from lumentrace.operators import wordings as W
@@ -74,3 +77,47 @@ def test_groups_of_long_chains(spark):
     got = {r.node: r.root for r in W.groups(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in parent}
     assert W.groups(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def _stars(sets, left, share):
+    """Which texts a pair of blocks joins; left: how many are in the left one, all if it is paired with itself."""
+    hashes = [np.array([zlib.crc32(str(w).encode()) for w in s], np.int64) for s in sets]
+    rows = pa.RecordBatch.from_pydict({"clip_id": ["c"] * len(sets), "id": list(range(len(sets))), "h": pa.array([h.tolist() for h in hashes], pa.list_(pa.int64()))})
+    (made,) = W._sketches(W._width(round(share * 1000), 1000))(iter([rows]))
+    table = pa.Table.from_batches([made]).append_column("side", pa.array([int(i >= left) for i in range(len(sets))], pa.int32()))
+    got = W._near(round(share * 1000), 1000)(table.take(pa.array(np.random.default_rng(1).permutation(len(sets))))).to_pydict()
+    to = dict(zip(got["b"], got["a"], strict=True))
+    return [to.get(i, i) for i in range(len(sets))]
+
+
+@pytest.mark.parametrize("share", [0.4, 0.6, 0.8, 1.0])
+def test_sketches_lose_no_link(monkeypatch, share):
+    monkeypatch.setattr(W, "MATRIX", 1)
+    rng = random.Random(int(share * 10))
+    sets = [rng.sample(range(60), rng.randint(1, 30)) for _ in range(300)]
+    sets += [s + [100 + i] for i, s in enumerate(sets[:100])] + [list(range(20_000)), list(range(300, 20_300)), list(range(30_000, 30_400)), list(range(40_000, 40_400))]
+    rng.shuffle(sets)
+    for left in (len(sets), 150):
+        root = _stars(sets, left, share)
+        for i, a in enumerate(sets):
+            for j in range(i):
+                if (left == len(sets) or j < left <= i) and 1000 * len(set(a) & set(sets[j])) >= round(share * 1000) * len(set(a) | set(sets[j])):
+                    assert root[i] == root[j]
+    far = [rng.sample(range(1 << 40), k + 200) for k in range(40)]
+    assert _stars(far, len(far), 0.6) == list(range(40))
+
+
+def _refused(*a):
+    def run(rows):
+        raise AssertionError("whole sets are dealt")
+
+    return run
+
+
+def test_texts_that_nothing_is_near_to_are_not_dealt(spark, monkeypatch):
+    """What is stored of them are sketches; whole sets went to every block that theirs meets."""
+    texts = [("c", i, [f"w{k}" if k < 5 else f"w{i}x{k}" for k in range(30)]) for i in range(50)]
+    d = spark.createDataFrame(texts, "clip_id string, id long, w array<string>")
+    assert len(W.near_links(d.unionAll(d.selectExpr("clip_id", "id + 100", "w")), 0.6, 7).collect()) >= 50
+    monkeypatch.setattr(W, "_joined", _refused)
+    assert W.near_links(d, 0.6, 7).collect() == []
